@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tomewright.llm import bpe, chat, decontaminate, langid, shard, toxicity
+from tomewright.llm import bpe, chat, decontaminate, langid, linededup, shard, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": langid.op3_language_id,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": bpe.op5_bpe,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_line_dedup": linededup.op9_line_dedup,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
 
