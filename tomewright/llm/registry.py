@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tomewright.llm import bpe, chat, decontaminate, langid, linededup, shard, toxicity
+from tomewright.llm import ann, bpe, chat, decontaminate, langid, linededup, shard, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": langid.op3_language_id,
     "op4_sharding": shard.op4_sharding,
     "op5_bpe": bpe.op5_bpe,
     "op6_chat_formatting": chat.op6_chat_formatting,
+    "op7_nearest_neighbours": ann.op7_nearest_neighbours,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
