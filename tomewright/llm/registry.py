@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tomewright.llm import ann, bpe, chat, decontaminate, langid, linededup, shard, toxicity
+from tomewright.llm import ann, bpe, chat, decontaminate, langid, linededup, neardup, shard, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": neardup.op1_minhash_near_dedup,
     "op3_language_id": langid.op3_language_id,
     "op4_sharding": shard.op4_sharding,
     "op5_bpe": bpe.op5_bpe,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_minhash_near_dedup": neardup.ORACLE_SQL,
     "op6_chat_formatting": chat.ORACLE_SQL,
     "op10_benchmark_decontamination": decontaminate.ORACLE_SQL,
 }
