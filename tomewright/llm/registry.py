@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tomewright.llm import ann, bpe, chat, decontaminate, langid, linededup, neardup, shard, toxicity
+from tomewright.llm import ann, bpe, chat, decontaminate, langid, linededup, lm, neardup, shard, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": neardup.op1_minhash_near_dedup,
+    "op2_lm_scoring": lm.op2_lm_scoring,
     "op3_language_id": langid.op3_language_id,
     "op4_sharding": shard.op4_sharding,
     "op5_bpe": bpe.op5_bpe,
