@@ -4,7 +4,8 @@ A text is split by the vocabulary's pattern; each match is merged alone. Merging
 linked list by position and a queue over merge ranks: a bucket of positions for each rank, and a bitmap in three
 levels of 64-bit words over the ranks, where find-first-set gives the lowest rank that is waiting. Entries that a
 neighbouring merge made stale are skipped when they come up. So a match of n bytes costs O(n log n), however long.
-Merged matches are kept in a dictionary of bounded size (it is emptied when full; results don't depend on it).
+Merged matches are kept in two dictionaries of bounded size: when the young one is full it becomes the old one,
+and what is met again moves back (results don't depend on it).
 
 Defined cases: null text is encoded like the empty text (no ids); special tokens are ordinary text; texts above
 ``STREAM_CHARS`` are matched one by one instead of all at once; repeated rows are encoded one by one.
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 
 from tomewright.llm.common import read
 
-KEPT = 200_000
+KEPT = 400_000
 STREAM_CHARS = 2_000_000
 
 
@@ -39,13 +40,15 @@ class RankQueue:
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            self.low[rank >> 6] |= 1 << (rank & 63)
-            self.middle[rank >> 12] |= 1 << (rank >> 6 & 63)
-            self.top |= 1 << (rank >> 12)
-        else:
+        if bucket is not None:
             heappush(bucket, position)
+            return
+        self.buckets[rank] = [position]
+        k = rank >> 6
+        if not self.low[k]:
+            self.middle[k >> 6] |= 1 << (k & 63)
+            self.top |= 1 << (k >> 6)
+        self.low[k] |= 1 << (rank & 63)
 
     def pop(self) -> tuple[int, int]:
         m = (self.top & -self.top).bit_length() - 1
@@ -54,15 +57,16 @@ class RankQueue:
         word = self.low[k]
         rank = k << 6 | (word & -word).bit_length() - 1
         bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[k] &= ~(1 << (rank & 63))
-            if not self.low[k]:
-                self.middle[m] &= ~(1 << (k & 63))
-                if not self.middle[m]:
-                    self.top &= ~(1 << m)
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        del self.buckets[rank]
+        word &= word - 1
+        self.low[k] = word
+        if not word:
+            self.middle[m] &= self.middle[m] - 1
+            if not self.middle[m]:
+                self.top &= self.top - 1
+        return rank, bucket[0]
 
 
 class Codec:
@@ -77,6 +81,7 @@ class Codec:
         self.queue = RankQueue(max(self.tokens, default=0))
         self.split = regex.compile(self.pattern)
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
 
     def __getstate__(self) -> dict:
         return {"ranks": self.ranks, "pattern": self.pattern, "kept": self.kept}
@@ -91,30 +96,32 @@ class Codec:
         whole = get(piece)
         if whole is not None:
             return (whole,)
-        n, longest, queue = len(piece), self.longest, self.queue
+        n, longest = len(piece), self.longest
+        push, pop, queue = self.queue.push, self.queue.pop, self.queue
         after = list(range(1, n + 1))  # where the part that starts here ends
         before = list(range(-1, n))  # where the part to the left starts
-        waits: list[int | None] = [get(piece[i : i + 2]) for i in range(n - 1)] + [None]
+        waits: list[int | None] = [get(piece[i : i + 2]) for i in range(n - 1)]
         for i, rank in enumerate(waits):
             if rank is not None:
-                queue.push(rank, i)
+                push(rank, i)
+        waits.append(None)
         while queue.top:
-            rank, i = queue.pop()
+            rank, i = pop()
             if waits[i] != rank:
                 continue
             j = after[i]
-            end = after[j]
-            after[i], before[end], waits[j] = end, i, None
-            for p in (before[i], i):
-                if p < 0:
-                    continue
-                q = after[p]
-                new = None
-                if q < n and after[q] - p <= longest:
-                    new = get(piece[p : after[q]])
-                waits[p] = new
+            end = after[i] = after[j]
+            before[end] = i
+            waits[i] = waits[j] = None
+            if end < n and after[end] - i <= longest:
+                new = waits[i] = get(piece[i : after[end]])
                 if new is not None:
-                    queue.push(new, p)
+                    push(new, i)
+            p = before[i]
+            if p >= 0:
+                new = waits[p] = get(piece[p:end]) if end - p <= longest else None
+                if new is not None:
+                    push(new, p)
         out, i = [], 0
         while i < n:
             out.append(self.ranks[piece[i : after[i]]])
@@ -122,13 +129,17 @@ class Codec:
         return tuple(out)
 
     def encode(self, text: str) -> list[int]:
-        cache, out = self.cache, []
+        cache, old, out = self.cache, self.old, []
         for piece in self.split.findall(text) if len(text) <= STREAM_CHARS else (m[0] for m in self.split.finditer(text)):
             ids = cache.get(piece)
             if ids is None:
                 if len(cache) >= self.kept:
-                    cache.clear()
-                ids = cache[piece] = self.merge(piece.encode())
+                    self.old, self.cache = cache, {}
+                    cache, old = self.cache, cache
+                ids = old.get(piece)
+                if ids is None:
+                    ids = self.merge(piece.encode())
+                cache[piece] = ids
             out += ids
         return out
 
