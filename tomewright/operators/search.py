@@ -12,14 +12,11 @@ STOP_WORDS = ["de", "du", "des", "la", "le", "les", "un", "une", "et", "the"]
 FUZZY = 0.15
 
 
-def tokens(text):
-    return F.filter(F.split(F.regexp_replace(fold_latin(text), r"[^a-z0-9]+", " "), " "), lambda w: (w != "") & ~w.isin(*STOP_WORDS))
-
-
 def token_index(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """token, key, n_tokens: a row for each distinct token of a row."""
-    t = rows.select(key, F.array_distinct(tokens(F.col(text))).alias("t"))
-    return t.select(key, F.size("t").alias("n_tokens"), F.explode("t").alias("token"))
+    """token, key, length (letters of the text): a row for each distinct token of a row."""
+    words = F.split(F.regexp_replace(fold_latin(F.col(text)), r"[^a-z0-9]+", " "), " ")
+    made = rows.select(key, F.char_length(text).alias("length"), F.explode(words).alias("token"))
+    return made.where((F.col("token") != "") & ~F.col("token").isin(*STOP_WORDS)).distinct()
 
 
 def ranked(index: DataFrame, key: str, query: list[str], limit: int = 50) -> DataFrame | None:
@@ -32,12 +29,12 @@ def ranked(index: DataFrame, key: str, query: list[str], limit: int = 50) -> Dat
         return None
     points = []
     for w in words:
-        near = F.levenshtein(F.col("token"), F.lit(w), max(0, round(FUZZY * len(w)))) >= 0
+        near = F.levenshtein(F.col("token"), F.lit(w)) <= round(FUZZY * len(w))
         points.append(F.when(F.col("token") == w, 3).when(F.startswith(F.col("token"), F.lit(w)), 2).when(near, 1).otherwise(0))
-    scored = index.select(key, "n_tokens", *[p.alias(f"p{i}") for i, p in enumerate(points)]).where(" OR ".join(f"p{i} > 0" for i in range(len(words))))
-    best = scored.groupBy(key).agg(F.first("n_tokens").alias("n_tokens"), *[F.max(f"p{i}").alias(f"p{i}") for i in range(len(words))])
+    scored = index.select(key, "length", *[p.alias(f"p{i}") for i, p in enumerate(points)]).where(" OR ".join(f"p{i} > 0" for i in range(len(words))))
+    best = scored.groupBy(key).agg(F.max("length").alias("length"), *[F.max(f"p{i}").alias(f"p{i}") for i in range(len(words))])
     best = best.where(" AND ".join(f"p{i} > 0" for i in range(len(words))))
-    score = F.round(sum(F.col(f"p{i}") for i in range(len(words))) / F.sqrt("n_tokens"), 6)
+    score = F.round(sum(F.col(f"p{i}") for i in range(len(words))) / F.sqrt("length"), 6)
     return best.select(key, score.alias("score")).orderBy(F.desc("score"), key).limit(limit)
 
 

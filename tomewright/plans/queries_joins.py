@@ -45,7 +45,7 @@ def _replica(spark, d, side):
 
 
 def favourites_merge(spark, d):
-    return reconcile.merge_two_sides(_replica(spark, d, 0), _replica(spark, d, 1), "id").select("id", "name", F.unix_seconds("modified").alias("modified"), F.unix_seconds("created").alias("created"))
+    return reconcile.merge_two_sides(_replica(spark, d, 0), _replica(spark, d, 1), "id").select("id", "name", F.unix_seconds(F.col("modified").cast("timestamp")).alias("modified"), F.unix_seconds(F.col("created").cast("timestamp")).alias("created"))
 
 
 def _digests(spark, d, every):
@@ -164,7 +164,7 @@ REACH_SQL = f"WITH RECURSIVE {EDGES_SQL}, reach AS (SELECT src, dst FROM e UNION
 
 def search_names(spark, d):
     made = search.token_index(load(spark, d, "part"), "p_partkey", "p_name")
-    hits = search.ranked(made, "p_partkey", ["part", "12"], 100)
+    hits = search.ranked(made, "p_partkey", ["blu", "bolts"], 100)
     aliases = spark.createDataFrame([("douze", 5), ("douze", 12), ("autre", 7)], "alias string, p_partkey long")
     return search.alias_then_ranked(hits, aliases, "p_partkey", "douze").select("p_partkey", F.when(F.col("score") < float("inf"), F.round("score", 4)).alias("score"))
 
@@ -244,7 +244,7 @@ n AS (SELECT unnest(['rich', 'supply', 'poor']) AS n) SELECT t.n AS left, n.n AS
     "text_hash": "SELECT doc_id, sha256(text) AS digest FROM documents",
     "families": """WITH p AS (SELECT p_partkey AS id, lower(p_type) AS t, lower(p_name || ' e ' || p_brand) AS s FROM part)
 SELECT id, CASE WHEN t LIKE 'promo%' THEN 'offer' WHEN t LIKE 'standard%' OR t LIKE 'economy%' THEN 'plain' ELSE 'other' END AS family, trim(regexp_replace(s, '[^a-z0-9]+', '-', 'g'), '-') AS slug,
-  array_to_string(list_sort(list_transform(list_filter(string_split(t, ' '), lambda w: w <> 'large'), lambda w: CASE WHEN length(w) > 4 AND w LIKE '%s' AND w NOT LIKE '%ss' THEN left(w, -1) ELSE w END)), '_') AS key FROM p""",
+  coalesce(nullif(array_to_string(list_sort(list_transform(list_filter(string_split(t, ' '), lambda w: w <> 'large'), lambda w: CASE WHEN length(w) > 4 AND w LIKE '%s' AND w NOT LIKE '%ss' THEN left(w, -1) ELSE w END)), '_'), ''), replace(t, ' ', '_')) AS key FROM p""",
     "text_parses": "SELECT c_custkey, (c_custkey % 10)::INT AS bard, c_nationkey % 10 AS pal, c_name || '|x (a, b)|' || c_mktsegment AS parts, ['true', 'false', 'null', 'null'][c_custkey % 4 + 1] AS says, c_nationkey + 0.5::DOUBLE AS metres FROM customer",
     "kleene_logic": f"""WITH {SPELLS_SQL}, k AS (SELECT id, level > 4 AS a, school = 'Brand#11' AS b, cost > 1200 AS c FROM spells)
 SELECT id, coalesce((a OR b OR c)::VARCHAR, 'null') AS any, coalesce((a AND b AND c)::VARCHAR, 'null') AS all, CASE WHEN (a AND b AND c) IS NULL THEN 'manual_check' WHEN a AND b AND c THEN 'eligible' ELSE 'ineligible' END AS verdict FROM k""",
@@ -267,6 +267,10 @@ SELECT dst AS node, src AS hub FROM reach JOIN r USING (src) QUALIFY row_number(
 SELECT node, max(w) AS wave FROM longest GROUP BY 1 HAVING max(w) <= 6""",
     "isolated_nodes": f"WITH {EDGES_SQL} SELECT p_partkey AS node FROM part WHERE p_partkey > 0 AND p_partkey < 450 AND p_partkey NOT IN (SELECT src FROM e) AND p_partkey NOT IN (SELECT dst FROM e)",
     "requirement_cost": f"{REACH_SQL} SELECT p_partkey AS node, count(src) + 1 AS cost FROM part LEFT JOIN reach ON dst = p_partkey WHERE p_partkey > 0 AND p_partkey < 450 GROUP BY 1",
+    "alias_then_fuzzy": """WITH t AS (SELECT DISTINCT p_partkey, length(p_name) AS len, unnest(string_split(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g'), ' ')) AS t FROM part),
+p AS (SELECT p_partkey, max(len) AS len, max(CASE WHEN t = 'blu' THEN 3 WHEN starts_with(t, 'blu') THEN 2 ELSE 0 END) AS a, max(CASE WHEN t = 'bolts' THEN 3 WHEN starts_with(t, 'bolts') THEN 2 WHEN levenshtein(t, 'bolts') <= 1 THEN 1 ELSE 0 END) AS b FROM t GROUP BY 1),
+h AS (SELECT p_partkey, round((a + b) / sqrt(len), 6) AS score FROM p WHERE a > 0 AND b > 0 ORDER BY score DESC, p_partkey LIMIT 100)
+SELECT p_partkey, round(score, 4) AS score FROM h WHERE p_partkey NOT IN (5, 12) UNION ALL SELECT unnest([5, 12]), NULL""",
     "html_parts": r"""SELECT page_id, coalesce(trim(regexp_replace(regexp_replace(regexp_extract_all(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)[1], '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), '') AS title,
   len(list_distinct(list_transform(regexp_extract_all(html, '(?i)<a\s[^>]*href=["'']([^"''#]+)', 1), lambda x: replace(x, '&amp;', '&'))))::BIGINT AS n_links,
   CASE WHEN strlen(html) < 2000 THEN 'short' WHEN NOT contains(html, '<article') THEN 'without <article' WHEN NOT contains(html, '<h1') THEN 'without <h1' ELSE 'ok' END AS gate FROM pages""",
