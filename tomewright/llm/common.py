@@ -2,37 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+from tomewright.sources.shared import discard, materialize
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset, a local session gets a temporary
-    folder and any other session one below its warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if spark.sparkContext.master.split("[")[0] == "local":
-            root = os.path.join(tempfile.gettempdir(), "tomewright-checkpoints")
-        else:
-            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    return f"{root.rstrip('/')}/tomewright-{uuid.uuid4().hex}"
+__all__ = ["discard", "materialize", "read", "shuffle_partitions", "text_bytes"]
 
 
-def materialize(df: DataFrame, name: str = "t") -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: cuts the lineage and outlives executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -42,8 +22,3 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column without decoding them."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
-
-
-def rows_of(schema_df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, each once, whatever else the table holds."""
-    return schema_df.select(*[F.col(f"`{c}`") for c in columns])

@@ -8,10 +8,11 @@ deeper than sparse ones; the documents within ``REACH`` places that share at lea
 What the ends of two partitions share is looked at on its own. A pair whose sizes allow the similarity and whose
 sketches don't rule it out (``SLACK``, over five standard deviations) is kept.
 
-Links are confirmed on the full sets. Since only components are asked for, pairs are confirmed in rounds: first each
-document's best pair, then each component's best pair to another component, and, once what lies between components
-isn't more than the documents that have candidates, all of it. A pair within one component isn't needed any more, all
-others are confirmed. Components come from alternating stars on DataFrames.
+Links are confirmed on the full sets. Since only components are asked for, the first ``FIRST`` trees are looked at
+first, and the others only for pairs between what these joined. Of each lot, pairs are confirmed in rounds: each
+component's best pair to another component, and, once what lies between components isn't more than the documents that
+have candidates, all of it. A pair within one component isn't needed any more, all others are confirmed. Components
+come from alternating stars on DataFrames.
 
 Sets are compared by 48 bits of a 64-bit hash of each shingle; sizes count 64-bit hashes.
 
@@ -36,6 +37,7 @@ from tomewright.llm.common import materialize, read, shuffle_partitions, text_by
 from tomewright.llm.components import components
 
 TREES, DEPTH = 16, 8
+FIRST = 4
 REACH = 4
 SKETCH = 64
 SLACK = 0.3
@@ -105,8 +107,9 @@ def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (same / SKETCH - 1 / 16) * (16 / 15)
 
 
-def pairs(tree: np.ndarray, key: np.ndarray, size: np.ndarray, marks: np.ndarray, doc: np.ndarray, least: float, across: int | None = None) -> list[np.ndarray]:
-    """Candidates (lower id, higher id, agreement) among rows in order; with ``across`` only those over that place."""
+def pairs(tree: np.ndarray, key: np.ndarray, size: np.ndarray, marks: np.ndarray, doc: np.ndarray, comp: np.ndarray, least: float, across: int | None = None) -> np.ndarray:
+    """Candidates (lower id, higher id, agreement, their components) among rows in order, of different components;
+    with ``across`` only those over that place."""
     n = len(doc)
     depth = np.zeros(n, np.int64)
     shared = []
@@ -116,79 +119,84 @@ def pairs(tree: np.ndarray, key: np.ndarray, size: np.ndarray, marks: np.ndarray
         if j == 1:
             depth[:-1] = lcp
             depth[1:] = np.maximum(depth[1:], lcp)
-    out = []
+    out = [np.zeros((5, 0), np.int64)]
     for j, lcp in enumerate(shared, 1):
-        ok = (lcp > 0) & (2 * lcp >= np.minimum(depth[:-j], depth[j:])) & (doc[:-j] != doc[j:])
+        ok = (lcp > 0) & (2 * lcp >= np.minimum(depth[:-j], depth[j:])) & (comp[:-j] != comp[j:])
         small, large = np.minimum(size[:-j], size[j:]), np.maximum(size[:-j], size[j:])
         i = np.flatnonzero(ok & (small >= least * large))
         if across is not None:
             i = i[(i < across) & (i + j >= across)]
         near = agreement(marks[i], marks[i + j])
         i, near = i[near >= least - SLACK], near[near >= least - SLACK]
-        out.append(np.stack([np.minimum(doc[i], doc[i + j]), np.maximum(doc[i], doc[i + j]), (near * 1000).astype(np.int64)]))
-    return out
+        first = np.where(doc[i] < doc[i + j], i, i + j)
+        last = 2 * i + j - first
+        out.append(np.stack([doc[first], doc[last], (near * 1000).astype(np.int64), comp[first], comp[last]]))
+    return np.concatenate(out, axis=1)
 
 
 def _matrix(column: list[bytes], kind: type, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), kind).reshape(len(column), width)
 
 
-_KINDS = "kind int, place int, a long, b long, near long, tree int, key binary, size long, marks binary"
+_PAIR = "a long, b long, near long, ca long, cb long"
+_ROW = "tree int, key binary, size long, marks binary, id long, comp long"
+_NAMES = ["kind", "place", *[x.split()[0] for x in _PAIR.split(", ")], *[x.split()[0] for x in _ROW.split(", ")]]
+
 
+def _pairs_of(rows: dict[str, list], least: float, across: int | None = None) -> np.ndarray:
+    return pairs(np.array(rows["tree"]), _matrix(rows["key"], np.uint16, DEPTH), np.array(rows["size"]), _matrix(rows["marks"], np.uint8, SKETCH // 2), np.array(rows["id"]), np.array(rows["comp"]), least, across)
 
-def candidates(signed: DataFrame, least: float) -> DataFrame:
-    """a < b, near (agreement in thousandths) from (id, size, values)."""
+
+def candidates(signed: DataFrame, least: float, trees: range) -> DataFrame:
+    """a < b, near (agreement in thousandths), ca, cb from (id, size, values, comp): candidates of these trees that
+    stand in different components so far."""
     spark = signed.sparkSession
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, values = (c.to_pylist() for c in batch.columns)
+            ids, sizes, values, comps = (c.to_pylist() for c in batch.columns)
             if not ids:
                 continue
             v = _matrix(values, np.uint32, TREES * DEPTH)
             marks = [sketch(x) for x in v]
-            keys = v.astype(np.uint16).byteswap().reshape(len(ids) * TREES, DEPTH)
-            raw = keys.tobytes()
-            width = 2 * DEPTH
+            raw = v.astype(np.uint16).byteswap().reshape(len(ids), TREES, DEPTH)[:, trees.start : trees.stop].tobytes()
+            width, n = 2 * DEPTH, len(trees)
+            long = lambda x: pa.array(np.repeat(np.array(x, np.int64), n))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.tile(np.arange(TREES, dtype=np.int32), len(ids))),
-                    pa.array([raw[i : i + width] for i in range(0, len(raw), width)], pa.binary()),
-                    pa.array(np.repeat(np.array(sizes, np.int64), TREES)),
-                    pa.array([m for m in marks for _ in range(TREES)], pa.binary()),
-                    pa.array(np.repeat(np.array(ids, np.int64), TREES)),
-                ],
-                ["tree", "key", "size", "marks", "id"],
+                [pa.array(np.tile(np.arange(trees.start, trees.stop, dtype=np.int32), len(ids))), pa.array([raw[i : i + width] for i in range(0, len(raw), width)], pa.binary()), long(sizes), pa.array([m for m in marks for _ in trees], pa.binary()), long(ids), long(comps)],
+                ["tree", "key", "size", "marks", "id", "comp"],
             )
 
     order = ["tree", "key", "size", "id"]
-    rows = signed.mapInArrow(spread, "tree int, key binary, size long, marks binary, id long")
+    rows = signed.select("id", "size", "values", "comp").mapInArrow(spread, _ROW)
     rows = rows.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId()
-        kept: list[list] = [[], [], [], [], []]
+        kept: dict[str, list] = {c: [] for c in ("tree", "key", "size", "marks", "id", "comp")}
         for batch in batches:
-            for own, c in zip(kept, ("tree", "key", "size", "marks", "id"), strict=True):
+            for c, own in kept.items():
                 own += batch.column(c).to_pylist()
-        tree, key, size, marks, doc = kept
-        if not doc:
+        n = len(kept["id"])
+        if not n:
             return
-        found = np.concatenate([np.zeros((3, 0), np.int64), *pairs(np.array(tree), _matrix(key, np.uint16, DEPTH), np.array(size), _matrix(marks, np.uint8, SKETCH // 2), np.array(doc), least)], axis=1)
-        n, none = found.shape[1], [None] * found.shape[1]
-        yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), pa.array([place] * n, pa.int32()), *(pa.array(x) for x in found), pa.array(none, pa.int32()), pa.array(none, pa.binary()), pa.array(none, pa.int64()), pa.array(none, pa.binary())], [x.split()[0] for x in _KINDS.split(", ")])
-        ends = [(1, place, i) for i in range(min(REACH, len(doc)))] + [(2, place + 1, i) for i in range(max(0, len(doc) - REACH), len(doc))]
-        yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends], pa.int32()), pa.array([e[1] for e in ends], pa.int32()), pa.array([doc[e[2]] for e in ends]), pa.array([None] * len(ends), pa.int64()), pa.array([None] * len(ends), pa.int64()), pa.array([tree[e[2]] for e in ends], pa.int32()), pa.array([key[e[2]] for e in ends], pa.binary()), pa.array([size[e[2]] for e in ends]), pa.array([marks[e[2]] for e in ends], pa.binary())], [x.split()[0] for x in _KINDS.split(", ")])
+        found = _pairs_of(kept, least)
+        kinds = (pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        m = found.shape[1]
+        yield pa.RecordBatch.from_arrays([pa.array([0] * m, pa.int32()), pa.array([place] * m, pa.int32()), *(pa.array(x) for x in found), *(pa.nulls(m, k) for k in kinds)], _NAMES)
+        ends = [(1, place, i) for i in range(min(REACH, n))] + [(2, place + 1, i) for i in range(max(0, n - REACH), n)]
+        yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends], pa.int32()), pa.array([e[1] for e in ends], pa.int32()), *(pa.nulls(len(ends), pa.int64()) for _ in range(5)), *(pa.array([kept[c][e[2]] for e in ends], k) for c, k in zip(kept, kinds, strict=True))], _NAMES)
 
-    found = materialize(rows.mapInArrow(look, _KINDS), "found")
+    found = materialize(rows.mapInArrow(look, f"kind int, place int, {_PAIR}, {_ROW}"), "found")
 
     def join_ends(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = pd.concat([rows[rows.kind == 2].sort_values(["tree", "key", "size", "a"]), rows[rows.kind == 1].sort_values(["tree", "key", "size", "a"])])
-        got = pairs(rows.tree.to_numpy(int), _matrix(list(rows.key), np.uint16, DEPTH), rows["size"].to_numpy(int), _matrix(list(rows.marks), np.uint8, SKETCH // 2), rows.a.to_numpy(int), least, across=int((rows.kind == 2).sum()))
-        return pd.DataFrame(np.concatenate([np.zeros((3, 0), np.int64), *got], axis=1).T, columns=["a", "b", "near"])
+        rows = pd.concat([rows[rows.kind == k].sort_values(["tree", "key", "size", "id"]) for k in (2, 1)])
+        kept = {c: list(rows[c]) for c in ("tree", "key", "size", "marks", "id", "comp")}
+        return pd.DataFrame(_pairs_of(kept, least, int((rows.kind == 2).sum())).T, columns=["a", "b", "near", "ca", "cb"])
 
-    ends = found.where("kind != 0").groupBy("place").applyInPandas(join_ends, "a long, b long, near long")
-    return materialize(found.where("kind = 0").select("a", "b", "near").unionByName(ends).groupBy("a", "b").agg(F.max("near").alias("near")), "pairs")
+    ends = found.where("kind != 0").groupBy("place").applyInPandas(join_ends, _PAIR)
+    each = found.where("kind = 0").select("a", "b", "near", "ca", "cb").unionByName(ends).groupBy("a", "b")
+    return materialize(each.agg(F.max("near").alias("near"), F.min("ca").alias("ca"), F.min("cb").alias("cb")), "pairs")
 
 
 def _pack(shingles: np.ndarray) -> bytes:
@@ -203,7 +211,7 @@ def _unpack(packed: bytes) -> np.ndarray:
 
 
 def confirm(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+    """The components (ca, cb) of the pairs whose sets are similar enough."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
 
@@ -213,9 +221,9 @@ def confirm(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 common = len(np.intersect1d(_unpack(x), _unpack(y)))
                 ok.append(100 * common >= percent * ((len(x) + len(y)) // 6 - common))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            yield batch.select(["ca", "cb"]).filter(pa.array(ok, pa.bool_()))
 
-    return links.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return links.join(left, "a").join(right, "b").select("ca", "cb", "x", "y").mapInArrow(run, "ca long, cb long")
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -237,47 +245,48 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, doc_i
 
     signed = materialize(rows.mapInArrow(sign, "id long, size long, high long, low long, values binary"), "signed")
     alike = materialize(signed.where("values IS NOT NULL").groupBy("high", "low").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("values").alias("values")), "alike")
-    found = candidates(alike.select("id", "size", "values"), percent / 100)
-
-    nodes = materialize(found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).distinct(), "nodes")
+    alike = alike.withColumn("comp", F.col("id"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_pack(shingler(b)) for b in text_bytes(batch.column(1))], pa.binary())], ["id", "shingles"])
 
-    sets = materialize(rows.join(nodes, "id").select("id", "text").mapInArrow(pack, "id long, shingles binary"), "sets")
-    labels = linked(found, sets, percent, nodes.count())
-    settled = materialize(alike.join(labels, alike["id"] == labels["node"], "left").select("high", "low", F.coalesce("component", "id").alias("component")), "settled")
-    return signed.join(settled, ["high", "low"], "left").select("id", F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
-
-
-def linked(found: DataFrame, sets: DataFrame, percent: int, nodes: int) -> DataFrame:
-    """node, component over the confirmed ones of the candidate pairs."""
-    left = found.withColumns({"ca": F.col("a"), "cb": F.col("b")})
-    links, labels = None, None
-    for _ in range(ROUNDS):
+    for trees in (range(FIRST), range(FIRST, TREES)):
+        found = candidates(alike, percent / 100, trees)
+        nodes = materialize(found.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "nodes")
+        sets = materialize(rows.join(nodes, "id").select("id", "text").mapInArrow(pack, "id long, shingles binary"), "sets")
+        for joined in linked(found, sets, percent, nodes.count()):
+            alike = alike.join(joined, alike["comp"] == joined["node"], "left").withColumn("comp", F.coalesce("component", "comp")).drop("node", "component")
+        alike = materialize(alike, "alike")
+    settled = alike.select("high", "low", "comp")
+    return signed.select("id", "size", "high", "low").join(settled, ["high", "low"], "left").select("id", F.col("size").alias("n_shingles"), F.coalesce("comp", "id").alias("component"))
+
+
+def linked(found: DataFrame, sets: DataFrame, percent: int, nodes: int) -> list[DataFrame]:
+    """What the confirmed ones of the candidate pairs join, round by round: (node, component) over the components
+    before the round."""
+    left, out = found, []
+    for last in [*[False] * ROUNDS, True]:
         n = left.count()
-        if n <= nodes:
+        if not n:
             break
-        best = F.max_by(F.struct("a", "b"), F.struct("near", F.xxhash64("a", "b"))).alias("p")
-        ends = left.select(F.col("ca").alias("c"), "a", "b", "near").unionByName(left.select(F.col("cb").alias("c"), "a", "b", "near"))
-        picked = materialize(ends.groupBy("c").agg(best).select("p.a", "p.b").distinct(), "picked")
-        links, labels, left = _settle(picked, found, left, links, sets, percent)
-    if left.take(1):
-        links, labels, _ = _settle(materialize(left.select("a", "b"), "picked"), found, left, links, sets, percent)
-    if labels is None:
-        labels = found.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
-    return labels
-
-
-def _settle(picked: DataFrame, found: DataFrame, left: DataFrame, links: DataFrame | None, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    sure = confirm(picked, sets, percent)
-    links = materialize(sure if links is None else links.unionByName(sure), "links")
-    labels = materialize(components(links), "labels")
-    open_ = left.select("a", "b", "near").join(picked, ["a", "b"], "left_anti")
-    of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
-    open_ = open_.join(of("a"), "a", "left").join(of("b"), "b", "left").withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")})
-    return links, labels, materialize(open_.where("ca != cb"), "open")
+        if last or n <= nodes:
+            picked = left.select("a", "b", "ca", "cb")
+            last = True
+        else:
+            best = F.max_by(F.struct("a", "b", "ca", "cb"), F.struct("near", F.xxhash64("a", "b"))).alias("p")
+            ends = left.select(F.col("ca").alias("c"), "*").unionByName(left.select(F.col("cb").alias("c"), "*"))
+            picked = materialize(ends.groupBy("c").agg(best).select("p.*").distinct(), "picked")
+        sure = confirm(picked, sets, percent)
+        joined = components(sure, "ca", "cb")
+        out.append(joined)
+        if last:
+            break
+        of = lambda c, joined=joined: joined.select(F.col("node").alias(c), F.col("component").alias(f"new_{c}"))
+        left = left.join(picked.select("a", "b"), ["a", "b"], "left_anti").join(of("ca"), "ca", "left").join(of("cb"), "cb", "left")
+        left = left.select("a", "b", "near", F.coalesce("new_ca", "ca").alias("ca"), F.coalesce("new_cb", "cb").alias("cb"))
+        left = materialize(left.where("ca != cb"), "open")
+    return out
 
 
 def op1_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
