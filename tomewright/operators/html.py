@@ -132,7 +132,7 @@ class _Pairs(HTMLParser):
 def labelled_values(html: pd.Series) -> pd.Series:
     """Label to value; of a repeated label the first counts."""
 
-    def one(x: str | None) -> list[tuple[str, str]] | None:
+    def one(x: str | None) -> dict[str, str] | None:
         if x is None:
             return None
         parser = _Pairs()
@@ -140,7 +140,7 @@ def labelled_values(html: pd.Series) -> pd.Series:
         out: dict[str, str] = {}
         for label, value in parser.found:
             out.setdefault(label.strip().rstrip(":").strip(), " ".join("".join(value).split()).lstrip(": "))
-        return list(out.items())
+        return out
 
     return html.map(one)
 
