@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tomewright.llm.common import materialize, read, text_bytes
+from tomewright.llm.common import discard, materialize, read, text_bytes
 
 LONG_WORDS = 30
 RUN_WORDS = 25
@@ -111,9 +111,12 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
     k, w = keyed.alias("k"), wanted.alias("w")
     bodies = k.join(w, F.expr("k.id <=> w.id AND k.mark = w.mark")).select("k.id", "k.mark", "k.text", "w.wanted").mapInArrow(run, "id long, mark long, place int, h long, first boolean, piece binary")
     bodies = materialize(bodies, "bodies")
-    firsts = bodies.where("first").select("h", F.col("piece").alias("kept")).dropDuplicates(["h"])
-    same = bodies.where("NOT first").join(materialize(firsts, "firsts"), "h").where("piece = kept")
-    return materialize(same.groupBy("id", "mark").agg(F.array_sort(F.collect_set("place")).alias("places")), "copies")
+    discard(found, repeated, wanted)
+    firsts = materialize(bodies.where("first").select("h", F.col("piece").alias("kept")).dropDuplicates(["h"]), "firsts")
+    same = bodies.where("NOT first").join(firsts, "h").where("piece = kept")
+    out = materialize(same.groupBy("id", "mark").agg(F.array_sort(F.collect_set("place")).alias("places")), "copies")
+    discard(bodies, firsts)
+    return out
 
 
 def removed(body: bytes, places: list[int]) -> list[tuple[int, int, int]]:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import materialize, read, shuffle_partitions, text_bytes
+from tomewright.llm.common import discard, materialize, read, shuffle_partitions, text_bytes
 from tomewright.llm.components import components
 
 TREES, DEPTH = 16, 8
@@ -196,7 +196,9 @@ def candidates(signed: DataFrame, least: float, trees: range) -> DataFrame:
 
     ends = found.where("kind != 0").groupBy("place").applyInPandas(join_ends, _PAIR)
     each = found.where("kind = 0").select("a", "b", "near", "ca", "cb").unionByName(ends).groupBy("a", "b")
-    return materialize(each.agg(F.max("near").alias("near"), F.min("ca").alias("ca"), F.min("cb").alias("cb")), "pairs")
+    out = materialize(each.agg(F.max("near").alias("near"), F.min("ca").alias("ca"), F.min("cb").alias("cb")), "pairs")
+    discard(found)
+    return out
 
 
 def _pack(shingles: np.ndarray) -> bytes:
@@ -245,7 +247,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, doc_i
 
     signed = materialize(rows.mapInArrow(sign, "id long, size long, high long, low long, values binary"), "signed")
     alike = materialize(signed.where("values IS NOT NULL").groupBy("high", "low").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("values").alias("values")), "alike")
-    alike = alike.withColumn("comp", F.col("id"))
+    written, alike = alike, alike.withColumn("comp", F.col("id"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,11 +257,16 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, doc_i
         found = candidates(alike, percent / 100, trees)
         nodes = materialize(found.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "nodes")
         sets = materialize(rows.join(nodes, "id").select("id", "text").mapInArrow(pack, "id long, shingles binary"), "sets")
-        for joined in linked(found, sets, percent, nodes.count()):
+        rounds, before = linked(found, sets, percent, nodes.count()), written
+        for joined in rounds:
             alike = alike.join(joined, alike["comp"] == joined["node"], "left").withColumn("comp", F.coalesce("component", "comp")).drop("node", "component")
-        alike = materialize(alike, "alike")
+        written = alike = materialize(alike, "alike")
+        discard(before, found, nodes, sets, *rounds)
     settled = alike.select("high", "low", "comp")
-    return signed.select("id", "size", "high", "low").join(settled, ["high", "low"], "left").select("id", F.col("size").alias("n_shingles"), F.coalesce("comp", "id").alias("component"))
+    out = signed.select("id", "size", "high", "low").join(settled, ["high", "low"], "left").select("id", F.col("size").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("comp", "id")).alias("component"))
+    out = materialize(out, "components")
+    discard(signed, written)
+    return out
 
 
 def linked(found: DataFrame, sets: DataFrame, percent: int, nodes: int) -> list[DataFrame]:
@@ -267,7 +274,7 @@ def linked(found: DataFrame, sets: DataFrame, percent: int, nodes: int) -> list[
     before the round."""
     left, out = found, []
     for last in [*[False] * ROUNDS, True]:
-        n = left.count()
+        n, before = left.count(), left
         if not n:
             break
         if last or n <= nodes:
@@ -286,6 +293,7 @@ def linked(found: DataFrame, sets: DataFrame, percent: int, nodes: int) -> list[
         left = left.join(picked.select("a", "b"), ["a", "b"], "left_anti").join(of("ca"), "ca", "left").join(of("cb"), "cb", "left")
         left = left.select("a", "b", "near", F.coalesce("new_ca", "ca").alias("ca"), F.coalesce("new_cb", "cb").alias("cb"))
         left = materialize(left.where("ca != cb"), "open")
+        discard(picked, *([before] if before is not found else []))
     return out
 
 

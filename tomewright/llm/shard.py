@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import materialize, read, shuffle_partitions
+from tomewright.llm.common import discard, materialize, read, shuffle_partitions
 
 SHARDS = 8
 WHOLE_PART = 32
@@ -33,7 +33,8 @@ def shard_by_bytes(rows: DataFrame, key: str, size: str, order: str, *, shards:
     parts = shuffle_partitions(spark)
     narrow = rows.withColumns({"__tw_key": F.col(key), "__tw_size": F.col(size).cast("long"), "__tw_order": F.col(order)})
     sort = [*_KEY, "__tw_order"]
-    dealt = materialize(materialize(narrow, "sizes").repartitionByRange(parts, *sort).withColumn("__tw_part", F.spark_partition_id()), "dealt")
+    sizes = materialize(narrow, "sizes")
+    dealt = materialize(sizes.repartitionByRange(parts, *sort).withColumn("__tw_part", F.spark_partition_id()), "dealt")
     totals = dealt.groupBy("__tw_part").agg(F.sum("__tw_size").alias("b"), F.count("*").alias("n"))
     before = Window.orderBy("__tw_part").rowsBetween(Window.unboundedPreceding, -1)  # over one row for each partition
     offsets = totals.select(
@@ -50,6 +51,7 @@ def shard_by_bytes(rows: DataFrame, key: str, size: str, order: str, *, shards:
         .withColumn("__tw_shard", F.least(F.expr(f"(__tw_start * {shards}L) div __tw_total"), F.lit(shards - 1).cast("long")))
     )
     placed = materialize(placed, "placed")
+    discard(sizes, dealt)
     edges = placed.groupBy("__tw_shard").agg(*[F.min_by(c, "__tw_at").alias(f"first{c}") for c in _KEY], *[F.max_by(c, "__tw_at").alias(f"last{c}") for c in _KEY])
     following = Window.orderBy("__tw_shard")  # over one row for each shard
     split = (

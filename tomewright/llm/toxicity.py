@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import materialize, read, text_bytes
+from tomewright.llm.common import discard, materialize, read, text_bytes
 from tomewright.llm.decontaminate import words
 
 PREFIXES = (4, 5, 6)
@@ -227,6 +227,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
             )
 
     figures = materialize(docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, best double, total double, passages array<struct<start: long, end: long, score: double>>"), "figures")
+    discard(counts)
     if not rows.get(0) or not rows.get(1):
         share = float(rows.get(1, 0) > 0)
         made = F.lit(share)
