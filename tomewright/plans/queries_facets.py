@@ -8,7 +8,6 @@ from tomewright.operators import facets, index, ordering
 from tomewright.plans.spec import QuerySpec
 from tomewright.sources.tables import ENTRIES_SQL, SPELLS_SQL, entries, spells
 
-TAGS = F.col("tags")
 INCLUDE, EXCLUDE, REQUIRE = ["STEEL", "BRASS"], ["SMALL"], ["LARGE"]
 SCHOOLS, LEVELS = ["Brand#11", "Brand#12", "Brand#23"], [1, 2, 3]
 _MAP_SQL = f"WITH {ENTRIES_SQL}, cl AS (SELECT id, class_id, min(level) AS level FROM entries GROUP BY id, class_id)"
@@ -22,7 +21,7 @@ def sideways(spark, d):
     rows = spells(spark, d)
     return facets.counts_sideways(rows, {
         "school": (facets.scalar_in(F.col("school"), SCHOOLS), F.array("school")),
-        "tags": (facets.tri_mode(TAGS, include=INCLUDE), TAGS),
+        "tags": (facets.tri_mode(F.col("tags"), include=INCLUDE), F.col("tags")),
         "level": (F.col("level").isin(*LEVELS), F.array(F.col("level").cast("string"))),
     })
 
@@ -38,8 +37,8 @@ def composite(spark, d):
 
 
 QUERIES = {
-    "facet_tri_mode": lambda s, d: spells(s, d).where(facets.tri_mode(TAGS, INCLUDE, EXCLUDE, REQUIRE)).select("id"),
-    "facet_include": lambda s, d: spells(s, d).where(facets.tri_mode(TAGS, include=INCLUDE)).select("id"),
+    "facet_tri_mode": lambda s, d: spells(s, d).where(facets.tri_mode(F.col("tags"), INCLUDE, EXCLUDE, REQUIRE)).select("id"),
+    "facet_include": lambda s, d: spells(s, d).where(facets.tri_mode(F.col("tags"), include=INCLUDE)).select("id"),
     "facet_scalar_in": lambda s, d: spells(s, d).where(facets.scalar_in(F.col("school"), SCHOOLS)).select("id", "school"),
     "facet_contains_all": lambda s, d: spells(s, d).where(facets.contains_all(F.col("components"), ["LARGE", "STEEL"])).select("id"),
     "level_filter_class": lambda s, d: levels(s, d).where(facets.level_of_class(F.col("levels"), 3, LEVELS)).select("id"),
