@@ -37,7 +37,7 @@ from tomewright.llm.common import discard, materialize, read, shuffle_partitions
 from tomewright.llm.components import components
 
 TREES, DEPTH = 16, 8
-FIRST = 4
+FIRST = 2
 REACH = 4
 SKETCH = 64
 SLACK = 0.3
