@@ -11,8 +11,8 @@ sketches don't rule it out (``SLACK``, over five standard deviations) is kept.
 Links are confirmed on the full sets. Since only components are asked for, the first ``FIRST`` trees are looked at
 first, and the others only for pairs between what these joined. Of each lot, pairs are confirmed in rounds: each
 component's best pair to another component, and, once what lies between components isn't more than the documents that
-have candidates, all of it. A pair within one component isn't needed any more, all others are confirmed. Components
-come from alternating stars on DataFrames.
+have candidates, or a round leaves over half of it, all of it. A pair within one component isn't needed any more, all
+others are confirmed. Components come from alternating stars on DataFrames.
 
 Sets are compared by 48 bits of a 64-bit hash of each shingle; sizes count 64-bit hashes.
 
@@ -272,12 +272,13 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, doc_i
 def linked(found: DataFrame, sets: DataFrame, percent: int, nodes: int) -> list[DataFrame]:
     """What the confirmed ones of the candidate pairs join, round by round: (node, component) over the components
     before the round."""
-    left, out = found, []
+    left, out, were = found, [], None
     for last in [*[False] * ROUNDS, True]:
         n, before = left.count(), left
         if not n:
             break
-        if last or n <= nodes:
+        stuck, were = were is not None and 2 * n > were, n
+        if last or stuck or n <= nodes:
             picked = left.select("a", "b", "ca", "cb")
             last = True
         else:
