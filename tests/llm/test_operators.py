@@ -86,6 +86,40 @@ def test_near_duplicates_group_of_copies(spark, vocabulary):
     assert {r["component"] for r in got.collect()} == {0}
 
 
+@pytest.mark.parametrize("part", [1024, 100])
+def test_near_duplicates_hub(spark, vocabulary, monkeypatch, part):
+    """Variants that only their original links are all found, also where a crowd is dealt into parts."""
+    monkeypatch.setattr(neardup, "PART_ROWS", part)
+    rng = random.Random(14)
+    base = rng.sample(vocabulary, 150)
+    texts = []
+    for i in range(600):
+        own = list(base)
+        for k in rng.sample(range(1, 149, 2), 7):
+            own[k] = f"x{i}k{k}"
+        texts.append(" ".join(own))
+    texts.insert(300, " ".join(base))
+    got = neardup.near_duplicates(docs_of(spark, texts), width=2)
+    assert {r["component"] for r in got.collect()} == {0}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.sets(st.integers(0, 9), min_size=1), st.integers(0, 5), st.integers(0, 1)), min_size=2, max_size=12), st.booleans())
+def test_links_between(rows, sided):
+    """The links join what all similar pairs join."""
+    sets, comp, side = ([r[k] for r in rows] for k in range(3))
+
+    def joined(links):
+        of = {c: c for c in comp}
+        for a, b in links:
+            of = {c: of[a] if x == of[b] else x for c, x in of.items()}
+        return {frozenset(c for c in of if of[c] == x) for x in of.values()}
+
+    want = [(comp[i], comp[j]) for i, j in itertools.combinations(range(len(rows)), 2) if 100 * len(sets[i] & sets[j]) >= 60 * len(sets[i] | sets[j]) and not (sided and side[i] == side[j])]
+    got = neardup.links_between([np.array(sorted(s), np.uint64) for s in sets], comp, np.array(side) if sided else None, 60)
+    assert joined(got) == joined(want)
+
+
 def test_drop_near_duplicates(spark):
     rows = [(1, "a b c d e f g", 7), (2, "a b c d e f g", 8), (None, "a b c d e f g", 9), (3, None, 1), (1, "a b c d e f g", 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string, component int")

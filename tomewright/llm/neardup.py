@@ -8,6 +8,11 @@ deeper than sparse ones; the documents within ``REACH`` places that share at lea
 What the ends of two partitions share is looked at on its own. A pair whose sizes allow the similarity and whose
 sketches don't rule it out (``SLACK``, over five standard deviations) is kept.
 
+``REACH`` doesn't bound what is found: where more documents share ``CROWD`` values in an order than it covers, and they
+aren't one component by then, all their pairs between components are compared on the full sets. Such a crowd is dealt
+into parts, and each two parts meet in a task of their own. So every pair that shares ``CROWD`` values in one of the
+orders is linked if it is similar enough, however many others do.
+
 Links are confirmed on the full sets. Since only components are asked for, the first ``FIRST`` trees are looked at
 first, and the others only for pairs between what these joined. Of each lot, pairs are confirmed in rounds: each
 component's best pair to another component, and, once what lies between components isn't more than the documents that
@@ -39,6 +44,9 @@ from tomewright.llm.components import components
 TREES, DEPTH = 16, 8
 FIRST = 2
 REACH = 4
+CROWD = 3
+#: Rows and shingles of one part of a crowd.
+PART_ROWS, PART_SHINGLES = 1024, 2_000_000
 SKETCH = 64
 SLACK = 0.3
 PIECE = 2048
@@ -121,7 +129,7 @@ def pairs(tree: np.ndarray, key: np.ndarray, size: np.ndarray, marks: np.ndarray
             depth[1:] = np.maximum(depth[1:], lcp)
     out = [np.zeros((5, 0), np.int64)]
     for j, lcp in enumerate(shared, 1):
-        ok = (lcp > 0) & (2 * lcp >= np.minimum(depth[:-j], depth[j:])) & (comp[:-j] != comp[j:])
+        ok = (lcp > 0) & ((2 * lcp >= np.minimum(depth[:-j], depth[j:])) | (lcp >= CROWD)) & (comp[:-j] != comp[j:])
         small, large = np.minimum(size[:-j], size[j:]), np.maximum(size[:-j], size[j:])
         i = np.flatnonzero(ok & (small >= least * large))
         if across is not None:
@@ -228,6 +236,76 @@ def confirm(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return links.join(left, "a").join(right, "b").select("ca", "cb", "x", "y").mapInArrow(run, "ca long, cb long")
 
 
+def links_between(sets: list[np.ndarray], comp: list[int], side: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+    """Links that join the components as all similar pairs of sets would; with ``side`` only pairs of different sides.
+    Sets with the most common shingles come first, so that a hub joins its copies before these meet each other."""
+    _, places, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    size = np.array([len(s) for s in sets])
+    ends = np.cumsum(size)
+    order = np.argsort(-np.add.reduceat(counts[places], ends - size) / size, kind="stable")
+    own = [places[ends[i] - size[i] : ends[i]] for i in order]
+    size, label = size[order], np.unique(np.array(comp)[order], return_inverse=True)[1]
+    side = side[order] if side is not None else None
+    flags, out = np.zeros(len(counts), bool), []
+    for i in range(len(own) - 1):
+        small, large = np.minimum(size[i], size[i + 1 :]), np.maximum(size[i], size[i + 1 :])
+        ok = (label[i + 1 :] != label[i]) & (100 * small >= percent * large)
+        if side is not None:
+            ok &= side[i + 1 :] != side[i]
+        js = np.flatnonzero(ok) + i + 1
+        if not len(js):
+            continue
+        flags[own[i]] = True
+        common = np.add.reduceat(flags[np.concatenate([own[j] for j in js])].astype(np.int64), np.cumsum(size[js]) - size[js])
+        flags[own[i]] = False
+        for j in js[100 * common >= percent * (size[i] + size[js] - common)]:
+            if label[j] != label[i]:
+                out.append((comp[order[i]], comp[order[j]]))
+                label[label == label[j]] = label[i]
+    return out
+
+
+def crowd_links(signed: DataFrame, rows: DataFrame, shingler: Shingler, percent: int) -> DataFrame | None:
+    """ca, cb: confirmed links between the components in crowds; None without a crowd of several components. signed
+    has (id, size, values, comp), rows (id, text)."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v = _matrix(batch.column(2).to_pylist(), np.uint32, TREES * DEPTH).reshape(-1, TREES, DEPTH)
+            g = np.tile(np.arange(TREES, dtype=np.int64), (len(v), 1))
+            for j in range(CROWD):
+                g = g << 16 | (v[:, :, j] & 0xFFFF)
+            each = lambda c: pa.array(np.repeat(c.to_numpy(), TREES))
+            yield pa.RecordBatch.from_arrays([pa.array(g.ravel()), *(each(batch.column(k)) for k in (0, 1, 3))], ["g", "id", "size", "comp"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_pack(shingler(b)) for b in text_bytes(batch.column(1))], pa.binary())], ["id", "shingles"])
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        side = rows["part"].to_numpy()
+        found = links_between([_unpack(x) for x in rows["shingles"]], rows["comp"].tolist(), side if side.min() != side.max() else None, percent)
+        return pd.DataFrame(found, columns=["ca", "cb"], dtype="int64")
+
+    prefixes = signed.select("id", "size", "values", "comp").mapInArrow(spread, "g long, id long, size long, comp long")
+    parts = F.greatest(F.ceil(F.count("*") / PART_ROWS), F.ceil(F.sum("size") / PART_SHINGLES)).cast("int").alias("parts")
+    crowds = prefixes.groupBy("g").agg(F.count("*").alias("n"), parts, F.min("comp").alias("low"), F.max("comp").alias("high"))
+    crowds = materialize(crowds.where((F.col("n") > REACH + 1) & (F.col("low") != F.col("high"))).select("g", "parts"), "crowds")
+    members = materialize(prefixes.join(crowds, "g").select("g", "parts", "id", "comp").distinct(), "members")
+    discard(crowds)
+    if members.isEmpty():
+        discard(members)
+        return None
+    sets = materialize(rows.join(members.select("id").distinct(), "id").select("id", "text").mapInArrow(pack, "id long, shingles binary").where("octet_length(shingles) > 0"), "sets")
+    dealt = members.withColumn("part", F.expr("CAST(pmod(xxhash64(id, g), parts) AS int)")).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    dealt = dealt.join(sets, "id").select("g", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "comp", "shingles")
+    out = materialize(dealt.groupBy("g", "p", "q").applyInPandas(meet, "ca long, cb long").distinct(), "crowd_links")
+    discard(members, sets)
+    return out
+
+
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_shingles, component: a row for each row of docs (component null for a null id)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
@@ -262,6 +340,12 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, doc_i
             alike = alike.join(joined, alike["comp"] == joined["node"], "left").withColumn("comp", F.coalesce("component", "comp")).drop("node", "component")
         written = alike = materialize(alike, "alike")
         discard(before, found, nodes, sets, *rounds)
+    links = crowd_links(alike, rows, shingler, percent)
+    if links is not None:
+        joined = components(links, "ca", "cb")
+        before, alike = written, alike.join(joined, alike["comp"] == joined["node"], "left").withColumn("comp", F.coalesce("component", "comp")).drop("node", "component")
+        written = alike = materialize(alike, "alike")
+        discard(before, links, joined)
     settled = alike.select("high", "low", "comp")
     out = signed.select("id", "size", "high", "low").join(settled, ["high", "low"], "left").select("id", F.col("size").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("comp", "id")).alias("component"))
     out = materialize(out, "components")
