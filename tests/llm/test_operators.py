@@ -408,6 +408,22 @@ def test_line_dedup(spark, vocabulary):
     assert linededup.line_dedup(df.limit(0)).count() == 0
 
 
+def test_line_dedup_passages_of_short_lines(spark, vocabulary):
+    """Passages of 51 words and more in 2 to 8 short lines go from each copy whatever stands around them."""
+    rng = random.Random(15)
+    texts, kept, n = [], [], itertools.count()
+    own = lambda: "\n".join(f"own{next(n)} {prose(rng, vocabulary, rng.randint(2, 20))}" for _ in range(rng.randint(1, 3)))
+    for lines in range(2, 9):
+        passage = [f"p{lines}l{k} " + prose(rng, vocabulary, -(-51 // lines)) for k in range(lines)]
+        for copy in range(12):
+            between = "\n\n" if copy % 3 == 2 else "\n"
+            above, below = own(), own()
+            texts.append("\n".join([above, between.join(passage), below]))
+            kept.append("\n".join([above, below]) if copy else texts[-1])
+    got = {r["doc_id"]: r["text"] for r in linededup.line_dedup(docs_of(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == kept
+
+
 def test_chunks_cover_the_text(vocabulary):
     rng = random.Random(12)
     for _ in range(50):

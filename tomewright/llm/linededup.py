@@ -1,10 +1,9 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by runs of copied lines.
 
-A rolling hash over the hashes of the last two lines decides after which lines a chunk ends, so boundaries move with
-the content when lines are put in or taken out above. A line of at least ``LONG_WORDS`` words is a chunk alone.
-Chunks that stand at more than one place in the corpus are candidates; the bytes of each are compared with those of
-the chunk's first occurrence (lowest id, then place). Neighbouring chunks that are such copies form a run, and runs of
-at least ``RUN_WORDS`` words are removed. The first occurrence of every chunk stays.
+Every line is a chunk, so what surrounds a passage doesn't decide how it is cut. Lines that stand at more than one
+place in the corpus are candidates; the bytes of each are compared with those of the line's first occurrence (lowest
+id, then place). Neighbouring lines that are such copies form a run, also across lines without a word, and runs of at
+least ``RUN_WORDS`` words are removed. The first occurrence of every line stays.
 
 Chunk hashes are counted with partial sums, the join on the hash has two plain shuffled sides that adaptive execution
 can split where one chunk holds a large part of all rows, and texts are shuffled twice: once to bring candidate
@@ -27,34 +26,12 @@ from pyspark.sql import types as T
 
 from tomewright.llm.common import discard, materialize, read, text_bytes
 
-LONG_WORDS = 30
 RUN_WORDS = 25
-#: A chunk ends after a line unless the rolling hash is 0 modulo this.
-SPARSE = 4
-
-_MASK = (1 << 64) - 1
 
 
 def chunks(body: bytes) -> list[tuple[int, int, int]]:
-    """(first line, line after the last, words) of the chunks of a text."""
-    lines = body.split(b"\n")
-    out, start, words, rolling = [], 0, 0, 0
-    for i, line in enumerate(lines):
-        n = len(line.split())
-        rolling = ((rolling << 32) + xxhash.xxh3_64_intdigest(line)) & _MASK
-        if n >= LONG_WORDS:
-            if start < i:
-                out.append((start, i, words))
-            out.append((i, i + 1, n))
-            start, words = i + 1, 0
-            continue
-        words += n
-        if (rolling >> 32) * 2654435761 % (1 << 32) % SPARSE or i + 1 == len(lines):
-            out.append((start, i + 1, words))
-            start, words = i + 1, 0
-    if start < len(lines):
-        out.append((start, len(lines), words))
-    return out
+    """(first line, line after the last, words) of the chunks of a text: its lines."""
+    return [(i, i + 1, len(line.split())) for i, line in enumerate(body.split(b"\n"))]
 
 
 def pieces(body: bytes) -> list[tuple[int, bytes]]:
@@ -120,13 +97,14 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def removed(body: bytes, places: list[int]) -> list[tuple[int, int, int]]:
-    """Runs of copied chunks with enough words: (first line, line after the last, words)."""
+    """Runs of copied chunks with enough words, across chunks without a word: (first line, line after the last,
+    words)."""
     cut = chunks(body)
     runs: list[list[int]] = []
     last = None
     for p in places:
         a, b, n = cut[p]
-        if last is not None and runs[-1][1] == a:
+        if last is not None and not any(x[2] for x in cut[last + 1 : p]):
             runs[-1][1] = b
             runs[-1][2] += n
         else:
