@@ -1,35 +1,37 @@
 """LM scoring with a causal self-attention model on subword ids, trained in numpy.
 
-Words (A-Z lower-cased, split at ASCII white space) are encoded one by one, with a space before, by a byte-level BPE
-vocabulary; a text is its words' ids and one end. The model is one causal attention layer with relative positions. A
-position's key is made of its own and the previous id, so that attention finds earlier places after the same id. The
-next id is drawn from a mixture of two parts: a class of ids, then an id of the class by its share in the training
-corpus (the most frequent ids are classes of their own), or a copy of an id that is attended to. The class has what attention
-adds to the log probability of the class after the last id, counted over the corpus. Words begin with ids of their own
-kind, so the first id of a word is conditioned on a word starting; what follows it is a mixture of the product over the
-other ids and, for the most frequent words, the word's share of the training words with that first id (the weight is
-the one that fits one training document in 64 best).
-
-Texts are cut into windows of ``WINDOW`` ids. Each repeats the last ``OVERLAP`` ids of the one before as context (the
-first has ends there), so every id is scored once, in batches of windows with one causal mask.
-
-Learning reads every training document: word counts, id counts, counts of classes after ids and totals are sums
-over all of them. The weights are
-trained by local steps in each task on its documents (at least one span of ``SPAN`` words of each document, then every
-``EVERY``-th one), in ``ROUNDS`` rounds whose results are averaged by tree over groups of ``FAN`` tasks, weighted by ids seen.
-
-Bounds: the words that are broadcast are those of the highest counts, at most ``WORDS``; counts of all other words are
-joined by shuffle, so base scores and known words are exact. Vocabulary and weights have a fixed size.
-
-Defined cases: null text is the empty text (only an end); a null id is not held out; repeated rows are scored alike; an
-empty training set gives N = V = 0, base scores of 0 for each token and an untrained model; extra columns are ignored.
+Words (A-Z lower-cased, split at ASCII white space) are joined by single spaces, with one before, and encoded once by a
+byte-level BPE vocabulary; a text is its ids and one end. All later passes read the ids.
+
+The model is one causal attention layer with relative positions. A position's key is made of its own and the previous
+id, so that attention finds earlier places after the same id. What attention gives goes with the position's own
+embedding through a hidden layer; the next id's class comes from a two-level softmax (``GROUPS`` groups of ``MEMBERS``
+classes), and the id from its class. The most frequent ids are classes of their own; the rare ones share ``TAILS``
+classes by their counts. Probabilities of all ids sum to one, and a text's score is the sum over its ids.
+
+Texts are cut into windows of ``WINDOW`` ids. Each repeats the last ``OVERLAP`` ids of the one before as context, so
+every id is scored once, in batches of windows with one causal mask; the first window of a text has nothing before it.
+
+Learning reads every id of every training document: word counts, id counts and counts of classes after ids are sums
+over all of them. The counts give the embeddings and output weights they start from (a weighted decomposition of log
+probabilities) and the groups. Then every task takes gradient steps over all windows of its documents; the tasks'
+weights are averaged by ids seen, piece by piece, over at most ``FAN`` tasks at a time.
+
+A word is known by a 64-bit hash of its ids (encoding is reversible); two of n words share one with a chance of about
+n * n / 4e19. The words that are broadcast are those of the highest counts, at most ``WORDS``; counts of all other
+words are joined by shuffle, so base scores and known words cover all. Vocabulary and weights have a fixed size.
+
+Defined cases: null text is the empty text (only an end); very long texts are windows like all others; a null id is not
+held out; repeated rows are scored alike; an empty training set gives N = V = 0, base scores of 0 for each token and an
+untrained model; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import itertools
 import math
-from collections import Counter
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,21 +44,23 @@ from pyspark.sql import functions as F
 
 from tomewright.llm.common import discard, materialize, read, text_bytes
 
-WORDS = 131_072
-WINDOW, OVERLAP = 48, 8
+WORDS = 262_144
+WINDOW, OVERLAP = 24, 8
 SCORED = WINDOW - OVERLAP
-WIDTH, HIDDEN = 16, 32
-HEADS, TAILS = 176, 16
+EMBED, WIDTH, HIDDEN = 16, 8, 16
+GROUPS, MEMBERS, TAILS = 16, 32, 16
+CLASSES = GROUPS * MEMBERS
 OWN = 2048
-BATCH = 16
-SPAN, EVERY = 24, 32
-LEAN = 8.0
-ROUNDS, FAN = 2, 64
-RATE = 0.05
-FLUSH = 300_000
-KEPT = 250_000
-SHARES = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
+ROWS = OWN + TAILS
+BATCH = 128
+LEAN = 4.0
+FAN, PIECE = 64, 8192
+RATE = 0.06
+FLUSH = 4_000_000
+SLICE = 1_000_000
+KEPT = 400_000
 _LN10 = math.log(10)
+_OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -67,21 +71,64 @@ def words_of(body: bytes | None) -> list[bytes]:
     return body.lower().split() if body else []
 
 
+class _Places(dict):
+    """Places of words in order of appearance; ``new`` lists those that were not there before."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        n = self[word] = len(self)
+        return n
+
+
 class Subwords:
-    """Ids of words by given ranks; the end of a text has the id after the last."""
+    """Ids of texts by given ranks; the end of a text has the id after the last."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, pattern
         self.end = max(ranks.values(), default=-1) + 1
         self.encoding = None
+        self.starts = np.zeros(self.end + 1, bool)  # ids that begin a word
+        for token, i in ranks.items():
+            self.starts[i] = token[:1] == b" "
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"encoding": None}
 
-    def __call__(self, word: bytes) -> list[int]:
+    def _clear(self) -> None:
+        self.place = _Places()
+        self.begin, self.size, self.bank = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _encode(self, words: list[bytes]) -> np.ndarray:
+        text = (b" " + b" ".join(words)).decode("utf-8", "replace")
+        if _OTHER_SPACE.search(text):
+            return np.array([i for w in words for i in self.encoding.encode_ordinary(" " + w.decode("utf-8", "replace"))])
+        return np.array(self.encoding.encode_ordinary(text))
+
+    def __call__(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts' words, each with a space before, and an end after each text; and their offsets. Words are
+        kept in a dictionary of bounded size, new ones are encoded together."""
         if self.encoding is None:
             self.encoding = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
-        return self.encoding.encode_ordinary(" " + word.decode("utf-8", "replace"))
+            self._clear()
+        if len(self.place) >= KEPT:
+            self._clear()
+        k = np.fromiter(map(self.place.__getitem__, itertools.chain.from_iterable(texts)), np.int64)
+        k = np.insert(k, np.cumsum([len(t) for t in texts]), -1)
+        new, self.place.new = self.place.new, []
+        if new:
+            ids = self._encode(new)
+            begin = np.flatnonzero(self.starts[ids])
+            self.begin = np.concatenate([self.begin, begin + len(self.bank)])
+            self.size = np.concatenate([self.size, np.diff(np.append(begin, len(ids)))])
+            self.bank = np.concatenate([self.bank, ids])
+        size = np.append(self.size, 1)[k]
+        at = np.concatenate(([0], np.cumsum(size)))
+        out = np.append(self.bank, self.end)[np.repeat(np.append(self.begin, len(self.bank))[k] - at[:-1], size) + np.arange(at[-1])]
+        offsets = np.concatenate(([0], at[1:][np.cumsum([len(t) + 1 for t in texts]) - 1]))
+        return out.astype(np.uint16), offsets
 
 
 def subwords(path: str, pattern: str) -> Subwords:
@@ -89,29 +136,108 @@ def subwords(path: str, pattern: str) -> Subwords:
         return Subwords({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, pattern)
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word, n over all rows; summed in each task before the shuffle."""
+def word_hashes(ids: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
+    """A hash for each word of the ids of texts that follow one another; ends are no words."""
+    ids = ids[ids != end]
+    first = np.flatnonzero(starts[ids])
+    if not len(first):
+        return np.zeros(0, np.int64)
+    place = np.arange(len(ids)) - np.repeat(first, np.diff(np.append(first, len(ids))))
+    x = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    x = np.add.reduceat(x ^ (x >> np.uint64(31)), first)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
+
+def encoded(docs: DataFrame, tokens: Subwords) -> DataFrame:
+    """One row for each document (key, doc_id, held_out, ids of two bytes each) and, in the same pass, rows of sums over
+    training documents: words and counts (eight and four bytes each) of some documents, and the counts of all ids."""
+    sent = docs.sparkSession.sparkContext.broadcast(tokens)
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+    names = ["key", "doc_id", "held_out", "ids", "words", "times", "totals"]
+
+    def rows(**columns: pa.Array) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, k) for c, k in zip(names, kinds, strict=True)], names)
+
+    packed = lambda a, kind: pa.array([a.astype(kind).tobytes()], pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
+        own, key = sent.value, TaskContext.get().partitionId() << 40
+        total, waiting, n = np.zeros(own.end + 1, np.int64), [], 0
 
-        def rows() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
-            found.clear()
-            return out
+        def summed() -> pa.RecordBatch:
+            word, count = np.unique(np.concatenate(waiting), return_counts=True)
+            return rows(words=packed(word, np.int64), times=packed(count, np.int32))
 
         for batch in batches:
-            for body in text_bytes(batch.column(0)):
-                found.update(words_of(body))
-                if len(found) >= FLUSH:
-                    yield rows()
-        yield rows()
+            held, bodies = batch.column(1).to_numpy(zero_copy_only=False).astype(bool), text_bytes(batch.column(2))
+            cuts = np.searchsorted(np.cumsum([len(b or b"") for b in bodies]), np.arange(SLICE, sum(len(b or b"") for b in bodies), SLICE)).tolist()
+            for i, j in itertools.pairwise(sorted({0, *cuts, len(bodies)})):
+                flat, offsets = own([words_of(b) for b in bodies[i:j]])
+                learn = flat[np.repeat(~held[i:j], np.diff(offsets))]
+                total += np.bincount(learn, minlength=len(total))
+                waiting.append(word_hashes(learn, own.starts, own.end))
+                n += len(waiting[-1])
+                ids = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(offsets * 2), pa.py_buffer(flat)]).cast(pa.binary())
+                yield rows(key=pa.array(np.arange(key, key + j - i)), doc_id=batch.column(0)[i:j], held_out=batch.column(1)[i:j], ids=ids)
+                key += j - i
+                if n >= FLUSH:
+                    yield summed()
+                    waiting, n = [], 0
+        if n:
+            yield summed()
+        if total.any():
+            yield rows(totals=packed(total, np.int64))
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, "key long, doc_id long, held_out boolean, ids binary, words binary, times binary, totals binary")
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """key, word, n: a row for each of the packed words."""
 
-    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, words, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words, times = np.frombuffer(words, np.int64), np.frombuffer(times, np.int32)
+                for i in range(0, len(words), SLICE):
+                    part = words[i : i + SLICE]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), key or 0)), pa.array(part), pa.array(times[i : i + SLICE].astype(np.int64))], ["key", "word", "n"])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n = [], 0
+        for part in run(batches):
+            waiting.append(part)
+            n += part.num_rows
+            if n >= 50_000:
+                yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+                waiting, n = [], 0
+        if n:
+            yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+
+    return rows.mapInArrow(joined, "key long, word long, n long")
+
+
+def id_counts(rows: DataFrame, size: int) -> np.ndarray:
+    """The sum of the packed counts of all ids: a vector of fixed size for each task, summed in groups of FAN."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                total += np.frombuffer(x, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["totals"])
 
+    while rows.count() > FAN:
+        rows = materialize(rows.repartition(max(1, rows.count() // FAN)).mapInArrow(add, "totals binary"), "totals")
+    return sum((np.frombuffer(bytes(r["totals"]), np.int64) for r in rows.collect()), np.zeros(size, np.int64))
 
-def most_frequent(counts: DataFrame, most: int = WORDS) -> dict[bytes, int]:
-    """All words from the lowest count on that leaves at most ``most`` of them (counts are cut at eighths of a power of two)."""
+
+def most_frequent(counts: DataFrame, most: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes in order, and counts, of all words from the lowest count on that leaves at most ``most`` of them (counts are
+    cut at eighths of a power of two)."""
     step = F.floor(F.log2("n") * 8).cast("int")
     sizes = {r["s"]: r["c"] for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("c")).collect()}
     total, least = 0, None
@@ -120,437 +246,366 @@ def most_frequent(counts: DataFrame, most: int = WORDS) -> dict[bytes, int]:
         if total > most:
             break
         least = s
-    if least is None:
-        return {}
-    return {bytes(r["word"]): r["n"] for r in counts.where(step >= least).collect()}
-
-
-def id_counts(counts: DataFrame, tokens: Subwords, documents: int) -> np.ndarray:
-    """How often each id stands in the training corpus and how many words begin with it, from the counts of its words."""
-    sent = counts.sparkSession.sparkContext.broadcast(tokens)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, first = np.zeros((2, sent.value.end + 1), np.int64)
-        for batch in batches:
-            for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = sent.value(w) or [0]
-                first[own[0]] += n
-                for i in own:
-                    total[i] += n
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(total[ids]), pa.array(first[ids])], ["id", "n", "first"])
-
-    out = np.zeros((2, tokens.end + 1), np.int64)
-    for r in counts.mapInArrow(run, "id int, n long, first long").groupBy("id").agg(F.sum("n").alias("n"), F.sum("first").alias("first")).collect():
-        out[:, r["id"]] = r["n"], r["first"]
-    out[:, tokens.end] = documents
-    return out
+    got = counts.where(step >= least).toPandas().sort_values("word") if least is not None else pd.DataFrame({"word": [], "n": []})
+    return got["word"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
 
 
 class Layout:
-    """Output class, share in the class, and embedding row of every id."""
+    """Class, share in the class, and embedding row of every id, and the group and place of every class."""
 
     def __init__(self, counts: np.ndarray, tokens: Subwords):
         order = np.argsort(-counts, kind="stable")
-        size = len(counts)
+        size, heads = len(counts), CLASSES - TAILS
         own = np.empty(size, np.int64)
         own[order] = np.arange(size)
-        spaced, plain = np.zeros(size, bool), np.ones(size, bool)
-        spaced[tokens.end] = True
+        plain = np.ones(size, bool)
         for token, i in tokens.ranks.items():
-            spaced[i], plain[i] = token[:1] == b" ", max(token) < 128
-        band = np.clip(np.log2(np.maximum(own, HEADS) / HEADS / 2).astype(int), 0, TAILS // 4 - 1)
-        tail = band * 4 + spaced * 2 + plain
-        self.kind = np.where(own < HEADS, own, HEADS + tail).astype(np.int32)
-        mass = np.bincount(self.kind, counts + 0.5, HEADS + TAILS)
+            plain[i] = max(token) < 128
+        band = np.clip(np.log2(np.maximum(own, heads) / heads).astype(int), 0, TAILS // 4 - 1)
+        tail = band * 4 + tokens.starts * 2 + plain
+        self.kind = np.where(own < heads, own, heads + tail).astype(np.int32)
+        mass = np.bincount(self.kind, counts + 0.5, CLASSES)
         self.log_share = (np.log(counts + 0.5) - np.log(mass[self.kind])).astype(np.float32)
-        self.starts = spaced.astype(np.float32)
-        self.class_starts = np.zeros(HEADS + TAILS, np.float32)
-        self.class_starts[self.kind] = spaced
         self.row = np.where(own < OWN, own, OWN + tail).astype(np.int32)
-        self.class_share = (mass + 0.5) / (mass + 0.5).sum()
-        self.pair = np.log(np.broadcast_to(self.class_share, (OWN + TAILS, HEADS + TAILS))).astype(np.float32)
+        self.mass = mass
+        self.place_classes(np.arange(CLASSES))
 
-    def learn_pairs(self, counts: np.ndarray) -> None:
-        """Log probability of each class after each embedding row, from (rows, classes) counts; rare rows lean on all."""
-        self.pair = np.log((counts + LEAN * self.class_share) / (counts.sum(axis=1, keepdims=True) + LEAN)).astype(np.float32)
+    def place_classes(self, order: np.ndarray) -> None:
+        """Classes in this order fill the groups."""
+        at = np.empty(CLASSES, np.int64)
+        at[order] = np.arange(CLASSES)
+        self.order, self.leaf = order, at[self.kind].astype(np.int32)
 
 
-def pair_counts(docs: DataFrame, layout: Layout, reader: Reader) -> np.ndarray:
-    """How often each class follows each embedding row, over all rows; the table has a fixed size."""
-    sent = docs.sparkSession.sparkContext.broadcast((layout, reader))
-    rows, kinds = OWN + TAILS, HEADS + TAILS
+def pair_counts(rows: DataFrame, layout: Layout, end: int) -> np.ndarray:
+    """How often each class follows each embedding row, over all texts; the table has a fixed size."""
+    sent = rows.sparkSession.sparkContext.broadcast(layout)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, reader = sent.value
-        total = np.zeros(rows * kinds, np.int64)
+        own, total = sent.value, np.zeros(ROWS * CLASSES, np.int64)
         for batch in batches:
-            for body in text_bytes(batch.column(0)):
-                ids = reader.read(words_of(body))[1]
-                before = np.concatenate(([reader.tokens.end], ids[:-1]))
-                np.add.at(total, own.row[before].astype(np.int64) * kinds + own.kind[ids], 1)
+            for flat, offsets in slices(batch.column(0)):
+                before = np.empty_like(flat)
+                before[1:] = flat[:-1]
+                before[offsets[:-1]] = end
+                total += np.bincount(own.row[before].astype(np.int64) * CLASSES + own.kind[flat], minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["cell", "n"])
 
-    out = np.zeros(rows * kinds, np.int64)
-    got = docs.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(ROWS * CLASSES, np.int64)
+    got = rows.select("ids").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     out[got["cell"].to_numpy(int)] = got["n"].to_numpy()
-    return out.reshape(rows, kinds)
+    return out.reshape(ROWS, CLASSES)
+
+
+def slices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of a binary column of ids: the ids of about SLICE at a time, whole texts, and the offsets of the texts."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    flat = np.frombuffer(column.buffers()[2], np.uint16, offset=0) if len(column) else np.zeros(0, np.uint16)
+    offsets, start = offsets // 2, 0
+    while start < len(column):
+        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + SLICE, "right")) - 1)
+        yield flat[offsets[start] : offsets[stop]].astype(np.int32), offsets[start : stop + 1] - offsets[start]
+        start = stop
+
+
+def bisected(vectors: np.ndarray, items: np.ndarray, size: int) -> list[np.ndarray]:
+    """Items in groups of the same size: halved along the leading direction again and again."""
+    if len(items) <= size:
+        return [items]
+    own = vectors[items] - vectors[items].mean(axis=0)
+    order = np.argsort(own @ np.linalg.eigh(own.T @ own)[1][:, -1], kind="stable")
+    half = len(items) // 2
+    return [*bisected(vectors, items[order[:half]], size), *bisected(vectors, items[order[half:]], size)]
+
+
+def _exp(z: np.ndarray) -> None:
+    """exp in place, without overflow."""
+    if z.max() > 60:
+        np.minimum(z, 60, out=z)
+    np.exp(z, out=z)
 
 
 class Model:
-    """One layer of causal self-attention with a class part and a copy part."""
+    """One layer of causal self-attention and a two-level softmax. Set up from the counts of classes after rows."""
 
-    def __init__(self, layout: Layout, seed: int = 11):
+    def __init__(self, layout: Layout, pairs: np.ndarray, seed: int = 11):
         rng = np.random.default_rng(seed)
         made = lambda *shape: (rng.standard_normal(shape) / math.sqrt(shape[0])).astype(np.float32)
         self.layout = layout
+        used = np.bincount(layout.kind, minlength=CLASSES) > 0
+        share = np.where(used, layout.mass + 0.5, 1e-30)
+        share /= share.sum()
+        weight = np.sqrt(pairs.sum(axis=1) + 1e-3)[:, None]
+        chance = (pairs + LEAN * share) / (pairs.sum(axis=1, keepdims=True) + LEAN)
+        lift = weight * np.log(chance / share)
+        axes = np.linalg.eigh(lift.T @ lift)[1][:, -8:]
+        layout.place_classes(np.concatenate(bisected(lift.T @ (lift @ axes) / np.sqrt(share)[:, None] * share[:, None], np.arange(CLASSES), MEMBERS)))
+        share, used = share[layout.order].reshape(GROUPS, MEMBERS), used[layout.order].reshape(GROUPS, MEMBERS)
+        chance = chance[:, layout.order].reshape(ROWS, GROUPS, MEMBERS)
+        by_group = chance.sum(axis=2)
+        inside = np.log(chance / by_group[:, :, None]) - np.log(share / share.sum(axis=1, keepdims=True))
+        table = np.concatenate([np.log(by_group) - np.log(share.sum(axis=1)), (inside * used).reshape(ROWS, CLASSES)], axis=1)
+        scale = np.concatenate([np.ones(GROUPS), np.sqrt(share.ravel() + 1e-6)])  # a rare class matters less
+        value, axes = np.linalg.eigh((weight * table * scale).T @ (weight * table * scale))
+        axes = axes[:, -EMBED:] / scale[:, None]
+        embed = table * scale @ (axes * scale[:, None])
+        norm = np.sqrt((embed * embed).mean(axis=0)) + 1e-6
+        embed, axes = embed / norm, axes * norm
+        blank = np.concatenate([~used.any(axis=1), ~used.ravel()])
+        direct = np.concatenate([np.log(by_group), np.log(chance / by_group[:, :, None]).reshape(ROWS, CLASSES)], axis=1)
+        direct[:, blank] = -1e4
+        # a line for each row and group: the groups after the row, and the group's members after the row
+        self.direct = np.concatenate([np.repeat(direct[:, :GROUPS], GROUPS, axis=0), direct[:, GROUPS:].reshape(-1, MEMBERS)], axis=1).astype(np.float32)
         self.p = {
-            "embed": (0.3 * rng.standard_normal((OWN + TAILS, WIDTH))).astype(np.float32),
-            "q": made(WIDTH, WIDTH), "k": made(WIDTH, WIDTH), "before": made(WIDTH, WIDTH), "v": made(WIDTH, WIDTH),
+            "embed": embed.astype(np.float32),
+            "q": made(EMBED, WIDTH), "k": np.concatenate([0.3 * made(EMBED, WIDTH), np.zeros((EMBED, WIDTH), np.float32)]), "v": made(EMBED, WIDTH),
             "far": np.linspace(0, -2, WINDOW).astype(np.float32),
-            "own": made(WIDTH, HIDDEN), "seen": made(WIDTH, HIDDEN), "shift": np.zeros(HIDDEN, np.float32),
-            "out": 0.02 * made(HIDDEN, HEADS + TAILS), "base": np.zeros(HEADS + TAILS, np.float32),
-            "gate": np.zeros((HIDDEN, 1), np.float32), "open": np.full(1, -2, np.float32),
+            "mix": np.concatenate([made(EMBED + WIDTH, HIDDEN), np.zeros((1, HIDDEN), np.float32)]),
+            "group": 0.02 * made(HIDDEN + 1, GROUPS), "inside": 0.02 * np.stack([made(HIDDEN + 1, MEMBERS) for _ in range(GROUPS)]),
         }
-        self.p["before"] = self.p["q"].copy()  # a query starts out near the places after its own id
-        self.speed = self.ready = None
+        self.p["k"][EMBED:] = self.p["q"]  # a query starts out near the places after its own id
+        self.speed = None
+        self.distance = OVERLAP + np.arange(SCORED)[:, None] - np.arange(WINDOW)[None, :]
+        self.near = np.clip(self.distance, 0, WINDOW - 1)
+        self.parts = np.repeat(np.eye(2, dtype=np.float32), (GROUPS, MEMBERS), axis=0)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"speed": None, "ready": None}
-
-    def forward(self, x: np.ndarray, y: np.ndarray, learn: bool = False) -> dict:
-        """x: (windows, WINDOW) ids, y: (windows, SCORED) ids that follow the last SCORED of them. Gives log
-        probabilities of y and, to learn, what the gradient needs."""
-        p, lay = self.p, self.layout
-        b = len(x)
-        if self.ready is None or learn:
-            distance = OVERLAP + np.arange(SCORED)[:, None] - np.arange(WINDOW)[None, :]
-            self.ready = (np.where(distance >= 0, p["far"][np.clip(distance, 0, WINDOW - 1)], np.float32(-1e4)).astype(np.float32), distance, lay.pair if learn else lay.pair + p["base"])
-        mask, distance, pair = self.ready
-        e = p["embed"][lay.row[x]]
-        shifted = np.zeros_like(e)
-        shifted[:, 1:] = e[:, :-1]
-        flat, flat_s = e.reshape(-1, WIDTH), shifted.reshape(-1, WIDTH)
-        asked = np.ascontiguousarray(e[:, OVERLAP:]).reshape(-1, WIDTH)
-        q = (asked @ (p["q"] / np.float32(math.sqrt(WIDTH)))).reshape(b, SCORED, WIDTH)
-        k = (flat @ p["k"] + flat_s @ p["before"]).reshape(b, WINDOW, WIDTH)
-        v = (flat @ p["v"]).reshape(b, WINDOW, WIDTH)
-        a = q @ k.transpose(0, 2, 1)
-        a += mask
-        np.minimum(a, 60, out=a)
-        np.exp(a, out=a)
-        a /= a.sum(axis=2, keepdims=True)
-        o = (a @ v).reshape(-1, WIDTH)
-        h = asked @ p["own"]
-        h += o @ p["seen"]
-        h += p["shift"]
-        np.maximum(h, 0, out=h)
-        z = h @ p["out"]
-        z += pair[lay.row[x[:, OVERLAP:]].ravel()]
-        if learn:
-            z += p["base"]
-        np.minimum(z, 60, out=z)
-        np.exp(z, out=z)
-        target = y.ravel()
-        kind = lay.kind[target]
-        sums = z.sum(axis=1)
-        pick = z[np.arange(len(target)), kind] / sums
-        share = np.exp(lay.log_share[target])
-        gate = 1 / (1 + np.exp(-np.clip(h @ p["gate"] + p["open"], -30, 30)))[:, 0]
-        same = np.flatnonzero(x.astype(np.uint16)[:, None, :] == y.astype(np.uint16)[:, :, None])
-        copied = np.bincount(same // WINDOW, a.ravel()[same], len(target))
-        total = (1 - gate) * pick * share + gate * copied
-        out = {"log": np.log(np.maximum(total, 1e-30)).reshape(b, SCORED)}
-        if not learn:
-            start = (1 - gate) * (z @ lay.class_starts) / sums + gate * (a @ lay.starts[x][:, :, None]).ravel()
-            out["start"] = np.log(np.clip(start, 1e-30, 1)).reshape(b, SCORED)
-        if learn:
-            z /= sums[:, None]
-            out |= {"e": flat, "s": flat_s, "asked": asked, "q": q, "k": k, "v": v, "a": a, "o": o, "h": h, "z": z, "kind": kind, "pick": pick, "share": share, "gate": gate, "same": same, "copied": copied, "total": total, "distance": distance}
+        return self.__dict__ | {"speed": None}
+
+    def run(self, x: np.ndarray, starts: np.ndarray, before: np.ndarray, first: np.ndarray, y: np.ndarray, used: np.ndarray | None = None) -> tuple:
+        """Log probabilities of y, the ids after the last SCORED places of each window. x holds OVERLAP ids and then
+        SCORED for each window, so windows overlap in it; starts: places of x that don't follow the one before them, and the
+        ids before those; first: windows with nothing before their own places. With ``used``, also the gradients of the mean loss over the used targets."""
+        p, lay, n, N = self.p, self.layout, len(first), len(y)
+        root, kind = np.float32(1 / math.sqrt(WIDTH)), p["embed"].dtype
+        r = lay.row[x]
+        e = np.empty((len(x), 2 * EMBED), kind)
+        e[:, :EMBED] = p["embed"].take(r, 0)
+        e[1:, EMBED:] = e[:-1, :EMBED]
+        e[starts, EMBED:] = p["embed"][lay.row[before]]
+        own, asked = e[:, :EMBED], e[OVERLAP:, :EMBED]
+        k = e @ p["k"]
+        v = np.empty((len(x), WIDTH + 1), kind)
+        v[:, :WIDTH], v[:, WIDTH] = own @ p["v"], 1
+        q = (asked @ (p["q"] * root)).reshape(n, SCORED, WIDTH)
+        windows = lambda a: np.lib.stride_tricks.as_strided(a, (n, WINDOW, a.shape[1]), (SCORED * a.strides[0], *a.strides))
+        kw, vw = windows(k), windows(v)
+        a = q @ kw.transpose(0, 2, 1)
+        a += np.where(self.distance >= 0, p["far"][self.near], -1e4).astype(kind)
+        _exp(a)
+        a[first, :, :OVERLAP] = 0
+        seen = (a @ vw).reshape(N, WIDTH + 1)
+        inverse = 1 / seen[:, WIDTH:]
+        u = np.empty((N, EMBED + WIDTH + 1), kind)
+        u[:, :EMBED], u[:, -1] = asked, 1
+        np.multiply(seen[:, :WIDTH], inverse, out=u[:, EMBED:-1])
+        # from here on in order of the targets' groups
+        leaf = lay.leaf[y]
+        group = leaf // MEMBERS
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        leaf, group, last, at = leaf[order], group[order], r[OVERLAP:][order], np.arange(N)
+        ends = np.searchsorted(group, np.arange(GROUPS + 1))
+        f = np.empty((N, HIDDEN + 1), kind)
+        np.maximum((u @ p["mix"]).take(order, 0), 0, out=f[:, :HIDDEN])
+        f[:, HIDDEN] = 1
+        z = np.empty((N, GROUPS + MEMBERS), kind)
+        zg, zi, label = z[:, :GROUPS], z[:, GROUPS:], GROUPS + leaf % MEMBERS
+        np.matmul(f, p["group"], out=zg)
+        spans = [(g, ends[g], ends[g + 1]) for g in range(GROUPS) if ends[g] < ends[g + 1]]
+        for g, i, j in spans:
+            np.matmul(f[i:j], p["inside"][g], out=zi[i:j])
+        z += self.direct.take(last * GROUPS + group, 0)
+        _exp(z)
+        sums = z @ self.parts.astype(kind)
+        log = np.empty(N, kind)
+        log[order] = np.log(np.maximum(z[at, group] * z[at, label] / (sums[:, 0] * sums[:, 1]), 1e-30))
+        log += lay.log_share[y]
+        if used is None:
+            return log, None
+        w = used.astype(kind) / max(1, used.sum())
+        loss = -float(log @ w)
+        w = w[order]
+        z *= (w[:, None] / sums) @ self.parts.T.astype(kind)
+        z[at, group] -= w
+        z[at, label] -= w
+        grad = {"group": f.T @ zg, "inside": np.zeros_like(p["inside"])}
+        ds = np.empty((N, HIDDEN), kind)
+        for g, i, j in spans:
+            np.matmul(zi[i:j], p["inside"][g][:HIDDEN].T, out=ds[i:j])
+            np.matmul(f[i:j].T, zi[i:j], out=grad["inside"][g])
+        ds += zg @ p["group"][:HIDDEN].T
+        ds *= f[:, :HIDDEN] > 0
+        df = np.empty_like(ds)
+        df[order] = ds
+        grad["mix"] = u.T @ df
+        do = df @ p["mix"][EMBED:-1].T
+        do *= inverse
+        dot = (do * u[:, EMBED:-1]) @ np.ones(WIDTH, kind)
+        do = do.reshape(n, SCORED, WIDTH)
+        da = do @ vw[:, :, :WIDTH].transpose(0, 2, 1)
+        da -= dot.reshape(n, SCORED, 1)
+        da *= a
+        grad["far"] = np.bincount(self.near.ravel(), (np.ones(n, kind) @ da.reshape(n, -1)).ravel(), WINDOW)
+        dq = (da @ kw).reshape(N, WIDTH)
+        dk, dv = (self._places(c, len(x)) for c in (da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ do))
+        grad["q"], grad["k"], grad["v"] = asked.T @ dq * root, e.T @ dk, own.T @ dv
+        return loss, grad
+
+    def _places(self, by_window: np.ndarray, size: int) -> np.ndarray:
+        """Sums over the windows that hold a place."""
+        n = len(by_window)
+        out = np.zeros((size, WIDTH), by_window.dtype)
+        out[OVERLAP:].reshape(n, SCORED, WIDTH)[:] = by_window[:, OVERLAP:]
+        out[: n * SCORED].reshape(n, SCORED, WIDTH)[:, :OVERLAP] += by_window[:, :OVERLAP]
         return out
 
-    def gradients(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> tuple[float, dict]:
-        """Mean loss over the used targets, and its gradients."""
-        f, p = self.forward(x, y, learn=True), self.p
-        b = len(x)
-        n = max(1, used.sum())
-        d = -(used.ravel() / n) / np.maximum(f["total"], 1e-30)
-        by_class = f["pick"] * f["share"]
-        d_gate = (d * (f["copied"] - by_class) * f["gate"] * (1 - f["gate"])).astype(np.float32)
-        s = (d * (1 - f["gate"]) * by_class).astype(np.float32)
-        dz = -s[:, None] * f["z"]
-        dz[np.arange(len(s)), f["kind"]] += s
-        g = {"out": f["h"].T @ dz, "base": dz.sum(axis=0), "gate": f["h"].T @ d_gate[:, None], "open": np.array([d_gate.sum()])}
-        dh = dz @ p["out"].T + d_gate[:, None] @ p["gate"].T
-        dh *= f["h"] > 0
-        g["own"], g["seen"], g["shift"] = f["asked"].T @ dh, f["o"].T @ dh, dh.sum(axis=0)
-        do = (dh @ p["seen"].T).reshape(b, SCORED, WIDTH)
-        a = f["a"]
-        da = do @ f["v"].transpose(0, 2, 1)
-        da.ravel()[f["same"]] += (d * f["gate"]).astype(np.float32)[f["same"] // WINDOW]
-        dv = (a.transpose(0, 2, 1) @ do).reshape(-1, WIDTH)
-        da -= (a * da).sum(axis=2, keepdims=True)
-        da *= a
-        g["far"] = np.bincount(np.clip(f["distance"], 0, WINDOW - 1).ravel(), da.sum(axis=0).ravel(), WINDOW)
-        dq = (da @ f["k"]).reshape(-1, WIDTH) / np.float32(math.sqrt(WIDTH))
-        dk = (da.transpose(0, 2, 1) @ f["q"]).reshape(-1, WIDTH)
-        g["q"], g["k"], g["before"], g["v"] = f["asked"].T @ dq, f["e"].T @ dk, f["s"].T @ dk, f["e"].T @ dv
-        de = (dk @ p["k"].T + dv @ p["v"].T).reshape(b, WINDOW, WIDTH)
-        de[:, OVERLAP:] += (dh @ p["own"].T + dq @ p["q"].T).reshape(b, SCORED, WIDTH)
-        de[:, :-1] += (dk @ p["before"].T).reshape(b, WINDOW, WIDTH)[:, 1:]
-        rows, place = np.unique(self.layout.row[x].ravel(), return_inverse=True)
-        sums = np.stack([np.bincount(place, c, len(rows)) for c in de.reshape(-1, WIDTH).T], axis=1)
-        g["embed"] = (rows, sums)
-        return -float((f["log"] * used).sum() / n), g
-
-    def step(self, x: np.ndarray, y: np.ndarray, used: np.ndarray, rate: float = RATE) -> float:
+    def step(self, *windows: np.ndarray, rate: float = RATE) -> float:
         """One Adagrad step."""
-        loss, g = self.gradients(x, y, used)
+        loss, grad = self.run(*windows)
         self.speed = self.speed or {k: np.full_like(v, 1e-4) for k, v in self.p.items()}
-        for k, v in g.items():
-            rows, v = v if k == "embed" else (slice(None), v)
+        for k, v in grad.items():
             v = v.astype(np.float32)
-            self.speed[k][rows] += v * v
-            self.p[k][rows] -= rate * v / np.sqrt(self.speed[k][rows])
-        self.ready = None
+            self.speed[k] += v * v
+            self.p[k] -= rate * v / np.sqrt(self.speed[k])
         return loss
 
-    def pack(self) -> bytes:
-        return np.concatenate([v.ravel() for v in self.p.values()]).astype(np.float32).tobytes()
+    def pack(self) -> np.ndarray:
+        return np.concatenate([v.ravel() for v in self.p.values()]).astype(np.float32)
 
-    def unpack(self, packed: bytes) -> None:
-        flat, start = np.frombuffer(packed, np.float32), 0
+    def unpack(self, flat: np.ndarray) -> None:
+        start = 0
         for k, v in self.p.items():
-            self.p[k] = flat[start : start + v.size].reshape(v.shape).copy()
+            self.p[k] = flat[start : start + v.size].reshape(v.shape).astype(np.float32)
             start += v.size
 
 
-class Reader:
-    """Ids of words through a dictionary of bounded size."""
-
-    def __init__(self, tokens: Subwords, frequent: dict[bytes, int]):
-        self.tokens, self.frequent = tokens, frequent
-        self.clear()
+def windows(flat: np.ndarray, offsets: np.ndarray, end: int, batch: int = BATCH) -> Iterator[tuple[np.ndarray, ...]]:
+    """x, starts and the ids before them, first, y and used (see ``Model.run``) of batches of windows over texts that follow
+    one another."""
+    size = np.diff(offsets)
+    blocks = -(-size // SCORED)
+    start = np.concatenate(([0], np.cumsum(blocks)))
+    n = int(start[-1])
+    at = np.arange(len(flat)) + np.repeat(start[:-1] * SCORED - offsets[:-1], size)
+    y, used, first = np.full(n * SCORED, end, np.int32), np.zeros(n * SCORED, bool), np.zeros(n, bool)
+    y[at], used[at], first[start[:-1]] = flat, True, True
+    x = np.full(OVERLAP + n * SCORED, end, np.int32)
+    x[OVERLAP + 1 :] = y[:-1]
+    x[OVERLAP:][start[:-1] * SCORED] = end
+    for b in range(0, n, batch):
+        c = min(n, b + batch)
+        own, places = slice(b * SCORED, c * SCORED), slice(b * SCORED, c * SCORED + OVERLAP)
+        starts = np.append(OVERLAP + SCORED * np.flatnonzero(first[b:c]), 0)
+        before = np.full(len(starts), end)
+        before[-1] = x[b * SCORED - 1] if b else end
+        yield x[places], starts, before, first[b:c], y[own], used[own]
+
+
+def train(rows: DataFrame, model: Model, end: int) -> Model:
+    """Steps over all windows in every task, averaged over all tasks by ids seen."""
+    spark = rows.sparkSession
+    sent = spark.sparkContext.broadcast(model)
 
-    def __getstate__(self) -> dict:
-        return {"tokens": self.tokens, "frequent": self.frequent}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__init__(**state)
-
-    def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.begin, self.size, self.known = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.bank, self.filled = np.zeros(4096, np.int64), 0
-
-    def add(self, word: bytes) -> int:
-        ids = self.tokens(word) or [0]
-        k = self.place[word] = len(self.place)
-        if k == len(self.begin):
-            self.begin, self.size, self.known = (np.concatenate([c, np.zeros_like(c)]) for c in (self.begin, self.size, self.known))
-        while self.filled + len(ids) > len(self.bank):
-            self.bank = np.concatenate([self.bank, np.zeros_like(self.bank)])
-        self.bank[self.filled : self.filled + len(ids)] = ids
-        self.begin[k], self.size[k], self.known[k] = self.filled, len(ids), self.frequent.get(word, -1)
-        self.filled += len(ids)
-        return k
-
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The words' counts (-1: not among the frequent), their ids with the end, and where each word's ids start."""
-        if len(self.place) >= KEPT:
-            self.clear()
-        get, add = self.place.get, self.add
-        k = np.array([add(w) if (i := get(w)) is None else i for w in words], np.int64)
-        size = self.size[k]
-        starts = np.concatenate(([0], np.cumsum(size)))
-        ids = np.empty(starts[-1] + 1, np.int64)
-        ids[:-1] = self.bank[np.repeat(self.begin[k] - starts[:-1], size) + np.arange(starts[-1])]
-        ids[-1] = self.tokens.end
-        return self.known[k], ids, starts
-
-
-def windows(ids: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """x, y and used of all windows over a sequence of targets; before the text stand ends."""
-    n = -(-len(ids) // SCORED)
-    y = np.full(n * SCORED, end, np.int64)
-    y[: len(ids)] = ids
-    before = np.concatenate((np.full(OVERLAP + 1, end, np.int64), y[:-1]))
-    x = np.lib.stride_tricks.sliding_window_view(before, WINDOW)[::SCORED]
-    used = np.arange(n * SCORED) < len(ids)
-    return x, y.reshape(n, SCORED), used.reshape(n, SCORED)
-
-
-def in_batches(parts: Iterator[tuple], size: int) -> Iterator[tuple]:
-    """Tuples of arrays, cut and joined along their first axis to the given size; the last may be smaller."""
-    held: list[tuple] = []
-    n = 0
-    for part in parts:
-        held.append(part)
-        n += len(part[0])
-        if n >= size:
-            whole = tuple(np.concatenate(c) for c in zip(*held, strict=True))
-            cut = n - n % size
-            for a in range(0, cut, size):
-                yield tuple(c[a : a + size] for c in whole)
-            held, n = [tuple(c[cut:] for c in whole)], n - cut
-    if n:
-        yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
-
-
-def train(docs: DataFrame, model: Model, reader: Reader, rounds: int = ROUNDS) -> Model:
-    """Rounds of local steps in every task, averaged over all tasks by ids seen."""
-    spark = docs.sparkSession
-    sent_reader = spark.sparkContext.broadcast(reader)
-    for r in range(rounds):
-        sent = spark.sparkContext.broadcast(model)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent, r=r) -> Iterator[pa.RecordBatch]:
-            own = Model(sent.value.layout)
-            own.unpack(sent.value.pack())
-            read_ids, seen = sent_reader.value.read, 0
-
-            def spans() -> Iterator[tuple]:
-                # of each document at least one span of words, another one in each round
-                k = 0
-                for batch in batches:
-                    for body in text_bytes(batch.column(0)):
-                        k += 1
-                        words = words_of(body)
-                        n = max(1, -(-len(words) // SPAN))
-                        for i in range((7 * k + r * (EVERY // ROUNDS + 1)) % min(EVERY, n), n, EVERY):
-                            ids = read_ids(words[i * SPAN : (i + 1) * SPAN])[1]
-                            if (i + 1) * SPAN < len(words):
-                                ids = ids[:-1]
-                            yield windows(ids, sent_reader.value.tokens.end)
-
-            for x, y, used in in_batches(spans(), BATCH):
-                own.step(x, y, used)
-                seen += int(used.sum())
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([float(seen)]), pa.array([own.pack()], pa.binary())], ["task", "seen", "weights"])
-
-        made = materialize(docs.select("text").mapInArrow(run, "task long, seen double, weights binary"), f"round{r}")
-
-        def mean(rows: pd.DataFrame) -> pd.DataFrame:
-            share = (rows.seen / rows.seen.sum()).to_numpy()
-            total = sum(s * np.frombuffer(w, np.float32).astype(np.float64) for s, w in zip(share, rows.weights, strict=True))
-            return pd.DataFrame({"task": [int(rows.task.min()) // FAN], "seen": [rows.seen.sum()], "weights": [total.astype(np.float32).tobytes()]})
-
-        while made.count() > 1:
-            before, made = made, materialize(made.groupBy(F.expr(f"task div {FAN}").alias("g")).applyInPandas(mean, "task long, seen double, weights binary"), "mean")
-            discard(before)
-        got = made.first()
-        discard(made)
-        if got:
-            model = Model(model.layout)
-            model.unpack(bytes(got["weights"]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen = sent.value, 0
+        start = own.pack()
+        for batch in batches:
+            for flat, offsets in slices(batch.column(0)):
+                for w in windows(flat, offsets, end):
+                    own.step(*w)
+                seen += len(flat)
+        made = own.pack()
+        own.unpack(start)  # a worker may serve another task
+        own.speed = None
+        if seen:
+            parts = [made[i : i + PIECE].tobytes() for i in range(0, len(made), PIECE)]
+            n = len(parts)
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([float(seen)] * n), pa.array(parts, pa.binary())], ["task", "piece", "seen", "weights"])
+
+    def mean(part: pd.DataFrame) -> pd.DataFrame:
+        share = (part.seen / part.seen.sum()).to_numpy()
+        total = sum(s * np.frombuffer(w, np.float32).astype(np.float64) for s, w in zip(share, part.weights, strict=True))
+        return pd.DataFrame({"task": [int(part.task.min()) // FAN], "piece": [part.piece.iloc[0]], "seen": [part.seen.sum()], "weights": [total.astype(np.float32).tobytes()]})
+
+    schema = "task long, piece int, seen double, weights binary"
+    made = materialize(rows.select("ids").mapInArrow(run, schema), "weights")
+    while True:
+        before, made = made, materialize(made.groupBy(F.expr(f"task div {FAN}").alias("g"), "piece").applyInPandas(mean, schema), "mean")
+        discard(before)
+        if not made.agg(F.max("task")).first()[0]:
+            break
+    got = made.orderBy("piece").collect()
+    discard(made)
+    if got:
+        model.unpack(np.concatenate([np.frombuffer(bytes(r["weights"]), np.float32) for r in got]))
     return model
 
 
-class Scorer:
-    def __init__(self, model: Model, reader: Reader, first: np.ndarray, total: int, distinct: int, share: float):
-        """first: how many words of the training corpus begin with each id."""
-        self.model, self.reader, self.first, self.total, self.distinct, self.share = model, reader, first, total, distinct, share
-
-    def logs(self, bodies: list[bytes | None]) -> list[tuple]:
-        """For each text: its words, their counts, the log of each word's first id given that a word starts (the end
-        of the text is the last), and two logs of each word given its first id: by its other ids and that a word
-        starts next, and by its share of the training words with that first id."""
-        words = [words_of(b) for b in bodies]
-        read = [self.reader.read(w) for w in words]
-        made = []
-        for x, y, used in in_batches((windows(r[1], self.reader.tokens.end) for r in read), BATCH):
-            f = self.model.forward(x, y)
-            made.append(np.stack([f["log"][used], f["start"][used]]))
-        flat = np.concatenate(made, axis=1).astype(np.float64) if made else np.zeros((2, 0))
-        out, end = [], 0
-        for w, (counts, ids, starts) in zip(words, read, strict=True):
-            log, start = flat[:, end : end + len(ids)]
-            end += len(ids)
-            first = log[starts] - start[starts]
-            rest = np.add.reduceat(log, starts)[:-1] - log[starts[:-1]] + start[starts[1:]]
-            share = np.log(np.maximum(counts, 1) / np.maximum(self.first[ids[starts[:-1]]], 1))
-            out.append((w, counts, first, rest, share))
-        return out
-
-    def mixed(self, counts: np.ndarray, first: np.ndarray, rest: np.ndarray, by_share: np.ndarray, share: float) -> float:
-        """log10 of the text: after its first id a word comes by its ids or, if frequent, by its share."""
-        out = rest + math.log(1 - share)
-        out = np.where(counts > 0, np.logaddexp(out, by_share + math.log(share)), out)
-        return float((first.sum() + out.sum()) / _LN10)
+def logs(model: Model, flat: np.ndarray, offsets: np.ndarray, end: int) -> np.ndarray:
+    """The log probability of every id of the texts."""
+    made = [model.run(*w[:-1])[0][w[-1]] for w in windows(flat, offsets, end)]
+    return np.concatenate(made) if made else np.zeros(0, np.float32)
 
 
 def op2_lm_scoring(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return score(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return score(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-def score(docs: DataFrame, path: str, pattern: str, *, rounds: int = ROUNDS) -> DataFrame:
+def score(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
-    training = rows.where("NOT held_out")
     tokens = subwords(path, pattern)
-    counts = materialize(word_counts(training), "counts")
+    made = materialize(encoded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text"), tokens), "encoded")
+    rows = made.where("ids IS NOT NULL").select("key", "doc_id", "held_out", "ids")
+    training = rows.where("NOT held_out")
+    counts = materialize(unpacked(made.where("words IS NOT NULL").select("key", "words", "times")).groupBy("word").agg(F.sum("n").alias("n")), "counts")
+    ids = id_counts(made.where("totals IS NOT NULL").select("totals"), tokens.end + 1)
+    documents = int(ids[tokens.end])
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    documents = training.count()
     total, distinct = (sums["n"] or 0) + documents, sums["v"] + (documents > 0)
-    reader = Reader(tokens, most_frequent(counts))
-    ids, first = id_counts(counts, tokens, documents)
     layout = Layout(ids, tokens)
-    layout.learn_pairs(pair_counts(training, layout, reader))
-    model = Model(layout)
+    model = Model(layout, pair_counts(training, layout, tokens.end))
     if documents:
-        model = train(training, model, reader, rounds)
-    scorer = Scorer(model, reader, first, total, distinct, SHARES[3])
-    scorer.share = choose_share(training, scorer)
-    return _scored(rows, counts, scorer, documents)
-
-
-def choose_share(training: DataFrame, scorer: Scorer) -> float:
-    """The share of word frequencies that fits one training document in 64 best."""
-    sent = training.sparkSession.sparkContext.broadcast(scorer)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(SHARES))
-        for batch in batches:
-            for _, *logs in sent.value.logs(text_bytes(batch.column(0))):
-                total += [sent.value.mixed(*logs, s) for s in SHARES]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(SHARES)), pa.int32()), pa.array(total)], ["share", "fit"])
-
-    some = training.where(F.pmod(F.xxhash64("doc_id", F.lit("share")), F.lit(64)) == 0).select("text")
-    best = some.mapInArrow(run, "share int, fit double").groupBy("share").agg(F.sum("fit").alias("fit")).orderBy(F.desc("fit"), "share").first()
-    return SHARES[best["share"]] if best else SHARES[3]
+        model = train(training, model, tokens.end)
+    return _scored(rows, counts, most_frequent(counts), model, tokens, total, distinct, documents)
 
 
-def _scored(rows: DataFrame, counts: DataFrame, scorer: Scorer, documents: int) -> DataFrame:
-    sent = rows.sparkSession.sparkContext.broadcast(scorer)
-    unit = math.log10(scorer.total + scorer.distinct + 1)
+def _scored(rows: DataFrame, counts: DataFrame, frequent: tuple[np.ndarray, np.ndarray], model: Model, tokens: Subwords, total: int, distinct: int, documents: int) -> DataFrame:
+    sent = rows.sparkSession.sparkContext.broadcast((model, frequent, tokens.starts, tokens.end))
+    unit = math.log10(total + distinct + 1)
+    names = ["key", "doc_id", "held_out", "n_tokens", "known", "logs", "score", "words", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = TaskContext.get().partitionId() << 40
-        own = sent.value
+        own, (known, times), starts, end = sent.value
+        log_times = np.log10(times + 1.0)
         for batch in batches:
-            ids, held = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            bodies = text_bytes(batch.column(2))
-            out: list[tuple] = []
-            for start in range(0, len(bodies), 128):
-                for i, (words, known, *logs) in enumerate(own.logs(bodies[start : start + 128]), start):
-                    key += 1
-                    found = known[known > 0]
-                    out.append((key, ids[i], held[i], len(words) + 1, int(len(found)), float(np.log10(found + 1.0).sum()), own.mixed(known, *logs, own.share), None, None))
-                    rest = Counter(words[j] for j in np.flatnonzero(known < 0))
-                    out += [(key, None, None, None, None, None, None, w, n) for w, n in rest.items()]
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64())
-            columns = list(zip(*out, strict=True)) or [[]] * 9
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "doc_id", "held_out", "n_tokens", "known", "logs", "score", "word", "n"])
-
-    made = materialize(rows.mapInArrow(run, "key long, doc_id long, held_out boolean, n_tokens long, known long, logs double, score double, word binary, n long"), "scored")
-    rest = made.where("word IS NOT NULL").select("key", "word", "n").join(counts.select("word", F.col("n").alias("c")), "word")
+            at = 0
+            for flat, offsets in slices(batch.column(3)):
+                n = len(offsets) - 1
+                score = np.add.reduceat(logs(own, flat, offsets, end).astype(np.float64), offsets[:-1]) / _LN10
+                words = np.add.reduceat((starts[flat] & (flat != end)).astype(np.int64), offsets[:-1])
+                doc = np.repeat(np.arange(n), words)
+                hashes = word_hashes(flat, starts, end)
+                place = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
+                found = known[place] == hashes if len(known) else np.zeros(len(hashes), bool)
+                rare, rare_doc = hashes[~found], doc[~found]
+                by = np.lexsort((rare, rare_doc))
+                rare, rare_doc = rare[by], rare_doc[by]
+                cuts = np.flatnonzero(np.concatenate(([True], (rare[1:] != rare[:-1]) | (rare_doc[1:] != rare_doc[:-1])))) if len(rare) else np.zeros(0, np.int64)
+                ends = np.searchsorted(rare_doc[cuts], np.arange(n + 1))
+                packed = lambda a, ends=ends, n=n: pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends * a.itemsize), pa.py_buffer(np.ascontiguousarray(a))]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[at : at + n], batch.column(1)[at : at + n], batch.column(2)[at : at + n], pa.array(words + 1), pa.array(np.bincount(doc[found], minlength=n)), pa.array(np.bincount(doc[found], log_times[place[found]], n).astype(np.float64)), pa.array(score), packed(rare[cuts]), packed(np.diff(np.append(cuts, len(rare))).astype(np.int32))], names
+                )
+                at += n
+
+    made = materialize(rows.mapInArrow(run, "key long, doc_id long, held_out boolean, n_tokens long, known long, logs double, score double, words binary, times binary"), "scored")
+    rest = unpacked(made.select("key", "words", "times")).join(counts.select("word", F.col("n").alias("c")), "word")
     rest = rest.groupBy("key").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("more_logs"))
     ends = math.log10(documents + 1)
     known = F.col("known") + F.coalesce("more", F.lit(0)) + F.lit(int(documents > 0))
     base = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) + F.lit(ends) - F.col("n_tokens") * F.lit(unit)
-    return made.where("word IS NULL").join(rest, "key", "left").select("doc_id", "held_out", "n_tokens", known.cast("long").alias("n_known"), F.lit(scorer.total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    return made.join(rest, "key", "left").select("doc_id", "held_out", "n_tokens", known.cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
