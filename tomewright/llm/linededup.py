@@ -1,21 +1,26 @@
-"""Line dedup by runs of copied lines.
+"""Line dedup by content-defined chunks of lines.
 
-Every line is a chunk, so what surrounds a passage doesn't decide how it is cut. Lines that stand at more than one
-place in the corpus are candidates; the bytes of each are compared with those of the line's first occurrence (lowest
-id, then place). Neighbouring lines that are such copies form a run, also across lines without a word, and runs of at
-least ``RUN_WORDS`` words are removed. The first occurrence of every line stays.
+A rolling hash goes over the hashes of each two neighbouring lines (lines without a word are passed over). A chunk reaches
+as far as its rolling hashes are repeated in the corpus, so its boundaries depend on its content alone and don't move
+with what stands around a passage; a line of several sentences is a chunk by itself. The bytes of every repeated hash
+are compared with those of its first occurrence (lowest id, then place), and the lines of the copies are removed, with the
+lines without a word between them. So a repeated chunk goes at any length, in any context, while a short line that
+stands alone, such as a common word, stays; the first occurrence of every line stays.
 
-Chunk hashes are counted with partial sums, the join on the hash has two plain shuffled sides that adaptive execution
-can split where one chunk holds a large part of all rows, and texts are shuffled twice: once to bring candidate
-chunks to their first occurrence, once to bring the decisions back to the documents.
+Hashes are counted with partial sums, the join on the hash has two plain shuffled sides that adaptive execution
+can split where one chunk holds a large part of all rows, and texts are shuffled twice: once to bring candidates
+to their first occurrence, once to bring the decisions back to the documents.
 
 Defined cases: null text stays null, the empty text is one empty line and stays; a document whose lines all go has the
-empty text; rows with equal id and text are one document for the count and all get its result; a null id comes
-first; extra columns are kept; ``n_chars``, where the table has it, is counted anew for changed texts.
+empty text; a very long text is lines like all others, a very long line one line; rows with equal id and text are one
+document for the count and all get its result; a null id comes first; an empty table gives no rows; extra columns are
+kept; ``n_chars``, where the table has it, is counted anew for changed texts.
 """
 
 from __future__ import annotations
 
+import itertools
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,18 +31,26 @@ from pyspark.sql import types as T
 
 from tomewright.llm.common import discard, materialize, read, text_bytes
 
-RUN_WORDS = 25
+_SENTENCE_END = re.compile(rb"[.!?][\"')\]]*\s+\S")
 
 
-def chunks(body: bytes) -> list[tuple[int, int, int]]:
-    """(first line, line after the last, words) of the chunks of a text: its lines."""
-    return [(i, i + 1, len(line.split())) for i, line in enumerate(body.split(b"\n"))]
+def keys(lines: list[bytes]) -> list[tuple[int, int]]:
+    """(first line, last line) of what is hashed: each line of several sentences, and each two neighbouring lines that have
+    words, unless both are hashed alone."""
+    told = [i for i, line in enumerate(lines) if line and not line.isspace()]
+    alone = {i for i in told if _SENTENCE_END.search(lines[i])}
+    return [(i, i) for i in told if i in alone] + [(a, b) for a, b in itertools.pairwise(told) if a not in alone or b not in alone]
 
 
-def pieces(body: bytes) -> list[tuple[int, bytes]]:
-    """(words, bytes) of the chunks; joined by newlines they are the text."""
-    lines = body.split(b"\n")
-    return [(n, b"\n".join(lines[a:b])) for a, b, n in chunks(body)]
+def rolled(lines: list[bytes], spans: list[tuple[int, int]]) -> list[int]:
+    """The rolling hash over the line hashes of each span."""
+    own = {i: xxhash.xxh3_64_intdigest(lines[i]) for i in {i for s in spans for i in s}}
+    return [_signed((own[a] * 0x9E3779B97F4A7C15 + own[b] + (a == b)) & 0xFFFFFFFFFFFFFFFF) for a, b in spans]
+
+
+def piece(lines: list[bytes], span: tuple[int, int]) -> bytes:
+    a, b = span
+    return lines[a] if a == b else lines[a] + b"\n" + lines[b]
 
 
 def _signed(h: int) -> int:
@@ -49,25 +62,25 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def occurrences(keyed: DataFrame) -> DataFrame:
-    """id, mark, place, h: a row for each chunk that has a word."""
+    """id, mark, place (in the text's keys), h: a row for each key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, marks, places, hashes = [], [], [], []
             for i, m, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), strict=True):
-                for place, (n, piece) in enumerate(pieces(body) if body else ()):
-                    if n:
-                        ids.append(i)
-                        marks.append(m)
-                        places.append(place)
-                        hashes.append(_signed(xxhash.xxh3_64_intdigest(piece, 1)))
+                lines = body.split(b"\n") if body else []
+                found = rolled(lines, keys(lines))
+                ids += [i] * len(found)
+                marks += [m] * len(found)
+                places += range(len(found))
+                hashes += found
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(places, pa.int32()), pa.array(hashes, pa.int64())], ["id", "mark", "place", "h"])
 
     return keyed.mapInArrow(run, "id long, mark long, place int, h long")
 
 
 def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, mark, places: the chunks of each document that are byte-equal to an earlier occurrence."""
+    """id, mark, places: the keys of each document that are byte-equal to an earlier occurrence."""
     keyed = _keyed(docs, doc_id, text)
     found = materialize(occurrences(keyed), "chunks")
     at = F.struct("id", "mark", "place")
@@ -79,8 +92,9 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
         for batch in batches:
             out: list[tuple] = []
             for i, m, body, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), batch.column(3).to_pylist(), strict=True):
-                own = pieces(body)
-                out += [(i, m, r["place"], r["h"], r["first"], own[r["place"]][1]) for r in rows]
+                lines = body.split(b"\n")
+                own = keys(lines)
+                out += [(i, m, r["place"], r["h"], r["first"], piece(lines, own[r["place"]])) for r in rows]
             columns = list(zip(*out, strict=True)) or [[]] * 6
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "mark", "place", "h", "first", "piece"])
@@ -97,24 +111,23 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def removed(body: bytes, places: list[int]) -> list[tuple[int, int, int]]:
-    """Runs of copied chunks with enough words, across chunks without a word: (first line, line after the last,
-    words)."""
-    cut = chunks(body)
+    """The chunks that the copied keys make up: (first line, line after the last, words). Lines without a word between
+    two removed lines belong to them."""
+    lines = body.split(b"\n")
+    own = keys(lines)
+    gone = sorted({i for p in places for i in own[p]})
     runs: list[list[int]] = []
-    last = None
-    for p in places:
-        a, b, n = cut[p]
-        if last is not None and not any(x[2] for x in cut[last + 1 : p]):
-            runs[-1][1] = b
-            runs[-1][2] += n
+    for i in gone:
+        n = len(lines[i].split())
+        if runs and not any(x and not x.isspace() for x in lines[runs[-1][1] : i]):
+            runs[-1][1], runs[-1][2] = i + 1, runs[-1][2] + n
         else:
-            runs.append([a, b, n])
-        last = p
-    return [tuple(r) for r in runs if r[2] >= RUN_WORDS]
+            runs.append([i, i + 1, n])
+    return [tuple(r) for r in runs]
 
 
 def line_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", found: str | None = None) -> DataFrame:
-    """docs with the repeated runs of lines taken out of the texts; ``found`` names a column for what was removed,
+    """docs with the repeated chunks of lines taken out of the texts; ``found`` names a column for what was removed,
     an array of (first line, line after the last, words)."""
     rows = docs.withColumns({"__tw_id": F.col(doc_id).cast("long"), "__tw_mark": F.coalesce(F.xxhash64(text), F.lit(0))})
     gone = copies(docs, doc_id=doc_id, text=text).select(F.col("id").alias("__tw_i"), F.col("mark").alias("__tw_m"), F.col("places").alias("__tw_places"))
@@ -150,6 +163,12 @@ def line_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", f
     return joined.mapInArrow(run, schema)
 
 
+def stage(docs: DataFrame) -> DataFrame:
+    """docs with the repeated chunks taken out; documents of which nothing is left go, documents that were empty stay."""
+    out = line_dedup(docs, found="__tw_found")
+    return out.where(F.coalesce(F.col("text") != "", F.lit(True)) | (F.size("__tw_found") == 0)).drop("__tw_found")
+
+
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
     """doc_id, lines and words removed, and the digest of the text that stays."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
