@@ -3,13 +3,14 @@
 Order: (md5 of the text, size, id), so equal texts stand side by side. Rows are range-partitioned in that order, each
 partition's bytes and rows are totalled, the few totals are summed up to offsets, and a running sum inside each
 partition gives every row its global byte offset. A row belongs to the shard in whose equal byte range it starts.
-A group of equal texts that a cut would split stays whole in the earlier shard as long as the group is at most
-``1 / whole_part`` of a shard; a larger one (a third of all rows, say) is split at the cut.
+Equal texts follow one another, and a cut goes through a group of them as through any other rows, so the sizes hold
+however large a group is.
 
 Only DataFrame functions; nothing is collected. Broadcast sides hold a row for each partition or shard.
 
 Defined cases: a null text has no bytes and CRC 0, like the empty text, and shares its group; ties (repeated rows)
-are interchangeable; an empty table gives no rows; a row larger than a shard leaves the shards it covers empty.
+are interchangeable; an empty table gives no rows; a row larger than a shard (a very long text) leaves the shards it
+covers empty; extra columns are kept, but columns named ``shard`` and ``slot`` are replaced.
 """
 
 from __future__ import annotations
@@ -20,16 +21,15 @@ from pyspark.sql import functions as F
 from tomewright.llm.common import discard, materialize, read, shuffle_partitions
 
 SHARDS = 8
-WHOLE_PART = 32
 _KEY = ["__tw_key", "__tw_size"]
 
 
-def shard_by_bytes(rows: DataFrame, key: str, size: str, order: str, *, shards: int = SHARDS, whole_part: int = WHOLE_PART) -> DataFrame:
+def shard_by_bytes(rows: DataFrame, key: str, size: str, order: str, *, shards: int = SHARDS) -> DataFrame:
     """rows with ``shard`` (0 to shards - 1) and ``slot`` (place in its shard, gapless from 0).
 
     key: what equal rows share (a digest of the text), size: its bytes, order: a tie-break inside a group."""
     spark = rows.sparkSession
-    own = rows.columns
+    own = [c for c in rows.columns if c not in ("shard", "slot")]
     parts = shuffle_partitions(spark)
     narrow = rows.withColumns({"__tw_key": F.col(key), "__tw_size": F.col(size).cast("long"), "__tw_order": F.col(order)})
     sort = [*_KEY, "__tw_order"]
@@ -52,24 +52,8 @@ def shard_by_bytes(rows: DataFrame, key: str, size: str, order: str, *, shards:
     )
     placed = materialize(placed, "placed")
     discard(sizes, dealt)
-    edges = placed.groupBy("__tw_shard").agg(*[F.min_by(c, "__tw_at").alias(f"first{c}") for c in _KEY], *[F.max_by(c, "__tw_at").alias(f"last{c}") for c in _KEY])
-    following = Window.orderBy("__tw_shard")  # over one row for each shard
-    split = (
-        edges.withColumns({f"next{c}": F.lead(f"first{c}").over(following) for c in _KEY})
-        .where(" AND ".join(f"last{c} = next{c}" for c in _KEY))
-        .select(*[F.col(f"last{c}").alias(c) for c in _KEY])
-        .distinct()
-    )
-    whole = (
-        placed.join(F.broadcast(split), _KEY)
-        .groupBy(*_KEY)
-        .agg(F.sum("__tw_size").alias("b"), F.min("__tw_shard").alias("__tw_whole"), F.first("__tw_total").alias("t"))
-        .where(F.col("b") * F.lit(shards * whole_part).cast("long") <= F.col("t"))
-        .select(*_KEY, "__tw_whole")
-    )
-    settled = placed.join(F.broadcast(whole), _KEY, "left").withColumn("__tw_shard", F.coalesce("__tw_whole", "__tw_shard"))
-    starts = settled.groupBy("__tw_shard").agg(F.min("__tw_at").alias("__tw_first"))
-    return settled.join(F.broadcast(starts), "__tw_shard").select(*own, F.col("__tw_shard").cast("int").alias("shard"), (F.col("__tw_at") - F.col("__tw_first")).alias("slot"))
+    starts = placed.groupBy("__tw_shard").agg(F.min("__tw_at").alias("__tw_first"))
+    return placed.join(F.broadcast(starts), "__tw_shard").select(*own, F.col("__tw_shard").cast("int").alias("shard"), (F.col("__tw_at") - F.col("__tw_first")).alias("slot"))
 
 
 def op4_sharding(spark, sf_dir: str) -> DataFrame:
