@@ -1,44 +1,55 @@
 """Approximate nearest neighbours with a permutation index.
 
-Pivots: up to ``PIVOTS`` distinct vectors from a sample of at most ``SAMPLE`` rows (lowest hashes of the id). Every
-vector is represented by its ``POSTED`` nearest pivots in order and posted, with the position, in the inverted file of
-each. A query reads the files of its ``ASKED`` nearest pivots and adds up the footrule distance between the two orders
-(a pivot that isn't posted counts as the place after the last). The candidates that are nearest by footrule are
-reranked by exact cosine on the original vectors in double precision.
-
-All vectors are indexed, in blocks of about ``BLOCK`` rows by a hash of the id, each with its own inverted files; the
-queries go to all blocks, themselves in blocks. In each block the nearest ``SHARE`` of its rows by footrule, at least
-``LEAST``, are reranked, so what is reranked grows with the rows and recall doesn't fall with them. Blocks make
-groups of equal vectors harmless, since ids decide the block.
-
-Defined cases: vectors that are null, empty, zero, of another length than most, or hold null or non-finite components
-take no part, neither do null ids; rows that share an id are one candidate with the best score, and the query's own id
-is never its neighbour; ties go to the smaller id; an empty table gives no rows; extra columns are ignored.
+Pivots: distinct vectors from a sample of at most ``SAMPLE`` rows (lowest hashes), ``PIVOTS_PER_ROOT`` for each square root
+of a row, so that what a query meets grows slower than the table. Every vector is represented by its ``ORDER`` nearest
+pivots in order, and posted with this order in the inverted files of its ``POSTED`` nearest pivots. A query reads the
+files of its ``ASKED`` nearest pivots only; there the footrule distance between the two orders (a pivot that an order
+doesn't hold counts as the place after its last) ranks what was posted, and the ``RERANKED`` nearest over all its files
+are compared by exact cosine on the original vectors in double precision.
+
+All vectors are indexed. Equal vectors are one entry with its k + 1 smallest ids, which is all that ties can ask for, and
+equal queries are searched once, so copies cost nothing however many they are. A file with more than ``BLOCK`` entries, or
+``ASKING`` queries, is dealt into parts by a hash of them, and each two parts meet in a task of their own. A query that finds
+fewer than k others in its files is asked of all files.
+
+Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, neither do null ids; a
+vector shorter than the longest is as one with zeros at its end; rows that share an id are one candidate with the best
+score, and the query's own id is never its neighbour; ties go to the smaller id; an empty table gives no rows; extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import materialize, read
+from tomewright.llm.common import discard, materialize, read
 
-PIVOTS, POSTED, ASKED = 256, 64, 64
-SAMPLE = 1024
-BLOCK, QUERY_BLOCK = 2048, 4096
-SHARE, LEAST = 0.1, 400
+PIVOTS_PER_ROOT, LEAST_PIVOTS, SAMPLE = 2, 8, 8192
+ORDER, POSTED, ASKED = 32, 8, 8
+RERANKED = 256
+BLOCK, ASKING = 4096, 1024
 
 
 def valid(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """id and v (array of double) of the rows that take part."""
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
-    rows = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))).where(F.exists("v", lambda x: x != 0))
-    usual = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").first()
-    return rows.where(F.size("v") == (usual["n"] if usual else 0))
+    return rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))).where(F.exists("v", lambda x: x != 0))
+
+
+def matrix(column: pa.Array | list, width: int) -> np.ndarray:
+    """Rows of doubles, with zeros where one is shorter."""
+    rows = column.to_pylist() if isinstance(column, (pa.Array, pa.ChunkedArray)) else column
+    out = np.zeros((len(rows), width))
+    for i, r in enumerate(rows):
+        out[i, : len(r)] = r
+    return out
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -46,81 +57,113 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def choose_pivots(rows: DataFrame, pivots: int, sample: int) -> np.ndarray:
-    got = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(sample).collect()
-    seen: dict[tuple, None] = {}
-    for r in got:
-        seen.setdefault(tuple(r["v"]))
-    return unit(np.array(list(seen)[:pivots])) if seen else np.zeros((0, 1))
-
-
-class Index:
-    """The inverted files of one block."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, posted: int):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors, self.pivots = ids[order], vectors[order], pivots
-        self.norms = np.sqrt((self.vectors * self.vectors).sum(axis=1))
-        self.posted = min(posted, len(pivots))
-        places = self.nearest(self.vectors, self.posted)
-        flat = places.ravel()
-        by = np.argsort(flat, kind="stable")
-        self.rows = (by // self.posted).astype(np.int32)
-        self.positions = (by % self.posted).astype(np.int32)
-        self.starts = np.searchsorted(flat[by], np.arange(len(pivots) + 1))
-
-    def nearest(self, vectors: np.ndarray, n: int) -> np.ndarray:
-        return np.argsort(-(unit(vectors) @ self.pivots.T), axis=1, kind="stable")[:, :n]
-
-    def candidates(self, asked: np.ndarray, n: int) -> np.ndarray:
-        """The n rows nearest by footrule to a query with these pivots in order; equal distances by id.
-
-        With pivots that aren't posted at place L, the footrule of two orders is a constant less
-        2 * (L - max(place, place)) over the pivots that both post, so only the files of the query's pivots are read."""
-        saved = np.zeros(len(self.ids), np.int64)
-        for place, p in enumerate(asked):
-            if place >= self.posted:
-                break
-            a, b = self.starts[p], self.starts[p + 1]
-            saved[self.rows[a:b]] += 2 * (self.posted - np.maximum(self.positions[a:b], place))
-        key = -saved * len(self.ids) + np.arange(len(self.ids))
-        return np.sort(np.argpartition(key, n - 1)[:n]) if n < len(key) else np.arange(len(key))
-
-    def search(self, own: int, query: np.ndarray, asked: np.ndarray, n: int, k: int) -> list[tuple[int, float]]:
-        found = self.candidates(asked, n)
-        found = found[self.ids[found] != own]
-        score = (self.vectors[found] * query).sum(axis=1) / (self.norms[found] * np.sqrt((query * query).sum()))
-        best = np.lexsort((self.ids[found], -score))
-        out: dict[int, float] = {}
-        for i in best:
-            out.setdefault(int(self.ids[found[i]]), float(score[i]))
-            if len(out) == k:
-                break
-        return list(out.items())
-
-
-def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", pivots: int = PIVOTS, posted: int = POSTED, asked: int = ASKED, share: float = SHARE, least: int = LEAST, block: int = BLOCK) -> DataFrame:
+def orders(x: np.ndarray, pivots: np.ndarray, n: int) -> np.ndarray:
+    """The n nearest pivots of each row, nearest first."""
+    return np.argsort(-(unit(x) @ pivots.T), axis=1, kind="stable")[:, :n].astype(np.int32)
+
+
+def saved(order: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Of a query's order, against the places of the pivots in other orders: a constant less the footrule distance."""
+    n = len(order)
+    return 2 * (n - np.maximum(places[:, order], np.arange(n))).sum(axis=1)
+
+
+def entries(rows: DataFrame, k: int) -> DataFrame:
+    """h, v, ids: distinct vectors with their k + 1 smallest ids."""
+    place = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    few = rows.distinct().withColumn("place", place).where(F.col("place") <= k + 1)
+    return few.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.xxhash64("v").alias("h"), "v", "ids")
+
+
+def posted(vectors: DataFrame, pivots, width: int, files: int) -> DataFrame:
+    """p, h, o: each vector's order, for each of the files that it stands in or asks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                o = orders(matrix(part.column(1), width), pivots.value, max(ORDER, files))
+                n = min(files, o.shape[1])
+                told = [r.tobytes() for r in o[:, :ORDER]]
+                yield pa.RecordBatch.from_arrays([pa.array(o[:, :n].ravel()), pa.array(np.repeat(part.column(0).to_numpy(), n)), pa.array([t for t in told for _ in range(n)], pa.binary())], ["p", "h", "o"])
+
+    return vectors.select("h", "v").mapInArrow(run, "p int, h long, o binary")
+
+
+def candidates(index: DataFrame, asking: DataFrame, count: int, reranked: int) -> DataFrame:
+    """q, h: what each query's files rank nearest."""
+    parts = lambda rows, bound, name: rows.groupBy("p").agg(F.ceil(F.count("*") / bound).cast("int").alias(name))
+    sizes = parts(index, BLOCK, "a").join(parts(asking, ASKING, "b"), "p")  # a row for each pivot
+    own = lambda name: F.pmod(F.xxhash64("h", F.lit("part")), F.col(name)).cast("int")
+    every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    left = asking.join(F.broadcast(sizes), "p").select("p", own("b").alias("y"), every("a").alias("x"), F.col("h").alias("q"), "o")
+    right = index.join(F.broadcast(sizes), "p").select("p", every("b").alias("y"), own("a").alias("x"), "h", "o")
+
+    def run(ask: pd.DataFrame, file: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, list[int], list[int]]] = []
+        if len(ask) and len(file):
+            ids = file["h"].to_numpy()
+            of = lambda rows: np.frombuffer(b"".join(rows["o"]), np.int32).reshape(len(rows), -1)
+            held, asked = of(file), of(ask)
+            n = held.shape[1]
+            places = np.full((len(ids), count), n, np.int16)
+            places[np.arange(len(ids))[:, None], held] = np.arange(n)
+            for q, o in zip(ask["q"].to_numpy(), asked, strict=True):
+                near = saved(o, places)
+                best = np.argpartition(-near, reranked - 1)[:reranked] if len(near) > reranked else np.arange(len(near))
+                out.append((int(q), ids[best].tolist(), near[best].tolist()))
+        return pd.DataFrame(out, columns=["q", "h", "near"])
+
+    found = left.groupBy("p", "x", "y").cogroup(right.groupBy("p", "x", "y")).applyInPandas(run, "q long, h array<long>, near array<long>")
+    pairs = found.select("q", F.explode(F.arrays_zip("h", "near")).alias("c")).select("q", "c.h", "c.near").groupBy("q", "h").agg(F.first("near").alias("near"))
+    best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("near"), "h"))
+    return pairs.withColumn("place", best).where(F.col("place") <= reranked).select("q", "h")
+
+
+def nearest(pairs: DataFrame, vectors: DataFrame, asking: DataFrame, width: int, n: int) -> DataFrame:
+    """q, id, score: the n nearest ids of each query among its candidates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 4096):
+                part = batch.slice(start, 4096)
+                x, y = matrix(part.column(1), width), matrix(part.column(2), width)
+                x, y = x / np.abs(x).max(axis=1, keepdims=True), y / np.abs(y).max(axis=1, keepdims=True)
+                score = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
+                ids = part.column(3)
+                size = np.array([len(i) for i in ids.to_pylist()])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), size)), ids.flatten(), pa.array(np.repeat(score, size))], ["q", "id", "score"])
+
+    met = pairs.join(vectors.withColumnRenamed("v", "x"), "h").join(asking.select(F.col("h").alias("q"), F.col("v").alias("y")), "q")
+    scored = met.select("q", "x", "y", "ids").mapInArrow(run, "q long, id long, score double").groupBy("q", "id").agg(F.max("score").alias("score"))
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
+    return scored.withColumn("place", place).where(F.col("place") <= n).drop("place")
+
+
+def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", files: int = POSTED, asked: int = ASKED, reranked: int = RERANKED) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every query."""
-    rows, asking = materialize(valid(vectors, vec_id, vector), "vectors"), materialize(valid(queries, vec_id, vector), "queries")
-    points = rows.sparkSession.sparkContext.broadcast(choose_pivots(rows, pivots, sample=SAMPLE))
-    blocks, query_blocks = max(1, math.ceil(rows.count() / block)), max(1, math.ceil(asking.count() / QUERY_BLOCK))
-    in_block = lambda n: F.pmod(F.xxhash64("id", F.lit("block")), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = asking.select(in_block(query_blocks).alias("q"), every(blocks).alias("b"), "id", "v")
-    right = rows.select(every(query_blocks).alias("q"), in_block(blocks).alias("b"), "id", "v")
-
-    def run(ask: pd.DataFrame, block_rows: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int, float]] = []
-        if len(ask) and len(block_rows):
-            index = Index(block_rows["id"].to_numpy(), np.stack(block_rows["v"].to_numpy()), points.value, posted)
-            n = max(least, math.ceil(share * len(index.ids)))
-            q = np.stack(ask["v"].to_numpy())
-            for own, v, near in zip(ask["id"].to_numpy(), q, index.nearest(q, asked), strict=True):
-                out += [(int(own), i, s) for i, s in index.search(own, v, near, n, k)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    found = left.groupBy("q", "b").cogroup(right.groupBy("q", "b")).applyInPandas(run, "query_id long, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    spark = vectors.sparkSession
+    index = materialize(entries(valid(vectors, vec_id, vector), k), "entries")
+    owners = materialize(valid(queries, vec_id, vector).select("id", F.xxhash64("v").alias("q"), "v"), "queries")
+    asking = materialize(owners.groupBy("v").agg(F.first("q").alias("h")), "asking")
+    size = index.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("w")).first()
+    width = max(size["w"] or 1, asking.agg(F.max(F.size("v"))).first()[0] or 1)
+    wanted = max(LEAST_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(size["n"])))
+    sample = index.select("h", "v").orderBy(F.xxhash64("h"), "h").limit(min(SAMPLE, wanted)).collect()
+    points = unit(matrix([r["v"] for r in sample], width)) if sample else np.zeros((0, width))
+    pivots = spark.sparkContext.broadcast(points)
+    file = materialize(posted(index, pivots, width, files), "files")
+    found = materialize(nearest(candidates(file, posted(asking, pivots, width, asked), len(points), reranked), index, asking, width, k + 1), "found")
+    least = min(k + 1, size["n"])
+    short = asking.join(found.groupBy("q").count().where(F.col("count") >= least).select(F.col("q").alias("h")), "h", "left_anti")
+    short = materialize(short, "short")
+    if size["n"] and not short.isEmpty():
+        more = nearest(candidates(file, posted(short, pivots, width, len(points)), len(points), reranked), index, short, width, k + 1)
+        before, found = found, materialize(found.join(short.select(F.col("h").alias("q")), "q", "left_anti").unionByName(more), "found")
+        discard(before)
+    discard(file, short)
+    met = owners.select(F.col("id").alias("query_id"), "q").join(found, "q").where("id != query_id")
+    once = met.groupBy("query_id", F.col("id").alias("vec_id")).agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return once.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
