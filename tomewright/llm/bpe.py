@@ -4,11 +4,12 @@ A text is split by the vocabulary's pattern; each match is merged alone. Merging
 linked list by position and a queue over merge ranks: a bucket of positions for each rank, and a bitmap in three
 levels of 64-bit words over the ranks, where find-first-set gives the lowest rank that is waiting. Entries that a
 neighbouring merge made stale are skipped when they come up. So a match of n bytes costs O(n log n), however long.
-Merged matches are kept in two dictionaries of bounded size: when the young one is full it becomes the old one,
-and what is met again moves back (results don't depend on it).
+Merged matches of at most ``KEPT_CHARS`` characters are kept in two dictionaries of bounded size: when the young one is full
+it becomes the old one, and what is met again moves back (results don't depend on it).
 
 Defined cases: null text is encoded like the empty text (no ids); special tokens are ordinary text; texts above
-``STREAM_CHARS`` are matched one by one instead of all at once; repeated rows are encoded one by one.
+``STREAM_CHARS`` are matched one by one instead of all at once; repeated rows are encoded one by one; an empty table gives
+no rows; extra columns are kept, but one named like an output column is replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 from tomewright.llm.common import read
 
-KEPT = 400_000
+KEPT, KEPT_CHARS = 400_000, 64
 STREAM_CHARS = 2_000_000
 
 
@@ -139,7 +140,8 @@ class Codec:
                 ids = old.get(piece)
                 if ids is None:
                     ids = self.merge(piece.encode())
-                cache[piece] = ids
+                if len(piece) <= KEPT_CHARS:
+                    cache[piece] = ids
             out += ids
         return out
 
@@ -198,10 +200,24 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, *, doc_id: str
 
 
 def op5_bpe(spark, sf_dir: str) -> DataFrame:
-    return stage(read(spark, sf_dir, "documents"))
+    import public_tokenizers
+
+    return round_trip_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def stage(docs: DataFrame) -> DataFrame:
+    """docs without their texts, with the ids of these (``ids``), their number and the digest of what they decode to."""
     import public_tokenizers
 
-    return round_trip_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    own = codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    sent = docs.sparkSession.sparkContext.broadcast(own)
+    kept = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "decoded_sha256")]
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("decoded_sha256", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [sent.value.encode(t or "") for t in batch.column("text").to_pylist()]
+            digests = [hashlib.sha256(sent.value.decode(x)).hexdigest() for x in made]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(made, pa.list_(pa.int32())), pa.array([len(x) for x in made], pa.int64()), pa.array(digests)], schema.names)
+
+    return docs.mapInArrow(run, schema)

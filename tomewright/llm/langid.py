@@ -5,12 +5,13 @@ Features: hashed counts of byte pairs and triples of the whole lower-cased text,
 under a square root and scaled to length one. Families come from the data: average linkage over the languages' mean
 vectors, merged while two groups are at least as close as an average pair of languages.
 
-Fitting uses a bounded sample of labelled rows: at most ``SAMPLE`` rows over all languages, chosen by a hash of the
-id in equal shares. Everything else reads every row.
+Fitting uses a bounded sample of labelled rows: at most ``SAMPLE`` rows over all languages, chosen by a hash of id and text
+in equal shares. Everything else reads every row.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0; rows without text, letter or language
 don't train; with no language learned every row is ``und``; with one, every text with a letter has it, with score 1;
-a null id trains (it is not held out); repeated rows get equal results; extra columns are ignored.
+a null id trains (it is not held out); a very long text is read whole, in pieces; of languages with equal duels and margins
+the first by name wins; repeated rows get equal results; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -156,7 +157,7 @@ def fit(rows: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: st
     if not counts:
         return Model(np.zeros((0, 2 * WIDTH), np.float32), [])
     share = max(2, sample // len(counts))
-    place = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 30))
+    place = F.pmod(F.xxhash64("id", "text", F.lit("language")), F.lit(1 << 30))
     chosen = known.withColumn("place", place).where(F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, int(min(1.0, 1.1 * share / n) * (1 << 30)))])[F.col("lang")] >= F.col("place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,12 +198,15 @@ def op3_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """The rows whose language is determined; rows without a letter are rejected."""
+    """The rows whose language is determined, with it in ``lang``. Rejected are rows without a letter, and rows whose
+    language loses one of its own duels (a score below one half)."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out())))
+    place = docs.columns.index("lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, _ = sent.value.predict(batch.column("text").to_pylist())
-            yield batch.filter(pa.array([n != UNKNOWN for n in langs], pa.bool_()))
+            langs, scores = sent.value.predict(batch.column("text").to_pylist())
+            told = batch.set_column(place, batch.schema.field(place), pa.array(langs, batch.schema.field(place).type))
+            yield told.filter(pa.array([n != UNKNOWN and s >= 0.5 for n, s in zip(langs, scores, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
