@@ -1,11 +1,20 @@
-"""A training-data pipeline: every stage works on all that the one before it kept, and writes Parquet between."""
+"""A training-data pipeline: every stage works on all that the one before it kept, and writes Parquet between.
+
+Language ID puts the predicted language into ``lang`` and rejects documents without one; line dedup takes repeated chunks
+out of the texts and drops documents of which nothing is left; near-dedup keeps one document of each group;
+decontamination drops documents with benchmark passages; encoding gives the token ids.
+
+Defined cases: a null text has no language and goes; empty texts have no letter and go; very long texts are worked on
+whole; of equal documents the smallest id stays; rows with a null id stay where their text does; an empty table gives no rows;
+extra columns are kept, also where their names look like the operators' own.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tomewright.llm import bpe, decontaminate, langid, linededup, neardup
-from tomewright.llm.common import materialize, read
+from tomewright.llm.common import discard, materialize, read
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +22,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return linededup.line_dedup(docs)
+    return linededup.stage(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,6 +51,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        if k:
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
