@@ -246,8 +246,12 @@ def most_frequent(counts: DataFrame, most: int = WORDS) -> tuple[np.ndarray, np.
         if total > most:
             break
         least = s
-    got = counts.where(step >= least).toPandas().sort_values("word") if least is not None else pd.DataFrame({"word": [], "n": []})
-    return got["word"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    got = counts.where(step >= least).select("word", "n").toArrow()
+    word, n = got.column("word").to_numpy(), got.column("n").to_numpy()
+    order = np.argsort(word)
+    return word[order], n[order]
 
 
 class Layout:
@@ -293,8 +297,8 @@ def pair_counts(rows: DataFrame, layout: Layout, end: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["cell", "n"])
 
     out = np.zeros(ROWS * CLASSES, np.int64)
-    got = rows.select("ids").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    out[got["cell"].to_numpy(int)] = got["n"].to_numpy()
+    got = rows.select("ids").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
     return out.reshape(ROWS, CLASSES)
 
 

@@ -247,16 +247,29 @@ def truth(labels: DataFrame) -> DataFrame:
     return labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
 
 
-def valued(docs: DataFrame, found: DataFrame, base: float, finish: Callable, schema: str, bound: int = ENTRIES) -> DataFrame:
+class Tables:
+    """The table of each block of hashes, sent to the tasks when it is asked for; a single one is sent once."""
+
+    def __init__(self, found: DataFrame, base: float, bound: int):
+        self.found, self.base, self.single = found, base, None
+        self.blocks = max(1, -(-found.count() // bound))
+
+    def __getitem__(self, b: int):
+        if self.single is None or self.blocks > 1:
+            rows = self.found.where(F.pmod("h", F.lit(self.blocks)) == b).select("h", F.col("t").cast("int"), F.col("c").cast("int"), F.col("up").cast("float"))
+            got = rows.toArrow()
+            self.single = rows.sparkSession.sparkContext.broadcast(Table(*(got.column(c).to_numpy() for c in ("h", "t", "c", "up")), self.base))
+        return self.single
+
+
+def valued(docs: DataFrame, tables: Tables, finish: Callable, schema: str) -> DataFrame:
     """Rows that ``finish`` makes of each batch and its texts' scores (log-odds less DRIFT of every token). Where docs has
     a column ``toxic``, documents are valued without their own counts. Each block of hashes is one pass."""
-    own, spark = docs.columns, docs.sparkSession
+    own, blocks = docs.columns, tables.blocks
     between = ", ".join([*(f"`{n}` {k}" for n, k in docs.dtypes), "scores binary, levels binary"])
     at, label = own.index("text"), own.index("toxic") if "toxic" in own else None
-    blocks = max(1, -(-found.count() // bound))
     for b in range(blocks):
-        got = found.where(F.pmod("h", F.lit(blocks)) == b).toPandas()
-        sent = spark.sparkContext.broadcast(Table(got["h"].to_numpy(np.int64), got["t"].to_numpy(), got["c"].to_numpy(), got["up"].to_numpy(), base))
+        sent = tables[b]
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, b=b) -> Iterator[pa.RecordBatch]:
             look = sent.value
@@ -302,10 +315,11 @@ def score(docs: DataFrame, labels: DataFrame, *, bound: int = ENTRIES) -> DataFr
     base = math.log((toxic + 0.5) / (clean + 0.5))
     found = materialize(entries(counts, 1 / (1 + math.exp(-base))), "entries")
     discard(counts)
+    tables = Tables(found, base, bound)
     fraction = min(1.0, SAMPLE / max(1, sum(rows.values())))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(fraction * (1 << 30))))
     keep = lambda batch, scores: pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.tobytes() for x in scores], pa.binary())], ["toxic", "scores"])
-    sample = materialize(valued(learning.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), found, base, keep, "toxic int, scores binary", bound), "sample")
+    sample = materialize(valued(learning.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), tables, keep, "toxic int, scores binary"), "sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BINS, np.int64)
@@ -339,7 +353,7 @@ def score(docs: DataFrame, labels: DataFrame, *, bound: int = ENTRIES) -> DataFr
         made = 1 / (1 + F.exp(-(F.lit(float(w[0])) + F.lit(float(w[1])) * F.log1p("best") + F.lit(float(w[2])) * F.log1p("total"))))
     discard(sample)
     schema = "doc_id long, held_out boolean, best double, total double, passages array<struct<start: long, end: long, score: double>>"
-    figures = valued(docs.select("doc_id", held_out().alias("held_out"), "text"), found, base, grade, schema, bound)
+    figures = valued(docs.select("doc_id", held_out().alias("held_out"), "text"), tables, grade, schema)
     return figures.withColumn("score", made).select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages")
 
 
