@@ -9,18 +9,65 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Ligatures and apostrophes that folding replaces, accented Latin letters and their plain forms.
-LIGATURES = {"œ": "oe", "Œ": "oe", "æ": "ae", "Æ": "ae", "ß": "ss"}
-APOSTROPHES = "'’ʼ`´"
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+# Ligatures and apostrophes that folding replaces.
+LIGATURES = {"œ": "oe", "Œ": "oe", "æ": "ae", "Æ": "ae"}
+APOSTROPHES = ["'", "’", "ʼ"]
+
+# Vocabularies of the facets.
+SCHOOLS = ["abjuration", "divination", "enchantement", "evocation", "illusion", "invocation", "necromancie", "transmutation", "universel"]
+SAVES = ["volonte", "vigueur", "reflexes"]
+ACTIONS = ["action simple", "action immediate", "action rapide", "action complexe"]
+TIME_UNITS = ["round", "minute", "heure", "semaine"]
+COMPONENTS = ["FD", "DF", "V", "G", "M", "F", "S"]
+
+
+def _plain(c: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+
+
+# Latin letters that decompose into one letter and marks, with that letter, by rule.
+_MARKED = [chr(i) for block in ((0xC0, 0x250), (0x1E00, 0x1F00)) for i in range(*block) if len(_plain(chr(i))) == 1 and _plain(chr(i)) != chr(i)]
+ACCENTED, PLAIN = "".join(_MARKED), "".join(map(_plain, _MARKED))
+
+
+def without_marks(x: Column) -> Column:
+    """Latin letters without their marks, and without combining marks of their own; native."""
+    return F.translate(F.regexp_replace(x, r"\p{Mn}+", ""), ACCENTED, PLAIN)
 
 
 def fold_latin(x: Column) -> Column:
-    """Lower case without the accents and ligatures of Latin-1; native."""
+    """Lower case without marks and ligatures of Latin letters; native."""
     for a, b in LIGATURES.items():
         x = F.replace(x, F.lit(a), F.lit(b))
-    return F.translate(F.lower(x), ACCENTED, PLAIN)
+    return F.lower(without_marks(x))
+
+
+def normal(x: Column) -> Column:
+    """Lower case without marks, trimmed: what rules are compared in. Ligatures and apostrophes stay."""
+    return F.trim(F.lower(without_marks(x)))
+
+
+def spaces(x: Column) -> Column:
+    return F.trim(F.regexp_replace(x, r"\s+", " "))
+
+
+def search_key(x: Column) -> Column:
+    """What searches compare Latin text in: folded, apostrophes as spaces, spaces collapsed; native."""
+    for a in APOSTROPHES:
+        x = F.replace(x, F.lit(a), F.lit(" "))
+    return spaces(fold_latin(x))
+
+
+def label_key(x: Column) -> Column:
+    """Key of a label: straight apostrophes, no marks, spaces collapsed, without colons at the end."""
+    straight = F.regexp_replace(F.replace(x, F.lit("\u00a0"), F.lit(" ")), "[’‘ʼ]", "'")
+    return F.trim(F.regexp_replace(spaces(F.lower(without_marks(straight))), ":+$", ""))
+
+
+def citation_key(x: Column) -> Column:
+    """Lenient form of a quotation: no marks, straight quotes, spaces collapsed."""
+    flat = without_marks(F.replace(x, F.lit("\u00a0"), F.lit(" ")))
+    return F.lower(spaces(F.regexp_replace(F.regexp_replace(flat, "[’‘]", "'"), "[“”]", '"')))
 
 
 @F.pandas_udf(T.StringType())
@@ -118,3 +165,157 @@ def runs_of(levels: Column) -> Column:
     groups = F.transform(F.array_distinct(F.transform(keyed, lambda k: k["g"])), lambda g: F.transform(F.filter(keyed, lambda k: k["g"] == g), lambda k: k["v"]))
     text = lambda v: v.cast("string")
     return F.array_join(F.transform(groups, lambda r: F.when(F.size(r) >= 3, F.concat(text(F.array_min(r)), F.lit("-"), text(F.array_max(r)))).otherwise(F.array_join(F.transform(r, text), ","))), ",")
+
+
+def head(x: Column) -> Column:
+    """The folded text before a parenthesis."""
+    return search_key(F.split(x, r"\(")[0])
+
+
+def school(x: Column, known: list[str] = SCHOOLS) -> Column:
+    """Canonical school, null where there is none; an unknown one fails the job."""
+    h = head(x)
+    out = F.when(F.startswith(h, F.lit("universel")), "universel").when(h.isin(*known), h)
+    return F.when(F.coalesce(h, F.lit("")) == "", F.lit(None)).otherwise(F.coalesce(out, F.raise_error(F.concat(F.lit("unknown school: "), x)).cast("string")))
+
+
+def sampling_school(x: Column) -> Column:
+    """Group name of a school for samples: accents stay, brackets go, one spelling of the universal one."""
+    h = F.trim(F.translate(F.split(x, r"\(")[0], "[]", "  "))
+    base = F.concat(F.upper(F.substring(h, 1, 1)), F.lower(F.substr(h, F.lit(2))))
+    return F.when(F.startswith(base, F.lit("Univers")), "Universelle").otherwise(F.nullif(base, F.lit("")))
+
+
+def first_contained(x: Column, words: list[str], default: Column | str) -> Column:
+    """The first of the words that the folded text holds, spaces as underscores."""
+    key, out = search_key(x), None
+    for w in words:
+        holds, name = F.contains(key, F.lit(w)), F.lit(w.replace(" ", "_"))
+        out = F.when(holds, name) if out is None else out.when(holds, name)
+    return F.when(F.coalesce(key, F.lit("")) != "", out.otherwise(default))
+
+
+def save_family(x: Column) -> Column:
+    key = search_key(x)
+    return F.when(F.startswith(key, F.lit("aucun")) | (key == "non"), "aucun").otherwise(first_contained(x, SAVES, "special"))
+
+
+def casting_family(x: Column) -> Column:
+    return first_contained(x, [*ACTIONS, *TIME_UNITS], "special")
+
+
+def components(x: Column) -> Column:
+    """Component sigils outside parentheses, both spellings of the divine focus as one, sorted."""
+    plain = F.upper(without_marks(F.regexp_replace(x, r"\([^)]*\)", " ")))
+    found = F.regexp_extract_all(plain, F.lit(rf"\b({'|'.join(COMPONENTS)})\b"), F.lit(1))
+    return F.coalesce(F.array_sort(F.array_distinct(F.transform(found, lambda c: F.when(c == "DF", "FD").otherwise(c)))), F.array().cast("array<string>"))
+
+
+def split_school(x: Column) -> Column:
+    """``School [a, b]`` as struct (school, descriptors)."""
+    groups = F.regexp_extract_all(x, F.lit(r"\[([^\]]*)\]"), F.lit(1))
+    parts = F.filter(F.transform(F.flatten(F.transform(groups, lambda g: F.split(g, ","))), lambda p: F.trim(p)), lambda p: p != "")
+    name = F.trim(F.regexp_replace(F.trim(F.regexp_replace(x, r"\[[^\]]*\]", "")), ";+$", ""))
+    return F.struct(F.nullif(name, F.lit("")).alias("school"), F.coalesce(parts, F.array().cast("array<string>")).alias("descriptors"))
+
+
+def feat_name(x: Column) -> Column:
+    """A name without the stars at its end."""
+    return F.trim(F.regexp_replace(F.trim(x), r"\*+$", ""))
+
+
+def with_additions(conditions: Column, additions: Column, empty: list[str] = ("", "-", "—", "–", "nan", "#error!")) -> Column:
+    """A condition text with the added ones behind it; a text that says none is left out."""
+    base = F.filter(F.array(F.trim(conditions)), lambda c: ~F.lower(c).isin(*empty))
+    return F.when(F.coalesce(F.size(additions), F.lit(0)) > 0, F.array_join(F.concat(base, additions), ", ")).otherwise(conditions)
+
+
+def contained(x: Column, keywords: list[str]) -> Column:
+    """The keywords that the normalised text holds, in their order."""
+    key = normal(x)
+    return F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(key, normal(k)))
+
+
+def categories(x: Column, keywords: dict[str, list[str]]) -> Column:
+    """Names of the keyword lists of which the text holds one, sorted."""
+    return F.array_sort(F.array_compact(F.array(*[F.when(F.size(contained(x, words)) > 0, F.lit(name)) for name, words in keywords.items()])))
+
+
+def graded(x: Column, strong: list[str], excluding: list[str], weak: list[str]) -> Column:
+    """struct (holds, unsure, matched): strong keywords decide, then excluding ones, weak ones leave it open."""
+    a, b, c = contained(x, strong), contained(x, excluding), contained(x, weak)
+    nothing = F.array().cast("array<string>")
+    weakly = (F.size(a) == 0) & (F.size(b) == 0) & (F.size(c) > 0)
+    return F.struct((F.size(a) > 0).alias("holds"), weakly.alias("unsure"), F.when(F.size(a) > 0, a).when(weakly, c).otherwise(nothing).alias("matched"))
+
+
+def affinity(x: Column, pattern: str, most_words: int = 4) -> Column:
+    """struct (phrase, simple) of the pattern's first group; null where it isn't found. Simple phrases are short, without
+    commas and comparisons."""
+    phrase = F.trim(F.regexp_extract(x, pattern, 1))
+    simple = (F.size(F.split(phrase, r"\s+")) <= most_words) & ~F.contains(phrase, F.lit(",")) & ~F.contains(F.lower(phrase), F.lit(" comme "))
+    return F.when(phrase != "", F.struct(phrase.alias("phrase"), simple.alias("simple")))
+
+
+def ordered_rules(x: Column, exact: dict[str, list[str]], prefixes: dict[str, list[str]], default: str) -> Column:
+    """The kind of the first rule that holds: exact texts by kind, then beginnings by kind."""
+    key, out = normal(x), None
+    for kind, words in exact.items():
+        out = F.when(key.isin(*words), kind) if out is None else out.when(key.isin(*words), kind)
+    for kind, words in prefixes.items():
+        starts = F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.startswith(key, w))
+        out = F.when(starts, kind) if out is None else out.when(starts, kind)
+    return F.lit(default) if out is None else out.otherwise(default)
+
+
+def absolute_url(x: Column, site: str, folder: str) -> Column:
+    """A relative address on a site: as it is with a scheme, with one before ``//``, below the site or the folder."""
+    h = F.trim(x)
+    return F.when(h.rlike("^https?://"), h).when(F.startswith(h, F.lit("//")), F.concat(F.lit("https:"), h)).when(F.startswith(h, F.lit("/")), F.concat(F.lit(site), h)).otherwise(F.concat(F.lit(folder), h))
+
+
+def percent(n: Column, total: Column, digits: int = 1) -> Column:
+    return F.when(total == 0, F.lit("0 %")).otherwise(F.format_string(f"%.{digits}f %%", F.lit(100.0) * n / total))
+
+
+def share_label(n: Column, total: Column) -> Column:
+    """Whole percent; what is above nothing but below one percent says so."""
+    whole = F.round(F.lit(100.0) * n / total).cast("int")
+    return F.when((n > 0) & (n * 100 < total), "< 1 %").otherwise(F.concat(whole.cast("string"), F.lit(" %")))
+
+
+def file_name(name: Column, day: Column, default: str, ending: str = "json") -> Column:
+    return F.concat(slug_or(name, default), F.lit("-"), F.date_format(day, "yyyy-MM-dd"), F.lit(f".{ending}"))
+
+
+def json_object(x: Column) -> Column:
+    """From the first brace to the last, fences or words around it dropped; null where that isn't an object."""
+    inner = F.nullif(F.regexp_extract(x, r"(?s)(\{.*\})", 1), F.lit(""))
+    return F.when(F.json_object_keys(inner).isNotNull(), inner)
+
+
+def answer_labels(x: Column, most_chars: int = 60) -> Column:
+    """One label for each line of an answer, in order, each once: bullets stripped, lines of several words or too long
+    dropped, colons and full stops at the end stripped."""
+    lines = F.transform(F.split(x, r"\r?\n"), lambda v: F.regexp_replace(F.trim(v), r"^[-*•\t ]+|[-*•\t ]+$", ""))
+    kept = F.filter(lines, lambda v: (v != "") & ~F.contains(v, F.lit(" ")) & (F.char_length(v) <= most_chars))
+    return F.array_distinct(F.filter(F.transform(kept, lambda v: F.regexp_replace(v, r"[:.]+$", "")), lambda v: v != ""))
+
+
+def readable(x: Column) -> Column:
+    return F.translate(x, "_", " ")
+
+
+def labelled(x: Column, labels: dict[str, str]) -> Column:
+    """The label of a code, the readable code where there is none."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for kv in labels.items() for v in kv]), x), readable(x))
+
+
+def in_order(chosen: Column, vocabulary: list[str]) -> Column:
+    """The known values among the chosen, each once, in the vocabulary's order."""
+    return F.filter(F.array(*[F.lit(v) for v in vocabulary]), lambda v: F.array_contains(chosen, v))
+
+
+def longest_only(found: Column) -> Column:
+    """Keywords that no longer found keyword holds."""
+    return F.filter(found, lambda k: ~F.exists(found, lambda o: (F.char_length(o) > F.char_length(k)) & F.contains(o, k)))

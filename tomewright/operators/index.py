@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tomewright.operators.ordering import numbered
+
 
 def class_levels(entries: DataFrame) -> DataFrame:
     """id, class_id, level: the lowest level where a list names an entity twice."""
@@ -113,7 +115,7 @@ def partition_check(entries: DataFrame, all_ids: DataFrame) -> DataFrame:
 def dense_codes(rows: DataFrame, column: str) -> DataFrame:
     """value, code: distinct values in order, numbered from 0. A vocabulary is small: its window sees distinct values only."""
     values = rows.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
-    return values.select("value", (F.row_number().over(Window.orderBy("value")) - 1).cast("long").alias("code"))
+    return numbered(values, ["value"], "code").select("value", F.col("code").cast("long").alias("code"))
 
 
 def volumetry(entries: DataFrame) -> DataFrame:

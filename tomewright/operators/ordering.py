@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tomewright.sources.shared import materialize
+
 
 def nulls_last(column: str, descending: bool, tie: str) -> list[Column]:
     """Nulls last in both directions; the tie-break always ascends."""
@@ -21,11 +23,28 @@ def ranked(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
     return rows.orderBy(*order).limit(n).withColumn("place", F.row_number().over(Window.orderBy(*order)))
 
 
+def numbered(rows: DataFrame, by: list[str], name: str) -> DataFrame:
+    """rows with their place from 0 in the order of ``by``. Rows are dealt by range; each partition numbers its own, and the
+    sizes of the partitions before it, a row for each of them, are added."""
+    dealt = materialize(rows.repartitionByRange(*by).withColumn("__part", F.spark_partition_id()), "dealt")
+    sizes = dealt.groupBy("__part").agg(F.count("*").alias("n"))
+    before = sizes.select("__part", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*by))
+    return dealt.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + inside - 1).drop("__part", "__before")
+
+
+def numbered_within(rows: DataFrame, group: list[str], by: list[str], name: str) -> DataFrame:
+    """rows with their place from 0 in their group; one group may hold most rows."""
+    placed = materialize(numbered(rows, [*group, *by], name), "placed")
+    first = placed.groupBy(*group).agg(F.min(name).alias("__first"))
+    return placed.join(first, group).withColumn(name, F.col(name) - F.col("__first")).drop("__first")
+
+
 def stable_slugs(rows: DataFrame, base: str, name: str, position: str) -> DataFrame:
     """name, slug: the first name with a base slug owns it, later ones get -2, -3, ... in order of first position."""
     first = rows.groupBy(base, name).agg(F.min(position).alias("at"))
-    place = F.row_number().over(Window.partitionBy(base).orderBy("at", name))
-    return first.withColumn("n", place).select(name, F.when(F.col("n") == 1, F.col(base)).otherwise(F.concat(base, F.lit("-"), F.col("n").cast("string"))).alias("slug"))
+    placed = numbered_within(first, [base], ["at", name], "n")
+    return placed.select(name, F.when(F.col("n") == 0, F.col(base)).otherwise(F.concat(base, F.lit("-"), (F.col("n") + 1).cast("string"))).alias("slug"))
 
 
 def top_per_group(rows: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
@@ -33,20 +52,62 @@ def top_per_group(rows: DataFrame, group: str, order: list[Column], n: int) -> D
 
 
 def quotas(strata: DataFrame, keys: list[str], size: str, target: int, floor: int = 2) -> DataFrame:
-    """keys, quota: at least ``floor`` of each stratum where it has so many, the rest in proportion by largest remainders.
+    """keys, quota: the rounded share of each stratum (half to even), at least ``floor`` where it has so many, then one by one
+    taken from the strata that have most above their share, or given to those with most below it (the larger, or smaller,
+    key first), until the target is met.
 
+    One by one is the same as all single steps in order of what a stratum would be off before each, so the steps are rows.
     Strata are few (a row for each kind), so the windows run over that small table."""
     everything = Window.partitionBy()
-    base = strata.withColumn("least", F.least(F.col(size), F.lit(floor)))
-    base = base.withColumn("ideal", F.col("least") + (F.lit(target) - F.sum("least").over(everything)) * (F.col(size) - F.col("least")) / F.greatest(F.sum(F.col(size) - F.col("least")).over(everything), F.lit(1)))
-    base = base.withColumn("whole", F.least(F.floor("ideal"), F.col(size)))
-    order = Window.orderBy(F.desc(F.col("ideal") - F.col("whole")), *keys)
-    spare = F.lit(target) - F.sum("whole").over(everything)
-    base = base.withColumns({"place": F.row_number().over(order), "spare": spare})
-    return base.select(*keys, F.least(F.col(size), F.col("whole") + F.when(F.col("place") <= F.col("spare"), 1).otherwise(0)).cast("long").alias("quota"))
+    share = F.lit(float(target)) * F.col(size) / F.sum(size).over(everything)
+    base = strata.withColumn("ideal", share).withColumn("least", F.least(F.col(size), F.lit(floor)))
+    base = base.withColumn("start", F.least(F.col(size), F.greatest(F.lit(floor), F.bround("ideal"))).cast("long"))
+    base = base.withColumn("over", F.sum("start").over(everything) - F.lit(target))
+    room = F.when(F.col("over") > 0, F.least(F.col("start") - F.col("least"), F.col("over"))).otherwise(F.least(F.col(size) - F.col("start"), -F.col("over")))
+    steps = base.withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), room))).where(F.col("step") < room)
+    off = F.col("start") - F.col("ideal") - F.signum("over") * F.col("step")
+    taken = F.row_number().over(Window.orderBy(F.desc(off), *[F.desc(k) for k in keys]))
+    given = F.row_number().over(Window.orderBy(F.asc(off), *[F.asc(k) for k in keys]))
+    steps = steps.withColumn("place", F.when(F.col("over") > 0, taken).otherwise(given)).where(F.col("place") <= F.abs("over"))
+    moved = steps.groupBy(*keys).agg(F.sum(-F.signum("over")).cast("long").alias("moved"))
+    return base.join(moved, keys, "left").select(*keys, (F.col("start") + F.coalesce("moved", F.lit(0))).alias("quota"))
 
 
 def stratified_sample(rows: DataFrame, stratum: list[str], quota: DataFrame, key: str, seed: int) -> DataFrame:
-    """Rows of each stratum with the lowest seeded hashes, as many as its quota (columns stratum, quota)."""
-    place = F.row_number().over(Window.partitionBy(*stratum).orderBy(F.xxhash64(F.lit(seed), key), key))
-    return rows.withColumn("place", place).join(quota, stratum).where(F.col("place") <= F.col("quota")).drop("place", "quota")
+    """Rows of each stratum with the lowest seeded hashes, as many as its quota (columns stratum, quota). A stratum's rows are
+    cut in each partition first, so none is sorted in one task."""
+    drawn = rows.withColumn("__draw", F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string")))).join(quota, stratum)
+    near = F.row_number().over(Window.partitionBy(*stratum, "__near").orderBy("__draw", key))
+    dealt = drawn.withColumn("__near", F.substring("__draw", 1, 1))  # hashes are even, so a sixteenth of a stratum each
+    counts = dealt.groupBy(*stratum, "__near").agg(F.count("*").alias("__n"))
+    before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.partitionBy(*stratum).orderBy("__near").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
+    placed = dealt.withColumn("__place", near).join(before, [*stratum, "__near"])
+    return placed.where(F.col("__before") + F.col("__place") <= F.col("quota")).drop("__draw", "__near", "__place", "__before", "quota")
+
+
+def cover(rows: DataFrame, key: str, flags: list[str]) -> list:
+    """Keys picked one after another, each the one with most flags that none has yet (the smallest among equals), until none
+    adds one. Only one row for each set of flags is needed, and there are at most 2 ** len(flags) of them."""
+    sets = rows.select(key, F.array_compact(F.array(*[F.when(F.col(f), F.lit(f)) for f in flags])).alias("has"))
+    few = sets.groupBy("has").agg(F.min(key).alias("key")).collect()
+    missing, picked = set(flags), []
+    while missing:
+        best = max(few, key=lambda r: len(missing & set(r["has"])), default=None)
+        gain = len(missing & set(best["has"])) if best else 0
+        if not gain:
+            break
+        key_ = min(r["key"] for r in few if len(missing & set(r["has"])) == gain)
+        picked.append(key_)
+        missing -= set(next(r["has"] for r in few if r["key"] == key_))
+    return picked
+
+
+def picked_by_rules(rows: DataFrame, key: str, rules: list[tuple[Column, int]]) -> DataFrame:
+    """key, rule: ordered rules each take the first keys that hold and that no rule before took, at most so many. A row counts
+    for its first rule that has room, so each rule looks at what is left; rules are few."""
+    out, left = None, rows
+    for n, (condition, most) in enumerate(rules):
+        took = materialize(left.where(condition).select(key).orderBy(key).limit(most).withColumn("rule", F.lit(n)), "took")
+        out = took if out is None else out.unionByName(took)
+        left = left.join(took.select(key), key, "left_anti")
+    return out

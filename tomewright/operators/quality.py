@@ -70,19 +70,26 @@ def require_empty(rows: DataFrame, message: str) -> DataFrame:
 
 
 def evidence(docs: DataFrame, quotes: DataFrame, text: str, quote: str, words: int = 4) -> DataFrame:
-    """All pairs of a text and a quote that it holds word for word (letter case counts).
+    """All pairs of a text and a quote that it holds word for word (letter case counts). Of equal rows one counts.
 
-    Quotes of at least ``words`` words meet texts by a hash of their first ``words`` words and are then confirmed by
-    containment; shorter quotes, by containment alone, on the few distinct short quotes."""
+    A quote's first and last word may be the end and start of longer ones in the text, the words between them stand whole. Quotes
+    of at least ``words`` + 2 words meet texts by a hash of their second to next words; only (text, hash) goes through
+    that join, then each text is fetched once for each of its candidates and confirmed by containment. Shorter quotes
+    meet by the hash of their inner words, as many as there are; quotes without inner words by containment alone."""
     tokens = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
-    gram = lambda w, i: F.xxhash64(F.array_join(F.slice(w, i, words), " "))
-    q = quotes.where(F.col(quote).isNotNull()).withColumn("__w", tokens(F.col(quote)))
-    long_q = q.where(F.size("__w") > words).withColumn("__g", gram(F.col("__w"), F.lit(2))).drop("__w")
-    d = docs.where(F.col(text).isNotNull()).withColumn("__w", tokens(F.col(text)))
-    grams = d.where(F.size("__w") >= words).select("*", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("__w") - words + 1), lambda i: gram(F.col("__w"), i)))).alias("__g"))
-    starts = grams.select(*[c for c in docs.columns if c != text], "__g", text)
-    found = starts.join(long_q, "__g").where(F.contains(F.col(text), F.col(quote))).drop("__g")
-    short = q.where(F.size("__w") <= words).drop("__w")
-    few = docs.crossJoin(short).where(F.contains(F.col(text), F.col(quote)))
-    columns = [*[c for c in docs.columns if c != text], *[c for c in quotes.columns if c != quote]]
+    own = [c for c in docs.columns if c != text]
+    q = quotes.where(F.col(quote).isNotNull()).distinct().withColumn("__q", F.xxhash64(*quotes.columns)).withColumn("__w", F.split(quote, r"\s+"))
+    q = q.withColumn("__n", F.least(F.greatest(F.size("__w") - 2, F.lit(0)), F.lit(words)))
+    hashed = q.where("__n > 0").withColumn("__g", F.xxhash64("__n", F.array_join(F.slice("__w", 2, F.col("__n")), " ")))
+    sizes = [r["__n"] for r in hashed.select("__n").distinct().collect()]  # at most ``words`` of them
+    d = docs.where(F.col(text).isNotNull()).distinct().withColumn("__d", F.xxhash64(*docs.columns))
+    gram = lambda w, i, n: F.xxhash64(F.lit(n), F.array_join(F.slice(w, i, n), " "))
+    grams_of = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size("__w") - n + 1, F.lit(1))), lambda i: gram(F.col("__w"), i, n))
+    every = [F.when(F.size("__w") >= n, grams_of(n)) for n in sizes] or [F.array().cast("array<bigint>")]
+    grams = d.select("__d", tokens(F.col(text)).alias("__w")).select("__d", F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*every))))).alias("__g"))
+    met = grams.join(hashed.select("__g", "__q"), "__g").select("__d", "__q").distinct()
+    found = met.join(d, "__d").join(q.drop("__w", "__n"), "__q").where(F.contains(F.col(text), F.col(quote)))
+    bare = q.where("__n = 0").select(*quotes.columns)
+    few = d.join(bare, F.contains(F.col(text), F.col(quote)))
+    columns = [*own, *[c for c in quotes.columns if c != quote]]
     return reduce(DataFrame.unionByName, [found.select(*columns), few.select(*columns)]).distinct()

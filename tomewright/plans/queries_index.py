@@ -51,6 +51,15 @@ def level_runs(spark, d):
     return entries(spark, d).groupBy("class_id", "school").agg(F.collect_set("level").alias("l")).select("class_id", "school", runs_of(F.col("l")).alias("levels"))
 
 
+def fixture_selection(spark, d):
+    """Keys that together show all cases, and keys by ordered rules."""
+    p = spells(spark, d)
+    flags = {"no_level": F.col("level").isNull(), "top": F.col("level") == 9, "no_school": F.col("school").isNull(), "cheap": F.col("cost") < 910, "hot": F.array_contains("tags", "hot"), "large": F.array_contains("tags", "LARGE")}
+    picked = ordering.cover(p.select("id", *[c.alias(n) for n, c in flags.items()]), "id", list(flags))
+    ruled = ordering.picked_by_rules(p, "id", [(F.col("level") == 9, 3), (F.col("school").isNull(), 4), (F.col("level") >= 8, 3), (F.lit(True), 5)])
+    return ruled.select("id", F.col("rule").cast("int").alias("rule")).unionByName(spark.createDataFrame([(int(k), 9) for k in picked], "id long, rule int"))
+
+
 QUERIES = {
     "unique_index_fold": unique_index_fold,
     "share_distribution": lambda s, d: index.share_distribution(entries(s, d)),
@@ -73,10 +82,18 @@ QUERIES = {
     "stable_slug": stable_slug,
     "quota_allocation": quota_allocation,
     "stratified_sample": stratified_sample,
+    "fixture_selection": fixture_selection,
     "level_runs": level_runs,
 }
 
+_QUOTA_SQL = """b AS (SELECT id, level, coalesce(school, '-') AS school FROM entries QUALIFY row_number() OVER (PARTITION BY id ORDER BY level, coalesce(school, '-')) = 1), s AS (SELECT school, level, count(*) AS n FROM b GROUP BY ALL),
+i AS (SELECT *, 300.0::DOUBLE * n / (sum(n) OVER ())::BIGINT AS ideal FROM s), j AS (SELECT *, least(n, greatest(2, round_even(ideal, 0)))::BIGINT AS start FROM i), k AS (SELECT *, (sum(start) OVER ())::BIGINT - 300 AS over FROM j),
+u AS (SELECT school, level, over, start - ideal - sign(over) * step AS off FROM k, unnest(range(0, CASE WHEN over > 0 THEN start - least(n, 2) ELSE n - start END)) AS t(step)),
+m AS (SELECT school, level, -sign(over) AS move, CASE WHEN over > 0 THEN row_number() OVER (ORDER BY off DESC, school DESC, level DESC) ELSE row_number() OVER (ORDER BY off, school, level) END AS place, over FROM u),
+q AS (SELECT school, level, (any_value(start) + coalesce(sum(move) FILTER (place <= abs(m.over)), 0))::BIGINT AS quota FROM k LEFT JOIN m USING (school, level) GROUP BY school, level)"""
 ORACLES = {
+    "quota_allocation": f"WITH {ENTRIES_SQL}, {_QUOTA_SQL} SELECT school, level, quota FROM q",
+    "stratified_sample": f"WITH {ENTRIES_SQL}, {_QUOTA_SQL} SELECT id, b.school, b.level FROM b JOIN q ON q.school = b.school AND q.level = b.level QUALIFY row_number() OVER (PARTITION BY b.school, b.level ORDER BY md5('17|' || id::VARCHAR), id) <= quota",
     "unique_index_fold": f"""{BASE_SQL},
 u AS (SELECT id, url, count(*) AS n FROM entries GROUP BY id, url),
 m AS (SELECT id, url FROM u QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, url) = 1),

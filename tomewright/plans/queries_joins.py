@@ -100,19 +100,11 @@ def text_parses(spark, d):
 
 def kleene(spark, d):
     p = spells(spark, d)
-    a, b, c = F.col("level") > 4, F.col("school") == "Brand#11", F.col("cost") > 1200
+    a, b, c = F.col("level") > 4, F.col("school") == "Brand#11", F.col("cost") > 950
     show = lambda x: F.coalesce(x.cast("string"), F.lit("null"))
     return p.select("id", show(rules.kleene_any([a, b, c])).alias("any"), show(rules.kleene_all(F.array(a, b, c))).alias("all"), rules.verdict(rules.kleene_all([a, b, c])).alias("verdict"))
 
 
-def eligibility_matrix(spark, d):
-    people = load(spark, d, "customer").where("c_acctbal > 9000").select(F.col("c_custkey").alias("who"), F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey")).alias("strength"), F.col("c_mktsegment").alias("job"))
-    feats = load(spark, d, "part").where("p_size <= 3").select(F.col("p_partkey").alias("feat"), F.col("p_size").alias("need"), F.col("p_brand").alias("brand"))
-    conditions = {"strength": F.col("strength") >= F.col("need") * 6, "job": F.when(F.col("job") != "MACHINERY", F.col("job") != "BUILDING")}
-    made = rules.evaluate_matrix(people, feats, conditions, {"brand": F.col("brand") == "Brand#11"})
-    return made.groupBy("status", "reasons").agg(F.count("*").alias("n"))
-
-
 def progression(spark, d):
     p = load(spark, d, "part")
     kind = F.element_at(F.array(F.lit("fast"), F.lit("medium"), F.lit("slow")), (F.col("p_partkey") % 3 + 1).cast("int"))
@@ -149,16 +141,38 @@ def slot_allocation(spark, d):
 
 
 def _edges(spark, d):
-    p = load(spark, d, "part").where("p_partkey > 0 AND p_partkey < 400")
-    tree = p.select(F.floor(F.col("p_partkey") / 2).cast("long").alias("src"), F.col("p_partkey").alias("dst")).where("src > 0")
-    return tree.unionByName(p.where("p_partkey > 300").select((F.col("p_partkey") - 7).alias("src"), F.col("p_partkey").alias("dst")))
+    """Each part needs its half and its third, but for one in eleven; reach stays near n times log n squared."""
+    p = load(spark, d, "part").select(F.col("p_partkey").alias("dst"))
+    both = p.select(F.explode(F.array(*[F.floor(F.col("dst") / k).cast("long") for k in (2, 3)])).alias("src"), "dst")
+    return both.where("src > 0 AND src % 11 <> 5 AND dst % 11 <> 5").distinct()
 
 
 def _nodes(spark, d):
-    return load(spark, d, "part").where("p_partkey > 0 AND p_partkey < 450").select(F.col("p_partkey").alias("node"))
+    return load(spark, d, "part").select(F.col("p_partkey").alias("node"))
+
+
+def adjacency(spark, d):
+    even = _nodes(spark, d).where("node % 2 = 0")
+    join = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), "|")
+    return graph.adjacency(_edges(spark, d), even).select("node", join("parents").alias("parents"), join("children").alias("children"))
+
+
+def _requirements(spark, d):
+    """Half or third: alternatives of one part for even nodes, parts of their own for odd ones."""
+    return _edges(spark, d).select(F.col("dst").alias("node"), F.when(F.col("dst") % 2 == 0, F.lit(0).cast("long")).otherwise(F.col("src")).alias("part"), F.col("src").alias("prerequisite"))
+
+
+def cheapest_cost(spark, d):
+    nodes, edges = _nodes(spark, d), _edges(spark, d)
+    return graph.cheapest_cost(_requirements(spark, d), nodes, graph.waves(edges, nodes, 40), 40)
+
+
+def graph_catalogue(spark, d):
+    groups = _requirements(spark, d).where("node % 2 = 0")
+    return graph.catalogue_of(_edges(spark, d), groups)
 
 
-EDGES_SQL = "e AS (SELECT (p_partkey // 2) AS src, p_partkey AS dst FROM part WHERE p_partkey > 1 AND p_partkey < 400 UNION SELECT p_partkey - 7, p_partkey FROM part WHERE p_partkey > 300 AND p_partkey < 400)"
+EDGES_SQL = "e AS (SELECT DISTINCT p_partkey // k AS src, p_partkey AS dst FROM part, unnest([2, 3]) AS u(k) WHERE p_partkey // k > 0 AND (p_partkey // k) % 11 <> 5 AND p_partkey % 11 <> 5)"
 REACH_SQL = f"WITH RECURSIVE {EDGES_SQL}, reach AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM reach AS r JOIN e ON e.src = r.dst)"
 
 
@@ -199,7 +213,6 @@ QUERIES = {
     "families": families,
     "text_parses": text_parses,
     "kleene_logic": kleene,
-    "eligibility_matrix": eligibility_matrix,
     "progression": progression,
     "bonus_stacking": bonus_stacking,
     "range_modifier": range_modifier,
@@ -209,6 +222,10 @@ QUERIES = {
     "waves": lambda s, d: graph.waves(_edges(s, d), _nodes(s, d), 6),
     "isolated_nodes": lambda s, d: graph.isolated(_nodes(s, d), _edges(s, d)),
     "requirement_cost": lambda s, d: graph.requirement_cost(_edges(s, d), _nodes(s, d)),
+    "hub_sizes": lambda s, d: graph.hub_sizes(graph.hubs(_edges(s, d))),
+    "adjacency": adjacency,
+    "cheapest_cost": cheapest_cost,
+    "graph_catalogue": graph_catalogue,
     "alias_then_fuzzy": search_names,
     "html_text": html_text,
     "html_parts": html_parts,
@@ -246,11 +263,8 @@ n AS (SELECT unnest(['rich', 'supply', 'poor']) AS n) SELECT t.n AS left, n.n AS
 SELECT id, CASE WHEN t LIKE 'promo%' THEN 'offer' WHEN t LIKE 'standard%' OR t LIKE 'economy%' THEN 'plain' ELSE 'other' END AS family, trim(regexp_replace(s, '[^a-z0-9]+', '-', 'g'), '-') AS slug,
   coalesce(nullif(array_to_string(list_sort(list_transform(list_filter(string_split(t, ' '), lambda w: w <> 'large'), lambda w: CASE WHEN length(w) > 4 AND w LIKE '%s' AND w NOT LIKE '%ss' THEN left(w, -1) ELSE w END)), '_'), ''), replace(t, ' ', '_')) AS key FROM p""",
     "text_parses": "SELECT c_custkey, (c_custkey % 10)::INT AS bard, c_nationkey % 10 AS pal, c_name || '|x (a, b)|' || c_mktsegment AS parts, ['true', 'false', 'null', 'null'][c_custkey % 4 + 1] AS says, c_nationkey + 0.5::DOUBLE AS metres FROM customer",
-    "kleene_logic": f"""WITH {SPELLS_SQL}, k AS (SELECT id, level > 4 AS a, school = 'Brand#11' AS b, cost > 1200 AS c FROM spells)
+    "kleene_logic": f"""WITH {SPELLS_SQL}, k AS (SELECT id, level > 4 AS a, school = 'Brand#11' AS b, cost > 950 AS c FROM spells)
 SELECT id, coalesce((a OR b OR c)::VARCHAR, 'null') AS any, coalesce((a AND b AND c)::VARCHAR, 'null') AS all, CASE WHEN (a AND b AND c) IS NULL THEN 'manual_check' WHEN a AND b AND c THEN 'eligible' ELSE 'ineligible' END AS verdict FROM k""",
-    "eligibility_matrix": """WITH m AS (SELECT CASE WHEN c_nationkey % 5 <> 0 THEN c_nationkey END >= p_size * 6 AS s, CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment <> 'BUILDING' END AS j, p_brand = 'Brand#11' AS g FROM customer, part WHERE c_acctbal > 9000 AND p_size <= 3),
-v AS (SELECT CASE WHEN (s AND j) IS NULL THEN 'manual_check' WHEN s AND j THEN 'eligible' ELSE 'ineligible' END AS v, g, CASE WHEN NOT s THEN 'strength' WHEN NOT j THEN 'job' ELSE array_to_string(list_filter([CASE WHEN s IS NULL THEN 'strength' END, CASE WHEN j IS NULL THEN 'job' END], lambda x: x IS NOT NULL), '|') END AS reasons FROM m)
-SELECT CASE WHEN g AND v <> 'ineligible' THEN 'ineligible:brand' ELSE v END AS status, reasons, count(*) AS n FROM v GROUP BY 1, 2""",
     "progression": """WITH p AS (SELECT p_partkey AS id, p_size AS z, CASE p_partkey % 3 WHEN 0 THEN p_size WHEN 1 THEN p_size * 3 // 4 ELSE p_size // 2 END AS b, p_partkey % 6 >= 2 AS g FROM part)
 SELECT id, b AS bonus, CASE WHEN b >= 1 THEN array_to_string([b - 5 * i FOR i IN range(0, (b - 1) // 5 + 1)], '/') ELSE b::VARCHAR END AS series, floor((z - 10) / 2.0)::INT AS modifier,
   CASE WHEN z % 7 <> 0 THEN (greatest(2 + floor((z - 10) / 2.0)::INT, 1) + (z % 2 = 0)::INT) * (z % 20 + 1) END AS skills, g AS large_enough FROM p""",
@@ -260,13 +274,18 @@ m AS (SELECT *, kind <> 'R' OR n = 1 AS counts FROM b) SELECT owner, sum(value)
     "slot_allocation": """WITH s AS (SELECT s_suppkey, (s_suppkey % 20 + 1)::INT AS level, s_nationkey = 3 AS human FROM supplier),
 a AS (SELECT s_suppkey, 'general' AS source, l FROM s, unnest(range(1, level + 1, 2)) AS u(l) UNION ALL SELECT s_suppkey, 'racial', 1 FROM s WHERE human UNION ALL SELECT s_suppkey, 'class', l FROM s, unnest([2, 6, 10]) AS u(l) WHERE l <= level)
 SELECT s_suppkey, source, count(*) AS n, max(l)::INT AS last FROM a GROUP BY 1, 2""",
-    "closure_leverage": f"{REACH_SQL} SELECT p_partkey AS node, count(dst) AS leverage FROM part LEFT JOIN reach ON src = p_partkey WHERE p_partkey > 0 AND p_partkey < 450 GROUP BY 1",
+    "closure_leverage": f"{REACH_SQL} SELECT p_partkey AS node, count(dst) AS leverage FROM part LEFT JOIN reach ON src = p_partkey GROUP BY 1",
     "hub_paths": f"""{REACH_SQL}, r AS (SELECT src, count(*) AS n FROM reach WHERE src NOT IN (SELECT dst FROM e) GROUP BY src)
 SELECT dst AS node, src AS hub FROM reach JOIN r USING (src) QUALIFY row_number() OVER (PARTITION BY dst ORDER BY n DESC, src DESC) = 1 UNION ALL SELECT src, src FROM r""",
-    "waves": f"""WITH RECURSIVE {EDGES_SQL}, longest AS (SELECT p_partkey AS node, 1 AS w FROM part WHERE p_partkey > 0 AND p_partkey < 450 AND p_partkey NOT IN (SELECT dst FROM e) UNION SELECT e.dst, w + 1 FROM longest JOIN e ON e.src = node)
+    "waves": f"""WITH RECURSIVE {EDGES_SQL}, longest AS (SELECT p_partkey AS node, 1 AS w FROM part WHERE p_partkey NOT IN (SELECT dst FROM e) UNION SELECT e.dst, w + 1 FROM longest JOIN e ON e.src = node)
 SELECT node, max(w) AS wave FROM longest GROUP BY 1 HAVING max(w) <= 6""",
-    "isolated_nodes": f"WITH {EDGES_SQL} SELECT p_partkey AS node FROM part WHERE p_partkey > 0 AND p_partkey < 450 AND p_partkey NOT IN (SELECT src FROM e) AND p_partkey NOT IN (SELECT dst FROM e)",
-    "requirement_cost": f"{REACH_SQL} SELECT p_partkey AS node, count(src) + 1 AS cost FROM part LEFT JOIN reach ON dst = p_partkey WHERE p_partkey > 0 AND p_partkey < 450 GROUP BY 1",
+    "isolated_nodes": f"WITH {EDGES_SQL} SELECT p_partkey AS node FROM part WHERE p_partkey NOT IN (SELECT src FROM e) AND p_partkey NOT IN (SELECT dst FROM e)",
+    "requirement_cost": f"{REACH_SQL} SELECT p_partkey AS node, count(src) + 1 AS cost FROM part LEFT JOIN reach ON dst = p_partkey GROUP BY 1",
+    "hub_sizes": f"""{REACH_SQL}, r AS (SELECT src, count(*) AS n FROM reach WHERE src NOT IN (SELECT dst FROM e) GROUP BY src),
+h AS (SELECT dst AS node, src AS hub FROM reach JOIN r USING (src) QUALIFY row_number() OVER (PARTITION BY dst ORDER BY n DESC, src DESC) = 1 UNION ALL SELECT src, src FROM r) SELECT hub, count(*) AS n FROM h GROUP BY hub""",
+    "adjacency": f"""WITH {EDGES_SQL}, x AS (SELECT * FROM e WHERE src % 2 = 0 AND dst % 2 = 0), p AS (SELECT dst AS node, string_agg(src::VARCHAR, '|' ORDER BY src) AS parents FROM x GROUP BY 1), c AS (SELECT src AS node, string_agg(dst::VARCHAR, '|' ORDER BY dst) AS children FROM x GROUP BY 1)
+SELECT node, coalesce(parents, '') AS parents, coalesce(children, '') AS children FROM p FULL JOIN c USING (node)""",
+    "graph_catalogue": f"WITH {EDGES_SQL} SELECT dst AS node, CASE WHEN dst % 2 = 0 THEN 'g0' ELSE 'e' || src::VARCHAR END AS part, src AS prerequisite FROM e",
     "alias_then_fuzzy": """WITH t AS (SELECT DISTINCT p_partkey, length(p_name) AS len, unnest(string_split(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g'), ' ')) AS t FROM part),
 p AS (SELECT p_partkey, max(len) AS len, max(CASE WHEN t = 'blu' THEN 3 WHEN starts_with(t, 'blu') THEN 2 ELSE 0 END) AS a, max(CASE WHEN t = 'bolts' THEN 3 WHEN starts_with(t, 'bolts') THEN 2 WHEN levenshtein(t, 'bolts') <= 1 THEN 1 ELSE 0 END) AS b FROM t GROUP BY 1),
 h AS (SELECT p_partkey, round((a + b) / sqrt(len), 6) AS score FROM p WHERE a > 0 AND b > 0 ORDER BY score DESC, p_partkey LIMIT 100)

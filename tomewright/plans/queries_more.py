@@ -22,7 +22,7 @@ def label_groups(spark, d):
     return best.join(few.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p_partkey")), lambda x: x.cast("string")), "|").alias("ids")), "key")
 
 
-GROUPS = {"metal": "(?i)steel|brass|copper|nickel", "size": "(?i)small|large|medium", "cheap": "(?i)econ|promo", "none": "zzz"}
+GROUPS = {"plain": "(?i)standard|medium", "size": "(?i)small|large|medium", "cheap": "(?i)econ|promo", "none": "zzz"}
 
 
 def concept_coverage(spark, d):
@@ -58,12 +58,11 @@ def source_text(spark, d):
 
 
 def wire_codes(spark, d):
-    """Records with dictionary codes, decoded again: rows whose decoded value differs (none)."""
+    """Records with dictionary codes and what these decode to; a code outside the dictionary decodes to nothing."""
     p = load(spark, d, "part").select("p_partkey", "p_type")
     codes = index.dense_codes(p, "p_type")
-    wire = p.join(codes, p.p_type == codes.value).select("p_partkey", "code")
-    back = wire.join(codes, "code").select("p_partkey", F.col("value").alias("decoded"))
-    return p.join(back, "p_partkey", "left").where("NOT (p_type <=> decoded)").select("p_partkey", "p_type", "decoded")
+    wire = p.join(codes, p.p_type == codes.value).select("p_partkey", F.when(F.col("p_partkey") % 10 != 9, F.col("code")).otherwise(F.col("code") + 100).alias("code"))
+    return wire.join(codes, "code", "left").select("p_partkey", "code", F.col("value").alias("decoded"))
 
 
 def cost_estimate(spark, d):
@@ -135,7 +134,7 @@ UNION ALL SELECT 1, s_name, row_number() OVER (ORDER BY s_name)::INT AS place FR
 UNION ALL SELECT 2, c_name, row_number() OVER (ORDER BY c_name)::INT AS place FROM customer WHERE contains(c_name, '1') QUALIFY place <= 3""",
     "vocabulary_repair": "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS value FROM part",
     "source_text": f"""WITH {SPELLS_SQL}, t AS (SELECT id, concat_ws(chr(10), 'name: ' || nullif(name, ''), 'school: ' || nullif(school, ''), 'level: ' || level::VARCHAR) AS t FROM spells) SELECT id, length(t)::INT AS n, sha256(t) AS digest FROM t""",
-    "wire_codes": "SELECT p_partkey, p_type, p_type AS decoded FROM part WHERE false",
+    "wire_codes": "WITH c AS (SELECT p_type, row_number() OVER (ORDER BY p_type) - 1 AS code FROM (SELECT DISTINCT p_type FROM part)) SELECT p_partkey, code + CASE WHEN p_partkey % 10 = 9 THEN 100 ELSE 0 END AS code, CASE WHEN p_partkey % 10 <> 9 THEN p_type END AS decoded FROM part JOIN c USING (p_type)",
     "cost_estimate": "SELECT lang, ceil(sum(length(text)) / 3.6::DOUBLE)::BIGINT AS tokens FROM documents GROUP BY lang",
     "state_rows": "WITH c AS (SELECT l_orderkey, l_suppkey, min(l_linenumber) AS pos FROM lineitem GROUP BY ALL) SELECT l_orderkey, string_agg(l_suppkey::VARCHAR, '|' ORDER BY pos, l_suppkey) AS state FROM c GROUP BY 1",
     "incremental_todo": "SELECT p_partkey FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 5 = 0",

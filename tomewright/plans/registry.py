@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tomewright.plans import queries_facets, queries_index, queries_joins, queries_more
+from tomewright.plans import queries_facets, queries_index, queries_joins, queries_more, queries_rules
 
-QUERIES = queries_index.QUERIES | queries_facets.QUERIES | queries_joins.QUERIES | queries_more.QUERIES
-ORACLES = queries_index.ORACLES | queries_facets.ORACLES | queries_joins.ORACLES | queries_more.ORACLES
+QUERIES = queries_index.QUERIES | queries_facets.QUERIES | queries_joins.QUERIES | queries_more.QUERIES | queries_rules.QUERIES
+ORACLES = queries_index.ORACLES | queries_facets.ORACLES | queries_joins.ORACLES | queries_more.ORACLES | queries_rules.ORACLES
