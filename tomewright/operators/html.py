@@ -164,3 +164,65 @@ def page_gate(html: Column, least_bytes: int, markers: list[str]) -> Column:
     return out
 
 
+def stripped(x: Column) -> Column:
+    """Text without tags, entities of spaces and ampersands decoded, spaces collapsed; native."""
+    plain = F.replace(F.replace(F.regexp_replace(x, "<[^>]+>", " "), F.lit("&nbsp;"), F.lit(" ")), F.lit("&amp;"), F.lit("&"))
+    return F.trim(F.regexp_replace(plain, r"\s+", " "))
+
+
+def inner_html(html: Column, tag: str, marker: str) -> Column:
+    """What stands inside the first element with the marker among its attributes, up to its next end tag."""
+    return F.nullif(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*{marker}[^>]*>(.*?)</{tag}>", 1), F.lit(""))
+
+
+def list_entries(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """key, place, level, school, name, url, sources, blurb, reason: the list items of a page in order. The last heading of
+    second rank gives the level (its number), the last of third rank the school; an item without a link or level has a reason.
+    Headings and items are read in one pass and carried on inside the page."""
+    found = F.regexp_extract_all(html, F.lit(r"(?is)(<h2\b[^>]*>.*?</h2>|<h3\b[^>]*>.*?</h3>|<li\b[^>]*>.*?</li>)"), F.lit(1))
+    rows = pages.select(key, F.posexplode(found).alias("place", "token")).withColumn("kind", F.lower(F.regexp_extract("token", r"^<(\w+)", 1)))
+    inner = stripped(F.col("token"))
+    level = F.nullif(F.regexp_extract(inner, r"(\d+)", 1), F.lit("")).cast("int")
+    rows = rows.withColumns({"h2": F.when(F.col("kind") == "h2", F.struct(level.alias("v"))), "h3": F.when(F.col("kind") == "h2", F.struct(F.lit(None).cast("string").alias("v"))).when(F.col("kind") == "h3", F.struct(inner.alias("v")))})
+    before = Window.partitionBy(key).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({"level": F.last("h2", True).over(before)["v"], "school": F.last("h3", True).over(before)["v"]}).where("kind = 'li'")
+    link = r"(?is)<a\b[^>]*href=[\"']([^\"']+)[\"'][^>]*>(.*?)</a>"
+    name, url = F.nullif(stripped(F.regexp_extract("token", link, 2)), F.lit("")), F.nullif(F.regexp_extract("token", link, 1), F.lit(""))
+    tags = F.transform(F.regexp_extract_all("token", F.lit(r"(?is)<sup\b[^>]*>(.*?)</sup>"), F.lit(1)), stripped)
+    rest = F.regexp_replace(F.regexp_replace("token", r"(?is)<sup\b[^>]*>.*?</sup>", ""), r"(?is)^(.*?)<a\b.*?</a>", "$1")
+    blurb = F.nullif(F.regexp_replace(stripped(rest), r"^[\s:;,.–—-]+", ""), F.lit(""))
+    reason = F.when(name.isNull(), "no link").when(F.col("level").isNull(), "no level")
+    return rows.select(key, "place", "level", "school", name.alias("name"), url.alias("url"), tags.alias("sources"), blurb.alias("blurb"), reason.alias("reason"))
+
+
+def last_value_and_prose(text: Column, least: int = 200) -> Column:
+    """struct (value, prose): the text up to the first line break that at least so many characters follow, and these."""
+    cut = F.regexp_extract(text, rf"(?s)^(.*?)\n(.{{{least},}})$", 1)
+    prose = F.nullif(F.regexp_extract(text, rf"(?s)^(.*?)\n(.{{{least},}})$", 2), F.lit(""))
+    return F.struct(F.regexp_replace(F.when(prose.isNotNull(), cut).otherwise(text), r"^\s+|\s+$", "").alias("value"), F.regexp_replace(prose, r"^\s+|\s+$", "").alias("prose"))
+
+
+def rubrics(text: Column, known: list[str]) -> Column:
+    """Map of known headings (``Heading. text``, one a line) to their texts; ``""`` is what stands before the first."""
+    names = "|".join(known)
+    marked = F.concat(F.lit("\u0001"), F.regexp_replace(text, rf"(?m)^({names})\.\s*", "\u0001$1\u0002"))
+    parts = F.filter(F.split(marked, "\u0001"), lambda p: F.trim(p) != "")
+    pair = lambda p: F.struct(F.when(F.contains(p, F.lit("\u0002")), F.substring_index(p, "\u0002", 1)).otherwise("").alias("k"), F.regexp_replace(F.substring_index(p, "\u0002", -1), r"^\s+|\s+$", "").alias("v"))
+    pairs = F.transform(parts, pair)
+    keys = F.transform(pairs, lambda x: x["k"])
+    return F.map_from_entries(F.filter(pairs, lambda x, i: F.array_position(keys, x["k"]) == i + 1))
+
+
+def category_names(text: Column) -> Column:
+    return F.array_distinct(F.filter(F.transform(F.split(text, r"[,;/]|\set\s"), lambda p: F.trim(p)), lambda p: p != ""))
+
+
+def skill_formula(text: Column) -> Column:
+    """struct (points, ability) of ``2 + mod. d'Int``."""
+    return F.struct(F.nullif(F.regexp_extract(text, r"(\d+)\s*\+", 1), F.lit("")).cast("int").alias("points"), F.nullif(F.regexp_extract(text, r"(?i)\b(For|Dex|Con|Int|Sag|Cha)\b", 1), F.lit("")).alias("ability"))
+
+
+def traits(text: Column) -> Column:
+    """Array of struct (ability, bonus) of ``+2 Force, -2 Charisme``; other parts are left out."""
+    found = F.regexp_extract_all(text, F.lit(r"([+–−-]\d+)\s+(?:en |de |à la )?(\p{L}+)"), F.lit(0))
+    return F.transform(found, lambda m: F.struct(F.regexp_extract(m, r"(\p{L}+)$", 1).alias("ability"), F.regexp_replace(F.regexp_extract(m, r"^([+–−-]\d+)", 1), "[–−]", "-").cast("int").alias("bonus")))

@@ -116,3 +116,134 @@ class QuerySpec:
         """Filter, order, page. The order ends in name and id, so pages don't overlap."""
         order = (ordering.nulls_last(self.sort, self.descending, "name") if self.sort else [F.col("level").asc_nulls_last(), F.col("name")]) + [F.col("id")]
         return rows.where(self.predicate()).orderBy(*order).offset((self.page - 1) * self.page_size).limit(self.page_size)
+
+
+def known(text: str, vocabulary: list[str]) -> tuple[str, ...]:
+    """The known values of a comma list, in the vocabulary's order; case doesn't matter."""
+    asked = {p.strip().lower() for p in text.split(",")}
+    return tuple(v for v in vocabulary if v.lower() in asked)
+
+
+@dataclass(frozen=True)
+class FacetSpec:
+    """State of a catalogue with facets of one kind: each facet includes or excludes values. facets: name to vocabulary."""
+
+    facets: dict[str, list[str]]
+    text: str = ""
+    include: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    exclude: dict[str, tuple[str, ...]] = field(default_factory=dict)
+
+    @classmethod
+    def parse(cls, query: str, facets: dict[str, list[str]]) -> FacetSpec:
+        """``name=a,-b``; unknown facets and values are dropped."""
+        got = {k.lower(): v for k, v in reversed(parse_qsl(query))}
+        modes = {n: parse_tags(got.get(n, "")) for n in facets}
+        of = lambda mode: {n: v for n, m in modes.items() if (v := known(",".join(t for t, x in m.items() if x == mode), facets[n]))}
+        return cls(facets, got.get("q", "").strip(), of("include"), of("exclude"))
+
+    def format(self) -> str:
+        parts = {"q": self.text} | {n: ",".join([*self.include.get(n, ()), *("-" + v for v in self.exclude.get(n, ()))]) for n in self.facets}
+        return "&".join(f"{k}={quote(v, safe=',!-')}" for k, v in parts.items() if v)
+
+    def predicate(self, arrays: set[str] = frozenset()):
+        """arrays: facets whose column is an array."""
+        out = facets.text_contains(F.col("name"), self.text)
+        for n in self.facets:
+            values = F.col(n) if n in arrays else F.array_compact(F.array(n))
+            out &= facets.tri_mode(values, list(self.include.get(n, ())), list(self.exclude.get(n, ())))
+        return out
+
+
+AXES = ("level", "school", "save", "range", "component", "tag")
+
+
+@dataclass(frozen=True)
+class ExplorationSpec:
+    """State of an exploration: a first class and more of them, values drilled into by axis, and the axis that is shown."""
+
+    classes: tuple[str, ...] = ()
+    drilled: dict[str, str] = field(default_factory=dict)
+    axis: str | None = None
+
+    @classmethod
+    def parse(cls, query: str, classes: list[str], vocabularies: dict[str, list[str]]) -> ExplorationSpec:
+        """``classe`` is the first class, ``avec`` the others; an axis keeps a known value only."""
+        got = {k.lower(): v for k, v in reversed(parse_qsl(query))}
+        first = known(got.get("classe", ""), classes)[:1]
+        more = tuple(c for c in known(got.get("avec", ""), classes) if c not in first) if first else ()
+        drilled = {a: v[0] for a in AXES if (v := known(got.get(a, ""), vocabularies.get(a, [])))}
+        axis = got.get("axe", "")
+        return cls(first + more, drilled, axis if axis in AXES and axis not in drilled else None)
+
+    def format(self) -> str:
+        parts = {"classe": ",".join(self.classes[:1]), "avec": ",".join(self.classes[1:])} | {a: self.drilled.get(a, "") for a in AXES} | {"axe": self.axis or ""}
+        return "&".join(f"{k}={quote(v, safe=',!-')}" for k, v in parts.items() if v)
+
+    def available(self, vocabularies: dict[str, list[str]]) -> list[str]:
+        """Axes that have values and aren't drilled into."""
+        return [a for a in AXES if vocabularies.get(a) and a not in self.drilled]
+
+    def drill(self, axis: str, value: str) -> ExplorationSpec:
+        return replace(self, drilled=self.drilled | {axis: value}, axis=None)
+
+    def up(self) -> ExplorationSpec:
+        """Without the axis that was drilled into last."""
+        return replace(self, drilled=dict(list(self.drilled.items())[:-1]))
+
+    def predicate(self, columns: dict[str, tuple[str, bool]], levels: str = "levels", without: str | None = None):
+        """Rows of any of the classes with the drilled values; columns: axis to (column, whether it is an array), levels: the
+        column of the map of class to level. A chart of an axis leaves that axis out."""
+        out = F.lit(True)
+        if self.classes:
+            wanted = [int(self.drilled["level"])] if "level" in self.drilled and without != "level" else []
+            out &= facets.level_of_any(F.col(levels), list(self.classes), wanted)
+        for axis, value in self.drilled.items():
+            if axis in (without, "level"):
+                continue
+            column, many = columns[axis]
+            out &= F.coalesce(F.array_contains(column, value) if many else F.col(column) == value, F.lit(False))
+        return out
+
+
+@dataclass(frozen=True)
+class ComparisonSpec:
+    """State of a comparison: at most three classes, a mode, and a column to sort by."""
+
+    classes: tuple[str, ...] = ()
+    mode: str = "all"
+    sort: str | None = None
+    descending: bool = False
+
+    MODES = ("all", "shared", "exclusive")
+    MOST = 3
+
+    @classmethod
+    def parse(cls, query: str, classes: list[str]) -> ComparisonSpec:
+        """Classes keep the order they are named in; a column of a class that isn't compared is dropped."""
+        got = {k.lower(): v for k, v in reversed(parse_qsl(query))}
+        named = [c for p in got.get("classes", "").split(",") for c in known(p, classes)]
+        chosen = tuple(dict.fromkeys(named))[: cls.MOST]
+        sort, mode = got.get("tri", ""), got.get("mode", "all")
+        name = sort.lstrip("-")
+        valid = name in ("name", "school", "gap") or name.partition(":")[0] == "level" and name.partition(":")[2] in chosen
+        return cls(chosen, mode if mode in cls.MODES else "all", name if valid else None, sort.startswith("-") and valid)
+
+    def format(self) -> str:
+        parts = {"classes": ",".join(self.classes), "mode": self.mode if self.mode != "all" else "", "tri": ("-" * self.descending + self.sort) if self.sort else ""}
+        return "&".join(f"{k}={quote(v, safe=',!-:')}" for k, v in parts.items() if v)
+
+    def order(self) -> list:
+        """Nulls last both ways, names break ties; a level is that of the map column ``levels``."""
+        if self.sort is None:
+            return [F.col("name"), F.col("id")]
+        c = F.try_element_at("levels", F.lit(self.sort.partition(":")[2])) if self.sort.startswith("level:") else F.col(self.sort)
+        return [c.desc_nulls_last() if self.descending else c.asc_nulls_last(), F.col("name"), F.col("id")]
+
+
+def grouped(values: list[str], headings: dict[str, list[str]], rest: str) -> dict[str, list[str]]:
+    """Values under the first heading that lists them, in its order; the others last, in their own."""
+    out = {h: [v for v in listed if v in values] for h, listed in headings.items()}
+    told = {v for vs in out.values() for v in vs}
+    out[rest] = [v for v in values if v not in told]
+    return {h: vs for h, vs in out.items() if vs}
+

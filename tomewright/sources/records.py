@@ -76,3 +76,57 @@ def vocabulary(spark: SparkSession, values: list[str]) -> DataFrame:
     if len(set(values)) != len(values):
         raise ValueError("a vocabulary names a value twice")
     return spark.createDataFrame([(v, i) for i, v in enumerate(values)], "value string, code int")
+
+
+def id_set(rows: DataFrame, key: str, only: list | None = None) -> DataFrame:
+    """Distinct ids in order; an empty set, or an id asked for that isn't there, is an error."""
+    ids = rows.where(F.col(key).isNotNull()).select(key).distinct()
+    if ids.isEmpty():
+        raise ValueError(f"no {key} at all")
+    if only is not None:
+        asked = rows.sparkSession.createDataFrame([(v,) for v in only], ids.schema)
+        unknown = asked.join(ids, key, "left_anti").limit(5).collect()
+        if unknown:
+            raise ValueError(f"unknown {key}: {[r[0] for r in unknown]}")
+        ids = ids.join(asked, key, "left_semi")
+    return ids.orderBy(key)
+
+
+def enveloped(raw, data: str):
+    """struct (meta, data) of a rule table's text, its data by a schema; null where it can't be read or has no data."""
+    meta, body = F.get_json_object(raw, "$.meta"), F.get_json_object(raw, "$.data")
+    read = F.from_json(body, data)
+    return F.when(F.json_object_keys(raw).isNotNull() & read.isNotNull(), F.struct(meta.alias("meta"), read.alias("data")))
+
+
+def all_or_nothing(values, valid):
+    """The array if all its elements are valid, else null."""
+    return F.when(F.forall(values, lambda v: F.coalesce(valid(v), F.lit(False))), values)
+
+
+def range_or_values(rows):
+    """Of structs (low, high, value, modifier): those with a range and those with a value, told apart; null where one is
+    neither."""
+    ranged = lambda r: r["low"].isNotNull() & r["high"].isNotNull() & r["value"].isNull()
+    single = lambda r: r["value"].isNotNull() & r["low"].isNull()
+    fine = F.forall(rows, lambda r: r["modifier"].isNotNull() & (ranged(r) | single(r)))
+    return F.when(fine, F.struct(F.filter(rows, ranged).alias("ranges"), F.filter(rows, single).alias("values")))
+
+
+def preflight(files: DataFrame, required: list[str], least: int, most: int) -> DataFrame:
+    """problem, path of raw files (see ``raw_files``): required names that are missing, files that can't be decoded or hold a
+    replacement character, and a count out of its band."""
+    asked = files.sparkSession.createDataFrame([(n,) for n in required], "name string")
+    name = F.substring_index("path", "/", -1)
+    missing = asked.join(files.select(name.alias("name")), "name", "left_anti").select(F.lit("missing").alias("problem"), F.col("name").alias("path"))
+    broken = files.where("problem IS NOT NULL").select("problem", name.alias("path"))
+    count = files.agg(F.count("*").alias("n")).where(~F.col("n").between(least, most)).select(F.lit("count").alias("problem"), F.col("n").cast("string").alias("path"))
+    return missing.unionByName(broken).unionByName(count)
+
+
+def taxonomy_label(versions: list[str]) -> str:
+    """The latest version of all vocabularies; a draft (v0) is refused."""
+    if not versions or "v0" in versions:
+        raise ValueError("a vocabulary isn't frozen")
+    return max(versions, key=lambda v: [int(x) for x in v.lstrip("v").split(".")])
+

@@ -62,3 +62,32 @@ def protected(new: DataFrame, stored: DataFrame, key: str, stored_hash: str, rec
 def stale(targets: DataFrame, sources: DataFrame, key: str, versions: list[str]) -> DataFrame:
     """Sources whose key and versions no target has: what an incremental run must do."""
     return sources.join(targets.select(key, *versions), [key, *versions], "left_anti")
+
+
+def pretty_json(rows: DataFrame, key: str) -> str:
+    """A small table as indented JSON with a newline at its end, in order of the key."""
+    import json
+
+    return json.dumps([json.loads(r[0]) for r in rows.orderBy(key).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect()], indent=2, ensure_ascii=False) + "\n"
+
+
+def with_replaced(rows: DataFrame, changes: DataFrame, key: str, column: str) -> DataFrame:
+    """rows with one column taken from changes where they name the key; all else stays as it is."""
+    new = changes.select(key, F.col(column).alias("__new"), F.lit(True).alias("__changed"))
+    return rows.join(new, key, "left").withColumn(column, F.when(F.col("__changed"), F.col("__new")).otherwise(F.col(column))).select(*rows.columns)
+
+
+def published(tables: DataFrame, name: str, raw: str) -> tuple[DataFrame, DataFrame]:
+    """Index (name, version, sha256) of rule tables with an envelope, and the names of those without."""
+    version = F.get_json_object(raw, "$.meta.version")
+    fine = version.isNotNull() & F.get_json_object(raw, "$.data").isNotNull()
+    index = tables.where(fine).select(name, version.alias("version"), F.sha2(F.col(raw).cast("binary"), 256).alias("sha256"))
+    return index, tables.where(~F.coalesce(fine, F.lit(False))).select(name)
+
+
+def favourites_document(rows: DataFrame, owner: str) -> DataFrame:
+    """owner, document: stored lists (owner, list, name, place, id) as one JSON text with lists and ids in order."""
+    lists = rows.groupBy(owner, "list", "name").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "id"))), lambda x: x["id"]).alias("ids"))
+    made = lists.groupBy(owner).agg(F.array_sort(F.collect_list(F.struct(F.col("list").alias("id"), "name", "ids"))).alias("lists"))
+    return made.select(owner, F.to_json(F.struct(F.lit(1).alias("version"), "lists")).alias("document"))
+
