@@ -52,7 +52,8 @@ def range_lookup(rows: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
     carried = lasts.withColumn("before", F.last("r", True).over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))).select("block", "before")
     met = both.where("r IS NULL").join(carried, "block").select("v", F.coalesce("at", "before").alias("m"))
     met = met.select("v", F.when(F.col("v") <= F.col("m.high"), F.col("m.modifier")).alias("modifier"))
-    return rows.join(met, F.col(value) == F.col("v"), "left").drop("v")
+    met = met.withColumnRenamed("v", "__v")
+    return rows.join(met, F.col(value) == F.col("__v"), "left").drop("__v")
 
 
 def attack_series(bonus: Column) -> Column:
