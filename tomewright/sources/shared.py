@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset, a local session gets a temporary
-    folder and any other session one below its warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if spark.sparkContext.master.split("[")[0] == "local":
-            root = os.path.join(tempfile.gettempdir(), "tomewright-checkpoints")
-        else:
-            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    """A new folder below spark.checkpoint.dir; where that is unset, below the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     return f"{root.rstrip('/')}/tomewright-{uuid.uuid4().hex}"
 
 
