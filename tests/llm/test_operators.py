@@ -75,6 +75,33 @@ def test_near_duplicates(spark, vocabulary):
     assert {r["id"]: (r["n_shingles"], r["component"]) for r in got.collect()} == brute_components(list(enumerate(texts)), 2, 80)
 
 
+def test_near_duplicates_repeated_ids(spark):
+    """Rows that share an id are one document, linked by any of its texts."""
+    a, b, c = "one two three four five", "six seven eight nine ten", "x y z"
+    rows = [(3, a), (5, a), (5, b), (9, b), (11, c), (12, c), (12, c), (13, None), (13, c)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, DOC), width=2)
+    assert {r["id"]: r["component"] for r in got.collect()} == {3: 3, 5: 3, 9: 3, 11: 11, 12: 11, 13: 11}
+
+
+def test_near_duplicates_over_many_partitions(spark, vocabulary):
+    """More partitions than rows leave some empty, and most short."""
+    rng = random.Random(21)
+    texts = []
+    for _ in range(6):
+        base = prose(rng, vocabulary, 60).split()
+        for k in range(3):
+            own = list(base)
+            own[k] = f"y{k}"
+            texts.append(" ".join(own))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    try:
+        got = neardup.near_duplicates(docs_of(spark, texts), width=2)
+        assert {r["id"]: (r["n_shingles"], r["component"]) for r in got.collect()} == brute_components(list(enumerate(texts)), 2, 80)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_near_duplicates_group_of_copies(spark, vocabulary):
     """Many near copies of one text form one component."""
     rng = random.Random(6)

@@ -5,7 +5,7 @@ sets become one representative, the smallest id. Each of ``TREES`` trees orders
 ``DEPTH`` MinHash values; the orders are dealt by range, with the id as the last key, so no group of copies meets in
 one task. In an order, a document's depth is the longest prefix that it shares with a neighbour, so dense regions look
 deeper than sparse ones; the documents within ``REACH`` places that share at least half of that depth are candidates.
-What the ends of two partitions share is looked at on its own. A pair whose sizes allow the similarity and whose
+What the ends of partitions share, past short and empty ones, is looked at on its own. A pair whose sizes allow the similarity and whose
 sketches don't rule it out (``SLACK``, over five standard deviations) is kept.
 
 ``REACH`` doesn't bound what is found: where more documents share ``CROWD`` values in an order than it covers, and they
@@ -19,11 +19,13 @@ component's best pair to another component, and, once what lies between componen
 have candidates, or a round leaves over half of it, all of it. A pair within one component isn't needed any more, all
 others are confirmed. Components come from alternating stars on DataFrames.
 
-Sets are compared by 48 bits of a 64-bit hash of each shingle; sizes count 64-bit hashes.
+Sets are compared by 48 bits of a 64-bit hash of each shingle, sizes count 64-bit hashes: of two sets of n shingles, one that
+isn't common counts as common with a chance of about n * n / 3e14.
 
 Defined cases: null or empty text has the empty set and no link; with fewer words than ``width`` the whole sequence is
 the only shingle; a null id takes no part and is kept; rows with one id are one document, linked by any of its texts;
-an empty table gives no rows; extra columns are ignored (``drop_near_duplicates`` keeps them).
+a very long text is its whole set; an empty table gives no rows; extra columns are ignored (``drop_near_duplicates`` keeps
+them).
 """
 
 from __future__ import annotations
@@ -115,9 +117,9 @@ def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (same / SKETCH - 1 / 16) * (16 / 15)
 
 
-def pairs(tree: np.ndarray, key: np.ndarray, size: np.ndarray, marks: np.ndarray, doc: np.ndarray, comp: np.ndarray, least: float, across: int | None = None) -> np.ndarray:
+def pairs(tree: np.ndarray, key: np.ndarray, size: np.ndarray, marks: np.ndarray, doc: np.ndarray, comp: np.ndarray, least: float, across: int | None = None, upper: tuple[int, int] | None = None) -> np.ndarray:
     """Candidates (lower id, higher id, agreement, their components) among rows in order, of different components;
-    with ``across`` only those over that place."""
+    with ``across`` only those over that place, with ``upper`` only those whose later row has a place in that range."""
     n = len(doc)
     depth = np.zeros(n, np.int64)
     shared = []
@@ -134,6 +136,8 @@ def pairs(tree: np.ndarray, key: np.ndarray, size: np.ndarray, marks: np.ndarray
         i = np.flatnonzero(ok & (small >= least * large))
         if across is not None:
             i = i[(i < across) & (i + j >= across)]
+        if upper is not None:
+            i = i[(i + j >= upper[0]) & (i + j < upper[1])]
         near = agreement(marks[i], marks[i + j])
         i, near = i[near >= least - SLACK], near[near >= least - SLACK]
         first = np.where(doc[i] < doc[i + j], i, i + j)
@@ -151,8 +155,8 @@ _ROW = "tree int, key binary, size long, marks binary, id long, comp long"
 _NAMES = ["kind", "place", *[x.split()[0] for x in _PAIR.split(", ")], *[x.split()[0] for x in _ROW.split(", ")]]
 
 
-def _pairs_of(rows: dict[str, list], least: float, across: int | None = None) -> np.ndarray:
-    return pairs(np.array(rows["tree"]), _matrix(rows["key"], np.uint16, DEPTH), np.array(rows["size"]), _matrix(rows["marks"], np.uint8, SKETCH // 2), np.array(rows["id"]), np.array(rows["comp"]), least, across)
+def _pairs_of(rows: dict[str, list], least: float, across: int | None = None, upper: tuple[int, int] | None = None) -> np.ndarray:
+    return pairs(np.array(rows["tree"]), _matrix(rows["key"], np.uint16, DEPTH), np.array(rows["size"]), _matrix(rows["marks"], np.uint8, SKETCH // 2), np.array(rows["id"]), np.array(rows["comp"]), least, across, upper)
 
 
 def candidates(signed: DataFrame, least: float, trees: range) -> DataFrame:
@@ -179,30 +183,55 @@ def candidates(signed: DataFrame, least: float, trees: range) -> DataFrame:
     rows = signed.select("id", "size", "values", "comp").mapInArrow(spread, _ROW)
     rows = rows.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
 
+    kinds = (pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+    columns = ("tree", "key", "size", "marks", "id", "comp")
+
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = TaskContext.get().partitionId()
-        kept: dict[str, list] = {c: [] for c in ("tree", "key", "size", "marks", "id", "comp")}
+        """Slides over the rows: of what went before, only rows that are in reach of later ones are kept."""
+        place, kept, done, first = TaskContext.get().partitionId(), {c: [] for c in columns}, 0, None
+
+        def rows(found: np.ndarray) -> pa.RecordBatch:
+            m = found.shape[1]
+            return pa.RecordBatch.from_arrays([pa.array([0] * m, pa.int32()), pa.array([place] * m, pa.int32()), *(pa.array(x) for x in found), *(pa.nulls(m, k) for k in kinds)], _NAMES)
+
         for batch in batches:
             for c, own in kept.items():
                 own += batch.column(c).to_pylist()
+            n = len(kept["id"])
+            if first is None and n >= REACH:
+                first = {c: own[:REACH] for c, own in kept.items()}
+            if n - 1 > done:
+                yield rows(_pairs_of(kept, least, upper=(done, n - 1)))
+                drop = max(0, n - 2 - REACH)
+                done, kept = n - 1 - drop, {c: own[drop:] for c, own in kept.items()}
         n = len(kept["id"])
         if not n:
             return
-        found = _pairs_of(kept, least)
-        kinds = (pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-        m = found.shape[1]
-        yield pa.RecordBatch.from_arrays([pa.array([0] * m, pa.int32()), pa.array([place] * m, pa.int32()), *(pa.array(x) for x in found), *(pa.nulls(m, k) for k in kinds)], _NAMES)
-        ends = [(1, place, i) for i in range(min(REACH, n))] + [(2, place + 1, i) for i in range(max(0, n - REACH), n)]
-        yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends], pa.int32()), pa.array([e[1] for e in ends], pa.int32()), *(pa.nulls(len(ends), pa.int64()) for _ in range(5)), *(pa.array([kept[c][e[2]] for e in ends], k) for c, k in zip(kept, kinds, strict=True))], _NAMES)
+        yield rows(_pairs_of(kept, least, upper=(done, n)))
+        first = first or kept
+        ends = [(1, first, i) for i in range(min(REACH, len(first["id"])))] + [(2, kept, i) for i in range(max(0, n - REACH), n)]
+        yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends], pa.int32()), pa.array([place] * len(ends), pa.int32()), *(pa.nulls(len(ends), pa.int64()) for _ in range(5)), *(pa.array([rows_[c][i] for _, rows_, i in ends], k) for c, k in zip(columns, kinds, strict=True))], _NAMES)
 
     found = materialize(rows.mapInArrow(look, f"kind int, place int, {_PAIR}, {_ROW}"), "found")
 
     def join_ends(rows: pd.DataFrame) -> pd.DataFrame:
         rows = pd.concat([rows[rows.kind == k].sort_values(["tree", "key", "size", "id"]) for k in (2, 1)])
-        kept = {c: list(rows[c]) for c in ("tree", "key", "size", "marks", "id", "comp")}
+        kept = {c: list(rows[c]) for c in columns}
         return pd.DataFrame(_pairs_of(kept, least, int((rows.kind == 2).sum())).T, columns=["a", "b", "near", "ca", "cb"])
 
-    ends = found.where("kind != 0").groupBy("place").applyInPandas(join_ends, _PAIR)
+    # the last rows of a partition meet the first ones of all partitions in reach, past empty and short ones
+    sizes = sorted((r["place"], r["count"]) for r in found.where("kind = 1").groupBy("place").count().collect())
+    meets = []
+    for k, (p, _) in enumerate(sizes):
+        between = 0
+        for q, n in sizes[k + 1 :]:
+            meets.append((p, q))
+            between += n
+            if between >= REACH:
+                break
+    after = F.broadcast(spark.createDataFrame(meets, "place int, target int"))
+    lasts = found.where("kind = 2").join(after, "place").drop("place").withColumnRenamed("target", "place")
+    ends = lasts.unionByName(found.where("kind = 1")).groupBy("place").applyInPandas(join_ends, _PAIR)
     each = found.where("kind = 0").select("a", "b", "near", "ca", "cb").unionByName(ends).groupBy("a", "b")
     out = materialize(each.agg(F.max("near").alias("near"), F.min("ca").alias("ca"), F.min("cb").alias("cb")), "pairs")
     discard(found)
@@ -347,6 +376,13 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, doc_i
         written = alike = materialize(alike, "alike")
         discard(before, links, joined)
     settled = alike.select("high", "low", "comp")
+    # rows that share an id are one document: what their texts belong to is one component
+    of_id = signed.where("values IS NOT NULL").select("id", "high", "low").join(settled, ["high", "low"]).select("id", "comp").distinct()
+    several = of_id.groupBy("id").agg(F.min("comp").alias("ca"), F.max("comp").alias("cb")).where("ca != cb").select("id", "ca")
+    shared = materialize(of_id.join(several, "id").where("comp != ca").select("ca", F.col("comp").alias("cb")).distinct(), "shared")
+    if not shared.isEmpty():
+        joined = components(shared, "ca", "cb")
+        settled = settled.join(joined, settled["comp"] == joined["node"], "left").withColumn("comp", F.coalesce("component", "comp")).drop("node", "component")
     out = signed.select("id", "size", "high", "low").join(settled, ["high", "low"], "left").select("id", F.col("size").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("comp", "id")).alias("component"))
     out = materialize(out, "components")
     discard(signed, written)
