@@ -381,10 +381,9 @@ def brute_neighbours(rows, k=5):
     return {q: sorted(best.items(), key=lambda r: (-round(r[1], 12), r[0]))[:k] for q, best in out.items()}
 
 
-@pytest.mark.parametrize("block", [4096, 40])
+@pytest.mark.parametrize("block", [8192, 8])
 def test_nearest_neighbours(spark, monkeypatch, block):
     monkeypatch.setattr(ann, "BLOCK", block)
-    monkeypatch.setattr(ann, "ASKING", max(1, block // 8))
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((60, 16))
     x = (centres[rng.integers(0, 60, 3000)] + 0.6 * rng.standard_normal((3000, 16))).astype(np.float32)

@@ -1,16 +1,16 @@
 """Approximate nearest neighbours with a permutation index.
 
-Pivots: distinct vectors from a sample of at most ``SAMPLE`` rows (lowest hashes), ``PIVOTS_PER_ROOT`` for each square root
-of a row, so that what a query meets grows slower than the table. Every vector is represented by its ``ORDER`` nearest
-pivots in order, and posted with this order in the inverted files of its ``POSTED`` nearest pivots. A query reads the
-files of its ``ASKED`` nearest pivots only; there the footrule distance between the two orders (a pivot that an order
-doesn't hold counts as the place after its last) ranks what was posted, and the ``RERANKED`` nearest over all its files
-are compared by exact cosine on the original vectors in double precision.
+Pivots: up to ``PIVOTS`` distinct vectors from a bounded sample (lowest hashes). Every vector is represented by all pivots in
+order of nearness, and posted once, in the inverted file of its nearest pivot. A query reads the files of its ``ASKED``
+nearest pivots only. There the footrule distance between the two orders ranks what was posted, and what lies within the
+query's radius is compared by exact cosine on the original vectors in double precision. The radius is the footrule distance
+within which ``SHARE`` of a bounded sample lies (``SAMPLE`` vectors, sent to the tasks with the pivots), or what ``LEAST``
+vectors of the table would be, if that is more; so the share that is reranked is the same at every size.
 
 All vectors are indexed. Equal vectors are one entry with its k + 1 smallest ids, which is all that ties can ask for, and
 equal queries are searched once, so copies cost nothing however many they are. A file with more than ``BLOCK`` entries, or
-``ASKING`` queries, is dealt into parts by a hash of them, and each two parts meet in a task of their own. A query that finds
-fewer than k others in its files is asked of all files.
+queries, is dealt into parts by a hash of them, and each two parts meet in a task of their own. A query that finds fewer than
+k others is asked of all files without a radius.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, neither do null ids; a
 vector shorter than the longest is as one with zeros at its end; rows that share an id are one candidate with the best
@@ -20,7 +20,6 @@ are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +30,10 @@ from pyspark.sql import functions as F
 
 from tomewright.llm.common import discard, materialize, read
 
-PIVOTS_PER_ROOT, LEAST_PIVOTS, SAMPLE = 2, 8, 8192
-ORDER, POSTED, ASKED = 32, 8, 8
-RERANKED = 256
-BLOCK, ASKING = 4096, 1024
+PIVOTS, ASKED = 256, 192
+SAMPLE = 2048
+SHARE, LEAST = 0.02, 400
+BLOCK = 8192
 
 
 def valid(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -57,15 +56,33 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def orders(x: np.ndarray, pivots: np.ndarray, n: int) -> np.ndarray:
-    """The n nearest pivots of each row, nearest first."""
-    return np.argsort(-(unit(x) @ pivots.T), axis=1, kind="stable")[:, :n].astype(np.int32)
+def orders(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The pivots of each row, nearest first."""
+    return np.argsort(-(unit(x) @ pivots.T), axis=1, kind="stable").astype(np.int16)
 
 
-def saved(order: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Of a query's order, against the places of the pivots in other orders: a constant less the footrule distance."""
-    n = len(order)
-    return 2 * (n - np.maximum(places[:, order], np.arange(n))).sum(axis=1)
+def places(order: np.ndarray) -> np.ndarray:
+    """The place of each pivot in each order."""
+    out = np.empty_like(order)
+    out[np.arange(len(order))[:, None], order] = np.arange(order.shape[1], dtype=order.dtype)
+    return out
+
+
+def footrule(place: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The footrule distance of one order to others, all by places."""
+    return np.abs(others - place).sum(axis=1, dtype=np.int32)
+
+
+class Index:
+    """Pivots, and the orders of a sample that radii are taken from."""
+
+    def __init__(self, pivots: np.ndarray, sample: np.ndarray, share: float):
+        self.pivots, self.share = pivots, share
+        self.sample = places(orders(sample, pivots)) if len(sample) else np.zeros((0, len(pivots)), np.int16)
+
+    def radius(self, place: np.ndarray) -> int:
+        found = np.sort(footrule(place, self.sample))
+        return int(found[min(len(found) - 1, int(self.share * len(found)))]) if self.share < 1 and len(found) else np.iinfo(np.int32).max
 
 
 def entries(rows: DataFrame, k: int) -> DataFrame:
@@ -75,93 +92,83 @@ def entries(rows: DataFrame, k: int) -> DataFrame:
     return few.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.xxhash64("v").alias("h"), "v", "ids")
 
 
-def posted(vectors: DataFrame, pivots, width: int, files: int) -> DataFrame:
-    """p, h, o: each vector's order, for each of the files that it stands in or asks."""
+def cosine(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return (x * q).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
+
+
+def posted(vectors: DataFrame, index, width: int, files: int) -> DataFrame:
+    """vectors with p: the file of the nearest pivot, or a row for each of the nearest ``files`` files, and r: the radius of
+    those that ask several."""
+    own = vectors.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                o = orders(matrix(part.column(1), width), pivots.value, max(ORDER, files))
-                n = min(files, o.shape[1])
-                told = [r.tobytes() for r in o[:, :ORDER]]
-                yield pa.RecordBatch.from_arrays([pa.array(o[:, :n].ravel()), pa.array(np.repeat(part.column(0).to_numpy(), n)), pa.array([t for t in told for _ in range(n)], pa.binary())], ["p", "h", "o"])
+                whole = orders(matrix(part.column("v"), width), index.value.pivots)
+                radii = np.array([index.value.radius(p) if files > 1 else 0 for p in places(whole)], np.int32)
+                o = whole[:, :files]
+                at = np.repeat(np.arange(len(o)), o.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(o.ravel().astype(np.int32)), pa.array(radii[at]), *(c.take(pa.array(at)) for c in part.columns)], ["p", "r", *own])
 
-    return vectors.select("h", "v").mapInArrow(run, "p int, h long, o binary")
+    return vectors.mapInArrow(run, "p int, r int, " + ", ".join(f"{n} {k}" for n, k in vectors.dtypes))
 
 
-def candidates(index: DataFrame, asking: DataFrame, count: int, reranked: int) -> DataFrame:
-    """q, h: what each query's files rank nearest."""
-    parts = lambda rows, bound, name: rows.groupBy("p").agg(F.ceil(F.count("*") / bound).cast("int").alias(name))
-    sizes = parts(index, BLOCK, "a").join(parts(asking, ASKING, "b"), "p")  # a row for each pivot
+def nearest(files: DataFrame, asking: DataFrame, index, width: int, n: int, everything: bool = False) -> DataFrame:
+    """q, id, score: the n nearest ids of each query in the files that it asks."""
+    parts = lambda rows, name: rows.groupBy("p").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+    sizes = F.broadcast(parts(files, "a").join(parts(asking, "b"), "p"))  # a row for each pivot
     own = lambda name: F.pmod(F.xxhash64("h", F.lit("part")), F.col(name)).cast("int")
     every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
-    left = asking.join(F.broadcast(sizes), "p").select("p", own("b").alias("y"), every("a").alias("x"), F.col("h").alias("q"), "o")
-    right = index.join(F.broadcast(sizes), "p").select("p", every("b").alias("y"), own("a").alias("x"), "h", "o")
+    left = asking.join(sizes, "p").select("p", own("b").alias("y"), every("a").alias("x"), F.col("h").alias("q"), "r", "v")
+    right = files.join(sizes, "p").select("p", every("b").alias("y"), own("a").alias("x"), "v", "ids")
 
     def run(ask: pd.DataFrame, file: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, list[int], list[int]]] = []
+        queries, ids, scores = [], [], []
         if len(ask) and len(file):
-            ids = file["h"].to_numpy()
-            of = lambda rows: np.frombuffer(b"".join(rows["o"]), np.int32).reshape(len(rows), -1)
-            held, asked = of(file), of(ask)
-            n = held.shape[1]
-            places = np.full((len(ids), count), n, np.int16)
-            places[np.arange(len(ids))[:, None], held] = np.arange(n)
-            for q, o in zip(ask["q"].to_numpy(), asked, strict=True):
-                near = saved(o, places)
-                best = np.argpartition(-near, reranked - 1)[:reranked] if len(near) > reranked else np.arange(len(near))
-                out.append((int(q), ids[best].tolist(), near[best].tolist()))
-        return pd.DataFrame(out, columns=["q", "h", "near"])
-
-    found = left.groupBy("p", "x", "y").cogroup(right.groupBy("p", "x", "y")).applyInPandas(run, "q long, h array<long>, near array<long>")
-    pairs = found.select("q", F.explode(F.arrays_zip("h", "near")).alias("c")).select("q", "c.h", "c.near").groupBy("q", "h").agg(F.first("near").alias("near"))
-    best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("near"), "h"))
-    return pairs.withColumn("place", best).where(F.col("place") <= reranked).select("q", "h")
-
-
-def nearest(pairs: DataFrame, vectors: DataFrame, asking: DataFrame, width: int, n: int) -> DataFrame:
-    """q, id, score: the n nearest ids of each query among its candidates."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                x, y = matrix(part.column(1), width), matrix(part.column(2), width)
-                x, y = x / np.abs(x).max(axis=1, keepdims=True), y / np.abs(y).max(axis=1, keepdims=True)
-                score = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
-                ids = part.column(3)
-                size = np.array([len(i) for i in ids.to_pylist()])
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), size)), ids.flatten(), pa.array(np.repeat(score, size))], ["q", "id", "score"])
-
-    met = pairs.join(vectors.withColumnRenamed("v", "x"), "h").join(asking.select(F.col("h").alias("q"), F.col("v").alias("y")), "q")
-    scored = met.select("q", "x", "y", "ids").mapInArrow(run, "q long, id long, score double").groupBy("q", "id").agg(F.max("score").alias("score"))
+            own = index.value
+            x, y = matrix(list(file["v"]), width), matrix(list(ask["v"]), width)
+            held, asked = places(orders(x, own.pivots)), places(orders(y, own.pivots))
+            members = file["ids"].to_numpy()
+            for q, v, r, place in zip(ask["q"].to_numpy(), y, ask["r"].to_numpy(), asked, strict=True):
+                near = np.arange(len(x)) if everything else np.flatnonzero(footrule(place, held) <= r)
+                if not len(near):
+                    continue
+                score = cosine(v, x[near])
+                if len(near) > n:
+                    keep = score >= np.partition(score, -n)[-n]
+                    near, score = near[keep], score[keep]
+                for i, s in zip(near, score, strict=True):
+                    ids += list(members[i])
+                    scores += [s] * len(members[i])
+                    queries += [q] * len(members[i])
+        return pd.DataFrame({"q": np.array(queries, np.int64), "id": np.array(ids, np.int64), "score": np.array(scores, np.float64)})
+
+    found = left.groupBy("p", "x", "y").cogroup(right.groupBy("p", "x", "y")).applyInPandas(run, "q long, id long, score double")
+    scored = found.groupBy("q", "id").agg(F.max("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
     return scored.withColumn("place", place).where(F.col("place") <= n).drop("place")
 
 
-def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", files: int = POSTED, asked: int = ASKED, reranked: int = RERANKED) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", pivots: int = PIVOTS, asked: int = ASKED, share: float = SHARE, least: int = LEAST) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every query."""
     spark = vectors.sparkSession
-    index = materialize(entries(valid(vectors, vec_id, vector), k), "entries")
+    held = materialize(entries(valid(vectors, vec_id, vector), k), "entries")
     owners = materialize(valid(queries, vec_id, vector).select("id", F.xxhash64("v").alias("q"), "v"), "queries")
-    asking = materialize(owners.groupBy("v").agg(F.first("q").alias("h")), "asking")
-    size = index.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("w")).first()
+    asking = materialize(owners.groupBy("v").agg(F.first("q").alias("h")).select("h", "v"), "asking")
+    size = held.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("w")).first()
     width = max(size["w"] or 1, asking.agg(F.max(F.size("v"))).first()[0] or 1)
-    wanted = max(LEAST_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(size["n"])))
-    sample = index.select("h", "v").orderBy(F.xxhash64("h"), "h").limit(min(SAMPLE, wanted)).collect()
-    points = unit(matrix([r["v"] for r in sample], width)) if sample else np.zeros((0, width))
-    pivots = spark.sparkContext.broadcast(points)
-    file = materialize(posted(index, pivots, width, files), "files")
-    found = materialize(nearest(candidates(file, posted(asking, pivots, width, asked), len(points), reranked), index, asking, width, k + 1), "found")
-    least = min(k + 1, size["n"])
-    short = asking.join(found.groupBy("q").count().where(F.col("count") >= least).select(F.col("q").alias("h")), "h", "left_anti")
-    short = materialize(short, "short")
+    sample = matrix([r["v"] for r in held.select("h", "v").orderBy(F.xxhash64("h"), "h").limit(SAMPLE).collect()], width)
+    index = spark.sparkContext.broadcast(Index(unit(sample[:pivots]) if len(sample) else sample, sample, max(share, least / max(1, size["n"]))))
+    files = materialize(posted(held.select("h", "v", "ids"), index, width, 1), "files")
+    found = materialize(nearest(files, posted(asking, index, width, asked), index, width, k + 1), "found")
+    enough = found.groupBy("q").count().where(F.col("count") >= min(k + 1, size["n"])).select(F.col("q").alias("h"))
+    short = materialize(asking.join(enough, "h", "left_anti"), "short")
     if size["n"] and not short.isEmpty():
-        more = nearest(candidates(file, posted(short, pivots, width, len(points)), len(points), reranked), index, short, width, k + 1)
+        more = nearest(files, posted(short, index, width, pivots), index, width, k + 1, everything=True)
         before, found = found, materialize(found.join(short.select(F.col("h").alias("q")), "q", "left_anti").unionByName(more), "found")
         discard(before)
-    discard(file, short)
+    discard(held, asking, files, short)
     met = owners.select(F.col("id").alias("query_id"), "q").join(found, "q").where("id != query_id")
     once = met.groupBy("query_id", F.col("id").alias("vec_id")).agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

@@ -19,6 +19,7 @@ import hashlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -28,6 +29,7 @@ from tomewright.llm.common import read
 
 KEPT, KEPT_CHARS = 400_000, 64
 STREAM_CHARS = 2_000_000
+STEP = 256
 
 
 class RankQueue:
@@ -215,9 +217,15 @@ def stage(docs: DataFrame) -> DataFrame:
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("decoded_sha256", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [sent.value.encode(t or "") for t in batch.column("text").to_pylist()]
-            digests = [hashlib.sha256(sent.value.decode(x)).hexdigest() for x in made]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(made, pa.list_(pa.int32())), pa.array([len(x) for x in made], pa.int64()), pa.array(digests)], schema.names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, STEP):
+                batch = whole.slice(start, STEP)
+                made, digests = [], []
+                for t in batch.column("text").to_pylist():
+                    made.append(np.array(sent.value.encode(t or ""), np.int32))
+                    digests.append(hashlib.sha256(sent.value.decode(made[-1].tolist())).hexdigest())
+                sizes = np.array([len(x) for x in made])
+                ids = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), np.concatenate(made))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids, pa.array(sizes), pa.array(digests)], schema.names)
 
     return docs.mapInArrow(run, schema)
