@@ -46,7 +46,7 @@ from tomewright.llm.components import components
 TREES, DEPTH = 16, 8
 FIRST = 2
 REACH = 4
-CROWD = 3
+CROWD = 4
 #: Rows and shingles of one part of a crowd.
 PART_ROWS, PART_SHINGLES = 1024, 2_000_000
 SKETCH = 64
