@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tomewright.llm import ann, bpe, chat, decontaminate, langid, linededup, lm, neardup, shard, toxicity
+from tomewright.llm import align, ann, bpe, chat, decontaminate, fingerprint, langid, linededup, lm, neardup, shard, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": neardup.op1_minhash_near_dedup,
@@ -19,6 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+    "op11_fingerprints": fingerprint.op11_fingerprints,
+    "op12_token_alignment": align.op12_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
