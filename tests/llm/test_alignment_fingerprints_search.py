@@ -2,16 +2,18 @@
 
 import hashlib
 import itertools
+import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tomewright.llm import align, fingerprint
+from tomewright.llm import align, decontaminate, fingerprint, lexical
 
 DOC = "doc_id long, text string"
 A, B, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN
@@ -96,14 +98,9 @@ def test_alignment_of_a_long_text(spark):
 # fingerprints
 
 
-def as_text(sums):
-    digest, sketch = fingerprint.vectors()
-    return fingerprint.written(digest, sketch, F.col("pairs"))
-
-
 def prints(spark, texts):
     rows = fingerprint.fingerprints(docs_of(spark, texts), ["doc_id"])
-    return {r["doc_id"]: r["f"] for r in rows.select("doc_id", as_text(rows).alias("f")).collect()}
+    return {r["doc_id"]: r["f"] for r in rows.select("doc_id", fingerprint.written(F.col("sums")).alias("f")).collect()}
 
 
 def test_fingerprints_are_multiset_hashes(spark):
@@ -123,9 +120,10 @@ def test_fingerprints_insert_and_delete(spark):
     rows = [(0, p, 1) for p in [*old, *out]] + [(0, p, -1) for p in out] + [(0, p, 1) for p in put]
     schema = "doc_id long, paragraph string, w int"
     changes = spark.createDataFrame(rows[10:], schema)
-    parts = fingerprint.summed(spark.createDataFrame(rows[:10], schema), ["doc_id"], sign="w").unionByName(fingerprint.summed(changes, ["doc_id"], sign="w"))
-    whole = fingerprint.combined(parts, ["doc_id"])
-    assert whole.select(as_text(whole)).first()[0] == prints(spark, ["\n".join([*put, *old])])[0]
+    base = fingerprint.summed(spark.createDataFrame(rows[:10], schema), ["doc_id"], sign="w")
+    both = base.join(fingerprint.summed(changes, ["doc_id"], sign="w").withColumnRenamed("sums", "change"), "doc_id")
+    new = fingerprint.plus(F.col("sums"), F.col("change"))
+    assert both.select(fingerprint.written(new)).first()[0] == prints(spark, ["\n".join([*put, *old])])[0]
 
 
 def test_fingerprint_query(spark, tmp_path):
@@ -166,3 +164,74 @@ def test_fingerprint_query(spark, tmp_path):
     assert fingerprint.op11_fingerprints(spark, f"{tmp_path}/none").count() == 0
     spark.createDataFrame([(7, "only one document")], DOC).write.parquet(f"{tmp_path}/one/documents.parquet")
     assert fingerprint.op11_fingerprints(spark, f"{tmp_path}/one").first()["near_next"] == 1
+
+
+# ranked search
+
+
+def brute_search(texts, items, k=20):
+    docs = [(i, Counter(decontaminate.words(t.encode()))) for i, t in texts if t is not None]
+    docs = [(i, c) for i, c in docs if c]
+    total = sum(sum(c.values()) for _, c in docs)
+    df = Counter(w for _, c in docs for w in c)
+    out = []
+    for item, t in items:
+        asked, found = Counter(decontaminate.words((t or "").encode())), []
+        for i, c in docs:
+            m = 75 + (25 * sum(c.values()) * len(docs)) // total
+            score = sum(n * math.floor(1000 * math.log((2 * len(docs) + 2) / (2 * df[w] + 1))) * ((1_000_000_000 * c[w]) // (1000 * c[w] + 12 * m)) for w, n in asked.items() if w in c)
+            if score > 0 and i is not None:
+                found.append((-score, i))
+        out += [(item, rank + 1, i, -score) for rank, (score, i) in enumerate(sorted(found)[:k])]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("block_words", "block_docs", "k"), [(1_000_000, 16_384, 20), (60, 7, 3)])
+def test_ranked_search(spark, block_words, block_docs, k):
+    rng = random.Random(26)
+    vocabulary = prose(rng, 400).split()
+    weighted = [vocabulary[min(399, int(rng.paretovariate(0.6)) - 1)] for _ in range(20_000)]
+    texts = [(i, " ".join(rng.choice(weighted) for _ in range(rng.randint(1, 120)))) for i in rng.sample(range(5000), 300)]
+    texts += [(6000 + i, "Copied WORDS, " + " ".join(vocabulary[:30])) for i in range(90)]
+    texts += [(7000, None), (7001, ""), (7002, "...!"), (None, " ".join(vocabulary[:9])), (7003, "é É ÄB äb"), (7004, "rare " * 5000), (7005, "rare"), (7005, "rare"), (-5, "rare")]
+    items = [(i, " ".join(rng.choice(weighted) for _ in range(rng.randint(1, 40)))) for i in range(25)]
+    items += [(30, " ".join(vocabulary[:30])), (31, None), (32, "?!"), (33, "nowhere"), (34, "Rare rare É"), (None, vocabulary[3]), (35, items[0][1])]
+    df = spark.createDataFrame(texts, DOC).withColumns({"item_id": F.lit("clash"), "n": F.lit(1), "terms": F.lit("x")}).repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = lexical.search(df, bench, k=k, block_words=block_words, block_docs=block_docs)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_search(texts, items, k)
+    assert lexical.search(df.limit(0), bench).count() == lexical.search(df, bench.limit(0)).count() == 0
+
+
+def test_treaps_are_search_trees_and_heaps():
+    rng = np.random.default_rng(27)
+    doc, impact = np.sort(rng.choice(100_000, 20_000, replace=False)), rng.integers(1, 40, 20_000)
+    treap = lexical.Treaps(np.arange(100_000), doc, np.zeros(20_000, np.int64), impact, 1)
+    depth, level, seen = 0, treap.root, 0
+    while len(level):
+        for child, sign in ((treap.left, -1), (treap.right, 1)):
+            there = child[level] >= 0
+            below = child[level][there]
+            assert (treap.impact[below] <= treap.impact[level[there]]).all()
+            assert (sign * (treap.doc[below] - treap.doc[level[there]]) > 0).all()
+        seen += len(level)
+        level = np.concatenate((treap.left[level], treap.right[level]))
+        level, depth = level[level >= 0], depth + 1
+    assert seen == 20_000 and depth < 80
+
+
+def test_search_opens_few_ranges():
+    """With strong impacts in few documents, most ranges are never opened."""
+    rng = np.random.default_rng(28)
+    n = 20_000
+    term = np.repeat(np.arange(4), n)
+    impact = rng.pareto(1.1, 4 * n).astype(np.int64) + 1
+    treap = lexical.Treaps(np.arange(n), np.tile(np.arange(n), 4), term, impact, 4)
+    opened = []
+    split, treap.split = treap.split, lambda *a: opened.append(len(a[0]) // 4) or split(*a)
+    best = lexical.Best(20)
+    treap.search(np.arange(4), np.ones(4, np.int64), best)
+    total = np.bincount(np.tile(np.arange(n), 4), impact).astype(np.int64)
+    order = np.lexsort((np.arange(n), -total))[:20]
+    assert list(best.ids) == list(order) and list(best.scores) == list(total[order])
+    assert sum(opened) < n / 5

@@ -4,7 +4,7 @@ A paragraph is what stands between line feeds. Its vector has ``DIGEST_LANES`` l
 SHA-256, and ``SKETCH_LANES`` lanes that count, over the pairs of neighbouring words (parted by spaces) inside it, how many pairs have that bit set
 in their hash. The fingerprint of a document is the sum of its paragraphs' vectors, each lane modulo 2^32. So it does not
 depend on the order of paragraphs, and paragraphs are inserted and deleted by adding and subtracting their sums
-(``combined``); nothing else of the document is read again. Equal lanes of the first kind mean equal multisets of
+(``plus``); nothing else of the document is read again. Equal lanes of the first kind mean equal multisets of
 paragraphs (up to collisions of 512 bits). The second kind is a sketch of the multiset of word pairs: with n pairs, 2 x lane - n
 is a sum of random signs, so the cosine of two such vectors estimates the cosine of the two multisets, with a standard
 error near 0.09 for 128 lanes.
@@ -27,7 +27,6 @@ from tomewright.llm.common import discard, materialize, read, shuffle_partitions
 DIGEST_LANES, SKETCH_LANES = 16, 128
 _PACKED = SKETCH_LANES // 2
 _LOW = 0xFFFFFFFF
-SUMS = [*(f"d{k}" for k in range(DIGEST_LANES)), *(f"s{k}" for k in range(_PACKED)), "pairs"]
 
 
 def summed(paragraphs: DataFrame, keys: list[str], paragraph: str = "paragraph", sign: str | None = None) -> DataFrame:
@@ -39,47 +38,38 @@ def summed(paragraphs: DataFrame, keys: list[str], paragraph: str = "paragraph",
     each = each.select(*keys, "__w", F.when(F.col("__at") == 0, F.col("__p")).alias("__p"), *hashes)
     lanes = lambda k: F.when(F.col("__p").isNotNull(), F.col("__w") * F.xxhash64("__p", F.lit(k)).bitwiseAND(F.lit(_LOW)))
     bits = lambda k: F.col("__w") * F.shiftright(f"__h{k // 32}", k % 32).bitwiseAND(F.lit(0x100000001))
-    totals = [*(F.sum(lanes(k)).alias(f"d{k}") for k in range(DIGEST_LANES)), *(F.sum(bits(k)).alias(f"s{k}") for k in range(_PACKED)), F.sum("__w").alias("pairs")]
-    return each.groupBy(*keys).agg(*totals)
+    totals = [*(F.sum(lanes(k)) for k in range(DIGEST_LANES)), *(F.sum(bits(k)) for k in range(_PACKED)), F.sum("__w")]
+    return each.groupBy(*keys).agg(F.array(*totals).alias("sums"))
 
 
-def combined(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """The sums of several rows for each key: the fingerprint of all their paragraphs together."""
-    return parts.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in SUMS))
+def plus(a: Column, b: Column) -> Column:
+    """The sums of two sets of paragraphs together."""
+    return F.zip_with(a, b, lambda x, y: x + y)
 
 
-def _low(packed: Column) -> Column:
-    """The lower lane, which may have become negative on the way, as a signed number."""
-    low = packed.bitwiseAND(F.lit(_LOW))
-    return F.when(low >= F.lit(1 << 31), low - F.lit(1 << 32)).otherwise(low)
+def vectors(sums: Column) -> tuple[Column, Column, Column]:
+    """Of sums, the lanes of both kinds as arrays: those of digests modulo 2^32, and the centred counts 2 x lane - pairs; and the pairs."""
+    pairs = F.element_at(sums, -1)
+    signed = lambda x: F.shiftright(F.shiftleft(x, 32), 32)  # noqa: E731  the lower lane, which may have become negative on the way
+    packed = F.slice(sums, DIGEST_LANES + 1, _PACKED)
+    low, high = F.transform(packed, signed), F.transform(packed, lambda x: F.shiftright(x - signed(x), 32))
+    return F.transform(F.slice(sums, 1, DIGEST_LANES), lambda x: x.bitwiseAND(F.lit(_LOW))), F.transform(F.concat(low, high), lambda x: 2 * x - pairs), pairs
 
 
-def vectors(prefix: str = "") -> tuple[Column, Column]:
-    """Of the sums, the lanes of both kinds as arrays: those of digests modulo 2^32, and the centred counts 2 x lane - pairs."""
-    digest = F.array(*(F.col(f"{prefix}d{k}").bitwiseAND(F.lit(_LOW)) for k in range(DIGEST_LANES)))
-    low = [_low(F.col(f"{prefix}s{k}")) for k in range(_PACKED)]
-    high = [F.shiftright(F.col(f"{prefix}s{k}") - low[k], 32) for k in range(_PACKED)]
-    return digest, F.array(*((F.lit(2) * lane - F.col(f"{prefix}pairs")).cast("int") for lane in [*low, *high]))
-
-
-def written(digest: Column, sketch: Column, pairs: Column) -> Column:
+def written(sums: Column) -> Column:
     """A fingerprint as text: lanes in hexadecimal, digest lanes first."""
+    digest, sketch, pairs = vectors(sums)
     counts = F.transform(sketch, lambda x: F.hex(F.floor((x + pairs) / 2)))
     return F.concat(F.array_join(F.transform(digest, lambda x: F.lpad(F.hex(x), 8, "0")), ""), F.lit(":"), F.array_join(counts, "."))
 
 
-def likeness(a: Column, b: Column, same: Column) -> Column:
-    """Cosine of two sketches, cut off at 0; 1 for equal fingerprints and nothing else."""
+def likeness(a: Column, b: Column) -> Column:
+    """Of two sums, the cosine of their sketches, cut off at 0; 1 for equal fingerprints."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda acc, v: acc + v)
-    size = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    cosine = F.when(size > 0, dot(a, b) / size).otherwise(F.lit(0.0))
-    return F.when(same, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)))
-
-
-def vectored(prefix: str = "") -> list[Column]:
-    """The columns of a fingerprint, from its sums: digest and sketch lanes."""
-    digest, sketch = vectors(prefix)
-    return [digest.alias(f"{prefix}digest"), sketch.alias(f"{prefix}sketch"), F.col(f"{prefix}pairs")]
+    (digest, x, _), (other, y, _) = vectors(a), vectors(b)
+    size = F.sqrt(dot(x, x)) * F.sqrt(dot(y, y))
+    cosine = F.when(size > 0, dot(x, y) / size).otherwise(F.lit(0.0))
+    return F.when((digest == other) & (x == y), F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)))
 
 
 def fingerprints(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -107,45 +97,51 @@ def following(ids: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 
 def with_edits(docs: DataFrame) -> DataFrame:
-    """Of documents (doc_id, text): doc_id, n_chars, edited_sha256, and the vectors of the text (``o_``), of its edited text (``e_``)
-    and of the next document's (``x_``). A text is edited by putting the beginning of the next one in place of its last third.
+    """Of distinct documents (doc_id, text): doc_id, n_chars, rows (how often it stands there), edited_sha256, and the sums of the text
+    (``own``), of its edited text (``edited``) and of the next document (``next``). A text is edited by putting the beginning of the
+    next one in place of its last third.
 
     Only the paragraphs that the edit touches are summed again: the edited fingerprint is the text's, less those from the cut
     on, plus those that stand there then."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.coalesce("doc_id", F.lit(-1 << 63)).alias("id"), F.xxhash64(text, F.col("doc_id").isNull()).alias("mark"))
     key = ["id", "mark"]
-    sizes = materialize(rows.groupBy(*key).agg(F.first(F.char_length("text")).alias("n"), F.first(F.expr("cast(char_length(text) div 3 as int)")).alias("third"), F.count("*").alias("rows")), "sizes")
+    size, third = F.char_length("text"), F.expr("cast(char_length(text) div 3 as int)")
+    sizes = materialize(rows.groupBy(*key).agg(F.first("doc_id").alias("doc_id"), F.first(size).alias("n"), F.first(third).alias("third"), F.count("*").alias("rows")), "sizes")
     nexts = following(sizes, key, [F.col("id").desc(), F.col("mark").desc()])
-    texts = rows.dropDuplicates(key)
+    texts = rows.select(*key, "text").dropDuplicates(key)
     # the pieces that edited texts take from their next documents come from where these are
-    wanted = sizes.join(nexts, key).select(F.col("next_id").alias("id"), F.col("next_mark").alias("mark"), F.col("id").alias("to_id"), F.col("mark").alias("to_mark"), "n", "third", "rows")
-    given = texts.join(wanted, key).select(F.col("to_id").alias("id"), F.col("to_mark").alias("mark"), "n", "third", "rows", F.expr("substring(text, 1, third)").alias("put"), F.col("id").alias("next_id"), F.col("mark").alias("next_mark"))
+    wanted = sizes.join(nexts, key).select(F.col("next_id").alias("id"), F.col("next_mark").alias("mark"), F.col("id").alias("to_id"), F.col("mark").alias("to_mark"), "doc_id", "n", "third", "rows")
+    given = texts.join(wanted, key).select(F.col("to_id").alias("id"), F.col("to_mark").alias("mark"), "doc_id", "n", "third", "rows", F.expr("substring(text, 1, third)").alias("put"), F.col("id").alias("next_id"), F.col("mark").alias("next_mark"))
     both = texts.join(given, key).withColumn("head", F.expr("substring(text, 1, n - third)"))
-    both = both.withColumns({"cut": F.substring_index("head", "\n", -1), "edited": F.unhex(F.sha2(F.concat("head", "put").cast("binary"), 256))})  # cut: the paragraph in which the edit begins
+    both = both.withColumns({"cut": F.substring_index("head", "\n", -1), "edit": F.unhex(F.sha2(F.concat("head", "put").cast("binary"), 256))})  # cut: the paragraph in which the edit begins
     gone = F.concat("cut", F.expr("substring(text, n - third + 1, third)"))
     part = lambda side, w, t: F.struct(F.lit(side).alias("side"), F.lit(w).alias("w"), t.alias("t"))
     parts = F.array(part(0, 1, F.col("text")), part(1, -1, gone), part(1, 1, F.concat("cut", "put")))
-    facts = [*key, "doc_id", "n", "rows", "next_id", "next_mark", "edited"]
+    facts = [*key, "doc_id", "n", "rows", "next_id", "next_mark", "edit"]
     paragraphs = both.select(*facts, F.inline(parts)).select(*facts, "side", "w", F.explode(F.split("t", "\n")).alias("paragraph"))
     sums = summed(paragraphs, [*facts, "side"], sign="w")
-    sides = sums.groupBy(*facts).agg(*(F.sum(F.when(F.col("side") == 0, F.col(c))).alias(f"o_{c}") for c in SUMS), *(F.sum(c).alias(f"e_{c}") for c in SUMS))
-    own = materialize(sides.select(*facts, *vectored("o_"), *vectored("e_")), "vectors")
+    change = F.lead("sums").over(Window.partitionBy(*key).orderBy("side"))
+    own = sums.withColumn("change", change).where("side = 0").select(*facts, F.col("sums").alias("own"), plus(F.col("sums"), F.col("change")).alias("edited"))
+    own = materialize(own, "sums")
     discard(sizes, nexts)
-    after = own.select(F.col("id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("o_digest").alias("x_digest"), F.col("o_sketch").alias("x_sketch"))
-    return own.join(after, ["next_id", "next_mark"]).withColumn("edited_sha256", F.lower(F.hex("edited")))
+    after = own.select(F.col("id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("own").alias("next"))
+    return own.join(after, ["next_id", "next_mark"]).select("doc_id", F.col("n").cast("long").alias("n_chars"), "rows", F.lower(F.hex("edit")).alias("edited_sha256"), "own", "edited", "next")
 
 
 def op11_fingerprints(spark, sf_dir: str) -> DataFrame:
-    f = with_edits(read(spark, sf_dir, "documents"))
-    same = lambda a, b: (F.col(f"{a}_digest") == F.col(f"{b}_digest")) & (F.col(f"{a}_sketch") == F.col(f"{b}_sketch"))
-    return f.select(
-        "doc_id",
-        F.col("n").cast("long").alias("n_chars"),
-        "edited_sha256",
-        written(F.col("o_digest"), F.col("o_sketch"), F.col("o_pairs")).alias("fingerprint"),
-        written(F.col("e_digest"), F.col("e_sketch"), F.col("e_pairs")).alias("edited_fingerprint"),
-        likeness(F.col("o_sketch"), F.col("e_sketch"), same("o", "e")).alias("near_edited"),
-        likeness(F.col("o_sketch"), F.col("x_sketch"), same("o", "x")).alias("near_next"),
-        F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("row"),
-    ).drop("row")
+    own, edited, after = F.col("own"), F.col("edited"), F.col("next")
+    return (
+        with_edits(read(spark, sf_dir, "documents"))
+        .select(
+            "doc_id",
+            "n_chars",
+            "edited_sha256",
+            written(own).alias("fingerprint"),
+            written(edited).alias("edited_fingerprint"),
+            likeness(own, edited).alias("near_edited"),
+            likeness(own, after).alias("near_next"),
+            F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("row"),
+        )
+        .drop("row")
+    )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tomewright.llm import align, ann, bpe, chat, decontaminate, fingerprint, langid, linededup, lm, neardup, shard, toxicity
+from tomewright.llm import align, ann, bpe, chat, decontaminate, fingerprint, langid, lexical, linededup, lm, neardup, shard, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": neardup.op1_minhash_near_dedup,
@@ -21,10 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
     "op11_fingerprints": fingerprint.op11_fingerprints,
     "op12_token_alignment": align.op12_token_alignment,
+    "op13_ranked_search": lexical.op13_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": neardup.ORACLE_SQL,
     "op6_chat_formatting": chat.ORACLE_SQL,
     "op10_benchmark_decontamination": decontaminate.ORACLE_SQL,
+    "op13_ranked_search": lexical.ORACLE_SQL,
 }
