@@ -34,7 +34,7 @@ from tokenizers import Tokenizer
 
 from tomewright.llm.common import materialize, read
 
-RUN_CHARS = 1_000_000
+RUN_CHARS = 250_000
 LOOKUP_ROWS = 4_000_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -71,8 +71,9 @@ class TokenizerPair:
         made = [given["vocab"]["".join(m)] for m in merges]
         ordered = made == sorted(made) and (not made or made[0] >= 256)
         self.fast = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks={entries[i]: i for i in [*range(256), *made]}, special_tokens={}) if pattern and ordered else None
-        self.slow = Tokenizer.from_str(a_file.decode())
-        self.slow.encode_special_tokens = True
+        self.slow = None if self.fast else Tokenizer.from_str(a_file.decode())
+        if self.slow:
+            self.slow.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         bytewise = [re.fullmatch("<0x([0-9A-F]{2})>", p) for p in pieces]
