@@ -177,26 +177,6 @@ def test_selection(spark):
     assert heads["feux"] == "feu" and heads["froide"] == heads["froid"] and (heads["fraude"] in ("fraude", heads["froid"]) or difflib.SequenceMatcher(None, "froid", "fraude").ratio() >= 0.72)
 
 
-def test_cheapest_cost(spark):
-    """Against the smallest sets by recursion."""
-    rng = random.Random(8)
-    parts = {n: [rng.sample(range(n), min(n, rng.randint(1, 2))) for _ in range(rng.randint(0, 2))] for n in range(1, 40)} | {0: []}
-    rows = [(n, k, p) for n, groups in parts.items() for k, g in enumerate(groups) for p in g]
-    edges = spark.createDataFrame([(p, n) for n, _, p in rows], "src int, dst int")
-    nodes = spark.range(40).select(F.col("id").cast("int").alias("node"))
-    waves = graph.waves(edges, nodes, 60)
-    wave = {r["node"]: r["wave"] for r in waves.collect()}
-
-    def takes(n):
-        out = {n}
-        for g in parts[n]:
-            out |= min(((len(s), p, s) for p in g if wave[p] < wave[n] for s in [takes(p)]), key=lambda x: x[:2])[2]
-        return out
-
-    got = graph.cheapest_cost(spark.createDataFrame(rows, "node int, part int, prerequisite int"), nodes, waves, 60)
-    assert {r["node"]: r["cost"] for r in got.collect()} == {n: len(takes(n)) for n in parts}
-
-
 def test_evidence(spark):
     docs = ["xx a b c d efg", "a b c d e f g", "q  a\nbc d", "word", None, "a b c d e f g"]
     quotes = ["a b c d e", "b c d e f", "a bc d", "bc", "a\nbc", "ord", None, "a b c d e f g", "  "]

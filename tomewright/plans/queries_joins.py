@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tomewright.functions import text
-from tomewright.operators import graph, html, index, quality, reconcile, rules, search, sheet
+from tomewright.operators import acquisition, graph, html, index, quality, reconcile, rules, search, sheet
 from tomewright.sources.tables import ENTRIES_SQL, SPELLS_SQL, entries, load, spells
 
 CL_SQL = f"WITH {ENTRIES_SQL}, cl AS (SELECT id, class_id, min(level) AS level FROM entries GROUP BY id, class_id)"
@@ -158,17 +158,18 @@ def adjacency(spark, d):
 
 
 def _requirements(spark, d):
-    """Half or third: alternatives of one part for even nodes, parts of their own for odd ones."""
-    return _edges(spark, d).select(F.col("dst").alias("node"), F.when(F.col("dst") % 2 == 0, F.lit(0).cast("long")).otherwise(F.col("src")).alias("part"), F.col("src").alias("prerequisite"))
+    """Half or third: alternatives of one part for even nodes, parts of their own for odd ones; the half comes first."""
+    half = F.col("src") == F.floor(F.col("dst") / 2)
+    part = F.when(F.col("dst") % 2 == 0, F.lit(0).cast("long")).otherwise(F.col("src"))
+    return _edges(spark, d).select(F.col("dst").alias("node"), part.alias("part"), F.when(half, 0).otherwise(1).alias("place"), F.col("src").alias("prerequisite"))
 
 
 def cheapest_cost(spark, d):
-    nodes, edges = _nodes(spark, d), _edges(spark, d)
-    return graph.cheapest_cost(_requirements(spark, d), nodes, graph.waves(edges, nodes, 40), 40)
+    return acquisition.costs(_requirements(spark, d), _nodes(spark, d)).select("node", "cost")
 
 
 def graph_catalogue(spark, d):
-    groups = _requirements(spark, d).where("node % 2 = 0")
+    groups = _requirements(spark, d).where("node % 2 = 0").drop("place")
     return graph.catalogue_of(_edges(spark, d), groups)
 
 
@@ -277,6 +278,12 @@ SELECT s_suppkey, source, count(*) AS n, max(l)::INT AS last FROM a GROUP BY 1,
     "closure_leverage": f"{REACH_SQL} SELECT p_partkey AS node, count(dst) AS leverage FROM part LEFT JOIN reach ON src = p_partkey GROUP BY 1",
     "hub_paths": f"""{REACH_SQL}, r AS (SELECT src, count(*) AS n FROM reach WHERE src NOT IN (SELECT dst FROM e) GROUP BY src)
 SELECT dst AS node, src AS hub FROM reach JOIN r USING (src) QUALIFY row_number() OVER (PARTITION BY dst ORDER BY n DESC, src DESC) = 1 UNION ALL SELECT src, src FROM r""",
+    # sets of nodes in order of their keys, each from those of its half and third
+    "cheapest_cost": """WITH RECURSIVE most AS (SELECT max(p_partkey) AS last FROM part), r(k, sets) AS (
+  SELECT 0::BIGINT, []::BIGINT[][] UNION ALL
+  SELECT k + 1, list_append(sets, list_distinct(list_concat([k + 1], CASE WHEN (k + 1) % 2 = 1 THEN list_concat(coalesce(a, []), coalesce(b, [])) WHEN a IS NULL THEN coalesce(b, []) WHEN len(b) < len(a) THEN b ELSE a END)))
+  FROM (SELECT k, sets, CASE WHEN (k + 1) // 2 > 0 AND (k + 1) // 2 % 11 <> 5 AND (k + 1) % 11 <> 5 THEN sets[(k + 1) // 2] END AS a, CASE WHEN (k + 1) // 3 > 0 AND (k + 1) // 3 % 11 <> 5 AND (k + 1) % 11 <> 5 THEN sets[(k + 1) // 3] END AS b FROM r, most WHERE k < last))
+SELECT p_partkey AS node, CASE WHEN p_partkey = 0 THEN 1 ELSE len(sets[p_partkey]) END::INT AS cost FROM part, (SELECT sets FROM r ORDER BY k DESC LIMIT 1)""",
     "waves": f"""WITH RECURSIVE {EDGES_SQL}, longest AS (SELECT p_partkey AS node, 1 AS w FROM part WHERE p_partkey NOT IN (SELECT dst FROM e) UNION SELECT e.dst, w + 1 FROM longest JOIN e ON e.src = node)
 SELECT node, max(w) AS wave FROM longest GROUP BY 1 HAVING max(w) <= 6""",
     "isolated_nodes": f"WITH {EDGES_SQL} SELECT p_partkey AS node FROM part WHERE p_partkey NOT IN (SELECT src FROM e) AND p_partkey NOT IN (SELECT dst FROM e)",

@@ -137,7 +137,7 @@ def characters(spark, d):
     of = lambda **by: F.try_element_at(F.create_map(*[F.lit(x) for kv in by.items() for x in kv]), seg)
     race = F.when(n % 4 == 0, "elfe").when(n % 4 == 1, "nain").when(n % 4 == 2, "humain")
     return c.select(
-        "people", of(MACHINERY="guerrier", BUILDING="magicien", AUTOMOBILE="barbare", FURNITURE="pretre", HOUSEHOLD="inconnu").alias("class"), (n % 20 + 1).alias("level"),
+        "people", "c_nationkey", of(MACHINERY="guerrier", BUILDING="magicien", AUTOMOBILE="barbare", FURNITURE="pretre", HOUSEHOLD="inconnu").alias("class"), (n % 20 + 1).alias("level"),
         of(MACHINERY="fast", BUILDING="slow", AUTOMOBILE="fast", FURNITURE="medium").alias("progression"), F.when(seg != "HOUSEHOLD", seg.isin("BUILDING", "FURNITURE")).alias("caster"),
         race.alias("race"), F.lit(None).cast("string").alias("size"), F.when(n % 4 == 1, "P").when(race.isNotNull(), "M").alias("race_size"), F.when(race.isNotNull(), race == "elfe").alias("race_magic"),
         F.when(race.isNotNull(), F.when(race == "humain", "curieux").otherwise("voit: vision dans le noir")).alias("race_traits"),
@@ -158,7 +158,7 @@ _FIRST_SQL = "CASE f.a WHEN 0 THEN true WHEN 1 THEN str >= 13 OR dex >= 15 WHEN
 _SECOND_SQL = """CASE f.b WHEN 0 THEN true WHEN 1 THEN CASE WHEN n % 8 <> 0 THEN n % 2 = 0 END WHEN 2 THEN CASE WHEN class <> 'barbare' THEN false END WHEN 3 THEN CASE WHEN no_magic THEN false END
   WHEN 4 THEN class = 'guerrier' AND level >= 4 WHEN 5 THEN class <> 'guerrier' WHEN 6 THEN CASE WHEN race IS NOT NULL THEN race <> 'humain' END WHEN 7 THEN CASE WHEN n % 6 <> 0 THEN true END
   WHEN 8 THEN NULL WHEN 9 THEN CASE WHEN n % 7 <> 0 THEN n % 2 = 0 END ELSE CASE WHEN race = 'elfe' THEN true WHEN class <> 'inconnu' THEN class = 'guerrier' END END"""
-_PAIRS_SQL = f"""p AS (SELECT people, f.*, ch.*, CASE k1 WHEN 'level' THEN level >= need WHEN 'level_exact' THEN level = need ELSE true END AS ok1, {_FIRST_SQL} AS ok2, {_SECOND_SQL} AS ok3,
+PAIRS_SQL = f"""p AS (SELECT people, f.*, ch.*, CASE k1 WHEN 'level' THEN level >= need WHEN 'level_exact' THEN level = need ELSE true END AS ok1, {_FIRST_SQL} AS ok2, {_SECOND_SQL} AS ok3,
   CASE WHEN k1 IS NOT NULL THEN 'niveau ' || need::VARCHAR || CASE k1 WHEN 'level_exact' THEN ' uniquement' ELSE '' END END AS t1, nullif({sql_pick(FIRST, 'f.p_partkey')}, '') AS t2, nullif({sql_pick(SECOND, 'f.p_partkey')}, '') AS t3 FROM f, ch),
 v AS (SELECT *, CASE WHEN (ok1 AND ok2 AND ok3) IS NULL THEN 'manual_check' WHEN ok1 AND ok2 AND ok3 THEN 'eligible' ELSE 'ineligible' END AS status,
   CASE WHEN NOT ok1 THEN t1 WHEN NOT ok2 THEN t2 WHEN NOT ok3 THEN t3 ELSE concat_ws(' ; ', CASE WHEN ok1 IS NULL THEN t1 END, CASE WHEN ok2 IS NULL THEN t2 END, CASE WHEN ok3 IS NULL THEN t3 END) END AS reasons FROM p)"""
@@ -299,8 +299,8 @@ UNION ALL SELECT 'caster_level', false, '', '', 3 FROM f WHERE b = 3 UNION ALL S
 UNION ALL SELECT 'unparsed', false, '', 'vision dans le noir', NULL FROM f WHERE b = 6 UNION ALL SELECT 'entry', false, '', '', NULL FROM f WHERE b = 7 UNION ALL SELECT 'unparsed', false, '', '', NULL FROM f WHERE b = 8
 UNION ALL SELECT 'unparsed', false, '', 'loyal', NULL FROM f WHERE b = 9 UNION ALL SELECT 'unparsed', false, '', 'arc long', NULL FROM f WHERE b = 10)
 SELECT kind, fragment, implied, gates, count(*) AS n, sum(value)::BIGINT AS total FROM o GROUP BY ALL""",
-    "eligibility_matrix": f"WITH {FEATS_SQL}, {CHARACTERS_SQL}, {_PAIRS_SQL} SELECT status, reasons, sum(people)::BIGINT AS n FROM v GROUP BY ALL",
-    "entry_gates": f"""WITH {FEATS_SQL}, {CHARACTERS_SQL}, {_PAIRS_SQL}, g AS (SELECT people, status, CASE WHEN status = 'ineligible' THEN NULL WHEN p_size % 3 = 0 AND a <> 5 AND no_magic THEN 'magic'
+    "eligibility_matrix": f"WITH {FEATS_SQL}, {CHARACTERS_SQL}, {PAIRS_SQL} SELECT status, reasons, sum(people)::BIGINT AS n FROM v GROUP BY ALL",
+    "entry_gates": f"""WITH {FEATS_SQL}, {CHARACTERS_SQL}, {PAIRS_SQL}, g AS (SELECT people, status, CASE WHEN status = 'ineligible' THEN NULL WHEN p_size % 3 = 0 AND a <> 5 AND no_magic THEN 'magic'
   WHEN p_size % 4 = 0 AND class NOT IN ('magicien', 'pretre') THEN 'class' WHEN p_size % 5 = 0 AND a <> 5 AND race IS DISTINCT FROM 'elfe' THEN 'affinity' END AS gate FROM v)
 SELECT CASE WHEN gate IS NOT NULL THEN 'ineligible' ELSE status END AS status, gate, sum(people)::BIGINT AS n FROM g GROUP BY ALL""",
     "prerequisite_edges": f"""SELECT p_partkey, u.x AS prerequisite, bool_or(choice) AS choice, count(DISTINCT choice) AS n_contract FROM (SELECT p_partkey, unnest(['red bolt', 'old gear']) AS x, true AS choice FROM part WHERE p_partkey % 5 = 0
