@@ -130,6 +130,26 @@ def parse_levels(x: Column) -> Column:
     return F.map_from_arrays(F.transform(first, lambda p: p["k"]), F.transform(first, lambda p: p["v"]))
 
 
+def level_map(x: Column) -> Column:
+    """struct (levels, rejects) of ``Bard 2, Ens/Mag 3 (x)``: a map of name to level, of a repeated name the first, and the parts
+    that aren't pairs. Pairs that only blanks part (``magus 1 Ens/Mag 1``) are told apart."""
+    chunks = F.filter(F.transform(F.split(x, ","), lambda c: F.trim(F.regexp_replace(F.trim(c), ";+$", ""))), lambda c: c != "")
+    whole = r"^(.+?)\s+(\d+)(?:\s*\(.*\))?$"
+    glued = r"([^\d,()]+?)\s+(\d+)"
+    pair = lambda k, v: F.struct(F.trim(k).alias("k"), v.cast("int").alias("v"))
+
+    def pairs(c: Column) -> Column:
+        several = F.zip_with(F.regexp_extract_all(c, F.lit(glued), F.lit(1)), F.regexp_extract_all(c, F.lit(glued), F.lit(2)), pair)
+        one = F.regexp_extract(c, whole, 1)
+        return F.when(one.rlike("[0-9]") & (F.size(several) > 1), several).otherwise(F.array(pair(one, F.regexp_extract(c, whole, 2))))
+
+    found = F.flatten(F.transform(F.filter(chunks, lambda c: c.rlike(whole)), pairs))
+    names = F.transform(found, lambda p: p["k"])
+    levels = F.map_from_entries(F.filter(found, lambda p, i: F.array_position(names, p["k"]) == i + 1))
+    empty = F.struct(F.map_from_entries(F.array().cast("array<struct<k:string,v:int>>")).alias("levels"), F.array().cast("array<string>").alias("rejects"))
+    return F.coalesce(F.when(x.isNotNull(), F.struct(levels.alias("levels"), F.filter(chunks, lambda c: ~c.rlike(whole)).alias("rejects"))), empty)
+
+
 def family(x: Column, prefixes: dict[str, str], default: str) -> Column:
     """The family of the first prefix that the folded text starts with."""
     folded, out = fold_latin(F.trim(x)), None

@@ -3,6 +3,7 @@ the standard library's event parser; what can be a plain expression is one."""
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tomewright.functions import markup
+
 # Elements that start a new line, and elements whose content isn't visible.
 BLOCKS = frozenset("p div br li ul ol h1 h2 h3 h4 h5 h6 table tr section article header footer nav aside main blockquote pre dl dt dd figure".split())
 HIDDEN = frozenset("script style head template noscript".split())
@@ -171,16 +174,48 @@ def stripped(x: Column) -> Column:
 
 
 def inner_html(html: Column, tag: str, marker: str) -> Column:
-    """What stands inside the first element with the marker among its attributes, up to its next end tag."""
-    return F.nullif(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*{marker}[^>]*>(.*?)</{tag}>", 1), F.lit(""))
+    """What stands inside the first element of the tag with the marker (a pattern) among its attributes, verbatim, up to its own end
+    tag, whatever it holds; null where there is none or it is empty."""
+    wanted = re.compile(marker)
+
+    @F.pandas_udf(T.StringType())
+    def inner(pages: pd.Series) -> pd.Series:
+        def one(x: str | None) -> str | None:
+            if x is None:
+                return None
+            found = next((n for n in markup.tree(x).walk() if n.tag == tag and wanted.search(x[n.start : n.inner_start])), None)
+            return x[found.inner_start : found.inner_stop] or None if found else None
+
+        return pages.map(one)
+
+    return inner(html)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def list_tokens(html: pd.Series) -> pd.Series:
+    """Headings of second and third rank and list items in order, verbatim; items inside items belong to the outer one."""
+
+    def one(x: str | None) -> list[str] | None:
+        if x is None:
+            return None
+        out, stack = [], list(reversed(markup.tree(x).children))
+        while stack:
+            node = stack.pop()
+            if node.tag in ("h2", "h3", "li"):
+                out.append(x[node.start : node.stop])
+                if node.tag == "li":
+                    continue
+            stack.extend(reversed(node.children))
+        return out
+
+    return html.map(one)
 
 
 def list_entries(pages: DataFrame, key: str, html: str) -> DataFrame:
     """key, place, level, school, name, url, sources, blurb, reason: the list items of a page in order. The last heading of
     second rank gives the level (its number), the last of third rank the school; an item without a link or level has a reason.
-    Headings and items are read in one pass and carried on inside the page."""
-    found = F.regexp_extract_all(html, F.lit(r"(?is)(<h2\b[^>]*>.*?</h2>|<h3\b[^>]*>.*?</h3>|<li\b[^>]*>.*?</li>)"), F.lit(1))
-    rows = pages.select(key, F.posexplode(found).alias("place", "token")).withColumn("kind", F.lower(F.regexp_extract("token", r"^<(\w+)", 1)))
+    Headings and items are read in one pass and carried on inside the page; an item inside another is part of that."""
+    rows = pages.select(key, F.posexplode(list_tokens(html)).alias("place", "token")).withColumn("kind", F.lower(F.regexp_extract("token", r"^<(\w+)", 1)))
     inner = stripped(F.col("token"))
     level = F.nullif(F.regexp_extract(inner, r"(\d+)", 1), F.lit("")).cast("int")
     rows = rows.withColumns({"h2": F.when(F.col("kind") == "h2", F.struct(level.alias("v"))), "h3": F.when(F.col("kind") == "h2", F.struct(F.lit(None).cast("string").alias("v"))).when(F.col("kind") == "h3", F.struct(inner.alias("v")))})
