@@ -150,11 +150,12 @@ def test_links_between(rows, sided):
 
 
 def test_drop_near_duplicates(spark):
-    rows = [(1, "a b c d e f g", 7), (2, "a b c d e f g", 8), (None, "a b c d e f g", 9), (3, None, 1), (1, "a b c d e f g", 7)]
+    rows = [(1, "a b c d e f g", 7), (2, "a b c d e f g", 8), (None, "a b c d e f g", 9), (3, None, 1), (1, "a b c d e f g", 7), (4, "z y x w v u", 1), (4, "k l m n o p", 2), (4, "z y x w v u", 3), (5, None, 1), (5, None, 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, component int")
     kept = neardup.drop_near_duplicates(df)
     assert kept.columns == df.columns
-    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 1, 3]
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect() if r["doc_id"] not in (3, 5)) == [(0, "a b c d e f g"), (1, "a b c d e f g"), (4, "k l m n o p")]
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] in (3, 5)) == [3, 5]
     assert neardup.drop_near_duplicates(df.limit(0)).count() == 0
 
 
@@ -474,24 +475,47 @@ def test_toxicity(spark, vocabulary):
 # line dedup
 
 
-def brute_line_dedup(texts):
-    """What stays of (id, text) rows, from the definition: in order of ids, a line of several sentences, or two neighbouring
-    lines, that came up before go."""
-    space = " \t\r\x0b\x0c"
-    several = lambda line: re.search("[.!?][\"')\\]]*[" + space + "]+[^" + space + "]", line)
-    seen, out = set(), []
-    for _, text in texts:
-        if text is None:
+def brute_line_dedup(rows):
+    """What stays of (id, text) rows in order of ids. Every key (a line of 50 words, or two neighbouring lines of which not both
+    have so many) has a first place; copies of it join where they stand in a row at the first place of one of them."""
+    space, first, keyed = " \t\r\x0b\x0c", {}, []
+    for d, (_, body) in enumerate(rows):
+        lines = body.split("\n") if body is not None else []
+        told = [k for k, line in enumerate(lines) if line.strip(space)]
+        long = {k for k in told if len(lines[k].split()) >= 50}
+        own = sorted([(k, k) for k in long] + [(a, b) for a, b in itertools.pairwise(told) if a not in long or b not in long])
+        keyed.append([(own_, tuple(lines[k] for k in sorted(set(own_)))) for own_ in own])
+        for p, (_, content) in enumerate(keyed[-1]):
+            first.setdefault(content, (d, p))
+    at = lambda d, p: keyed[d][p][1] if 0 <= p < len(keyed[d]) else None
+    out = []
+    for d, (_, body) in enumerate(rows):
+        if body is None:
             out.append(None)
             continue
-        lines = text.split("\n")
+        lines, keys = body.split("\n"), keyed[d]
         told = [k for k, line in enumerate(lines) if line.strip(space)]
-        own = [((lines[k],), (k,)) for k in told if several(lines[k])] + [((lines[a], lines[b]), (a, b)) for a, b in itertools.pairwise(told) if not (several(lines[a]) and several(lines[b]))]
-        gone = set()
-        for key, places in own:
-            if key in seen:
-                gone |= set(places)
-            seen.add(key)
+        copied = [p for p, (_, c) in enumerate(keys) if first[c] != (d, p)]
+        gone, runs = {k[0] for p, (k, _) in enumerate(keys) if p in copied and k[0] == k[1]}, []
+        for p in copied:
+            (a, b), c = keys[p]
+            if p and p - 1 in copied:
+                was = keys[p - 1][1]
+                (sd, sp), (td, tp) = first[was], first[c]
+                if at(sd, sp + 1) == c or at(td, tp - 1) == was:
+                    runs[-1][1] = told.index(b)
+                    continue
+            runs.append([told.index(a), told.index(b)])
+        sizes = [b - a + 1 for a, b in runs]
+        for k, (a, b) in enumerate(runs):
+            keep = False
+            for j, mine in ((k - 1, 0), (k + 1, 1)):
+                if 0 <= j < len(runs) and runs[j][1 - mine] == runs[k][mine]:
+                    keep |= sizes[j] == sizes[k] == 2 or max(sizes[j], sizes[k]) <= 2
+                    if sizes[j] > sizes[k] or (sizes[j] == sizes[k] and j < k):
+                        a, b = (a + 1, b) if mine == 0 else (a, b - 1)
+            if not keep and b > a:
+                gone |= set(told[a : b + 1])
         for a, b in itertools.pairwise(told):
             if a in gone and b in gone:
                 gone |= set(range(a, b))
@@ -535,6 +559,30 @@ def test_line_dedup_repeated_rows(spark):
     assert got == ["", "", "a b\nc d\nf", "e"]
 
 
+def test_line_dedup_keeps_what_stands_once(spark, vocabulary):
+    """Lines that come up in other pairs only are no copy; long lines are alike with one sentence and with two; a passage goes
+    beside a line that is shared with another one."""
+    rng = random.Random(16)
+    one, two = prose(rng, vocabulary, 60) + ".", f"{prose(rng, vocabulary, 30)}. {prose(rng, vocabulary, 30)}."
+    short, split = prose(rng, vocabulary, 12) + ".", f"{prose(rng, vocabulary, 6)}. {prose(rng, vocabulary, 6)}."
+    p, q = ([prose(rng, vocabulary, 15) for _ in range(4)] for _ in range(2))
+    rows = [(3, "A\nB"), (4, "B\nC"), (5, "A\nB\nC"), (10, f"a1\n{one}\na2\n{two}\na3\n{short}\na4\n{split}"), (11, f"b1\n{one}\nb2\n{two}\nb3\n{short}\nb4\n{split}")]
+    rows += [(20, "\n".join(["c1", *p, "shared", "c2"])), (21, "\n".join(["d1", "shared", *q, "d2"])), (22, "\n".join(["e1", *p, "shared", *q, "e2"])), (23, "\n".join(["c1", *p, "e3"])), (24, "\n".join(["e1", *p, "shared", "e4"]))]
+    got = {r["doc_id"]: r["text"] for r in linededup.line_dedup(spark.createDataFrame(rows, DOC)).collect()}
+    assert [got[i] for i, _ in rows] == brute_line_dedup(rows)
+    assert got[5] == "A\nB\nC" and got[11] == f"b1\nb2\nb3\n{short}\nb4\n{split}"
+    assert got[22] == "e1\ne2" and got[23] == "e3" and got[24] == "e4"
+
+
+def test_line_dedup_random(spark):
+    rng = random.Random(17)
+    long = [" ".join(f"w{k}{i}" for i in range(50 + k)) for k in range(2)]
+    pool = [*"abcdefg", "", " ", *long]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 9)))) for i in range(150)]
+    got = {r["doc_id"]: r["text"] for r in linededup.line_dedup(spark.createDataFrame(rows, DOC)).collect()}
+    assert [got[i] for i, _ in rows] == brute_line_dedup(rows)
+
+
 def test_line_dedup_passages_of_short_lines(spark, vocabulary):
     """Passages of 51 words and more in 2 to 8 short lines go from each copy whatever stands around them."""
     rng = random.Random(15)

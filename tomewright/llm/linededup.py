@@ -1,11 +1,13 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by chunks of lines with content-defined boundaries.
 
-A rolling hash goes over the hashes of each two neighbouring lines (lines without a word are passed over). A chunk reaches
-as far as its rolling hashes are repeated in the corpus, so its boundaries depend on its content alone and don't move
-with what stands around a passage; a line of several sentences is a chunk by itself. The bytes of every repeated hash
-are compared with those of its first occurrence (lowest id, then place), and the lines of the copies are removed, with the
-lines without a word between them. So a repeated chunk goes at any length, in any context, while a short line that
-stands alone, such as a common word, stays; the first occurrence of every line stays.
+A rolling hash goes over the hashes of each two neighbouring lines (lines without a word are passed over), which are the
+smallest chunk; a line of at least ``LINE_WORDS`` words is a chunk by itself, however many sentences it has. The bytes of every
+repeated hash are compared with those of its first occurrence (lowest id, then place). Copies that follow each other join to a
+longer chunk where their first occurrences do so too, or where the lines that they have together stand in a row at one of
+these; so a chunk's boundaries are set by its content and don't move with what stands around a passage. Where two chunks meet
+in a line but don't join, that line belongs to the longer one, and what is left of the other must still be two lines. Two
+chunks of two lines that overlap so are no copy of anything: both stay. The lines of the copies are removed, with the lines
+without a word between them; the first occurrence of every chunk stays, and so does a short line that stands alone.
 
 Hashes are counted with partial sums, the join on the hash has two plain shuffled sides that adaptive execution
 can split where one chunk holds a large part of all rows, and texts are shuffled twice: once to bring candidates
@@ -20,26 +22,31 @@ kept; ``n_chars``, where the table has it, is counted anew for changed texts.
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tomewright.llm.common import discard, materialize, read, text_bytes
 
-_SENTENCE_END = re.compile(rb"[.!?][\"')\]]*\s+\S")
+LINE_WORDS = 50
 
 
 def keys(lines: list[bytes]) -> list[tuple[int, int]]:
-    """(first line, last line) of what is hashed: each line of several sentences, and each two neighbouring lines that have
-    words, unless both are hashed alone."""
+    """(first line, last line) of what is hashed, in order: each long line, and each two neighbouring lines that have words,
+    unless both are hashed alone."""
     told = [i for i, line in enumerate(lines) if line and not line.isspace()]
-    alone = {i for i in told if _SENTENCE_END.search(lines[i])}
-    return [(i, i) for i in told if i in alone] + [(a, b) for a, b in itertools.pairwise(told) if a not in alone or b not in alone]
+    alone = {i for i in told if len(lines[i]) >= 2 * LINE_WORDS - 1 and len(lines[i].split()) >= LINE_WORDS}
+    out = []
+    for a, b in itertools.zip_longest(told, told[1:]):
+        if a in alone:
+            out.append((a, a))
+        if b is not None and (a not in alone or b not in alone):
+            out.append((a, b))
+    return out
 
 
 def rolled(lines: list[bytes], spans: list[tuple[int, int]]) -> list[int]:
@@ -80,7 +87,8 @@ def occurrences(keyed: DataFrame) -> DataFrame:
 
 
 def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, mark, places: the keys of each document that are byte-equal to an earlier occurrence."""
+    """id, mark, places: the keys of each document that are byte-equal to an earlier occurrence (``place``), each with whether it
+    joins the next key (``joined``)."""
     keyed = _keyed(docs, doc_id, text)
     found = materialize(occurrences(keyed), "chunks")
     at = F.struct("id", "mark", "place")
@@ -102,20 +110,62 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
     k, w = keyed.alias("k"), wanted.alias("w")
     bodies = k.join(w, F.expr("k.id <=> w.id AND k.mark = w.mark")).select("k.id", "k.mark", "k.text", "w.wanted").mapInArrow(run, "id long, mark long, place int, h long, first boolean, piece binary")
     bodies = materialize(bodies, "bodies")
-    discard(found, repeated, wanted)
-    firsts = materialize(bodies.where("first").select("h", F.col("piece").alias("kept")).dropDuplicates(["h"]), "firsts")
-    same = bodies.where("NOT first").join(firsts, "h").where("piece = kept")
-    out = materialize(same.groupBy("id", "mark").agg(F.array_sort(F.collect_set("place")).alias("places")), "copies")
-    discard(bodies, firsts)
+    discard(repeated, wanted)
+    firsts = materialize(bodies.where("first").select("h", F.col("piece").alias("kept"), F.struct("id", "mark", "place").alias("source")).dropDuplicates(["h"]), "firsts")
+    same = bodies.where("NOT first").join(firsts, "h").where("piece = kept").select("id", "mark", "place", "h", "source").distinct()
+    # where the first occurrences of neighbours aren't neighbours, one of them may still stand beside a copy of the other
+    after = Window.partitionBy("id", "mark").orderBy("place")
+    same = same.withColumn("next", F.when(F.lead("place").over(after) == F.col("place") + 1, F.lead(F.struct("h", "source")).over(after)))
+    follows = F.expr("next.source.id <=> source.id AND next.source.mark = source.mark AND next.source.place = source.place + 1")
+    same = materialize(same.withColumn("follows", F.coalesce(follows, F.lit(False))), "same")
+    open_ = same.where("next IS NOT NULL AND NOT follows")
+    right = open_.select("id", "mark", "place", F.struct(F.col("source.id").alias("i"), F.col("source.mark").alias("m"), (F.col("source.place") + 1).alias("p"), F.col("next.h").alias("h")).alias("k"))
+    left = open_.select("id", "mark", "place", F.struct(F.col("next.source.id").alias("i"), F.col("next.source.mark").alias("m"), (F.col("next.source.place") - 1).alias("p"), F.col("h").alias("h")).alias("k"))
+    o, f = right.unionByName(left).alias("o"), found.alias("f")
+    beside = o.join(f, F.expr("o.k.h = f.h AND o.k.m = f.mark AND o.k.p = f.place AND o.k.i <=> f.id")).select("o.id", "o.mark", "o.place").distinct().alias("b")
+    s = same.alias("s")
+    joined = s.join(beside, F.expr("s.id <=> b.id AND s.mark = b.mark AND s.place = b.place"), "left").select("s.id", "s.mark", F.struct("s.place", (F.col("follows") | F.col("b.mark").isNotNull()).alias("joined")).alias("x"))
+    out = materialize(joined.groupBy("id", "mark").agg(F.array_sort(F.collect_list("x")).alias("places")), "copies")
+    discard(bodies, firsts, found, same)
     return out
 
 
-def removed(body: bytes, places: list[int]) -> list[tuple[int, int, int]]:
+def chunks(own: list[tuple[int, int]], copied: list[tuple[int, bool]]) -> set[int]:
+    """The lines that go. own: the keys of a document; copied: places of copied keys, and whether each joins the next."""
+    gone = {own[p][0] for p, _ in copied if own[p][0] == own[p][1]}
+    told = {line: k for k, line in enumerate(sorted({i for key in own for i in key}))}
+    runs: list[list[int]] = []  # first and last line, by their place among lines with words
+    on = -1
+    for p, joined in copied:
+        a, b = told[own[p][0]], told[own[p][1]]
+        if p == on:
+            runs[-1][1] = b
+        else:
+            runs.append([a, b])
+        on = p + 1 if joined else -1
+    sizes = [b - a + 1 for a, b in runs]
+    stay = set()
+    cut = [list(r) for r in runs]
+    for k in range(1, len(runs)):
+        if runs[k][0] == runs[k - 1][1]:
+            if sizes[k] <= 2 and sizes[k - 1] <= 2:
+                stay |= {k - 1, k}
+            elif sizes[k] > sizes[k - 1]:
+                cut[k - 1][1] -= 1
+            else:
+                cut[k][0] += 1
+    lines = sorted(told)
+    for k, (a, b) in enumerate(cut):
+        if k not in stay and b > a:
+            gone.update(lines[a : b + 1])
+    return gone
+
+
+def removed(body: bytes, copied: list[tuple[int, bool]]) -> list[tuple[int, int, int]]:
     """The chunks that the copied keys make up: (first line, line after the last, words). Lines without a word between
     two removed lines belong to them."""
     lines = body.split(b"\n")
-    own = keys(lines)
-    gone = sorted({i for p in places for i in own[p]})
+    gone = sorted(chunks(keys(lines), copied))
     runs: list[list[int]] = []
     for i in gone:
         n = len(lines[i].split())
@@ -146,7 +196,7 @@ def line_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", f
                 if not own:
                     continue
                 body = texts[k].encode()
-                cuts[k] = removed(body, own)
+                cuts[k] = removed(body, [(x["place"], x["joined"]) for x in own])
                 if cuts[k]:
                     drop = {i for a, b, _ in cuts[k] for i in range(a, b)}
                     texts[k] = "\n".join(x for i, x in enumerate(texts[k].split("\n")) if i not in drop)

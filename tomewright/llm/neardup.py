@@ -424,11 +424,18 @@ def op1_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without the documents that a smaller id of their component stands for; of rows that share an id the
-    first text in order stays. Rows with a null id stay."""
+    """docs without the documents that a smaller id of their component stands for; of rows that share an id one stays, that
+    with the first text in order (a null text comes last). Rows with a null id stay."""
     found = near_duplicates(docs, width=width, percent=percent, doc_id=doc_id, text=text)
     gone = materialize(found.where("id != component").select(F.col("id").alias("__tw_gone")).distinct(), "gone")
-    return docs.join(gone, F.col(doc_id).cast("long") == F.col("__tw_gone"), "left_anti")
+    left = docs.join(gone, F.col(doc_id).cast("long") == F.col("__tw_gone"), "left_anti")
+    # ids that come up again are looked for without the texts; only their rows are brought together
+    again = materialize(docs.where(F.col(doc_id).isNotNull()).groupBy(doc_id).count().where("count > 1").select(F.col(doc_id).alias("__tw_again")), "again")
+    if again.isEmpty():
+        return left
+    of = F.col(doc_id) == F.col("__tw_again")
+    one = left.join(again, of, "left_semi").groupBy(F.col(doc_id).alias("__tw_id")).agg(F.min_by(F.struct(*docs.columns), F.struct(F.col(text).isNull(), text)).alias("__tw_row"))
+    return left.join(again, of, "left_anti").unionByName(one.select(*(F.col("__tw_row")[c].alias(c) for c in docs.columns)))
 
 
 ORACLE_SQL = r"""
