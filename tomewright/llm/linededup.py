@@ -107,7 +107,7 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "mark", "place", "h", "first", "piece"])
 
-    k, w = keyed.alias("k"), wanted.alias("w")
+    k, w = keyed.alias("k"), wanted.hint("merge").alias("w")  # the same plan at every size
     bodies = k.join(w, F.expr("k.id <=> w.id AND k.mark = w.mark")).select("k.id", "k.mark", "k.text", "w.wanted").mapInArrow(run, "id long, mark long, place int, h long, first boolean, piece binary")
     bodies = materialize(bodies, "bodies")
     discard(repeated, wanted)
@@ -181,7 +181,7 @@ def line_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", f
     an array of (first line, line after the last, words)."""
     rows = docs.withColumns({"__tw_id": F.col(doc_id).cast("long"), "__tw_mark": F.coalesce(F.xxhash64(text), F.lit(0))})
     gone = copies(docs, doc_id=doc_id, text=text).select(F.col("id").alias("__tw_i"), F.col("mark").alias("__tw_m"), F.col("places").alias("__tw_places"))
-    joined = rows.join(gone, F.expr("__tw_id <=> __tw_i AND __tw_mark = __tw_m"), "left").drop("__tw_id", "__tw_mark", "__tw_i", "__tw_m")
+    joined = rows.join(gone.hint("merge"), F.expr("__tw_id <=> __tw_i AND __tw_mark = __tw_m"), "left").drop("__tw_id", "__tw_mark", "__tw_i", "__tw_m")
     at, counted = docs.columns.index(text), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
     span = T.StructType([T.StructField(n, T.LongType()) for n in ("first_line", "end_line", "words")])
     schema = T.StructType([*docs.schema.fields, *([T.StructField(found, T.ArrayType(span))] if found else [])])
