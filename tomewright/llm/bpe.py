@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 from tomewright.llm.common import read
 
 KEPT, KEPT_CHARS = 400_000, 64
+#: In the pipeline, where executors have the stages before behind them.
+STAGE_KEPT = 150_000
 STREAM_CHARS = 2_000_000
 STEP = 256
 
@@ -151,10 +153,10 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, kept: int = KEPT) -> Codec:
     """From a file of lines ``base64 rank``, read on the driver; a vocabulary is small and sent to the executors."""
     with open(path, "rb") as f:
-        return Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}, pattern)
+        return Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}, pattern, kept)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, *, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -211,7 +213,7 @@ def stage(docs: DataFrame) -> DataFrame:
     """docs without their texts, with the ids of these (``ids``), their number and the digest of what they decode to."""
     import public_tokenizers
 
-    own = codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    own = codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, STAGE_KEPT)
     sent = docs.sparkSession.sparkContext.broadcast(own)
     kept = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "decoded_sha256")]
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("decoded_sha256", T.StringType())])
