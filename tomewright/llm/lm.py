@@ -14,8 +14,10 @@ every id is scored once, in batches of windows with one causal mask; the first w
 
 Learning reads every id of every training document: word counts, id counts and counts of classes after ids are sums
 over all of them. The counts give the embeddings and output weights they start from (a weighted decomposition of log
-probabilities) and the groups. Then every task takes gradient steps over all windows of its documents; the tasks'
-weights are averaged by ids seen, piece by piece, over at most ``FAN`` tasks at a time.
+probabilities) and the groups. Then texts are dealt to shards of about ``SHARD_IDS`` ids by their hash, so there are as many as
+the corpus asks for; gradient steps go over all windows of a shard in order of the hash, and the shards' weights are
+averaged by ids seen, piece by piece, over at most ``FAN`` of them at a time. The same texts give the same model however
+the table is cut.
 
 A word is known by a 64-bit hash of its ids (encoding is reversible); two of n words share one with a chance of about
 n * n / 4e19. The words that are broadcast are those of the highest counts, at most ``WORDS``; counts of all other
@@ -55,6 +57,7 @@ ROWS = OWN + TAILS
 BATCH = 128
 LEAN = 4.0
 FAN, PIECE = 64, 8192
+SHARD_IDS, STEP_IDS = 16_000_000, 500_000
 RATE = 0.06
 FLUSH = 4_000_000
 SLICE = 1_000_000
@@ -89,6 +92,8 @@ class Subwords:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, pattern
         self.end = max(ranks.values(), default=-1) + 1
+        if self.end > 0xFFFF:
+            raise ValueError("ids are kept in two bytes: at most 65535 of them and the end")
         self.encoding = None
         self.starts = np.zeros(self.end + 1, bool)  # ids that begin a word
         for token, i in ranks.items():
@@ -325,9 +330,9 @@ def bisected(vectors: np.ndarray, items: np.ndarray, size: int) -> list[np.ndarr
 
 
 def _exp(z: np.ndarray) -> None:
-    """exp in place, without overflow."""
+    """exp in place of numbers less the largest of their row where that is large, so nothing overflows and ratios stay."""
     if z.max() > 60:
-        np.minimum(z, 60, out=z)
+        z -= z.max(axis=-1, keepdims=True)
     np.exp(z, out=z)
 
 
@@ -507,36 +512,74 @@ def windows(flat: np.ndarray, offsets: np.ndarray, end: int, batch: int = BATCH)
         yield x[places], starts, before, first[b:c], y[own], used[own]
 
 
-def train(rows: DataFrame, model: Model, end: int) -> Model:
-    """Steps over all windows in every task, averaged over all tasks by ids seen."""
+def sharded(rows: DataFrame, total: int) -> DataFrame:
+    """shard, ids: texts dealt to shards of about ``SHARD_IDS`` ids by a hash of their ids, in order of the shard, the hash and
+    the ids. How the table was cut before doesn't matter; how many shards there are follows from the size of the corpus."""
+    mark = F.xxhash64("ids")
+    dealt = rows.select("ids", mark.alias("mark"), F.pmod(mark, F.lit(max(1, -(-total // SHARD_IDS)))).cast("int").alias("shard"))
+    return dealt.repartition("shard").sortWithinPartitions("shard", "mark", "ids").select("shard", "ids")
+
+
+def in_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """shard, ids and offsets of about ``STEP_IDS`` ids of whole texts at a time; where they end depends on the shard alone, not on
+    the batches that it comes in."""
+    shard, waiting, n = None, [], 0
+
+    def joined() -> tuple[int, np.ndarray, np.ndarray]:
+        flat = np.frombuffer(b"".join(waiting), np.uint16).astype(np.int32)
+        return shard, flat, np.concatenate(([0], np.cumsum([len(w) // 2 for w in waiting])))
+
+    for batch in batches:
+        for own, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if waiting and (own != shard or n >= STEP_IDS):
+                yield joined()
+                waiting, n = [], 0
+            shard = own
+            waiting.append(ids)
+            n += len(ids) // 2
+    if waiting:
+        yield joined()
+
+
+def train(rows: DataFrame, model: Model, end: int, total: int) -> Model:
+    """Steps over all windows of each shard, averaged over all shards by ids seen. The result doesn't depend on how the rows lie
+    in partitions, only on the texts."""
     spark = rows.sparkSession
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen = sent.value, 0
-        start = own.pack()
-        for batch in batches:
-            for flat, offsets in slices(batch.column(0)):
-                for w in windows(flat, offsets, end):
-                    own.step(*w)
-                seen += len(flat)
-        made = own.pack()
-        own.unpack(start)  # a worker may serve another task
-        own.speed = None
-        if seen:
+        own = sent.value
+        start, at, seen = own.pack(), None, 0
+
+        def weights() -> pa.RecordBatch:
+            made = own.pack()
             parts = [made[i : i + PIECE].tobytes() for i in range(0, len(made), PIECE)]
+            own.unpack(start)  # the next shard starts where this one did, and a worker may serve another task
+            own.speed = None
             n = len(parts)
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([float(seen)] * n), pa.array(parts, pa.binary())], ["task", "piece", "seen", "weights"])
-
-    def mean(part: pd.DataFrame) -> pd.DataFrame:
+            return pa.RecordBatch.from_arrays([pa.array([at] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([float(seen)] * n), pa.array(parts, pa.binary())], ["task", "piece", "seen", "weights"])
+
+        for shard, flat, offsets in in_steps(batches):
+            if at is not None and shard != at:
+                yield weights()
+                seen = 0
+            at = shard
+            for w in windows(flat, offsets, end):
+                own.step(*w)
+            seen += len(flat)
+        if at is not None:
+            yield weights()
+
+    def pooled(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("task")
         share = (part.seen / part.seen.sum()).to_numpy()
         total = sum(s * np.frombuffer(w, np.float32).astype(np.float64) for s, w in zip(share, part.weights, strict=True))
         return pd.DataFrame({"task": [int(part.task.min()) // FAN], "piece": [part.piece.iloc[0]], "seen": [part.seen.sum()], "weights": [total.astype(np.float32).tobytes()]})
 
     schema = "task long, piece int, seen double, weights binary"
-    made = materialize(rows.select("ids").mapInArrow(run, schema), "weights")
+    made = materialize(sharded(rows, total).mapInArrow(run, schema), "weights")
     while True:
-        before, made = made, materialize(made.groupBy(F.expr(f"task div {FAN}").alias("g"), "piece").applyInPandas(mean, schema), "mean")
+        before, made = made, materialize(made.groupBy(F.expr(f"task div {FAN}").alias("g"), "piece").applyInPandas(pooled, schema), "mean")
         discard(before)
         if not made.agg(F.max("task")).first()[0]:
             break
@@ -573,7 +616,7 @@ def score(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     layout = Layout(ids, tokens)
     model = Model(layout, pair_counts(training, layout, tokens.end))
     if documents:
-        model = train(training, model, tokens.end)
+        model = train(training, model, tokens.end, int(ids.sum()))
     return _scored(rows, counts, most_frequent(counts), model, tokens, total, distinct, documents)
 
 
