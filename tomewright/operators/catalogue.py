@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tomewright.functions.text import feat_name, slug, with_additions
+from tomewright.operators.ordering import numbered
+from tomewright.sources.shared import discard, materialize
 
 # What a failed import leaves in a cell.
 IMPORT_ERROR = "#ERROR!"
@@ -208,23 +210,67 @@ def batch_check(expected: DataFrame, answers: DataFrame, name: str, value: str,
     return j.select(name, F.when(F.col(f"a.{value}").isin(*vocabulary), F.col(f"a.{value}")).alias(value), (~F.coalesce(held & (F.trim(f"a.{citation}") != ""), F.lit(False))).alias("redo"))
 
 
-def clusters(labels: DataFrame, label: str, n: str, ratio: float) -> DataFrame:
-    """label, head: labels one after another, the most frequent first (ties by label), join the first head that is alike
-    enough (twice the matching characters over both lengths), or become one. The order makes it sequential, so it runs on the
-    distinct labels that share a first letter and length class together, one task for each first letter."""
+def _letters(label: Column) -> Column:
+    """The letters of a label, each with how often it has come up: what two labels share of these bounds what they can match."""
+    chars = F.split(label, "(?<=.)(?=.)")
+    return F.transform(chars, lambda c, i: F.concat(c, F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)).cast("string")))
+
+
+def alike_pairs(rows: DataFrame, ratio: float) -> DataFrame:
+    """a, b, ratio of labels (__l, __place) that are alike enough, the earlier one first.
+
+    Twice the matching characters over both lengths is at most the same of the letters that they share. So of two alike labels,
+    the rarest letters (a share of them that follows from the ratio) have one in common, and their lengths are near; only such
+    pairs are compared. Nothing that could be alike is left out."""
     import difflib
 
     import pandas as pd
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        heads: list[str] = []
-        out = []
-        for word in part.sort_values(["__n", "__l"], ascending=[False, True])["__l"]:
-            head = next((h for h in heads if difflib.SequenceMatcher(None, h, word).ratio() >= ratio), None)
-            if head is None:
-                heads.append(word)
-            out.append((word, head or word))
-        return pd.DataFrame(out, columns=["label", "head"])
-
-    rows = labels.groupBy(F.col(label).alias("__l")).agg(F.sum(n).alias("__n")).withColumn("__g", F.substring("__l", 1, 1))
-    return rows.groupBy("__g").applyInPandas(run, "label string, head string")
+    least = ratio / (2 - ratio)
+    marked = rows.select("__l", "__place", F.char_length("__l").alias("__size"), _letters(F.col("__l")).alias("x"))
+    common = marked.select(F.explode("x").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
+    rare = marked.select("__l", "__place", "__size", F.explode("x").alias("t")).join(common, "t")
+    rare = rare.groupBy("__l", "__place", "__size").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "t"))), lambda x: x["t"]).alias("x"))
+    kept = F.col("__size") - F.ceil(F.col("__size") * least - 1e-9) + 1
+    keyed = materialize(rare.select("__l", "__place", "__size", F.explode(F.slice("x", 1, kept.cast("int"))).alias("t")), "letters")
+    a, b = keyed.alias("a"), keyed.alias("b")
+    near = F.expr(f"a.t = b.t AND a.__place < b.__place AND least(a.__size, b.__size) >= {least} * greatest(a.__size, b.__size) - 1e-9")
+    pairs = a.join(b, near).select(F.col("a.__l").alias("a"), F.col("b.__l").alias("b")).distinct()
+
+    def compare(batches):
+        matcher = difflib.SequenceMatcher()
+        for batch in batches:
+            out = []
+            for b_, group in batch.groupby("b", sort=False)["a"]:
+                matcher.set_seq2(b_)
+                for a_ in group:
+                    matcher.set_seq1(a_)
+                    if matcher.real_quick_ratio() >= ratio and matcher.quick_ratio() >= ratio and matcher.ratio() >= ratio:
+                        out.append((a_, b_, matcher.ratio()))
+            yield pd.DataFrame(out, columns=["a", "b", "ratio"])
+
+    found = materialize(pairs.mapInPandas(compare, "a string, b string, ratio double"), "alike")
+    discard(keyed)
+    return found
+
+
+def clusters(labels: DataFrame, label: str, n: str, ratio: float) -> DataFrame:
+    """label, head: labels one after another, the most frequent first (ties by label), join the head before them that is most
+    alike (the larger one among equals), if one is alike enough, or become a head.
+
+    Worked in rounds: a label is a head once all alike labels before it are settled and none of them is one, and joins as soon as
+    one is. What alike labels are is worked out once, on distinct labels."""
+    rows = labels.groupBy(F.col(label).alias("__l")).agg(F.sum(n).alias("__n")).where("__l IS NOT NULL")
+    placed = materialize(numbered(rows.select("__l", (-F.col("__n")).alias("__less")), ["__less", "__l"], "__place"), "placed")
+    edges = alike_pairs(placed.where("__l <> ''"), ratio)
+    state = materialize(placed.select("__l", F.lit(None).cast("boolean").alias("head")).join(edges.select(F.col("b").alias("__l")).distinct().withColumn("later", F.lit(True)), "__l", "left").select("__l", F.when(F.col("later").isNull(), True).alias("head")), "state")
+    while not state.where("head IS NULL").isEmpty():
+        open_ = state.where("head IS NULL").select(F.col("__l").alias("b"))
+        told = edges.join(open_, "b").join(state.select(F.col("__l").alias("a"), "head"), "a").groupBy("b").agg(F.bool_or(F.coalesce("head", F.lit(False))).alias("joins"), F.bool_or(F.col("head").isNull()).alias("waits"))
+        now = told.select(F.col("b").alias("__l"), F.when(F.col("joins"), False).when(~F.col("waits"), True).alias("new"))
+        new = materialize(state.join(now, "__l", "left").select("__l", F.coalesce("head", "new").alias("head")), "state")
+        discard(state)
+        state = new
+    heads = state.where("head").select(F.col("__l").alias("a"))
+    best = edges.join(heads, "a").groupBy(F.col("b").alias("__l")).agg(F.max(F.struct("ratio", "a")).alias("best"))
+    return state.join(best, "__l", "left").select(F.col("__l").alias("label"), F.when(F.col("head"), F.col("__l")).otherwise(F.col("best.a")).alias("head"))

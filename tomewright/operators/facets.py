@@ -88,7 +88,8 @@ def histogram_of_values(rows: DataFrame, values: Column) -> DataFrame:
     return rows.select(F.explode_outer(F.array_distinct(values)).alias("value")).groupBy("value").agg(F.count("*").alias("n"))
 
 
-def discriminates(slices: DataFrame, total: int) -> DataFrame:
-    """Whether an axis tells rows apart: two slices that aren't null, and one smaller than all."""
-    real = slices.where("value IS NOT NULL")
-    return real.agg(((F.count("*") >= 2) & (F.min("n") < F.lit(total))).alias("discriminates"))
+def discriminates(slices: DataFrame) -> DataFrame:
+    """Whether an axis tells rows apart: two slices that aren't null, and one smaller than all. slices: value, n, with the null
+    bucket, so that they add up to all rows."""
+    real = F.col("value").isNotNull()
+    return slices.agg(((F.count_if(real) >= 2) & (F.min(F.when(real, F.col("n"))) < F.sum("n"))).alias("discriminates"))

@@ -85,6 +85,28 @@ def stratified_sample(rows: DataFrame, stratum: list[str], quota: DataFrame, key
     return placed.where(F.col("__before") + F.col("__place") <= F.col("quota")).drop("__draw", "__near", "__place", "__before", "quota")
 
 
+def seeded_places(strata: list[tuple], seed: int) -> list[tuple]:
+    """(stratum, place) drawn without replacement for (stratum, size, quota), strata in order, by one sequential generator: the
+    places that ``random.sample`` takes of sorted members. Only sizes are needed, no members."""
+    import random
+
+    own = random.Random(seed)
+    return [(s, p) for s, size, quota in sorted(strata) for p in sorted(own.sample(range(size), min(quota, size)))]
+
+
+def seeded_draw(rows: DataFrame, stratum: str, quota: DataFrame, key: str, seed: int) -> DataFrame:
+    """Rows of each stratum (quota: stratum, quota) as a sequential generator draws them from the members in order of their key.
+
+    The generator runs over the sizes of the strata, a row for each; rows meet the drawn places by their rank, which is
+    counted in partitions, so no stratum is gathered. The draw itself is as large as the quotas."""
+    spark = rows.sparkSession
+    sizes = rows.groupBy(stratum).agg(F.count("*").alias("n")).join(quota, stratum).select(stratum, "n", "quota").collect()
+    kind = rows.schema[stratum].dataType.simpleString()
+    drawn = spark.createDataFrame(seeded_places([tuple(r) for r in sizes], seed), f"{stratum} {kind}, __at long")
+    ranked_ = numbered_within(rows, [stratum], [key], "__at")
+    return ranked_.join(F.broadcast(drawn), [stratum, "__at"]).drop("__at")
+
+
 def cover(rows: DataFrame, key: str, flags: list[str]) -> list:
     """Keys picked one after another, each the one with most flags that none has yet (the smallest among equals), until none
     adds one. Only one row for each set of flags is needed, and there are at most 2 ** len(flags) of them."""

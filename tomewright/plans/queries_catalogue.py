@@ -148,10 +148,10 @@ def compared(spark, d):
 def suggested_axis(spark, d):
     """The first axis in a fixed order that tells rows apart."""
     rows = spells(spark, d)
-    total, axes = rows.count(), {"one": F.lit("x"), "school": F.col("school"), "level": F.col("level").cast("string")}
+    axes = {"one": F.lit("x"), "school": F.col("school"), "level": F.col("level").cast("string")}
     made = None
     for k, (name, value) in enumerate(axes.items()):
-        row = facets.discriminates(facets.histogram(rows, value), total).select(F.lit(k).alias("place"), F.lit(name).alias("axis"), "discriminates")
+        row = facets.discriminates(facets.histogram(rows, value)).select(F.lit(k).alias("place"), F.lit(name).alias("axis"), "discriminates")
         made = row if made is None else made.unionByName(row)
     return made.where("discriminates").agg(F.min_by("axis", "place").alias("axis"))
 
@@ -245,7 +245,8 @@ SELECT k AS c_custkey, state, (CASE WHEN state IN ('absent', 'unreadable') THEN
 SELECT coalesce(reason, 'all') AS reason, count(*) AS calls, sum(a)::BIGINT AS tokens_in, sum(b)::BIGINT AS tokens_out FROM c GROUP BY ROLLUP (reason)""",
     "batch_check": """SELECT p_partkey, CASE WHEN p_partkey % 6 <> 0 AND p_partkey % 10 <> 7 THEN ['a', 'b', NULL][p_partkey % 3 + 1] END AS tag, p_partkey % 6 = 0 OR p_partkey % 10 = 7 OR p_partkey % 4 < 2 AS redo FROM part""",
     "compared_by_gap": f"WITH {ENTRIES_SQL}, cl AS (SELECT id, class_id, min(level) AS level FROM entries GROUP BY id, class_id), g AS (SELECT id, CASE count(*) WHEN 3 THEN 'shared' WHEN 1 THEN 'exclusive' ELSE 'partial' END AS part, CASE WHEN count(*) > 1 THEN max(level) - min(level) END AS gap FROM cl WHERE class_id IN (1, 2, 3) GROUP BY id) SELECT id, gap, part, row_number() OVER (ORDER BY coalesce(gap, -1) DESC, id)::INT AS place FROM g QUALIFY place <= 60",
-    "suggested_axis": "SELECT 'school' AS axis",
+    "suggested_axis": f"""WITH {SPELLS_SQL}, a AS (SELECT 0 AS place, 'one' AS axis, 'x' AS value FROM spells UNION ALL SELECT 1, 'school', school FROM spells UNION ALL SELECT 2, 'level', level::VARCHAR FROM spells),
+g AS (SELECT place, axis, value, count(*) AS n FROM a WHERE value IS NOT NULL GROUP BY ALL), d AS (SELECT place, axis FROM g GROUP BY ALL HAVING count(*) >= 2 AND min(n) < (SELECT count(*) FROM spells)) SELECT min_by(axis, place) AS axis FROM d""",
     "inverse_index": f"WITH {SPELLS_SQL}, t AS (SELECT DISTINCT school, unnest(tags) AS value FROM spells WHERE school IS NOT NULL) SELECT value, string_agg(school, '|' ORDER BY school) AS keys FROM t GROUP BY value",
     "page_entries": """SELECT c_custkey, 2 AS place, c_nationkey % 9 AS level, c_mktsegment AS school, c_name AS name, '/x' || c_custkey::VARCHAR AS url, 'A|B' AS sources, 'blurb & more' AS blurb, NULL AS reason FROM customer
 UNION ALL SELECT c_custkey, 3, c_nationkey % 9, c_mktsegment, NULL, NULL, '', 'plain', 'no link' FROM customer UNION ALL SELECT c_custkey, 5, NULL, NULL, 'Deux', '/y', '', NULL, 'no level' FROM customer""",

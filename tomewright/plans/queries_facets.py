@@ -52,7 +52,7 @@ QUERIES = {
     "axis_level_min": lambda s, d: facets.histogram(levels(s, d), facets.lowest_level(F.col("levels"))),
     "axis_with_null_bucket": lambda s, d: facets.histogram(spells(s, d), F.col("school")),
     "axis_component": lambda s, d: facets.histogram_of_values(spells(s, d), F.col("components")),
-    "axis_discriminates": lambda s, d: facets.discriminates(facets.histogram(spells(s, d), F.col("school")), spells(s, d).count()),
+    "axis_discriminates": lambda s, d: facets.discriminates(facets.histogram(spells(s, d), F.col("school"))),
     "sort_nulls_last": sorted_nulls_last,
     "sort_default": lambda s, d: ordering.ranked(spells(s, d).select("id", "name", "level"), ordering.nulls_last("level", False, "name") + [F.col("id")], 50),
     "composite_query": composite,
