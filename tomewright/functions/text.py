@@ -35,16 +35,23 @@ def without_marks(x: Column) -> Column:
     return F.translate(F.regexp_replace(x, r"\p{Mn}+", ""), ACCENTED, PLAIN)
 
 
+def _plain_lower(x: Column) -> Column:
+    """What all keys start from; written alike in each, so that one text is folded once for several keys."""
+    return F.lower(without_marks(x))
+
+
 def fold_latin(x: Column) -> Column:
     """Lower case without marks and ligatures of Latin letters; native."""
+    x = _plain_lower(x)
     for a, b in LIGATURES.items():
-        x = F.replace(x, F.lit(a), F.lit(b))
-    return F.lower(without_marks(x))
+        if a == a.lower():
+            x = F.replace(x, F.lit(a), F.lit(b.lower()))
+    return x
 
 
 def normal(x: Column) -> Column:
     """Lower case without marks, trimmed: what rules are compared in. Ligatures and apostrophes stay."""
-    return F.trim(F.lower(without_marks(x)))
+    return F.trim(_plain_lower(x))
 
 
 def let(value: Column, body) -> Column:
@@ -58,21 +65,22 @@ def spaces(x: Column) -> Column:
 
 def search_key(x: Column) -> Column:
     """What searches compare Latin text in: folded, apostrophes as spaces, spaces collapsed; native."""
+    x = fold_latin(x)
     for a in APOSTROPHES:
         x = F.replace(x, F.lit(a), F.lit(" "))
-    return spaces(fold_latin(x))
+    return spaces(x)
 
 
 def label_key(x: Column) -> Column:
     """Key of a label: straight apostrophes, no marks, spaces collapsed, without colons at the end."""
-    straight = F.regexp_replace(F.replace(x, F.lit("\u00a0"), F.lit(" ")), "[’‘ʼ]", "'")
-    return F.trim(F.regexp_replace(spaces(F.lower(without_marks(straight))), ":+$", ""))
+    straight = F.regexp_replace(F.replace(_plain_lower(x), F.lit("\u00a0"), F.lit(" ")), "[’‘ʼ]", "'")
+    return F.trim(F.regexp_replace(spaces(straight), ":+$", ""))
 
 
 def citation_key(x: Column) -> Column:
     """Lenient form of a quotation: no marks, straight quotes, spaces collapsed."""
-    flat = without_marks(F.replace(x, F.lit("\u00a0"), F.lit(" ")))
-    return F.lower(spaces(F.regexp_replace(F.regexp_replace(flat, "[’‘]", "'"), "[“”]", '"')))
+    flat = F.replace(_plain_lower(x), F.lit("\u00a0"), F.lit(" "))
+    return spaces(F.regexp_replace(F.regexp_replace(flat, "[’‘]", "'"), "[“”]", '"'))
 
 
 @F.pandas_udf(T.StringType())

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tomewright.functions.text import let
+
 
 def anomalies(rows: DataFrame, key: str, checks: dict[str, tuple[str, Column]]) -> DataFrame:
     """check, severity, id: a row for each check whose condition holds. checks: name to (severity, condition).
@@ -26,6 +28,15 @@ def record_verdict(rows: DataFrame, key: str, rules: dict[str, Column]) -> DataF
     return rows.select(key, errors.alias("e")).select(key, F.array_join("e", "|").alias("errors"), (F.size("e") == 0).alias("ok"))
 
 
+def staged_verdict(rows: DataFrame, key: str, rules: list[tuple[str, Column, bool]]) -> DataFrame:
+    """key, errors (codes joined in rule order), ok. rules: (code, condition, whether nothing after it can be judged): a record
+    that can't be read has no other errors, one without its source none that need it."""
+    told = F.array(*[F.struct(F.lit(code).alias("code"), F.coalesce(cond, F.lit(False)).alias("hit"), F.lit(stops).alias("stops")) for code, cond, stops in rules])
+    last = let(F.transform(told, lambda x: x["hit"] & x["stops"]), lambda s: F.coalesce(F.nullif(F.array_position(s, True), F.lit(0)), F.lit(len(rules))))
+    hits = let(F.struct(told.alias("t"), last.alias("last")), lambda x: F.transform(F.filter(x["t"], lambda r, i: r["hit"] & (i < x["last"])), lambda r: r["code"]))
+    return rows.select(key, hits.alias("e")).select(key, F.array_join("e", "|").alias("errors"), (F.size("e") == 0).alias("ok"))
+
+
 def error_summary(verdicts: DataFrame, key: str) -> DataFrame:
     """code, occurrences, records of the errors in ``record_verdict`` rows."""
     long = verdicts.where("NOT ok").select(key, F.explode(F.split("errors", "\\|")).alias("code"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tomewright.operators import contracts
+from tomewright.operators import contracts, quality
 from tomewright.sources.tables import load
 
 # an order with its lines; the number of a line's note is there above 25 pieces only
@@ -78,9 +78,26 @@ def audit_report(spark, d):
     return report.join(last, "check", "left")
 
 
-QUERIES = {"schema_trees": schema_trees, "published_drift": published_drift, "audit_report": audit_report}
+# code, what a record must not be, and whether nothing after it can be judged: an unreadable record has no other error, one
+# without its source none that compare it with that
+RULES = [
+    ("unreadable", "p_partkey % 41 = 0", True), ("encoding", "p_partkey % 43 = 0", True), ("schema", "p_size > 48", False), ("vocabulary", "p_type = 'PROMO'", False), ("file_name", "p_partkey % 7 = 0", False), ("not_indexed", "p_name LIKE 'old%'", False),
+    ("no_source", "p_brand = 'Brand#13'", True), ("source_text", "p_size = 1", True), ("evidence_absent", "p_name LIKE '%ring'", False), ("evidence_for_null", "p_size % 10 = 3", False), ("evidence_missing", "p_size % 10 = 4", False), ("drift", "p_retailprice < 1000", False),
+]
+
+
+def staged_verdicts(spark, d):
+    """Twelve codes in order; evaluation of a record ends with the first that leaves nothing to judge."""
+    return quality.staged_verdict(load(spark, d, "part"), "p_partkey", [(code, F.expr(test), stops) for code, test, stops in RULES])
+
+
+QUERIES = {"staged_verdicts": staged_verdicts, "schema_trees": schema_trees, "published_drift": published_drift, "audit_report": audit_report}
 
+_LAST = "CASE " + " ".join(f"WHEN {test} THEN {i}" for i, (_, test, stops) in enumerate(RULES) if stops) + f" ELSE {len(RULES)} END"
 ORACLES = {
+    "staged_verdicts": f"WITH r AS (SELECT p_partkey, {_LAST} AS last, p_name, p_size, p_type, p_brand, p_retailprice FROM part), e AS (SELECT p_partkey, concat_ws('|', "
+    + ", ".join(f"CASE WHEN {test} AND last >= {i} THEN '{code}' END" for i, (code, test, _) in enumerate(RULES))
+    + ") AS errors FROM r) SELECT p_partkey, errors, errors = '' AS ok FROM e",
     "schema_trees": """WITH l AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_returnflag, l_partkey, l_suppkey) - 1 AS i, l_linenumber AS n, l_quantity AS q, l_returnflag AS f FROM lineitem),
 e AS (SELECT o_orderkey AS k, '/status: enum' AS e FROM orders WHERE o_orderstatus NOT IN ('F', 'O') UNION ALL SELECT o_orderkey, '/urgent: type' FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 7 = 0
 UNION ALL SELECT o_orderkey, '/extra: additionalProperties' FROM orders WHERE o_orderkey % 11 = 0 UNION ALL SELECT k, '/lines: maxItems' FROM l GROUP BY k HAVING count(*) > 6
