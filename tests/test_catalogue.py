@@ -253,8 +253,6 @@ def test_small_operators(spark):
     assert [r["name"] for r in rows.orderBy(ordering.by_french_name("name")).collect()] == ["a", "b"]
     hashed = rows.select(quality.canonical_hash(["name", "n"]).alias("h"))
     assert len({r["h"] for r in hashed.collect()}) == 2
-    parsed = spark.createDataFrame([("Niveau 5, For 13 ou Dex 15",)], "t string").select(rules.parse(F.col("t")).alias("p"))
-    assert {r["kind"]: r["n"] for r in rules.requirement_types(parsed, "p").collect()} == {"level": 1, "ability": 2}
     assert one(spark, html.stripped(F.lit("<p>a&nbsp;<b>b</b> &amp; c</p>"))) == "a b & c"
 
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tomewright.functions.text import let
 
+#: Quotes that are searched for at once.
+SHORT_QUOTES = 200_000
+
 
 def anomalies(rows: DataFrame, key: str, checks: dict[str, tuple[str, Column]]) -> DataFrame:
     """check, severity, id: a row for each check whose condition holds. checks: name to (severity, condition).
@@ -80,13 +83,52 @@ def require_empty(rows: DataFrame, message: str) -> DataFrame:
     return rows.where(F.assert_true(F.lit(False), F.lit(message)).isNull())
 
 
+def _short_quotes(docs: DataFrame, quotes: DataFrame, block: int = SHORT_QUOTES) -> DataFrame:
+    """__d, __q of texts (__d, text) and quotes (__q, quote) that they hold anywhere. Quotes are counted, and searched for in
+    blocks of so many: one automaton for each block, broadcast and run over all texts once."""
+    import ahocorasick
+    import pyarrow as pa
+
+    spark = docs.sparkSession
+    count = quotes.count()
+    found = []
+    for b in range(max(1, -(-count // block))):
+        part = quotes if count <= block else quotes.where(F.pmod("__q", F.lit(-(-count // block))) == b)
+        told: dict[str, list[int]] = {}
+        for key, quote in part.collect():
+            told.setdefault(quote, []).append(key)
+        everywhere = told.pop("", [])  # the empty quote stands in every text
+        automaton = ahocorasick.Automaton()
+        for quote, own in told.items():
+            automaton.add_word(quote, own)
+        automaton.make_automaton()
+        sent = spark.sparkContext.broadcast((automaton, everywhere, bool(told)))
+
+        def scan(batches, sent=sent):
+            for batch in batches:
+                automaton_, always, some = sent.value
+                ids, hits = [], []
+                for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    held = set(always)
+                    if some:
+                        for _, own in automaton_.iter(text):
+                            held.update(own)
+                    ids += [d] * len(held)
+                    hits += held
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hits, pa.int64())], ["__d", "__q"])
+
+        found.append(docs.mapInArrow(scan, "__d long, __q long"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def evidence(docs: DataFrame, quotes: DataFrame, text: str, quote: str, words: int = 4) -> DataFrame:
     """All pairs of a text and a quote that it holds word for word (letter case counts). Of equal rows one counts.
 
     A quote's first and last word may be the end and start of longer ones in the text, the words between them stand whole. Quotes
     of at least ``words`` + 2 words meet texts by a hash of their second to next words; only (text, hash) goes through
     that join, then each text is fetched once for each of its candidates and confirmed by containment. Shorter quotes
-    meet by the hash of their inner words, as many as there are; quotes without inner words by containment alone."""
+    meet by the hash of their inner words, as many as there are. Quotes without inner words are looked for all at once by an
+    automaton of bounded size, in blocks."""
     tokens = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
     own = [c for c in docs.columns if c != text]
     q = quotes.where(F.col(quote).isNotNull()).distinct().withColumn("__q", F.xxhash64(*quotes.columns)).withColumn("__w", F.split(quote, r"\s+"))
@@ -100,7 +142,7 @@ def evidence(docs: DataFrame, quotes: DataFrame, text: str, quote: str, words: i
     grams = d.select("__d", tokens(F.col(text)).alias("__w")).select("__d", F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*every))))).alias("__g"))
     met = grams.join(hashed.select("__g", "__q"), "__g").select("__d", "__q").distinct()
     found = met.join(d, "__d").join(q.drop("__w", "__n"), "__q").where(F.contains(F.col(text), F.col(quote)))
-    bare = q.where("__n = 0").select(*quotes.columns)
-    few = d.join(bare, F.contains(F.col(text), F.col(quote)))
+    bare = q.where("__n = 0")
+    few = _short_quotes(d.select("__d", text), bare.select("__q", quote)).join(d, "__d").join(bare.drop("__w", "__n"), "__q")
     columns = [*own, *[c for c in quotes.columns if c != quote]]
     return reduce(DataFrame.unionByName, [found.select(*columns), few.select(*columns)]).distinct()
