@@ -120,3 +120,19 @@ def test_universal_tables(spark):
 def test_broken_markup(source):
     root = markup.tree(source)
     assert root.stop == len(source) and all(0 <= n.start <= n.stop <= len(source) for n in root.walk())
+
+
+def test_feat_pages(spark):
+    source = """<div id="PageContentDiv"><a href="x"><img title="Source : Livre"></a>Un <b>grand</b> don.<p>Suite <b>Note.</b> prose</p><b>Catégorie.</b> combat, Style et <a href="Pathfinder-RPG.dons%20de.ashx#COMBAT">monstre</a>.<br>
+    <b>Conditions.</b> For 13.<b>Avantage.</b> fort<table><caption>T</caption><tr><td>1<td>2<tr><td>3</table> et <b>gras</b> suite<br><b>Rareté</b> : rare<b>Spécial.</b> un<b>Avantage.</b> encore<a href="Pathfinder-RPG.NLS.ashx">NLS</a><a href="Pathfinder-RPG.NLS.ashx">NLS</a><a href="">rien</a></div>"""
+    df = spark.createDataFrame([(1, source), (2, "<div id='PageContentDiv'>nu</div>"), (3, None)], "id int, html string")
+    got = {r["id"]: r.asDict(True) for r in pages.feat_documents(df, "id", "html").collect()}
+    d = got[1]
+    assert (d["sources"], d["category"], d["categories"]) == (["Livre"], "combat, Style et monstre.", ["combat", "monstre", "style"])
+    assert d["description"] == "Un grand don.\nSuite Note. prose" and d["conditions"] == "For 13."
+    assert (d["benefit"], d["special"], d["normal"], d["others"]) == ("fort et\n\nencoreNLSNLSrien", "un", None, {"gras": "suite", "Rareté": "rare"})
+    assert [(x["text"], x["target"], x["anchor"]) for x in d["links"]] == [("", "x", None), ("monstre", "dons de", "COMBAT"), ("NLS", "NLS", None)]
+    assert d["text"] == "Un grand don.\nSuite Note. prose\n\nCatégorie. combat, Style et monstre.\n\nConditions. For 13.\n\nAvantage. fort et\n\nencoreNLSNLSrien\n\nSpécial. un\n\ngras. suite\n\nRareté. rare\n\nTableau — T\n1 | 2\n3"
+    assert (got[2]["description"], got[2]["text"], got[2]["categories"], got[2]["links"]) == ("nu", "nu", [], []) and got[3]["description"] is None
+    rows = spark.createDataFrame([(1, "<table><tr><th>x</th></tr><tr><td><a href='/a'>Don <i>un</i> *</a></td><td><a href='/b'>b</a></td></tr><tr><td>no</td></tr></table>")], "id int, html string")
+    assert [tuple(r) for r in pages.row_links(rows, "id", "html", "https://s").collect()] == [(1, 1, "Don un", "https://s/a")]

@@ -62,34 +62,6 @@ def main_text(html: pd.Series) -> pd.Series:
     return html.map(lambda x: visible_text(x, skip), na_action="ignore")
 
 
-class _Tables(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.tables: list[dict] = []
-        self.cell: list[str] | None = None
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            self.tables.append({"caption": "", "rows": []})
-        elif tag == "tr" and self.tables:
-            self.tables[-1]["rows"].append([])
-        elif tag in ("td", "th", "caption") and self.tables:
-            self.cell = []
-
-    def handle_endtag(self, tag):
-        if self.cell is None or tag not in ("td", "th", "caption"):
-            return
-        text, self.cell = " ".join("".join(self.cell).split()), None
-        if tag == "caption":
-            self.tables[-1]["caption"] = text
-        elif self.tables[-1]["rows"]:
-            self.tables[-1]["rows"][-1].append(text)
-
-    def handle_data(self, data):
-        if self.cell is not None:
-            self.cell.append(data)
-
-
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("caption", T.StringType()), T.StructField("rows", T.ArrayType(T.ArrayType(T.StringType())))])))
 def tables(html: pd.Series) -> pd.Series:
     """Tables in order, rows without any text dropped."""
@@ -97,9 +69,13 @@ def tables(html: pd.Series) -> pd.Series:
     def one(x: str | None) -> list[dict] | None:
         if x is None:
             return None
-        parser = _Tables()
-        parser.feed(x)
-        return [{"caption": t["caption"], "rows": [r for r in t["rows"] if any(r)]} for t in parser.tables]
+        flat = lambda text: " ".join(text.split())
+        out = []
+        for table in (n for n in markup.tree(x).walk() if n.tag == "table"):
+            caption = next((flat(markup.clean(n.raw_text())) for n in table.children if n.tag == "caption"), "")
+            rows = [[flat(text) for text, origin in row if origin == markup.OWN] for row in markup.grid(table)]
+            out.append({"caption": caption, "rows": [r for r in rows if any(r)]})
+        return out
 
     return html.map(one)
 

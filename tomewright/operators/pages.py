@@ -230,3 +230,101 @@ def documents(pages: DataFrame, key: str, html: str, *, name: str | None = None,
     out = materialize(found.select(key, F.when(there, document).alias("document"), F.when(there, seen).alias("diagnostics")), "documents")
     discard(nodes, made)
     return out
+
+
+# pages of feats
+
+# Rubrics, in label form, with the fields that they fill; those that end the description.
+RUBRICS = {
+    "categorie": "category", "categories": "category", "condition": "conditions", "conditions": "conditions", "conditions requises": "conditions", "condition requise": "conditions", "prerequis": "conditions",
+    "avantage": "benefit", "avantages": "benefit", "special": "special", "speciale": "special", "normal": "normal",
+}
+# Fixed value: a rubric is a short bold text of letters, with or without a point or colon.
+RUBRIC = r"^([A-Za-zÀ-ÿ][A-Za-zÀ-ÿ'’ ]{1,38}?)\s*[:.]?$"
+MECHANICAL = ["category", "conditions", "benefit"]
+TITLES = {"category": "Catégorie", "conditions": "Conditions", "benefit": "Avantage", "special": "Spécial", "normal": "Normal"}
+
+
+@F.udtf(returnType="place int, bold boolean, raw string, source string, links array<struct<text:string,href:string>>")
+class _Runs:
+    """The content of a page as runs of text and bold texts in order, tables left out; its last row has what its links are."""
+
+    def eval(self, html: str, content: str) -> Iterator[tuple]:
+        if html is None:
+            return
+        root = markup.tree(html)
+        body = root.first(content) or root
+        links = [(markup.clean(n.raw_text()), n.attributes.get("href", "")) for n in body.walk() if n.tag == "a"]
+        place, text_, stack = 0, [], list(reversed(body.children))
+        while stack:
+            node = stack.pop()
+            if isinstance(node, str):
+                text_.append(node)
+            elif not node.tag:
+                text_.append(node.text)
+            elif node.tag == "br":
+                text_.append(markup.BREAK)
+            elif node.tag in ("b", "strong"):
+                yield place, False, "".join(text_), None, []
+                yield place + 1, True, node.raw_text(), None, []
+                place, text_ = place + 2, []
+            elif node.tag == "img" and node.attributes.get("title"):
+                yield place, False, "".join(text_), node.attributes["title"], []
+                place, text_ = place + 1, []
+            elif node.tag not in ("table", "script", "style"):
+                if node.tag in markup.BREAKS:
+                    text_.append(markup.BREAK)
+                    stack.append(markup.BREAK)
+                stack.extend(reversed(node.children))
+        yield place, False, "".join(text_), None, links
+
+
+def wiki_links(links: Column, prefix: str = "", ending: str = "") -> Column:
+    """Array of struct (text, target, anchor) of links inside a wiki: decoded, without prefix and ending, each once in order; those
+    that lead nowhere are left out."""
+    made = F.transform(links, lambda x: F.struct(x["text"].alias("text"), F.trim(F.regexp_replace(F.regexp_replace(F.try_url_decode(F.replace(F.substring_index(x["href"], "#", 1), F.lit("+"), F.lit("%2B"))), f"^{prefix}", ""), f"(?i){ending}$", "")).alias("target"), F.nullif(F.when(F.contains(x["href"], F.lit("#")), F.substr(x["href"], F.instr(x["href"], "#") + 1)), F.lit("")).alias("anchor")))
+    return F.array_distinct(F.filter(made, lambda x: (F.coalesce(x["target"], F.lit("")) != "") | x["anchor"].isNotNull()))
+
+
+def feat_documents(pages: DataFrame, key: str, html: str, *, content: str = "#PageContentDiv", prefix: str = r"Pathfinder-RPG\.", ending: str = r"\.ashx") -> DataFrame:
+    """key and a feat page's record: sources, category and categories, description, conditions, benefit, special, normal, others (map
+    of unknown rubrics), tables, links, and all of it as one text. A rubric is a short bold label; a repeated one goes on;
+    bold words of the description, before the first rubric that ends it, are prose."""
+    from tomewright.operators.html import category_names, tables
+
+    runs = pages.select(key, F.col(html).alias("__page")).lateralJoin(_Runs(F.col("__page").outer(), F.lit(content))).drop("__page")
+    runs = materialize(runs.repartition(key), "runs")
+    own, upto = Window.partitionBy(key), Window.partitionBy(key).orderBy("place")
+    label = F.trim(F.regexp_replace(clean(F.col("raw")), r"\s+", " "))
+    marks = F.col("bold") & label.rlike(RUBRIC)
+    name = F.regexp_replace(F.regexp_extract(label, RUBRIC, 1), r"^[\s'’]+|[\s'’]+$", "")
+    field = F.try_element_at(F.create_map(*[F.lit(x) for kv in RUBRICS.items() for x in kv]), text.label_key(name))
+    rows = runs.withColumns({"name": F.when(marks, name), "field": F.when(marks, field)})
+    rows = rows.withColumn("from", F.min(F.when(F.col("field").isin(*MECHANICAL), F.col("place"))).over(own))
+    opens = F.col("name").isNotNull() & (F.col("place") >= F.col("from"))
+    rows = rows.withColumns({"opens": F.coalesce(opens, F.lit(False)), "at": F.max(F.when(opens, F.col("place"))).over(upto)})
+    pieces = rows.groupBy(key, "at").agg(F.max(F.when(F.col("opens"), F.col("field"))).alias("field"), F.max(F.when(F.col("opens"), F.col("name"))).alias("name"), clean(F.array_join(_in_order(F.col("raw"), "place", ~F.col("opens")), "")).alias("text"))
+    pieces = pieces.withColumn("text", F.when(F.col("at").isNotNull(), F.regexp_replace("text", r"^[:.]\s*", "")).otherwise(F.col("text"))).where("text <> ''")
+    pieces = pieces.withColumn("k", F.when(F.col("at").isNull(), "description").otherwise(F.coalesce("field", "name"))).withColumn("known", F.col("at").isNull() | F.col("field").isNotNull())
+    pieces = pieces.groupBy(key, "k", "known").agg(F.min("at").alias("at"), F.array_join(_in_order(F.col("text"), "at", F.lit(True)), "\n\n").alias("text"))
+    told = pieces.groupBy(key).agg(F.map_from_entries(F.collect_list(F.when(F.col("known"), F.struct("k", "text")))).alias("known"), _in_order(F.struct("k", "text"), "at", ~F.col("known")).alias("others"))
+    facts = runs.groupBy(key).agg(_in_order(F.trim(F.regexp_replace("source", SOURCE, "")), "place", F.col("source").rlike(SOURCE)).alias("sources"), F.max_by("links", F.when(F.size("links") > 0, F.col("place"))).alias("links"))
+    found = pages.select(key, tables(html).alias("tables")).join(facts, key, "left").join(told, key, "left")
+    of = lambda f: F.try_element_at("known", F.lit(f))
+    names = F.coalesce(F.array_sort(F.array_distinct(F.transform(category_names(F.lower(of("category"))), lambda c: F.regexp_replace(c, r"^[\s.;]+|[\s.;]+$", "")))), F.array().cast("array<string>"))
+    drawn = F.transform("tables", lambda t: F.concat_ws("\n", F.when(t["caption"] != "", F.concat(F.lit("Tableau — "), t["caption"])), F.array_join(F.transform(t["rows"], lambda r: F.array_join(r, " | ")), "\n")))
+    titled = [F.concat(F.lit(f"{title}. "), of(f)) for f, title in TITLES.items()]
+    whole = F.concat_ws("\n\n", of("description"), *titled, F.nullif(F.array_join(F.transform(F.coalesce("others", F.array().cast("array<struct<k:string,text:string>>")), lambda o: F.concat(o["k"], F.lit(". "), o["text"])), "\n\n"), F.lit("")), F.nullif(F.array_join(drawn, "\n\n"), F.lit("")))
+    out = found.select(key, F.coalesce("sources", F.array().cast("array<string>")).alias("sources"), of("category").alias("category"), names.alias("categories"), of("description").alias("description"), *(of(f).alias(f) for f in ("conditions", "benefit", "special", "normal")), F.map_from_entries("others").alias("others"), "tables", wiki_links(F.coalesce("links", F.array().cast("array<struct<text:string,href:string>>")), prefix, ending).alias("links"), whole.alias("text"))
+    out = materialize(out, "feats")
+    discard(runs)
+    return out
+
+
+def row_links(pages: DataFrame, key: str, html: str, base: str) -> DataFrame:
+    """key, place, name, url of the first link in the first cell of each table row; a name loses the stars at its end."""
+    row = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
+    rows = pages.select(key, F.posexplode(row).alias("place", "row")).withColumn("cell", F.regexp_extract("row", r"(?is)^.*?<td\b[^>]*>(.*?)(?:</td>|$)", 1))
+    link = r"(?is)<a\b[^>]*href=[\"']([^\"']+)[\"'][^>]*>(.*?)</a>"
+    name = text.feat_name(F.trim(F.regexp_replace(F.regexp_replace(F.regexp_extract("cell", link, 2), "<[^>]+>", ""), r"\s+", " ")))
+    return rows.where(F.col("cell").rlike(link)).select(key, "place", name.alias("name"), F.concat(F.lit(base), F.regexp_extract("cell", link, 1)).alias("url"))
