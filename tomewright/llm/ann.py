@@ -4,8 +4,8 @@ Pivots: up to ``PIVOTS`` distinct vectors from a bounded sample (lowest hashes).
 order of nearness, and posted once, in the inverted file of its nearest pivot. A query reads the files of its ``ASKED``
 nearest pivots only. There the footrule distance between the two orders ranks what was posted, and what lies within the
 query's radius is compared by exact cosine on the original vectors in double precision. The radius is the footrule distance
-within which ``SHARE`` of a bounded sample lies (``SAMPLE`` vectors, sent to the tasks with the pivots), or what ``LEAST``
-vectors of the table would be, if that is more; so the share that is reranked is the same at every size.
+within which so much of a bounded sample lies (``SAMPLE`` vectors, sent to the tasks with the pivots) as ``BASE`` vectors and
+``SHARE`` of all are of the table; one law for every size.
 
 All vectors are indexed. Equal vectors are one entry with its k + 1 smallest ids, which is all that ties can ask for, and
 equal queries are searched once, so copies cost nothing however many they are. A file with more than ``BLOCK`` entries, or
@@ -32,7 +32,7 @@ from tomewright.llm.common import discard, materialize, read
 
 PIVOTS, ASKED = 256, 192
 SAMPLE = 2048
-SHARE, LEAST = 0.02, 400
+SHARE, BASE = 0.02, 400
 BLOCK = 8192
 
 
@@ -150,7 +150,7 @@ def nearest(files: DataFrame, asking: DataFrame, index, width: int, n: int, ever
     return scored.withColumn("place", place).where(F.col("place") <= n).drop("place")
 
 
-def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", pivots: int = PIVOTS, asked: int = ASKED, share: float = SHARE, least: int = LEAST) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", pivots: int = PIVOTS, asked: int = ASKED, share: float = SHARE, base: int = BASE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every query."""
     spark = vectors.sparkSession
     held = materialize(entries(valid(vectors, vec_id, vector), k), "entries")
@@ -159,7 +159,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, vec_id: str =
     size = held.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("w")).first()
     width = max(size["w"] or 1, asking.agg(F.max(F.size("v"))).first()[0] or 1)
     sample = matrix([r["v"] for r in held.select("h", "v").orderBy(F.xxhash64("h"), "h").limit(SAMPLE).collect()], width)
-    index = spark.sparkContext.broadcast(Index(unit(sample[:pivots]) if len(sample) else sample, sample, max(share, least / max(1, size["n"]))))
+    index = spark.sparkContext.broadcast(Index(unit(sample[:pivots]) if len(sample) else sample, sample, min(1.0, share + base / max(1, size["n"]))))
     files = materialize(posted(held.select("h", "v", "ids"), index, width, 1), "files")
     found = materialize(nearest(files, posted(asking, index, width, asked), index, width, k + 1), "found")
     enough = found.groupBy("q").count().where(F.col("count") >= min(k + 1, size["n"])).select(F.col("q").alias("h"))
