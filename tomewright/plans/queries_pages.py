@@ -52,10 +52,33 @@ def progression_gaps(spark, d):
     return rule_tables.progression_gaps(grid, "p_partkey").groupBy("kind", "label").agg(F.count("*").alias("n"))
 
 
-QUERIES = {"page_documents": page_documents, "page_list_items": page_list_items, "progression_tables": progression_tables, "progression_gaps": progression_gaps}
+def _feat_pages(spark, d):
+    """Pages of parts as a wiki has them: source, description, rubrics that come up again, a table and links."""
+    k, key = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    return load(spark, d, "part").select(k, F.concat(
+        F.lit('<h1>x</h1><div id="PageContentDiv"><a href="l"><img title="Source : '), F.col("p_brand"), F.lit('"></a>Un <b>'), F.col("p_name"), F.lit("</b>.<b>Catégorie.</b> "), F.lower("p_type"), F.lit(", combat"),
+        F.when(k % 3 == 0, F.lit("<b>Spécial.</b> rare")).otherwise(F.lit("")), F.lit("<b>Avantages :</b> <p>"), F.col("p_size").cast("string"), F.lit("</p><b>Avantage</b>. deux<table><tr><td>"), key, F.lit("<td>z</table><b>Prix</b> "),
+        F.col("p_retailprice").cast("int").cast("string"), F.lit('<a href="W.n%C3%A9'), key, F.lit('.ashx#A">v</a></div>'),
+    ).alias("html"))
+
+
+def feat_pages(spark, d):
+    made = pages.feat_documents(_feat_pages(spark, d), "p_partkey", "html", prefix=r"W\.")
+    link = F.col("links")[1]
+    return made.select(
+        "p_partkey", F.array_join("sources", "|").alias("sources"), F.array_join("categories", "|").alias("categories"), "description", "benefit", "special", F.try_element_at("others", F.lit("Prix")).alias("price"),
+        F.array_join(F.col("tables")[0]["rows"][0], "|").alias("row"), F.concat_ws("#", link["target"], link["anchor"]).alias("link"), F.md5(F.col("text").cast("binary")).alias("text"),
+    )
+
+
+QUERIES = {"feat_pages": feat_pages, "page_documents": page_documents, "page_list_items": page_list_items, "progression_tables": progression_tables, "progression_gaps": progression_gaps}
 
 _UNESCAPE = "replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
+_FEAT = "p_partkey AS k, p_name, p_brand, lower(p_type) AS t, p_size, trunc(p_retailprice)::INT AS price, 'Un ' || p_name || '.' AS d, p_size::VARCHAR || chr(10) || chr(10) || 'deux' AS b, CASE WHEN p_partkey % 3 = 0 THEN 'rare' END AS s"
 ORACLES = {
+    "feat_pages": f"""WITH f AS (SELECT {_FEAT} FROM part)
+SELECT k AS p_partkey, p_brand AS sources, array_to_string(list_sort(list_distinct([t, 'combat'])), '|') AS categories, d AS description, b AS benefit, s AS special, price::VARCHAR || 'v' AS price, k::VARCHAR || '|z' AS row, 'né' || k::VARCHAR || '#A' AS link,
+  md5(concat_ws(chr(10) || chr(10), d, 'Catégorie. ' || t || ', combat', 'Avantage. ' || b, 'Spécial. ' || s, 'Prix. ' || price::VARCHAR || 'v', k::VARCHAR || ' | z')) AS text FROM f""",
     "page_documents": f"""WITH a AS (SELECT page_id, url, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS x FROM pages),
 b AS (SELECT page_id, url, trim(regexp_replace({_UNESCAPE.format("regexp_extract(x, '(?s)<h1>(.*?)</h1>', 1)")}, '\\s+', ' ', 'g')) AS name, regexp_replace(x, '(?s)^.*?</h1>', '') AS x FROM a),
 c AS (SELECT *, array_to_string([l FOR l IN [trim(regexp_replace(y, '\\s+', ' ', 'g')) FOR y IN string_split({_UNESCAPE.format("regexp_replace(regexp_replace(x, '</?(p|br)>', chr(30), 'g'), '</?b>', '', 'g')")}, chr(30))] IF l <> ''], chr(10)) AS section FROM b)
