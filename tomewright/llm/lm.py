@@ -54,12 +54,11 @@ GROUPS, MEMBERS, TAILS = 16, 32, 16
 CLASSES = GROUPS * MEMBERS
 OWN = 2048
 ROWS = OWN + TAILS
-BATCH = 128
+BATCH, SCORE_BATCH = 192, 512
 LEAN = 4.0
 FAN, PIECE = 64, 8192
 SHARD_IDS, STEP_IDS = 16_000_000, 500_000
 RATE = 0.06
-FLUSH = 4_000_000
 SLICE = 1_000_000
 KEPT = 400_000
 _LN10 = math.log(10)
@@ -102,7 +101,10 @@ class Subwords:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"encoding": None}
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Forgets all words; called first, and whenever ``KEPT`` are held."""
+        if self.encoding is None:
+            self.encoding = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
         self.place = _Places()
         self.begin, self.size, self.bank = (np.zeros(0, np.int64) for _ in range(3))
 
@@ -114,14 +116,9 @@ class Subwords:
 
     def __call__(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts' words, each with a space before, and an end after each text; and their offsets. Words are
-        kept in a dictionary of bounded size, new ones are encoded together."""
-        if self.encoding is None:
-            self.encoding = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
-            self._clear()
-        if len(self.place) >= KEPT:
-            self._clear()
+        kept in a dictionary, new ones are encoded together; ``k`` holds the places of the texts' words in it, -1 for ends."""
         k = np.fromiter(map(self.place.__getitem__, itertools.chain.from_iterable(texts)), np.int64)
-        k = np.insert(k, np.cumsum([len(t) for t in texts]), -1)
+        self.k = k = np.insert(k, np.cumsum([len(t) for t in texts]), -1)
         new, self.place.new = self.place.new, []
         if new:
             ids = self._encode(new)
@@ -171,28 +168,33 @@ def encoded(docs: DataFrame, tokens: Subwords) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, key = sent.value, TaskContext.get().partitionId() << 40
-        total, waiting, n = np.zeros(own.end + 1, np.int64), [], 0
+        total, times = np.zeros(own.end + 1, np.int64), np.zeros(0, np.int64)
+        own.clear()
 
         def summed() -> pa.RecordBatch:
-            word, count = np.unique(np.concatenate(waiting), return_counts=True)
-            return rows(words=packed(word, np.int64), times=packed(count, np.int32))
+            some = np.flatnonzero(times)
+            return rows(words=packed(word_hashes(own.bank, own.starts, own.end)[some], np.int64), times=packed(times[some], np.int32))
 
         for batch in batches:
             held, bodies = batch.column(1).to_numpy(zero_copy_only=False).astype(bool), text_bytes(batch.column(2))
             cuts = np.searchsorted(np.cumsum([len(b or b"") for b in bodies]), np.arange(SLICE, sum(len(b or b"") for b in bodies), SLICE)).tolist()
             for i, j in itertools.pairwise(sorted({0, *cuts, len(bodies)})):
-                flat, offsets = own([words_of(b) for b in bodies[i:j]])
-                learn = flat[np.repeat(~held[i:j], np.diff(offsets))]
-                total += np.bincount(learn, minlength=len(total))
-                waiting.append(word_hashes(learn, own.starts, own.end))
-                n += len(waiting[-1])
+                if len(own.place) >= KEPT:
+                    if times.any():
+                        yield summed()
+                    own.clear()
+                    times = np.zeros(0, np.int64)
+                texts = [words_of(b) for b in bodies[i:j]]
+                flat, offsets = own(texts)
+                total += np.bincount(flat[np.repeat(~held[i:j], np.diff(offsets))], minlength=len(total))
+                learnt = own.k[np.repeat(~held[i:j], [len(t) + 1 for t in texts])]
+                more = np.bincount(learnt[learnt >= 0], minlength=len(own.place))
+                more[: len(times)] += times
+                times = more
                 ids = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(offsets * 2), pa.py_buffer(flat)]).cast(pa.binary())
                 yield rows(key=pa.array(np.arange(key, key + j - i)), doc_id=batch.column(0)[i:j], held_out=batch.column(1)[i:j], ids=ids)
                 key += j - i
-                if n >= FLUSH:
-                    yield summed()
-                    waiting, n = [], 0
-        if n:
+        if times.any():
             yield summed()
         if total.any():
             yield rows(totals=packed(total, np.int64))
@@ -240,6 +242,34 @@ def id_counts(rows: DataFrame, size: int) -> np.ndarray:
     return sum((np.frombuffer(bytes(r["totals"]), np.int64) for r in rows.collect()), np.zeros(size, np.int64))
 
 
+class Places:
+    """Places of hashes in a sorted list, by their leading bits: most hashes meet at most one of the list."""
+
+    def __init__(self, known: np.ndarray, bits: int = 20):
+        self.known, self.shift = known, np.uint64(64 - bits)
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(self._lead(known), minlength=1 << bits))))
+
+    def _lead(self, hashes: np.ndarray) -> np.ndarray:
+        return ((hashes.view(np.uint64) ^ np.uint64(1 << 63)) >> self.shift).astype(np.int64)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 where the list doesn't have it."""
+        out = np.full(len(hashes), -1, np.int64)
+        if not len(self.known):
+            return out
+        lead = self._lead(hashes)
+        at, stop = self.first[lead], self.first[lead + 1]
+        todo = np.arange(len(hashes))
+        while len(todo):
+            on = at < stop
+            todo, at, stop = todo[on], at[on], stop[on]
+            hit = self.known[at] == hashes[todo]
+            out[todo[hit]] = at[hit]
+            rest = ~hit
+            todo, at, stop = todo[rest], at[rest] + 1, stop[rest]
+        return out
+
+
 def most_frequent(counts: DataFrame, most: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Hashes in order, and counts, of all words from the lowest count on that leaves at most ``most`` of them (counts are
     cut at eighths of a power of two)."""
@@ -592,7 +622,7 @@ def train(rows: DataFrame, model: Model, end: int, total: int) -> Model:
 
 def logs(model: Model, flat: np.ndarray, offsets: np.ndarray, end: int) -> np.ndarray:
     """The log probability of every id of the texts."""
-    made = [model.run(*w[:-1])[0][w[-1]] for w in windows(flat, offsets, end)]
+    made = [model.run(*w[:-1])[0][w[-1]] for w in windows(flat, offsets, end, SCORE_BATCH)]
     return np.concatenate(made) if made else np.zeros(0, np.float32)
 
 
@@ -627,7 +657,7 @@ def _scored(rows: DataFrame, counts: DataFrame, frequent: tuple[np.ndarray, np.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, (known, times), starts, end = sent.value
-        log_times = np.log10(times + 1.0)
+        log_times, find = np.log10(times + 1.0), Places(known)
         for batch in batches:
             at = 0
             for flat, offsets in slices(batch.column(3)):
@@ -636,8 +666,8 @@ def _scored(rows: DataFrame, counts: DataFrame, frequent: tuple[np.ndarray, np.n
                 words = np.add.reduceat((starts[flat] & (flat != end)).astype(np.int64), offsets[:-1])
                 doc = np.repeat(np.arange(n), words)
                 hashes = word_hashes(flat, starts, end)
-                place = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-                found = known[place] == hashes if len(known) else np.zeros(len(hashes), bool)
+                place = find(hashes)
+                found = place >= 0
                 rare, rare_doc = hashes[~found], doc[~found]
                 by = np.lexsort((rare, rare_doc))
                 rare, rare_doc = rare[by], rare_doc[by]
