@@ -251,6 +251,54 @@ def test_lm_is_a_distribution():
     assert each.sum(axis=0) == pytest.approx(np.ones(32), abs=1e-5)
 
 
+def test_lm_scores_do_not_depend_on_partitions(spark, vocabulary, monkeypatch):
+    """The same texts, cut and dealt otherwise, in one shard and in several, get the same scores."""
+    rng = random.Random(18)
+    df = docs_of(spark, [prose(rng, vocabulary[:300], rng.randint(1, 90)) for _ in range(120)] + [None, ""])
+    for ids in (16_000_000, 9_000):
+        monkeypatch.setattr(lm, "SHARD_IDS", ids)
+        one, many = ({r["doc_id"]: r for r in lm.score(df.repartition(n), PATH, PATTERN).collect()} for n in (1, 7))
+        assert {i: r["score"] for i, r in one.items()} == pytest.approx({i: r["score"] for i, r in many.items()}, rel=1e-6)
+        assert {i: r["base_score"] for i, r in one.items()} == pytest.approx({i: r["base_score"] for i, r in many.items()}, rel=1e-12)
+
+
+def test_attention_by_plain_loops(vocabulary):
+    """The window's log probabilities, one place after another with explicit sums."""
+    tokens = lm.Subwords({b" a": 0, b" b": 1, b"c": 2, b"d": 3, b" e": 4}, PATTERN)
+    model = small_model(np.array([5, 3, 2, 1, 4, 2]) * 10**6, tokens)
+    rng = np.random.default_rng(4)
+    model.p = {k: (v + 0.3 * rng.standard_normal(v.shape)).astype(np.float64) for k, v in model.p.items()}
+    model.direct = model.direct.astype(np.float64)
+    p, lay, ids, end = model.p, model.layout, rng.integers(0, 5, 40), tokens.end
+    before = np.concatenate(([end], ids[:-1]))  # what each place has seen last
+    want = []
+    for i, target in enumerate(ids):
+        start = max(0, i // lm.SCORED * lm.SCORED - lm.OVERLAP)
+        e = lambda j: p["embed"][lay.row[before[j]]]
+        pair = lambda j: np.concatenate([e(j), p["embed"][lay.row[before[j - 1] if j else end]]])
+        q = e(i) @ p["q"] / np.sqrt(lm.WIDTH)
+        weights = np.array([np.exp(q @ (pair(j) @ p["k"]) + p["far"][i - j]) for j in range(start, i + 1)])
+        seen = sum(w * (e(j) @ p["v"]) for w, j in zip(weights, range(start, i + 1), strict=True)) / weights.sum()
+        hidden = np.append(np.maximum(np.concatenate([e(i), seen, [1]]) @ p["mix"], 0), 1)
+        leaf = lay.leaf[target]
+        group, member = divmod(leaf, lm.MEMBERS)
+        direct = model.direct[lay.row[before[i]] * lm.GROUPS + group]
+        zg, zi = hidden @ p["group"] + direct[: lm.GROUPS], hidden @ p["inside"][group] + direct[lm.GROUPS :]
+        want.append(zg[group] - np.log(np.exp(zg).sum()) + zi[member] - np.log(np.exp(zi).sum()) + lay.log_share[target])
+    assert lm.logs(model, ids, np.array([0, 40]), end) == pytest.approx(np.array(want), rel=1e-5)
+
+
+def test_places():
+    rng = np.random.default_rng(5)
+    known = np.unique(rng.integers(-(2**63), 2**63 - 1, 3000))
+    known = np.unique(np.concatenate([known, known[:500] + 1, [-(2**63), 2**63 - 1, 0]]))
+    asked = np.concatenate([rng.permutation(known), rng.integers(-(2**63), 2**63 - 1, 2000), known + 7])
+    place = dict(zip(known.tolist(), range(len(known)), strict=True))
+    for bits in (4, 20):
+        assert lm.Places(known, bits)(asked).tolist() == [place.get(h, -1) for h in asked.tolist()]
+    assert lm.Places(known[:0])(asked[:3]).tolist() == [-1] * 3
+
+
 def test_word_hashes():
     tokens = lm.subwords(PATH, PATTERN)
     flat, offsets = tokens([[b"one", b"two", b"one"], [], ["é\u00a0".encode(), b"onetwo", b"two"]])

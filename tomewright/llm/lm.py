@@ -102,7 +102,7 @@ class Subwords:
         return self.__dict__ | {"encoding": None}
 
     def clear(self) -> None:
-        """Forgets all words; called first, and whenever ``KEPT`` are held."""
+        """Forgets all words, as is to be done whenever ``KEPT`` are held."""
         if self.encoding is None:
             self.encoding = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
         self.place = _Places()
@@ -117,6 +117,8 @@ class Subwords:
     def __call__(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts' words, each with a space before, and an end after each text; and their offsets. Words are
         kept in a dictionary, new ones are encoded together; ``k`` holds the places of the texts' words in it, -1 for ends."""
+        if self.encoding is None:
+            self.clear()
         k = np.fromiter(map(self.place.__getitem__, itertools.chain.from_iterable(texts)), np.int64)
         self.k = k = np.insert(k, np.cumsum([len(t) for t in texts]), -1)
         new, self.place.new = self.place.new, []
