@@ -60,7 +60,7 @@ FAN, PIECE = 64, 8192
 SHARD_IDS, STEP_IDS = 16_000_000, 500_000
 RATE = 0.06
 SLICE = 1_000_000
-KEPT = 400_000
+KEPT = 700_000
 _LN10 = math.log(10)
 _OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -171,7 +171,8 @@ def encoded(docs: DataFrame, tokens: Subwords) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, key = sent.value, TaskContext.get().partitionId() << 40
         total, times = np.zeros(own.end + 1, np.int64), np.zeros(0, np.int64)
-        own.clear()
+        if own.encoding is None:  # a worker keeps the words of the tasks before
+            own.clear()
 
         def summed() -> pa.RecordBatch:
             some = np.flatnonzero(times)
