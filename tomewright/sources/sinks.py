@@ -64,11 +64,15 @@ def stale(targets: DataFrame, sources: DataFrame, key: str, versions: list[str])
     return sources.join(targets.select(key, *versions), [key, *versions], "left_anti")
 
 
-def pretty_json(rows: DataFrame, key: str) -> str:
-    """A small table as indented JSON with a newline at its end, in order of the key."""
+def pretty_json(rows: DataFrame, key: str, most: int = 10_000) -> str:
+    """A small table as indented JSON with a newline at its end, in order of the key. A table of more rows is refused; it is written
+    as lines."""
     import json
 
-    return json.dumps([json.loads(r[0]) for r in rows.orderBy(key).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect()], indent=2, ensure_ascii=False) + "\n"
+    found = rows.orderBy(key).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} rows: write them as lines")
+    return json.dumps([json.loads(r[0]) for r in found], indent=2, ensure_ascii=False) + "\n"
 
 
 def with_replaced(rows: DataFrame, changes: DataFrame, key: str, column: str) -> DataFrame:
