@@ -362,10 +362,12 @@ def bisected(vectors: np.ndarray, items: np.ndarray, size: int) -> list[np.ndarr
     return [*bisected(vectors, items[order[:half]], size), *bisected(vectors, items[order[half:]], size)]
 
 
-def _exp(z: np.ndarray) -> None:
-    """exp in place of numbers less the largest of their row where that is large, so nothing overflows and ratios stay."""
+def _exp(z: np.ndarray, *parts: np.ndarray) -> None:
+    """exp in place. Where numbers are large, each row (of each part that is normalised by itself) is first taken less its largest,
+    so nothing overflows and ratios stay."""
     if z.max() > 60:
-        z -= z.max(axis=-1, keepdims=True)
+        for part in parts or (z,):
+            part -= part.max(axis=-1, keepdims=True)
     np.exp(z, out=z)
 
 
@@ -436,8 +438,8 @@ class Model:
         kw, vw = windows(k), windows(v)
         a = q @ kw.transpose(0, 2, 1)
         a += np.where(self.distance >= 0, p["far"][self.near], -1e4).astype(kind)
+        a[first, :, :OVERLAP] = -1e4  # what stands before is another text
         _exp(a)
-        a[first, :, :OVERLAP] = 0
         seen = (a @ vw).reshape(N, WIDTH + 1)
         inverse = 1 / seen[:, WIDTH:]
         u = np.empty((N, EMBED + WIDTH + 1), kind)
@@ -459,7 +461,7 @@ class Model:
         for g, i, j in spans:
             np.matmul(f[i:j], p["inside"][g], out=zi[i:j])
         z += self.direct.take(last * GROUPS + group, 0)
-        _exp(z)
+        _exp(z, zg, zi)
         sums = z @ self.parts.astype(kind)
         log = np.empty(N, kind)
         log[order] = np.log(np.maximum(z[at, group] * z[at, label] / (sums[:, 0] * sums[:, 1]), 1e-30))
