@@ -61,6 +61,8 @@ SHARD_IDS, STEP_IDS = 16_000_000, 500_000
 RATE = 0.06
 SLICE = 1_000_000
 KEPT = 700_000
+#: Ranges of words (a power of two up to 65 536) whose counts are added up together.
+RANGES = 4096
 _LN10 = math.log(10)
 _OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -176,7 +178,13 @@ def encoded(docs: DataFrame, tokens: Subwords) -> DataFrame:
 
         def summed() -> pa.RecordBatch:
             some = np.flatnonzero(times)
-            return rows(words=packed(word_hashes(own.bank, own.starts, own.end)[some], np.int64), times=packed(times[some], np.int32))
+            words, n = word_hashes(own.bank, own.starts, own.end)[some], times[some]
+            part = words & (RANGES - 1)
+            order = np.argsort(part.astype(np.uint16), kind="stable")
+            words, n, part = words[order], n[order].astype(np.int32), part[order]
+            cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+            lists = lambda a: pa.array([a[i:j].tobytes() for i, j in itertools.pairwise(cuts.tolist())], pa.binary())
+            return rows(key=pa.array(part[cuts[:-1]]), words=lists(words), times=lists(n))
 
         for batch in batches:
             held, bodies = batch.column(1).to_numpy(zero_copy_only=False).astype(bool), text_bytes(batch.column(2))
@@ -205,6 +213,35 @@ def encoded(docs: DataFrame, tokens: Subwords) -> DataFrame:
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, "key long, doc_id long, held_out boolean, ids binary, words binary, times binary, totals binary")
 
 
+def merged(rows: DataFrame) -> DataFrame:
+    """word, n: the sums of packed counts. All rows of a range of words (``key``) meet in one partition, where they are added up as
+    they come; what is held at once are the distinct words of its ranges."""
+
+    def add(words: list[np.ndarray], times: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        w, n = np.concatenate(words), np.concatenate(times)
+        order = np.argsort(w)
+        w, n = w[order], n[order]
+        first = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+        return [w[first]], [np.add.reduceat(n, first)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, times, fresh = [], [], 0
+        for batch in batches:
+            for w, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                words.append(np.frombuffer(w, np.int64))
+                times.append(np.frombuffer(n, np.int32).astype(np.int64))
+                fresh += len(words[-1])
+                if fresh > max(SLICE, 2 * len(words[0])):
+                    words, times = add(words, times)
+                    fresh = 0
+        if words:
+            (w,), (n,) = add(words, times)
+            for i in range(0, len(w), SLICE):
+                yield pa.RecordBatch.from_arrays([pa.array(w[i : i + SLICE]), pa.array(n[i : i + SLICE])], ["word", "n"])
+
+    return rows.repartition("key").mapInArrow(run, "word long, n long")
+
+
 def unpacked(rows: DataFrame) -> DataFrame:
     """key, word, n: a row for each of the packed words."""
 
@@ -643,7 +680,7 @@ def score(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     made = materialize(encoded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text"), tokens), "encoded")
     rows = made.where("ids IS NOT NULL").select("key", "doc_id", "held_out", "ids")
     training = rows.where("NOT held_out")
-    counts = materialize(unpacked(made.where("words IS NOT NULL").select("key", "words", "times")).groupBy("word").agg(F.sum("n").alias("n")), "counts")
+    counts = materialize(merged(made.where("words IS NOT NULL").select("key", "words", "times")), "counts")
     ids = id_counts(made.where("totals IS NOT NULL").select("totals"), tokens.end + 1)
     documents = int(ids[tokens.end])
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
