@@ -122,6 +122,13 @@ def test_broken_markup(source):
     assert root.stop == len(source) and all(0 <= n.start <= n.stop <= len(source) for n in root.walk())
 
 
+@pytest.mark.parametrize(("closed", "want"), [(False, "a & b < é &am &"), (True, "a & b &lt é &am &amp")])
+def test_references_without_semicolon(spark, closed, want):
+    df = spark.createDataFrame([(1, "<article><h1>a &amp; b &lt &#233; &am &amp</h1><p>x</p></article>")], "id int, html string")
+    made = pages.documents(df, "id", "html", layout=pages.Layout(content="article", without="", title="h1", labels={}, closed=closed))
+    assert made.first()["document"]["name"] == want
+
+
 def test_feat_pages(spark):
     source = """<div id="PageContentDiv"><a href="x"><img title="Source : Livre"></a>Un <b>grand</b> don.<p>Suite <b>Note.</b> prose</p><b>Catégorie.</b> combat, Style et <a href="Pathfinder-RPG.dons%20de.ashx#COMBAT">monstre</a>.<br>
     <b>Conditions.</b> For 13.<b>Avantage.</b> fort<table><caption>T</caption><tr><td>1<td>2<tr><td>3</table> et <b>gras</b> suite<br><b>Rareté</b> : rare<b>Spécial.</b> un<b>Avantage.</b> encore<a href="Pathfinder-RPG.NLS.ashx">NLS</a><a href="Pathfinder-RPG.NLS.ashx">NLS</a><a href="">rien</a></div>"""

@@ -36,7 +36,8 @@ PROSE = 200
 
 @dataclass(frozen=True)
 class Layout:
-    """Where things stand on a page: selectors (``tag``, ``#id``, ``.class``, ``tag.class``) and the labels of the head."""
+    """Where things stand on a page: selectors (``tag``, ``#id``, ``.class``, ``tag.class``) and the labels of the head. closed:
+    whether references in its text end with a semicolon (see ``markup.tree``)."""
 
     content: str = "#PageContentDiv"
     without: str = "#PageAttachmentsDiv"
@@ -45,6 +46,7 @@ class Layout:
     note: str = "div.voiraussi"
     aside: str = "div.navmenudroite"
     labels: dict[str, str] = field(default_factory=lambda: dict(LABELS))
+    closed: bool = False
 
 
 NODE = "box int, place int, tag string, aside boolean, holds int, titles array<string>, raw string, html string"
@@ -55,10 +57,10 @@ class _PageNodes:
     """The nodes of a page's content (box 0), of each box in it (from 1), each box's note (place -1) and the page's title (box -1).
     holds numbers the boxes of the content; a box inside a box has -1."""
 
-    def eval(self, html: str, content: str, without: str, title: str, box: str, note: str, aside: str) -> Iterator[tuple]:
+    def eval(self, html: str, content: str, without: str, title: str, box: str, note: str, aside: str, closed: bool) -> Iterator[tuple]:
         if html is None:
             return
-        root = markup.tree(html)
+        root = markup.tree(html, closed)
         head, body = root.first(title), root.first(content)
         if head is not None:
             yield -1, 0, head.tag, False, None, [], head.raw_text(), html[head.start : head.stop]
@@ -87,7 +89,7 @@ class _PageNodes:
 
 
 def page_nodes(pages: DataFrame, key: str, html: str, layout: Layout) -> DataFrame:
-    parts = (layout.content, layout.without, layout.title, layout.box, layout.note, layout.aside)
+    parts = (layout.content, layout.without, layout.title, layout.box, layout.note, layout.aside, layout.closed)
     return pages.select(key, F.col(html).alias("__page")).lateralJoin(_PageNodes(F.col("__page").outer(), *(F.lit(p) for p in parts))).drop("__page")
 
 
