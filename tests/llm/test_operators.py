@@ -492,6 +492,16 @@ def test_passages_are_linear():
     assert took[1] < 40 * max(took[0], 0.02)
 
 
+def test_sure_tokens_stay_sure():
+    """A token that only toxic rows hold counts more, not less, the surer its prefix says the same."""
+    keys = toxicity.hashes(b"stupid")
+    for up in (0.5, 0.9, 0.999, 0.999999):
+        table = toxicity.Table(np.array([keys[0]]), np.array([500]), np.array([0]), np.array([up]), -2.0)
+        assert table.find([b"stupid"])[0][0] > 5
+        clean = toxicity.Table(np.array([keys[0]]), np.array([0]), np.array([500]), np.array([1 - up]), 2.0)
+        assert clean.find([b"stupid"])[0][0] < -5
+
+
 def test_toxicity(spark, vocabulary):
     rng = random.Random(10)
     rows, labels = [], []

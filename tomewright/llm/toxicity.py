@@ -3,7 +3,9 @@
 Tokens: lower-cased runs of letters, digits and non-ASCII characters. The log-odds of a token between toxic and clean
 training documents has a hierarchical Dirichlet prior: a token leans on the tokens that share its first six bytes (five,
 four, if it isn't longer), these on those that share one byte less, and the last ones on the corpus. Every token
-that a labelled training document holds has its value; others take that of their longest known prefix.
+that a labelled training document holds has its value; others take that of their longest known prefix. A value is a bound,
+``SURE`` errors nearer to zero than the log-odds; no count stands in the error with less than ``LEAST``, or a sure prefix (which
+leaves nearly nothing of the prior to the other side) would make a token's error boundless and its value zero.
 
 Every token adds its log-odds less ``DRIFT``. One scan over a text, linear in its length, finds all maximal-scoring
 segments (Ruzzo and Tompa): each kept segment links to the nearest earlier one whose sum to the left is smaller, so none is
@@ -45,6 +47,7 @@ from tomewright.llm.decontaminate import words
 PREFIXES = (4, 5, 6)
 PRIOR = 4.0
 SURE = 1.5
+LEAST = 0.5
 ENTRIES = 4_000_000
 DRIFT = 1.0
 CLIP = 8.0
@@ -150,7 +153,7 @@ class Table:
                 t, c, up = t[known], c[known], up[known]
             a, b = t + PRIOR * up, c + PRIOR * (1 - up)
             v = np.log(a / b) - self.base
-            value[ok], level[ok] = np.clip(np.sign(v) * np.maximum(np.abs(v) - SURE * np.sqrt(1 / a + 1 / b), 0), -CLIP, CLIP), k
+            value[ok], level[ok] = np.clip(np.sign(v) * np.maximum(np.abs(v) - SURE * np.sqrt(1 / np.maximum(a, LEAST) + 1 / np.maximum(b, LEAST)), 0), -CLIP, CLIP), k
         return list(zip(value.tolist(), level.tolist(), strict=True))
 
     def alone(self, tokens: list[bytes], without: int) -> list[tuple[float, int]]:
