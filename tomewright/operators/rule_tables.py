@@ -1,15 +1,16 @@
-"""Rule tables on pages to typed rows. A table function puts every cell into all places of the grid that it spans; what the columns
+"""Rule tables on pages to typed rows. A function over batches puts every cell into all places of the grid that it spans; what the columns
 mean, and which of them nobody knows, is worked out from the head rows in Spark. Blank cells are null, never zero."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomewright.functions import markup, text
-from tomewright.sources.shared import materialize
+from tomewright.sources.shared import materialize, spread
 
 # Columns of a progression, headings of groups, categories of armours, signs of an empty cell.
 BASE = ["niveau", "bba", "reflexes", "vigueur", "volonte", "special"]
@@ -20,24 +21,39 @@ BONUS_ENTRY = r"(?s)<b>(Bonus (?:d['’]|de |des )[^.<]+)\.</b>\s*([^<]*(?:<a[^>
 SPELL_LEVELS = 10
 
 
-@F.udtf(returnType="tbl int, caption string, row int, col int, text string, origin int")
-class _Cells:
-    """Every place of the grids of a page's tables, with where its text comes from (``markup.OWN``, ``LEFT`` or ``ABOVE``)."""
+CELLS = "tbl int, caption string, row int, col int, text string, origin int"
+#: A batch of cells is passed on beyond this size.
+BATCH = 20_000
+
 
-    def eval(self, html: str) -> Iterator[tuple]:
-        if html is None:
-            return
-        for k, table in enumerate(n for n in markup.tree(html).walk() if n.tag == "table"):
-            caption = next((markup.clean(n.raw_text()) for n in table.children if n.tag == "caption"), "")
-            for i, row in enumerate(markup.grid(table)):
-                for j, (cell, origin) in enumerate(row):
-                    yield k, caption, i, j, cell, origin
+def _places(html: str) -> Iterator[tuple]:
+    """Every place of the grids of a page's tables, with where its text comes from (``markup.OWN``, ``LEFT`` or ``ABOVE``)."""
+    for k, table in enumerate(n for n in markup.tree(html).walk() if n.tag == "table"):
+        caption = next((markup.clean(n.raw_text()) for n in table.children if n.tag == "caption"), "")
+        for i, row in enumerate(markup.grid(table)):
+            for j, (cell, origin) in enumerate(row):
+                yield k, caption, i, j, cell, origin
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32()]
+    names = ["tbl", "caption", "row", "col", "text", "origin"]
+    for batch in batches:
+        at, out, last = [], [], batch.num_rows - 1
+        for k, page in enumerate(batch.column(1).to_pylist()):
+            if page is not None:
+                out.extend(_places(page))
+                at.extend([k] * (len(out) - len(at)))
+            if out and (len(out) >= BATCH or k == last):
+                values = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *values], [batch.schema.names[0], *names])
+                at, out = [], []
 
 
 def cells(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """key, tbl, caption, row, col, text, origin; dealt by page and written once."""
-    found = pages.select(key, F.col(html).alias("__page")).lateralJoin(_Cells(F.col("__page").outer())).drop("__page")
-    return materialize(found.repartition(key), "cells")
+    """key, tbl, caption, row, col, text, origin; pages are dealt over the cores before they are read, cells written once."""
+    pages = spread(pages.select(key, html), key)
+    return materialize(pages.mapInArrow(_cells, f"`{key}` {pages.schema[key].dataType.simpleString()}, {CELLS}"), "cells")
 
 
 def signed(x: Column) -> Column:
@@ -55,7 +71,8 @@ def progression_columns(grid: DataFrame, key: str) -> DataFrame:
     their column, ``base`` (whether the table's own columns have it), ``group`` and ``sub`` (the group and its inner label)."""
     table, column = Window.partitionBy(key, "tbl"), Window.partitionBy(key, "tbl", "col")
     at_row = lambda r, v=F.col("text"): F.when(F.col("row") == r, v)
-    rows = grid.withColumns({
+    # dealt by page once, which serves all windows
+    rows = grid.repartition(key).withColumns({
         "head": F.max(at_row(0)).over(column), "inner": F.max(at_row(1)).over(column),
         "group_at": F.min(F.when((F.col("row") == 0) & (F.col("origin") == markup.LEFT), F.col("col") - 1)).over(table),
         "two": F.coalesce(F.max(F.when((F.col("row") == 1) & (F.col("origin") == markup.ABOVE), True)).over(table), F.lit(False)),
