@@ -129,6 +129,15 @@ def test_references_without_semicolon(spark, closed, want):
     assert made.first()["document"]["name"] == want
 
 
+def test_pages_of_one_split_are_read_by_several_tasks(spark):
+    """A file of one split leaves all pages to one task unless they are dealt first; results don't depend on batches."""
+    table = "<table><tr><td>a<td>b</table>"
+    df = spark.createDataFrame([(i, table if i % 3 else None) for i in range(60)], "id long, html string").coalesce(1)
+    grid = rule_tables.cells(df, "id", "html")
+    assert len(grid.inputFiles()) > 4
+    assert sorted((r["id"], r["col"], r["text"]) for r in grid.collect()) == [(i, k, x) for i in range(60) if i % 3 for k, x in enumerate("ab")]
+
+
 def test_feat_pages(spark):
     source = """<div id="PageContentDiv"><a href="x"><img title="Source : Livre"></a>Un <b>grand</b> don.<p>Suite <b>Note.</b> prose</p><b>Catégorie.</b> combat, Style et <a href="Pathfinder-RPG.dons%20de.ashx#COMBAT">monstre</a>.<br>
     <b>Conditions.</b> For 13.<b>Avantage.</b> fort<table><caption>T</caption><tr><td>1<td>2<tr><td>3</table> et <b>gras</b> suite<br><b>Rareté</b> : rare<b>Spécial.</b> un<b>Avantage.</b> encore<a href="Pathfinder-RPG.NLS.ashx">NLS</a><a href="Pathfinder-RPG.NLS.ashx">NLS</a><a href="">rien</a></div>"""

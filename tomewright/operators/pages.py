@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomewright.functions import markup, text
-from tomewright.sources.shared import discard, materialize
+from tomewright.sources.shared import discard, materialize, spread
 
 # Labels of the head, in label form, and the names of their fields.
 LABELS = {
@@ -294,8 +294,9 @@ def feat_documents(pages: DataFrame, key: str, html: str, *, content: str = "#Pa
     bold words of the description, before the first rubric that ends it, are prose."""
     from tomewright.operators.html import category_names, tables
 
+    pages = spread(pages.select(key, html), key)
     runs = pages.select(key, F.col(html).alias("__page")).lateralJoin(_Runs(F.col("__page").outer(), F.lit(content))).drop("__page")
-    runs = materialize(runs.repartition(key), "runs")
+    runs = materialize(runs, "runs")
     own, upto = Window.partitionBy(key), Window.partitionBy(key).orderBy("place")
     label = F.trim(F.regexp_replace(clean(F.col("raw")), r"\s+", " "))
     marks = F.col("bold") & label.rlike(RUBRIC)
