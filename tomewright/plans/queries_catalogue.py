@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tomewright.functions import text
 from tomewright.operators import catalogue, facets, html, index, ordering, reconcile
 from tomewright.plans.queries_rules import pick, sql_pick
+from tomewright.sources.shared import spread
 from tomewright.sources.tables import ENTRIES_SQL, SPELLS_SQL, entries, load, spells
 
 _join = lambda c, by="|": F.array_join(F.transform(c, lambda x: x.cast("string")), by)
@@ -168,7 +169,7 @@ def page_entries(spark, d):
         F.lit("<h2>Niveau "), (F.col("c_nationkey") % 9).cast("string"), F.lit("</h2><h3>"), F.col("c_mktsegment"), F.lit("</h3><ul><li><a href='/x"), key, F.lit("'>"), F.col("c_name"),
         F.lit("</a> <sup>A</sup><sup>B</sup> : blurb &amp; <i>more</i></li><li>plain</li></ul><h2>Rien</h2><li class='z'><a href=\"/y\"><b>Deux</b></a></li>"),
     )
-    made = html.list_entries(load(spark, d, "customer").select("c_custkey", page.alias("page")), "c_custkey", "page")
+    made = html.list_entries(spread(load(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_name"), "c_custkey").select("c_custkey", page.alias("page")), "c_custkey", "page")
     return made.select("c_custkey", F.col("place").cast("int").alias("place"), "level", "school", "name", "url", _join("sources").alias("sources"), "blurb", "reason")
 
 
