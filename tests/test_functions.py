@@ -105,3 +105,25 @@ def test_require_empty(spark):
     assert quality.require_empty(spark.range(0), "must be empty").count() == 0
     with pytest.raises(Exception, match="must be empty"):
         quality.require_empty(spark.range(2), "must be empty").collect()
+
+
+def test_closure_by_levels_and_by_rounds(spark, monkeypatch):
+    """Against plain search: ways of different lengths to a node, edges that repeat, cycles, no edges. Without cycles nothing is
+    compared with all pairs that were found before."""
+    import random
+
+    rng = random.Random(7)
+    straight = [(a, b) for a in range(14) for b in range(a + 1, 14) if rng.random() < 0.25] * 2
+    for pairs, acyclic in ((straight, True), ([*straight, (9, 2), (20, 20)], False), ([], True)):
+        reach = set(pairs)
+        while more := {(a, d) for a, b in reach for c, d in pairs if b == c} - reach:
+            reach |= more
+        roots = {a for a, _ in pairs} - {b for _, b in pairs}
+        edges = spark.createDataFrame(pairs, "src long, dst long")
+        with monkeypatch.context() as m:
+            if acyclic:
+                m.setattr(graph, "_by_rounds", None)
+            for roots_only, few in ((False, 100_000), (True, 1)):
+                m.setattr(graph, "FEW", few)
+                got = [tuple(r) for r in graph.closure(edges, roots_only).collect()]
+                assert len(got) == len(set(got)) and set(got) == {p for p in reach if not roots_only or p[0] in roots}
