@@ -127,3 +127,14 @@ def test_closure_by_levels_and_by_rounds(spark, monkeypatch):
                 m.setattr(graph, "FEW", few)
                 got = [tuple(r) for r in graph.closure(edges, roots_only).collect()]
                 assert len(got) == len(set(got)) and set(got) == {p for p in reach if not roots_only or p[0] in roots}
+
+
+def test_totals_of_bonuses_are_not_dealt_by_kind(spark):
+    """A few kinds hold all rows, so a join by kind would put them into as many tasks. Ties, signs and kinds without a rule."""
+    rows = [(1, "a", 3), (1, "a", 3), (1, "a", -2), (1, "b", 5), (1, "b", 5), (1, "b", -1), (1, "b", -4), (1, "c", 2), (2, "b", 0), (2, None, 7)]
+    told = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "owner long, kind string, value int, at int")
+    made = sheet.stacked_totals(told, spark.createDataFrame([("a", True), ("b", False)], "kind string, cumulative boolean"), "owner", "kind", "value", ["at"])
+    assert sorted(tuple(r) for r in made.collect()) == [(1, 7, 6, 2, 1), (2, 7, 2, 0, 1)]
+    marked = sheet.stack_bonuses(told, spark.createDataFrame([("a", True), ("b", False)], "kind string, cumulative boolean"), "owner", "kind", "value", ["at"])
+    for df in (made, marked):
+        assert "hashpartitioning(kind#" not in df._jdf.queryExecution().toString()

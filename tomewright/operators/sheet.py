@@ -12,8 +12,9 @@ def stack_bonuses(rows: DataFrame, rules: DataFrame, owner: str, kind: str, valu
     """rows with ``counts`` and ``flagged``. Types that accumulate sum up; others keep the best bonus (>= 0) and the
     worst malus (< 0), the first in position among equals; types without a rule sum up but are flagged.
 
-    rules: (kind, cumulative boolean); a small dimension that Catalyst broadcasts by its size."""
-    ruled = rows.join(rules, kind, "left")
+    rules: (kind, cumulative boolean); a small dimension. It is sent to all tasks, as a join by kind would put all rows of a kind
+    into one."""
+    ruled = rows.join(F.broadcast(rules), kind, "left")
     sign = F.when(F.col(value) < 0, 1).otherwise(0)
     window = Window.partitionBy(owner, kind, sign).orderBy(F.abs(F.col(value)).desc(), *position)
     counts = F.when(F.col("cumulative") == F.lit(False), F.row_number().over(window) == 1).otherwise(True)
@@ -21,9 +22,15 @@ def stack_bonuses(rows: DataFrame, rules: DataFrame, owner: str, kind: str, valu
 
 
 def stacked_totals(rows: DataFrame, rules: DataFrame, owner: str, kind: str, value: str, position: list[str]) -> DataFrame:
-    """owner, total, n_counted, n_lost, n_flagged."""
-    marked = stack_bonuses(rows, rules, owner, kind, value, position)
-    return marked.groupBy(owner).agg(F.sum(F.when(F.col("counts"), F.col(value)).otherwise(0)).alias("total"), F.count_if("counts").alias("n_counted"), F.count_if(~F.col("counts")).alias("n_lost"), F.count_if("flagged").alias("n_flagged"))
+    """owner, total, n_counted, n_lost, n_flagged, as of ``stack_bonuses``. Of a type that doesn't accumulate one value of each
+    sign counts whichever is the first, so sums are enough: no order, and no group is held by a task."""
+    v = F.col(value)
+    dealt = rows.select(owner, kind, v.alias("__v"), F.coalesce(v < 0, F.lit(False)).alias("__malus")).repartition(owner)
+    summed = dealt.groupBy(owner, kind, "__malus").agg(F.sum("__v").alias("__sum"), F.count("*").alias("__n"), F.min("__v").alias("__least"), F.max("__v").alias("__most"))
+    lone = F.coalesce(~F.col("cumulative"), F.lit(False))
+    total = F.when(lone, F.when(F.col("__malus"), F.col("__least")).otherwise(F.col("__most"))).otherwise(F.col("__sum"))
+    told = summed.join(F.broadcast(rules), kind, "left").select(owner, total.alias("total"), "__n", F.when(lone, F.lit(1)).otherwise(F.col("__n")).alias("counted"), F.when(F.col("cumulative").isNull(), F.col("__n")).otherwise(0).alias("flagged"))
+    return told.groupBy(owner).agg(F.sum("total").alias("total"), F.sum("counted").alias("n_counted"), F.sum(F.col("__n") - F.col("counted")).alias("n_lost"), F.sum("flagged").alias("n_flagged"))
 
 
 #: Ranges that become one CASE; more are met by a join.
