@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -29,6 +30,68 @@ def _json(value: object) -> str:
     return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
 
+@dataclass(frozen=True)
+class _Place:
+    """A value inside a variant: the variant that is at hand and its type, the steps from it to the value, and what to call the place. A
+    deeper value is one more step from the same variant, not an expression inside an expression; only elements of arrays and
+    fields that a schema doesn't name need a lambda."""
+
+    base: Column
+    described: Column
+    path: Column
+    steps: str = "$"
+    below: str = ""
+
+    def field(self, name: str) -> _Place:
+        return replace(self, steps=f'{self.steps}["{name}"]', below=f"{self.below}/{name}")
+
+    def get(self, kind: str = "variant") -> Column:
+        return self.base if (kind, self.steps) == ("variant", "$") else F.try_variant_get(self.base, self.steps, kind)
+
+    def type(self) -> Column:
+        return self.described if self.steps == "$" else F.schema_of_variant(self.get())
+
+    def named(self, end: str) -> Column:
+        return F.concat(self.path, F.lit(self.below + end))
+
+
+@dataclass(frozen=True)
+class _Found:
+    """What is broken where ``test`` is true: a text, an array of texts (null ones are none), or what is found inside. ``other``
+    holds where it isn't true."""
+
+    test: Column
+    text: Column | None = None
+    texts: Column | None = None
+    inside: tuple[_Found, ...] = ()
+    other: tuple[_Found, ...] = ()
+
+    def true(self) -> Column:
+        return F.coalesce(self.test, F.lit(False))
+
+
+def _texts(found: Iterable[_Found]) -> Column:
+    """All texts in one array, with nulls for what isn't broken."""
+    found = list(found)
+    plain = [F.when(x.test, x.text) for x in found if x.text is not None]
+    arrays = [F.when(x.test, _texts(x.inside) if x.texts is None else x.texts).otherwise(_texts(x.other) if x.other else _nothing()) for x in found if x.text is None]
+    arrays = [F.array(*plain)] * bool(plain) + arrays
+    return arrays[0] if len(arrays) == 1 else F.flatten(F.array(*arrays)) if arrays else _nothing()
+
+
+def _fine(found: Iterable[_Found]) -> Column:
+    """Whether nothing is broken, without the texts."""
+    tests = []
+    for x in found:
+        if x.text is not None:
+            tests.append(~x.true())
+        elif x.texts is not None:
+            tests.append(~x.true() | (F.size(F.array_compact(x.texts)) == 0))
+        else:
+            tests.append(F.when(x.true(), _fine(x.inside)).otherwise(_fine(x.other)))
+    return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
+
+
 class _Compiler:
     """Turns a schema document into an expression over a variant; every part of the document is written out once for each place
     that it applies to, so a schema that refers to itself is refused."""
@@ -42,31 +105,30 @@ class _Compiler:
         steps = [s.replace("~1", "/").replace("~0", "~") for s in ref[1:].split("/")[1:]]
         return reduce(lambda at, s: at[int(s)] if isinstance(at, list) else at[s], steps, self.document)
 
-    def errors(self, schema: dict | bool, v: Column, path: Column, inside: tuple[str, ...] = ()) -> Column:
-        """Array of ``path: rule`` for what a value (not a missing one) breaks."""
+    def errors(self, schema: dict | bool, values: Column, inside: tuple[str, ...] = ()) -> Column:
+        """For each of an array of ``_value`` an array of ``path: rule`` for what it breaks."""
+        return F.transform(values, lambda x: F.when(x["v"].isNotNull(), _texts(self.found(schema, _Place(x["v"], x["type"], x["path"]), inside))))
+
+    def found(self, schema: dict | bool, at: _Place, inside: tuple[str, ...]) -> list[_Found]:
+        """What a value (not a missing one) breaks."""
         if isinstance(schema, bool):
-            return _nothing() if schema else F.array(F.concat(path, F.lit(": false")))
+            return [] if schema else [_Found(F.lit(True), at.named(": false"))]
         unknown = set(schema) - RULES - NOTES
         if unknown:
             raise ValueError(f"keywords of a schema that aren't known: {sorted(unknown)}")
-        kind = F.regexp_extract(F.schema_of_variant(v), r"^(\w+)", 1)
-        return let(F.struct(v.alias("v"), kind.alias("kind"), path.alias("path")), lambda x: self._checks(schema, x["v"], x["kind"], x["path"], inside))
-
-    def _checks(self, schema: dict, v: Column, kind: Column, path: Column, inside: tuple[str, ...]) -> Column:
-        found: list[Column] = []
-        text, number = F.try_variant_get(v, "$", "string"), F.try_variant_get(v, "$", "double")
-        elements, fields = F.try_variant_get(v, "$", "array<variant>"), F.try_variant_get(v, "$", "map<string,variant>")
-        is_object, is_array, is_text, is_number = kind == "OBJECT", kind == "ARRAY", kind == "STRING", kind.isin(*NUMBERS)
+        found: list[_Found] = []
+        of_object: list[_Found] = []
+        v, kind = at.get(), F.regexp_extract(at.type(), r"^(\w+)", 1)
+        text, number = at.get("string"), at.get("double")
+        elements, fields = at.get("array<variant>"), at.get("map<string,variant>")
+        is_object, is_array, is_text, is_number = F.startswith(at.type(), F.lit("OBJECT")), F.startswith(at.type(), F.lit("ARRAY")), kind == "STRING", kind.isin(*NUMBERS)
         kinds = {"object": is_object, "array": is_array, "string": is_text, "number": is_number, "integer": (kind == "BIGINT") | (is_number & (number == F.floor(number))), "boolean": kind == "BOOLEAN", "null": kind == "VOID"}
 
         def broken(rule: str, test: Column) -> None:
-            found.append(F.when(test, F.array(F.concat(path, F.lit(f": {rule}")))).otherwise(_nothing()))
-
-        def also(test: Column, errors: Column) -> None:
-            found.append(F.when(test, errors).otherwise(_nothing()))
+            found.append(_Found(test, at.named(f": {rule}")))
 
         def fine(sub: dict | bool) -> Column:
-            return F.size(self.errors(sub, v, path, inside)) == 0
+            return _fine(self.found(sub, at, inside))
 
         for rule, limit in schema.items():
             if rule == "type":
@@ -75,21 +137,20 @@ class _Compiler:
             elif rule in ("enum", "const"):
                 broken(rule, ~F.to_json(v).isin(*[_json(x) for x in (limit if rule == "enum" else [limit])]))
             elif rule == "required":
-                for name in limit:
-                    found.append(F.when(is_object & self._field(v, name).isNull(), F.array(F.concat(path, F.lit(f"/{name}: required")))).otherwise(_nothing()))
+                of_object += [_Found(at.field(name).get().isNull(), at.named(f"/{name}: required")) for name in limit]
             elif rule == "properties":
                 for name, sub in limit.items():
-                    child = self._field(v, name)
-                    also(is_object & child.isNotNull(), self.errors(sub, child, F.concat(path, F.lit(f"/{name}")), inside))
+                    child = at.field(name)
+                    of_object.append(_Found(child.get().isNotNull(), inside=tuple(self.found(sub, child, inside))))
             elif rule == "additionalProperties":
                 known = F.array(*[F.lit(k) for k in schema.get("properties", {})]).cast("array<string>")
                 others = F.filter(F.map_entries(fields), lambda e: ~F.array_contains(known, e["key"]))
                 if limit is False:
-                    also(is_object, F.transform(others, lambda e: F.concat(path, F.lit("/"), e["key"], F.lit(": additionalProperties"))))
+                    of_object.append(_Found(F.lit(True), texts=F.transform(others, lambda e: F.concat(at.named("/"), e["key"], F.lit(": additionalProperties")))))
                 elif limit is not True:
-                    also(is_object, F.flatten(F.transform(others, lambda e: self.errors(limit, e["value"], F.concat(path, F.lit("/"), e["key"]), inside))))
+                    of_object.append(_Found(F.lit(True), texts=F.flatten(self.errors(limit, F.transform(others, lambda e: _value(e["value"], F.concat(at.named("/"), e["key"]))), inside))))
             elif rule == "items":
-                also(is_array, F.flatten(F.transform(elements, lambda x, i: self.errors(limit, x, F.concat(path, F.lit("/"), i.cast("string")), inside))))
+                found.append(_Found(is_array, texts=F.flatten(self.errors(limit, F.transform(elements, lambda x, i: _value(x, F.concat(at.named("/"), i.cast("string")))), inside))))
             elif rule == "uniqueItems":
                 if limit:
                     broken(rule, is_array & (F.size(F.array_distinct(F.transform(elements, lambda x: F.to_json(x)))) < F.size(elements)))
@@ -100,9 +161,10 @@ class _Compiler:
                 broken(rule, own & (size < limit if rule.startswith("min") else size > limit))
             elif rule in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum"):
                 tests = {"minimum": number < limit, "maximum": number > limit, "exclusiveMinimum": number <= limit, "exclusiveMaximum": number >= limit}
-                broken(rule, is_number & tests[rule])
+                broken(rule, tests[rule] & is_number)
             elif rule == "allOf":
-                found += [self.errors(sub, v, path, inside) for sub in limit]
+                for sub in limit:
+                    found += self.found(sub, at, inside)
             elif rule == "anyOf":
                 broken(rule, ~reduce(lambda a, b: a | b, map(fine, limit)))
             elif rule == "oneOf":
@@ -111,24 +173,26 @@ class _Compiler:
                 broken(rule, fine(limit))
             elif rule == "if":
                 then, other = schema.get("then", True), schema.get("else", True)
-                found.append(F.when(fine(limit), self.errors(then, v, path, inside)).otherwise(self.errors(other, v, path, inside)))
+                found.append(_Found(fine(limit), inside=tuple(self.found(then, at, inside)), other=tuple(self.found(other, at, inside))))
             elif rule == "$ref":
                 if limit in inside:
                     raise ValueError(f"a schema that refers to itself: {limit}")
-                found.append(self.errors(self.resolve(limit), v, path, (*inside, limit)))
-        return F.concat(*found) if found else _nothing()
+                found += self.found(self.resolve(limit), at, (*inside, limit))
+        if of_object:
+            found.append(_Found(is_object, inside=tuple(of_object)))
+        return found
+
 
-    @staticmethod
-    def _field(v: Column, name: str) -> Column:
-        return F.try_variant_get(v, f'$["{name}"]', "variant")
+def _value(v: Column, path: Column) -> Column:
+    return F.struct(v.alias("v"), F.schema_of_variant(v).alias("type"), path.alias("path"))
 
 
 def schema_errors(raw: Column, schema: dict) -> Column:
     """Sorted ``path: rule`` of what a JSON text breaks of a schema document, paths with the places of array elements; ``: json``
     where it can't be read. Properties, items, closed lists, bounds, patterns, combinations, conditions, references inside
     the document; a keyword that isn't known and a schema that refers to itself are errors of the schema."""
-    compiler = _Compiler(schema)
-    return let(F.try_parse_json(raw), lambda v: F.when(v.isNull(), F.array(F.lit(": json"))).otherwise(F.array_sort(F.array_distinct(compiler.errors(schema, v, F.lit(""))))))
+    found = _Compiler(schema).errors(schema, F.transform(F.array(F.try_parse_json(raw)), lambda v: _value(v, F.lit(""))))
+    return let(F.element_at(found, 1), lambda x: F.when(x.isNull(), F.array(F.lit(": json"))).otherwise(F.array_sort(F.array_distinct(F.array_compact(x)))))
 
 
 # drift
