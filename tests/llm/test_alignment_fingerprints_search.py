@@ -126,6 +126,15 @@ def test_fingerprints_insert_and_delete(spark):
     assert both.select(fingerprint.written(new)).first()[0] == prints(spark, ["\n".join([*put, *old])])[0]
 
 
+def test_fingerprints_narrow(spark):
+    texts = ["", "a", "ab cd\nef gh ij", "one two three " * 9, "x y " * 40_000]
+    rows = fingerprint.fingerprints(docs_of(spark, texts), ["doc_id"]).withColumn("narrow", fingerprint.narrow(F.col("sums")))
+    rows = rows.withColumn("back", fingerprint.widened(F.col("narrow"))).select("doc_id", (F.col("narrow.many").isNull()).alias("few"), *(fingerprint.written(F.col(c)).alias(f"{c}_text") for c in ("sums", "back")), *(F.to_json(F.array(*fingerprint.vectors(F.col(c))[:2])).alias(f"{c}_vectors") for c in ("sums", "back")))
+    got = {r["doc_id"]: r for r in rows.collect()}
+    assert [got[k]["few"] for k in sorted(got)] == [True, True, True, True, False]  # counts beyond a short keep their width
+    assert all(r["sums_text"] == r["back_text"] and r["sums_vectors"] == r["back_vectors"] for r in got.values())
+
+
 def test_fingerprint_query(spark, tmp_path):
     rng = random.Random(25)
     shared = "\n".join(prose(rng, 40) for _ in range(6))

@@ -47,6 +47,25 @@ def plus(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x + y)
 
 
+def narrow(sums: Column) -> Column:
+    """Sums in about half of the space, for shuffles and files: lanes of digests as ints, counts as shorts. Sums with a count beyond
+    a short stay as they are."""
+    digest, centred, pairs = vectors(sums)
+    counts = F.transform(centred, lambda x: F.shiftright(x + pairs, 1))
+    signed = lambda x: F.shiftright(F.shiftleft(x, 32), 32)
+    fits = (F.array_max(counts) < 1 << 15) & (F.array_min(counts) >= 0)
+    few = F.struct(F.transform(digest, lambda x: signed(x).cast("int")).alias("digest"), F.transform(counts, lambda x: x.cast("short")).alias("counts"), pairs.alias("pairs"))
+    return F.struct(F.when(fits, few).alias("few"), F.when(~fits, sums).alias("many"))
+
+
+def widened(x: Column) -> Column:
+    """The sums that ``narrow`` was made of, lanes of digests modulo 2^32."""
+    few = x["few"]
+    low, high = F.slice(few["counts"], 1, _PACKED), F.slice(few["counts"], _PACKED + 1, _PACKED)
+    packed = F.zip_with(low, high, lambda a, b: a.cast("long") + F.shiftleft(b.cast("long"), 32))
+    return F.coalesce(x["many"], F.concat(F.transform(few["digest"], lambda d: d.cast("long").bitwiseAND(F.lit(_LOW))), packed, F.array(few["pairs"])))
+
+
 def vectors(sums: Column) -> tuple[Column, Column, Column]:
     """Of sums, the lanes of both kinds as arrays: those of digests modulo 2^32, and the centred counts 2 x lane - pairs; and the pairs."""
     pairs = F.element_at(sums, -1)
@@ -123,10 +142,11 @@ def with_edits(docs: DataFrame) -> DataFrame:
     sums = summed(paragraphs, [*facts, "side"], sign="w")
     change = F.lead("sums").over(Window.partitionBy(*key).orderBy("side"))
     own = sums.withColumn("change", change).where("side = 0").select(*facts, F.col("sums").alias("own"), plus(F.col("sums"), F.col("change")).alias("edited"))
-    own = materialize(own, "sums")
+    own = materialize(own.withColumns({"own": narrow(F.col("own")), "edited": narrow(F.col("edited"))}), "sums")
     discard(sizes, nexts)
     after = own.select(F.col("id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("own").alias("next"))
-    return own.join(after, ["next_id", "next_mark"]).select("doc_id", F.col("n").cast("long").alias("n_chars"), "rows", F.lower(F.hex("edit")).alias("edited_sha256"), "own", "edited", "next")
+    met = own.drop("id", "mark").join(after, ["next_id", "next_mark"])
+    return met.select("doc_id", F.col("n").cast("long").alias("n_chars"), "rows", F.lower(F.hex("edit")).alias("edited_sha256"), *(widened(F.col(c)).alias(c) for c in ("own", "edited", "next")))
 
 
 def op11_fingerprints(spark, sf_dir: str) -> DataFrame:
