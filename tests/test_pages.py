@@ -152,3 +152,13 @@ def test_feat_pages(spark):
     assert (got[2]["description"], got[2]["text"], got[2]["categories"], got[2]["links"]) == ("nu", "nu", [], []) and got[3]["description"] is None
     rows = spark.createDataFrame([(1, "<table><tr><th>x</th></tr><tr><td><a href='/a'>Don <i>un</i> *</a></td><td><a href='/b'>b</a></td></tr><tr><td>no</td></tr></table>")], "id int, html string")
     assert [tuple(r) for r in pages.row_links(rows, "id", "html", "https://s").collect()] == [(1, 1, "Don un", "https://s/a")]
+
+
+def test_page_texts_in_pieces(spark, monkeypatch):
+    """Both texts come from one pass, in pieces of a batch; no page is lost, alone, null or empty."""
+    monkeypatch.setattr(html, "PIECE", 20)
+    pages = [(1, "<nav>n</nav><p>one</p>two"), (2, None), (3, ""), (4, "<p>" + "x " * 40 + "</p>"), (5, "<header>h</header>y"), (None, "z")]
+    df = spark.createDataFrame(pages, "page_id int, html string")
+    got = {r["page_id"]: (r["text"], r["main"]) for r in html.page_texts(df.coalesce(1), "page_id", "html").collect()}
+    assert got == {k: (html.visible_text(x), html.visible_text(x, html.MARGINS)) for k, x in pages}
+    assert got[1] == ("n\none\ntwo", "one\ntwo") and got[2] == (None, None)

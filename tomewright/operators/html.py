@@ -4,9 +4,11 @@ the standard library's event parser; what can be a plain expression is one."""
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,9 @@ from tomewright.functions import markup
 # Elements that start a new line, and elements whose content isn't visible.
 BLOCKS = frozenset("p div br li ul ol h1 h2 h3 h4 h5 h6 table tr section article header footer nav aside main blockquote pre dl dt dd figure".split())
 HIDDEN = frozenset("script style head template noscript".split())
+MARGINS = HIDDEN | {"nav", "header", "footer", "aside"}
+# Characters of pages after which their texts go on.
+PIECE = 4_000_000
 
 
 class _Text(HTMLParser):
@@ -58,8 +63,28 @@ def html_text(html: pd.Series) -> pd.Series:
 @F.pandas_udf(T.StringType())
 def main_text(html: pd.Series) -> pd.Series:
     """Visible text without navigation, headers and footers."""
-    skip = HIDDEN | {"nav", "header", "footer", "aside"}
-    return html.map(lambda x: visible_text(x, skip), na_action="ignore")
+    return html.map(lambda x: visible_text(x, MARGINS), na_action="ignore")
+
+
+def page_texts(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """key, text and main (see ``html_text`` and ``main_text``) of every page. Both are made in one pass over a batch of pages, which goes on in
+    pieces of about ``PIECE`` characters, so a worker holds the batch as it came and a piece of it, however large pages are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start, held, texts, mains = 0, 0, [], []
+            for i in range(batch.num_rows):
+                page = batch.column(1)[i].as_py()
+                texts.append(visible_text(page))
+                mains.append(visible_text(page, MARGINS))
+                held += len(page or "")
+                if held >= PIECE or i + 1 == batch.num_rows:
+                    made = [pa.array(x, pa.string()) for x in (texts, mains)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[start : i + 1], *made], [key, "text", "main"])
+                    start, held, texts, mains = i + 1, 0, [], []
+
+    kept = pages.select(key, html)
+    return kept.mapInArrow(run, T.StructType([kept.schema[key], T.StructField("text", T.StringType()), T.StructField("main", T.StringType())]))
 
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("caption", T.StringType()), T.StructField("rows", T.ArrayType(T.ArrayType(T.StringType())))])))

@@ -185,7 +185,7 @@ def search_names(spark, d):
 
 
 def html_text(spark, d):
-    return load(spark, d, "pages").select("page_id", html.html_text("html").alias("text"), html.main_text("html").alias("main"))
+    return html.page_texts(load(spark, d, "pages"), "page_id", "html")
 
 
 def html_parts(spark, d):
