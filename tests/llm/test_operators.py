@@ -193,6 +193,31 @@ def test_lm_gradients():
         model.p[name][at] += 1e-5
 
 
+def test_lm_looks_are_made_once():
+    """Products of the embedding rows that are made once for all batches give the same logs and gradients; a step asks for no logs."""
+    tokens = lm.subwords(PATH, PATTERN)
+    model = small_model(np.ones(tokens.end + 1, np.int64), tokens)
+    rng = np.random.default_rng(6)
+    model.p = {k: (v + 0.3 * rng.standard_normal(v.shape)).astype(np.float64) for k, v in model.p.items()}
+    (batch,) = lm.windows(rng.integers(0, 60, 190), np.array([0, 70, 71, 190]), tokens.end)
+    looks = model.looks()
+    assert model.run(*batch[:-1], looks=looks)[0] == pytest.approx(model.run(*batch[:-1])[0], rel=1e-12)
+    (_, want), (loss, got) = model.run(*batch), model.run(*batch, looks=looks, told=False)
+    assert loss is None and all(got[k] == pytest.approx(v, rel=1e-9, abs=1e-12) for k, v in want.items())
+
+
+def test_encoded_words_and_hashes_are_kept():
+    """Texts encoded one after another have the ids of texts encoded alone, and each kept word has the hash of its ids."""
+    tokens, other = lm.subwords(PATH, PATTERN), lm.subwords(PATH, PATTERN)
+    for texts in ([[], []], [[b"one", b"two", b"one"], []], [[b"w%d" % i for i in range(3000)]], [[b"two", b"new"]]):
+        flat, offsets = tokens(texts)
+        other.clear()
+        want, ends = other(texts)
+        assert flat.tolist() == want.tolist() and offsets.tolist() == ends.tolist() and flat[offsets[1:] - 1].tolist() == [tokens.end] * len(texts)
+        hashes = tokens.hashes.room[tokens.k[tokens.k >= 0]]
+        assert hashes.tolist() == lm.word_hashes(flat, tokens.starts, tokens.end).tolist()
+
+
 def test_lm_context():
     """A window sees what stands before it in its own text, and nothing of other texts."""
     tokens = lm.subwords(PATH, PATTERN)

@@ -87,6 +87,20 @@ class _Places(dict):
         return n
 
 
+class _Grown:
+    """An array that grows at its end, in room that is doubled when it is used up."""
+
+    def __init__(self, kind: type):
+        self.room, self.size = np.zeros(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        size = self.size + len(more)
+        if size > len(self.room):
+            self.room = np.concatenate([self.room[: self.size], np.zeros(2 * size - self.size, self.room.dtype)])
+        self.room[self.size : size] = more
+        self.size = size
+
+
 class Subwords:
     """Ids of texts by given ranks; the end of a text has the id after the last."""
 
@@ -108,7 +122,7 @@ class Subwords:
         if self.encoding is None:
             self.encoding = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
         self.place = _Places()
-        self.begin, self.size, self.bank = (np.zeros(0, np.int64) for _ in range(3))
+        self.begin, self.size, self.hashes, self.bank = _Grown(np.int64), _Grown(np.int64), _Grown(np.int64), _Grown(np.uint16)
 
     def _encode(self, words: list[bytes]) -> np.ndarray:
         text = (b" " + b" ".join(words)).decode("utf-8", "replace")
@@ -118,7 +132,7 @@ class Subwords:
 
     def __call__(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts' words, each with a space before, and an end after each text; and their offsets. Words are
-        kept in a dictionary, new ones are encoded together; ``k`` holds the places of the texts' words in it, -1 for ends."""
+        kept in a dictionary, with their hashes; new ones are encoded together; ``k`` holds the places of the texts' words in it, -1 for ends."""
         if self.encoding is None:
             self.clear()
         k = np.fromiter(map(self.place.__getitem__, itertools.chain.from_iterable(texts)), np.int64)
@@ -127,14 +141,17 @@ class Subwords:
         if new:
             ids = self._encode(new)
             begin = np.flatnonzero(self.starts[ids])
-            self.begin = np.concatenate([self.begin, begin + len(self.bank)])
-            self.size = np.concatenate([self.size, np.diff(np.append(begin, len(ids)))])
-            self.bank = np.concatenate([self.bank, ids])
-        size = np.append(self.size, 1)[k]
+            self.begin.add(begin + self.bank.size)
+            self.size.add(np.diff(np.append(begin, len(ids))))
+            self.hashes.add(word_hashes(ids, self.starts, self.end))
+            self.bank.add(ids)
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        size, begin = self.size.room[k], self.begin.room[k]
+        size[ends], begin[ends] = 1, 0  # an id for each end, which is set below
         at = np.concatenate(([0], np.cumsum(size)))
-        out = np.append(self.bank, self.end)[np.repeat(np.append(self.begin, len(self.bank))[k] - at[:-1], size) + np.arange(at[-1])]
-        offsets = np.concatenate(([0], at[1:][np.cumsum([len(t) + 1 for t in texts]) - 1]))
-        return out.astype(np.uint16), offsets
+        out = self.bank.room[np.repeat(begin - at[:-1], size) + np.arange(at[-1])]
+        out[at[ends]] = self.end
+        return out, np.concatenate(([0], at[ends + 1]))
 
 
 def subwords(path: str, pattern: str) -> Subwords:
@@ -178,7 +195,7 @@ def encoded(docs: DataFrame, tokens: Subwords) -> DataFrame:
 
         def summed() -> pa.RecordBatch:
             some = np.flatnonzero(times)
-            words, n = word_hashes(own.bank, own.starts, own.end)[some], times[some]
+            words, n = own.hashes.room[some], times[some]
             part = words & (RANGES - 1)
             order = np.argsort(part.astype(np.uint16), kind="stable")
             words, n, part = words[order], n[order].astype(np.int32), part[order]
@@ -450,107 +467,136 @@ class Model:
         self.speed = None
         self.distance = OVERLAP + np.arange(SCORED)[:, None] - np.arange(WINDOW)[None, :]
         self.near = np.clip(self.distance, 0, WINDOW - 1)
-        self.parts = np.repeat(np.eye(2, dtype=np.float32), (GROUPS, MEMBERS), axis=0)
+        self.later = np.where(self.distance >= 0, 0, -1e4)
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"speed": None}
 
-    def run(self, x: np.ndarray, starts: np.ndarray, before: np.ndarray, first: np.ndarray, y: np.ndarray, used: np.ndarray | None = None) -> tuple:
+    def _firsts(self) -> dict[str, np.ndarray]:
+        """What a place's own embedding is multiplied by for keys (its own and the next place's), values, queries and the hidden layer."""
+        p = self.p
+        return {"k": p["k"][:EMBED], "next": p["k"][EMBED:], "v": p["v"], "q": p["q"] * np.float32(1 / math.sqrt(WIDTH)), "mix": p["mix"][:EMBED]}
+
+    def looks(self) -> dict[str, np.ndarray]:
+        """These products for each embedding row, made once for the batches of a model that doesn't change."""
+        return {name: self.p["embed"] @ w for name, w in self._firsts().items()}
+
+    def run(
+        self, x: np.ndarray, starts: np.ndarray, before: np.ndarray, first: np.ndarray, y: np.ndarray, used: np.ndarray | None = None, looks: dict[str, np.ndarray] | None = None, told: bool = True
+    ) -> tuple:
         """Log probabilities of y, the ids after the last SCORED places of each window. x holds OVERLAP ids and then
-        SCORED for each window, so windows overlap in it; starts: places of x that don't follow the one before them, and the
-        ids before those; first: windows with nothing before their own places. With ``used``, also the gradients of the mean loss over the used targets."""
+        SCORED for each window, so windows overlap in it; starts: places of x that don't follow the one before them, the last of them 0, and the
+        ids before those; first: windows with nothing before their own places. With ``used``, also the gradients of the mean loss over the used targets,
+        and the loss itself if it is to be ``told``."""
         p, lay, n, N = self.p, self.layout, len(first), len(y)
-        root, kind = np.float32(1 / math.sqrt(WIDTH)), p["embed"].dtype
-        r = lay.row[x]
-        e = np.empty((len(x), 2 * EMBED), kind)
-        e[:, :EMBED] = p["embed"].take(r, 0)
-        e[1:, EMBED:] = e[:-1, :EMBED]
-        e[starts, EMBED:] = p["embed"][lay.row[before]]
-        own, asked = e[:, :EMBED], e[OVERLAP:, :EMBED]
-        k = e @ p["k"]
-        v = np.empty((len(x), WIDTH + 1), kind)
-        v[:, :WIDTH], v[:, WIDTH] = own @ p["v"], 1
-        q = (asked @ (p["q"] * root)).reshape(n, SCORED, WIDTH)
-        windows = lambda a: np.lib.stride_tricks.as_strided(a, (n, WINDOW, a.shape[1]), (SCORED * a.strides[0], *a.strides))
-        kw, vw = windows(k), windows(v)
+        kind, inner = p["embed"].dtype, starts[:-1]
+        r, outside = lay.row.take(x), p["embed"].take(lay.row.take(before), 0)
+        if looks is None:
+            e, by = p["embed"].take(r, 0), self._firsts()
+            k, past, v, q, hidden = e @ by["k"], e @ by["next"], e @ by["v"], e[OVERLAP:] @ by["q"], e[OVERLAP:] @ by["mix"]
+        else:
+            k, past, v, q, hidden = (looks[c].take(at, 0) for c, at in (("k", r), ("next", r), ("v", r), ("q", r[OVERLAP:]), ("mix", r[OVERLAP:])))
+        alone = k[starts]
+        k[1:] += past[:-1]
+        k[starts] = alone + outside @ p["k"][EMBED:]
+        windows = lambda a: np.ndarray((n, WINDOW, WIDTH), kind, a, strides=(SCORED * a.strides[0], *a.strides))
+        kw, vw, q = windows(k), windows(v), q.reshape(n, SCORED, WIDTH)
         a = q @ kw.transpose(0, 2, 1)
-        a += np.where(self.distance >= 0, p["far"][self.near], -1e4).astype(kind)
+        a += p["far"][self.near] + self.later.astype(kind)
         a[first, :, :OVERLAP] = -1e4  # what stands before is another text
         _exp(a)
-        seen = (a @ vw).reshape(N, WIDTH + 1)
-        inverse = 1 / seen[:, WIDTH:]
-        u = np.empty((N, EMBED + WIDTH + 1), kind)
-        u[:, :EMBED], u[:, -1] = asked, 1
-        np.multiply(seen[:, :WIDTH], inverse, out=u[:, EMBED:-1])
+        inverse = 1 / (a.reshape(N, WINDOW) @ np.ones((WINDOW, 1), kind))
+        seen = (a @ vw).reshape(N, WIDTH)
+        seen *= inverse
+        hidden += seen @ p["mix"][EMBED:-1]
+        by_window = hidden.reshape(n, SCORED * HIDDEN)
+        by_window += p["mix"][-1:].repeat(SCORED, 0).ravel()
         # from here on in order of the targets' groups
-        leaf = lay.leaf[y]
+        leaf = lay.leaf.take(y)
         group = leaf // MEMBERS
         order = np.argsort(group.astype(np.uint8), kind="stable")
-        leaf, group, last, at = leaf[order], group[order], r[OVERLAP:][order], np.arange(N)
-        ends = np.searchsorted(group, np.arange(GROUPS + 1))
+        back = np.empty(N, np.int64)
+        back[order] = np.arange(N)
+        leaf, group, last, hidden = leaf.take(order), group.take(order), r[OVERLAP:].take(order), hidden.take(order, 0)
+        ends = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+        spans = [(g, i, j) for g, (i, j) in enumerate(itertools.pairwise(ends)) if i < j]
         f = np.empty((N, HIDDEN + 1), kind)
-        np.maximum((u @ p["mix"]).take(order, 0), 0, out=f[:, :HIDDEN])
+        np.maximum(hidden, 0, out=f[:, :HIDDEN])
         f[:, HIDDEN] = 1
-        z = np.empty((N, GROUPS + MEMBERS), kind)
-        zg, zi, label = z[:, :GROUPS], z[:, GROUPS:], GROUPS + leaf % MEMBERS
-        np.matmul(f, p["group"], out=zg)
-        spans = [(g, ends[g], ends[g + 1]) for g in range(GROUPS) if ends[g] < ends[g + 1]]
+        z, heads = np.empty((N, GROUPS + MEMBERS), kind), np.empty((GROUPS, HIDDEN + 1, GROUPS + MEMBERS), kind)
+        heads[:, :, :GROUPS], heads[:, :, GROUPS:] = p["group"], p["inside"]
         for g, i, j in spans:
-            np.matmul(f[i:j], p["inside"][g], out=zi[i:j])
+            np.matmul(f[i:j], heads[g], out=z[i:j])
         z += self.direct.take(last * GROUPS + group, 0)
-        _exp(z, zg, zi)
-        sums = z @ self.parts.astype(kind)
-        log = np.empty(N, kind)
-        log[order] = np.log(np.maximum(z[at, group] * z[at, label] / (sums[:, 0] * sums[:, 1]), 1e-30))
-        log += lay.log_share[y]
+        _exp(z, z[:, :GROUPS], z[:, GROUPS:])
+        parts = z.reshape(N, -1, GROUPS)  # the groups, and the members in parts as long
+        sums = (parts.reshape(-1, GROUPS) @ np.ones(GROUPS, kind)).reshape(N, -1)
+        by_group, inside = sums[:, 0], sums[:, 1:] @ np.ones(MEMBERS // GROUPS, kind)
+        cells, at = z.reshape(-1), np.arange(0, z.size, z.shape[1])
+        at_group, at_leaf = at + group, at + (GROUPS + leaf % MEMBERS)
+        log = None
+        if told:
+            log = np.log(np.maximum(cells.take(at_group) * cells.take(at_leaf) / (by_group * inside), 1e-30)).take(back)
+            log += lay.log_share.take(y)
         if used is None:
             return log, None
         w = used.astype(kind) / max(1, used.sum())
-        loss = -float(log @ w)
-        w = w[order]
-        z *= (w[:, None] / sums) @ self.parts.T.astype(kind)
-        z[at, group] -= w
-        z[at, label] -= w
-        grad = {"group": f.T @ zg, "inside": np.zeros_like(p["inside"])}
+        loss = -float(log @ w) if told else None
+        w = w.take(order)
+        sums[:, 0], sums[:, 1:] = w / by_group, (w / inside)[:, None]
+        parts *= sums[:, :, None]
+        cells[at_group] -= w
+        cells[at_leaf] -= w
+        by_head = np.zeros_like(heads)
         ds = np.empty((N, HIDDEN), kind)
         for g, i, j in spans:
-            np.matmul(zi[i:j], p["inside"][g][:HIDDEN].T, out=ds[i:j])
-            np.matmul(f[i:j].T, zi[i:j], out=grad["inside"][g])
-        ds += zg @ p["group"][:HIDDEN].T
-        ds *= f[:, :HIDDEN] > 0
-        df = np.empty_like(ds)
-        df[order] = ds
-        grad["mix"] = u.T @ df
+            np.matmul(z[i:j], heads[g, :HIDDEN].T, out=ds[i:j])
+            np.matmul(f[i:j].T, z[i:j], out=by_head[g])
+        ds *= hidden > 0
+        df = ds.take(back, 0)
         do = df @ p["mix"][EMBED:-1].T
         do *= inverse
-        dot = (do * u[:, EMBED:-1]) @ np.ones(WIDTH, kind)
+        dot = (do * seen) @ np.ones(WIDTH, kind)
         do = do.reshape(n, SCORED, WIDTH)
-        da = do @ vw[:, :, :WIDTH].transpose(0, 2, 1)
+        da = do @ vw.transpose(0, 2, 1)
         da -= dot.reshape(n, SCORED, 1)
         da *= a
-        grad["far"] = np.bincount(self.near.ravel(), (np.ones(n, kind) @ da.reshape(n, -1)).ravel(), WINDOW)
+        far = np.bincount(self.near.ravel(), (np.ones(n, kind) @ da.reshape(n, -1)).ravel(), WINDOW)
         dq = (da @ kw).reshape(N, WIDTH)
-        dk, dv = (self._places(c, len(x)) for c in (da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ do))
-        grad["q"], grad["k"], grad["v"] = asked.T @ dq * root, e.T @ dk, own.T @ dv
+        both = np.empty((n, WINDOW, 2 * WIDTH), kind)  # of keys and of values
+        np.matmul(da.transpose(0, 2, 1), q, out=both[:, :, :WIDTH])
+        np.matmul(a.transpose(0, 2, 1), do, out=both[:, :, WIDTH:])
+        both = self._places(both, len(x))
+        if looks is not None:
+            e = p["embed"].take(r, 0)
+        outside[:-1] -= e[inner - 1]
+        own = e.T @ both
+        grad = {
+            "group": by_head[:, :, :GROUPS].sum(axis=0), "inside": by_head[:, :, GROUPS:], "far": far,
+            "mix": np.concatenate([e[OVERLAP:].T @ df, seen.T @ df, (np.ones(N, kind) @ df)[None]]),
+            "q": e[OVERLAP:].T @ dq * np.float32(1 / math.sqrt(WIDTH)), "v": own[:, WIDTH:],
+            "k": np.concatenate([own[:, :WIDTH], e[:-1].T @ both[1:, :WIDTH] + outside.T @ both[starts, :WIDTH]]),
+        }
         return loss, grad
 
     def _places(self, by_window: np.ndarray, size: int) -> np.ndarray:
         """Sums over the windows that hold a place."""
-        n = len(by_window)
-        out = np.zeros((size, WIDTH), by_window.dtype)
-        out[OVERLAP:].reshape(n, SCORED, WIDTH)[:] = by_window[:, OVERLAP:]
-        out[: n * SCORED].reshape(n, SCORED, WIDTH)[:, :OVERLAP] += by_window[:, :OVERLAP]
+        n, _, width = by_window.shape
+        out = np.zeros((size, width), by_window.dtype)
+        out[OVERLAP:].reshape(n, SCORED, width)[:] = by_window[:, OVERLAP:]
+        out[: n * SCORED].reshape(n, SCORED, width)[:, :OVERLAP] += by_window[:, :OVERLAP]
         return out
 
-    def step(self, *windows: np.ndarray, rate: float = RATE) -> float:
+    def step(self, *windows: np.ndarray, rate: float = RATE) -> None:
         """One Adagrad step."""
-        loss, grad = self.run(*windows)
+        _, grad = self.run(*windows, told=False)
         self.speed = self.speed or {k: np.full_like(v, 1e-4) for k, v in self.p.items()}
         for k, v in grad.items():
             v = v.astype(np.float32)
             self.speed[k] += v * v
-            self.p[k] -= rate * v / np.sqrt(self.speed[k])
-        return loss
+            v *= rate
+            v /= np.sqrt(self.speed[k])
+            self.p[k] -= v
 
     def pack(self) -> np.ndarray:
         return np.concatenate([v.ravel() for v in self.p.values()]).astype(np.float32)
@@ -569,9 +615,10 @@ def windows(flat: np.ndarray, offsets: np.ndarray, end: int, batch: int = BATCH)
     blocks = -(-size // SCORED)
     start = np.concatenate(([0], np.cumsum(blocks)))
     n = int(start[-1])
-    at = np.arange(len(flat)) + np.repeat(start[:-1] * SCORED - offsets[:-1], size)
-    y, used, first = np.full(n * SCORED, end, np.int32), np.zeros(n * SCORED, bool), np.zeros(n, bool)
-    y[at], used[at], first[start[:-1]] = flat, True, True
+    blank = blocks * SCORED - size  # places behind the texts
+    y, used, first = np.full(n * SCORED, end, np.int32), np.ones(n * SCORED, bool), np.zeros(n, bool)
+    used[np.repeat(start[1:] * SCORED - np.cumsum(blank), blank) + np.arange(blank.sum())] = False
+    y[used], first[start[:-1]] = flat, True
     x = np.full(OVERLAP + n * SCORED, end, np.int32)
     x[OVERLAP + 1 :] = y[:-1]
     x[OVERLAP:][start[:-1] * SCORED] = end
@@ -664,7 +711,8 @@ def train(rows: DataFrame, model: Model, end: int, total: int) -> Model:
 
 def logs(model: Model, flat: np.ndarray, offsets: np.ndarray, end: int) -> np.ndarray:
     """The log probability of every id of the texts."""
-    made = [model.run(*w[:-1])[0][w[-1]] for w in windows(flat, offsets, end, SCORE_BATCH)]
+    looks = model.looks()
+    made = [model.run(*w[:-1], looks=looks)[0][w[-1]] for w in windows(flat, offsets, end, SCORE_BATCH)]
     return np.concatenate(made) if made else np.zeros(0, np.float32)
 
 
