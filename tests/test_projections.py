@@ -24,6 +24,17 @@ def test_feat_index(spark):
     assert found == [("code", "oeil-d-aigle"), ("folded", "esquive"), ("orphan_code", "ep:vision"), ("repeated_i", "0"), ("repeated_id", "attaque-en-puissance"), ("repeated_s", "attaque-en-puissance"), ("sparse", "zele"), ("text", "esquive")]
 
 
+def test_code_tables_hold_no_values_of_all_rows(spark, monkeypatch):
+    """Values repeated in a row, and in rows of one key, have one code; nothing is aggregated by key and value before rows are dealt."""
+    plans, write = {}, projections.materialize
+    monkeypatch.setattr(projections, "materialize", lambda df, name: plans.update({name: df._jdf.queryExecution().optimizedPlan().toString()}) or write(df, name))
+    rows = spark.createDataFrame([("a", ["y", "x", "y", None]), ("a", ["x", "z"]), ("b", None), ("c", ["z", "z"])], "id string, v array<string>")
+    codes, own = projections.code_tables(rows, "id", {"t": F.col("v")})
+    assert sorted(tuple(r) for r in codes.collect()) == [("t", "x", 0), ("t", "y", 1), ("t", "z", 2)]
+    assert {r["id"]: r["codes"] for r in own.collect()} == {"a": {"t": [0, 1, 2]}, "c": {"t": [2]}}
+    assert "Aggregate" not in plans["values"] and "RepartitionByExpression" in plans["values"]
+
+
 def test_props_and_names(spark):
     rows = spark.createDataFrame([("Esquive*", "src", "c"), ("Zèle", None, "d")], "name string, source string, conditions string")
     details = spark.createDataFrame([("Esquive*", "page", None)], "name string, description string, special string")

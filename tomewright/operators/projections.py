@@ -10,21 +10,24 @@ from pyspark.sql import functions as F
 from tomewright.functions.text import feat_name, let, normal, search_key, slug
 from tomewright.operators.ordering import numbered
 from tomewright.operators.sheet import feat_slots
-from tomewright.sources.shared import materialize
+from tomewright.sources.shared import materialize, spread
 
 # the published index of feats
 
 
 def code_tables(rows: DataFrame, key: str, tables: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Dictionaries (table, value, code): the sorted distinct values of each, from 0; and key, codes: a map of table to the sorted
-    codes of a row. tables: name to an array of values; null values have no code."""
-    told = F.array(*[F.struct(F.lit(t).alias("table"), F.coalesce(v, F.array().cast("array<string>")).alias("values")) for t, v in tables.items()])
-    long = materialize(rows.select(key, F.inline(told)).select(key, "table", F.explode("values").alias("value")).where("value IS NOT NULL").distinct(), "values")
+    codes of a row. tables: name to an array of values; null values have no code.
+
+    A row's values are made distinct in the row and its codes where they are collected, so no task holds the values of all its rows."""
+    told = F.array(*[F.struct(F.lit(t).alias("table"), F.array_distinct(F.coalesce(v, F.array().cast("array<string>"))).alias("values")) for t, v in tables.items()])
+    dealt = spread(rows.select(key, told.alias("told")), key)
+    long = materialize(dealt.select(key, F.inline("told")).select(key, "table", F.explode("values").alias("value")).where("value IS NOT NULL"), "values")
     values = long.select("table", "value").distinct()
     first = numbered(values, ["table", "value"], "at")
     codes = first.join(first.groupBy("table").agg(F.min("at").alias("low")), "table").select("table", "value", (F.col("at") - F.col("low")).cast("int").alias("code"))
     codes = materialize(codes, "codes")
-    own = long.join(codes, ["table", "value"]).groupBy(key, "table").agg(F.array_sort(F.collect_list("code")).alias("codes"))
+    own = long.join(codes, ["table", "value"]).groupBy(key, "table").agg(F.array_sort(F.collect_set("code")).alias("codes"))
     return codes, own.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("table", "codes"))).alias("codes"))
 
 
